@@ -16,6 +16,7 @@ from barloom.track import (
     previous,
     quoted,
     running,
+    through_cells,
 )
 
 DAILY = Track()
@@ -52,15 +53,68 @@ def interpolate(df: DataFrame, columns: str | Sequence[str], track: Track = DAIL
     Leading gaps stay missing; trailing gaps take the last present value.
     """
     names = column_names(columns)
+    placed = _neighbours(df, names, track) if track.segment is None else (
+        _neighbours_by_cell(df, names, track)
+    )
+    lines = {c: _line(F.col(quoted(c)), i) for i, c in enumerate(names)}
+    return placed.withColumns(lines).select(*map(quoted, df.columns))
+
+
+def _point(value: str, place: Column) -> Column:
+    """A present value with its place in the series; null for a gap."""
+    here = F.struct(F.col(quoted(value)).alias("v"), place.alias("p"))
+    return F.when(F.col(quoted(value)).isNotNull(), here)
+
+
+def _neighbours(df: DataFrame, names: list[str], track: Track) -> DataFrame:
+    """Adds ``__pos`` and, per column, the present points ``__before_i`` and ``__after_i``."""
     around = {}
     for i, c in enumerate(names):
-        point = F.struct(F.col(quoted(c)).alias("v"), F.col("__pos").alias("p"))
-        present = F.when(F.col(quoted(c)).isNotNull(), point)
-        around[f"__before_{i}"] = last_known(present)
-        around[f"__after_{i}"] = next_known(present)
-    numbered = running(df, track, __pos=position())
-    lines = {c: _line(F.col(quoted(c)), i) for i, c in enumerate(names)}
-    return running(numbered, track, **around).withColumns(lines).select(*map(quoted, df.columns))
+        around[f"__before_{i}"] = last_known(_point(c, F.col("__pos")))
+        around[f"__after_{i}"] = next_known(_point(c, F.col("__pos")))
+    return running(running(df, track, __pos=position()), track, **around)
+
+
+def _neighbours_by_cell(df: DataFrame, names: list[str], track: Track) -> DataFrame:
+    """The same with places counted inside each cell, then moved on by the rows before it."""
+    totals = [F.count(F.lit(1)).alias("__rows")]
+    for i, c in enumerate(names):
+        point = F.col(quoted(c)).isNotNull()
+        at = F.when(point, F.col("__pos"))
+        for end, by, rank in (("first", F.min_by, F.min), ("last", F.max_by, F.max)):
+            totals.append(by(quoted(c), at).alias(f"__{end}_v_{i}"))
+            totals.append(rank(at).alias(f"__{end}_p_{i}"))
+
+    def along(cells: DataFrame, chain: Track) -> DataFrame:
+        earlier = chain.window().rowsBetween(Window.unboundedPreceding, -1)
+        later = chain.window().rowsBetween(1, Window.unboundedFollowing)
+        moved = cells.withColumn(
+            "__carry_rows", F.coalesce(F.sum("__rows").over(earlier), F.lit(0))
+        )
+
+        def point(end: str, i: int) -> Column:
+            place = F.col(f"__{end}_p_{i}") + F.col("__carry_rows")
+            found = F.struct(F.col(f"__{end}_v_{i}").alias("v"), place.alias("p"))
+            return F.when(place.isNotNull(), found)
+
+        points = {}
+        for i in range(len(names)):
+            points[f"__carry_before_{i}"] = F.last(point("last", i), True).over(earlier)
+            points[f"__carry_after_{i}"] = F.first(point("first", i), True).over(later)
+        return moved.withColumns(points)
+
+    rows = through_cells(
+        df, track, lambda cells, within: _neighbours(cells, names, within), totals, along
+    )
+    moved = {"__pos": F.col("__pos") + F.col("__carry_rows")}
+    for i in range(len(names)):
+        for side in ("before", "after"):
+            own = F.col(f"__{side}_{i}")
+            place = (own["p"] + F.col("__carry_rows")).alias("p")
+            moved[f"__{side}_{i}"] = F.when(
+                own.isNotNull(), F.struct(own["v"].alias("v"), place)
+            ).otherwise(F.col(f"__carry_{side}_{i}"))
+    return rows.withColumns(moved)
 
 
 def _line(value: Column, i: int) -> Column:

@@ -2,12 +2,25 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.functions import whole_units
 from barloom.operators.quality import years_between
-from barloom.track import Track, last_known, opening, previous, running, running_sum
+from barloom.track import (
+    Running,
+    Track,
+    last_known,
+    opening,
+    position,
+    previous,
+    quoted,
+    running,
+    running_sum,
+    through_cells,
+)
 
 DAILY = Track()
 
@@ -111,24 +124,119 @@ def signal_equity(
     A signal acts from its bar's close, so a bar earns its change if the bar before it was long.
     ``trades`` counts the changes of state so far.
     """
-    state = F.coalesce("__state", F.lit(0))
     signal = F.when(F.col(entry), 1).when(F.col(exit), 0)
-    held = running(
-        bars, track, __state=last_known(signal), __prev=previous(F.col(value))
-    ).withColumn("__state", state)
-    stepped = running(held, track, __was=previous(F.col("__state"))).withColumn(
-        "__was", F.coalesce("__was", F.lit(0))
+    steps = _signal_steps if track.segment is None else _signal_steps_by_cell
+    stepped = steps(bars, signal, F.col(value), track)
+    equity = F.lit(float(init_cash)) * F.exp(F.col("__log"))
+    return stepped.select(
+        *map(quoted, bars.columns),
+        F.col("__trades").alias("trades"),
+        (F.col("__state") == 1).alias("long"),
+        equity.alias("equity"),
     )
-    gain = F.when(F.col("__was") == 1, F.ln(F.col(value) / F.col("__prev"))).otherwise(F.lit(0.0))
-    turned = F.when(F.col("__was") != F.col("__state"), 1).otherwise(0)
-    summed = running(stepped, track, __log=running_sum(gain), trades=running_sum(turned))
-    return (
-        summed.withColumn("long", F.col("__state") == 1)
-        .withColumn("equity", F.lit(float(init_cash)) * F.exp(F.coalesce("__log", F.lit(0.0))))
-        .drop("__state", "__was", "__prev", "__log")
+
+
+def _signal_steps(bars: DataFrame, signal: Column, value: Column, track: Track) -> DataFrame:
+    """Adds the state, the log growth and the number of trades up to each row."""
+    held = running(bars, track, __state=last_known(signal), __prev=previous(value))
+    held = held.withColumn("__state", F.coalesce("__state", F.lit(0)))
+    was = running(held, track, __was=previous(F.col("__state")))
+    gain = F.when(F.col("__was") == 1, F.ln(value / F.col("__prev"))).otherwise(F.lit(0.0))
+    turned = F.when(F.coalesce("__was", F.lit(0)) != F.col("__state"), 1).otherwise(0)
+    return running(was, track, __log=running_sum(gain), __trades=running_sum(turned))
+
+
+def _signal_steps_by_cell(
+    bars: DataFrame, signal: Column, value: Column, track: Track
+) -> DataFrame:
+    """The same by cells.
+
+    Until the first signal of a cell the state is the one it starts in, which only the cells
+    before know. So growth is summed in two parts: earned for certain, and earned if the cell
+    starts long. The same holds for the trade made by the first signal.
+    """
+
+    def inside(rows: DataFrame, within: Track) -> DataFrame:
+        known = running(
+            rows.withColumn("__signal", signal),
+            within,
+            __state=last_known(F.col("__signal")),
+            __prev=previous(value),
+            __pos=position(),
+        )
+        known = running(known, within, __was=previous(F.col("__state")))
+        log = F.ln(value / F.col("__prev"))
+        later = F.col("__pos") > 1
+        sure = F.when(F.col("__was") == 1, log).otherwise(F.lit(0.0))
+        if_long = F.when(F.col("__was").isNull() & later, log).otherwise(F.lit(0.0))
+        turned = F.when(F.col("__was") != F.col("__state"), 1).otherwise(0)
+        return running(
+            known,
+            within,
+            __sure=running_sum(sure),
+            __if_long=running_sum(if_long),
+            __turned=running_sum(turned),
+            __opener=_first_known(F.col("__signal")),
+        )
+
+    last = F.col("__pos")
+    totals = [
+        F.max_by("__state", last).alias("__end_state"),
+        F.max_by("__opener", last).alias("__end_opener"),
+        F.max_by("__sure", last).alias("__end_sure"),
+        F.max_by("__if_long", last).alias("__end_if_long"),
+        F.max_by("__turned", last).alias("__end_turned"),
+        F.max_by(value, last).alias("__end_value"),
+        F.min_by(value, last).alias("__start_value"),
+    ]
+
+    def along(cells: DataFrame, chain: Track) -> DataFrame:
+        earlier = chain.window().rowsBetween(Window.unboundedPreceding, -1)
+        begun = cells.withColumns(
+            {
+                "__carry_state": F.coalesce(
+                    F.last("__end_state", True).over(earlier), F.lit(0)
+                ),
+                "__carry_step": F.coalesce(
+                    F.ln(F.col("__start_value") / F.lag("__end_value").over(chain.window())),
+                    F.lit(0.0),
+                ),
+            }
+        )
+        growth = F.col("__end_sure") + F.col("__carry_state") * (
+            F.col("__carry_step") + F.col("__end_if_long")
+        )
+        trades = F.col("__end_turned") + _opening_trade("__end_opener")
+        return begun.withColumns({"__growth": growth, "__made": trades}).withColumns(
+            {
+                "__carry_log": F.coalesce(F.sum("__growth").over(earlier), F.lit(0.0)),
+                "__carry_trades": F.coalesce(F.sum("__made").over(earlier), F.lit(0)),
+            }
+        )
+
+    rows = through_cells(bars, track, inside, totals, along)
+    earned = F.col("__carry_state") * (F.col("__carry_step") + F.col("__if_long"))
+    return rows.withColumns(
+        {
+            "__state": F.coalesce("__state", "__carry_state"),
+            "__log": F.col("__carry_log") + F.col("__sure") + earned,
+            "__trades": F.col("__carry_trades") + F.col("__turned") + _opening_trade("__opener"),
+        }
     )
 
 
+def _first_known(value: Column) -> Running:
+    """First value that is not null among the rows so far; only for use inside a cell."""
+    return replace(
+        last_known(value), inside=lambda t: F.first(value, True).over(t.so_far())
+    )
+
+
+def _opening_trade(opener: str) -> Column:
+    """1 if the cell's first signal turns the state it started in."""
+    return F.when(F.col(opener) != F.col("__carry_state"), 1).otherwise(0)
+
+
 def allocated_equity(
     bars: DataFrame, weights: DataFrame, frequency: str = "annually", init_cash: float = 1.0
 ) -> DataFrame:

@@ -67,7 +67,7 @@ def time_cell(column: str, seconds: int) -> Column:
 _MOST_PARTS = 65536
 
 
-def even_cells(df: DataFrame, column: str, name: str = "cell", rounds: int = 2) -> DataFrame:
+def even_cells(df: DataFrame, column: str, name: str = "cell", rounds: int = 1) -> DataFrame:
     """Add a cell number that splits any amount of rows, for use as ``Track.segment``.
 
     With n rows the aim is about sqrt(n) cells of sqrt(n) rows, so that neither the window inside
@@ -245,6 +245,29 @@ def running(df: DataFrame, track: Track, **columns: Running) -> DataFrame:
     return joined.select(*kept, *[value.alias(name) for name, value in merged.items()])
 
 
+def through_cells(
+    df: DataFrame,
+    track: Track,
+    inside: Callable[[DataFrame, Track], DataFrame],
+    totals: Sequence[Column],
+    along: Callable[[DataFrame, Track], DataFrame],
+) -> DataFrame:
+    """Rows with what ``inside`` adds per cell and what ``along`` adds from the other cells.
+
+    For calculations of several dependent steps: however many there are, the table is read twice
+    and its rows are shuffled twice, once for the rows and once for the totals.
+    """
+    cell_key = [*track.key, _CELL]
+    within = replace(track, key=tuple(cell_key), segment=None)
+    rows = inside(df.withColumn(_CELL, track.segment), within)
+    chain = replace(track, order=(_CELL,), segment=None)
+    summed = rows.groupBy(*cell_key).agg(*totals)
+    carried = along(summed, chain)
+    carries = [c for c in carried.columns if c.startswith("__carry_")]
+    carried = carried.select(*cell_key, *carries)
+    return rows.join(carried, cell_key, "left")
+
+
 def quoted(name: str) -> str:
     """Column name as a reference; symbols such as ``BRK.B`` are legal in wide names."""
     return "`" + name.replace("`", "``") + "`"
