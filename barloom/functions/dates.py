@@ -12,7 +12,7 @@ OPEN_END = "current"
 def parse_day(text: Column) -> Column:
     """``yyyy-MM-dd`` as a date; null if it is not one."""
     return F.when(
-        text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), F.try_to_date(text, F.lit("yyyy-M-d"))
+        text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), F.try_to_date(text, "yyyy-M-d")
     )
 
 

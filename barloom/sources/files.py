@@ -24,20 +24,36 @@ from barloom.track import quoted
 log = logging.getLogger(__name__)
 
 
-def read_series(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """``Date,Value`` files; the series is named by its file, an empty cell is missing."""
-    raw = spark.read.schema("Date string, Value string").option("header", True).csv(path)
+def _named(spark: SparkSession, columns: str, path, folder_of: str | None, name_of):
+    """Headed CSV files and the name they carry: in the file name, or in a ``<column>=`` folder."""
+    schema = columns if folder_of is None else f"{columns}, `{folder_of}` string"
+    raw = spark.read.schema(schema).option("header", True).csv(path)
+    name = name_of(F.col("_metadata.file_name")) if folder_of is None else F.col(folder_of)
+    return raw, name
+
+
+def read_series(
+    spark: SparkSession, path: str | list[str], folder_of: str | None = None
+) -> DataFrame:
+    """``Date,Value`` files, one series each; an empty cell is missing.
+
+    A series is named by its file (``ID.csv``, ``ID_start_end.csv``) or, with ``folder_of``, by
+    its partition folder.
+    """
+    raw, name = _named(spark, "Date string, Value string", path, folder_of, series_id_of_file)
     return raw.select(
-        series_id_of_file(F.col("_metadata.file_name")).alias("series_id"),
+        name.alias("series_id"),
         day(F.col("Date")).alias("date"),
         to_number(F.col("Value")).alias("value"),
     )
 
 
 def _header_rows(spark: SparkSession, path: str, rows: int) -> list[list[str]]:
-    """The first lines of the layout, as cells: ``rows`` lines, whatever the table's size."""
-    lines = spark.read.text(path).limit(rows).collect()
-    return list(csv.reader(line.value for line in lines))
+    """Cells of the first lines that do not begin with a date."""
+    lines = spark.read.text(path)
+    first_cell = F.btrim(F.substring_index("value", ",", 1), F.lit(HEADER_JUNK))
+    heads = lines.where(day(first_cell).isNull()).limit(rows).collect()
+    return list(csv.reader(line.value for line in heads))
 
 
 def _bars_of_row(columns: Mapping[str, Mapping[str, str]], date: Column) -> list[Column]:
@@ -109,17 +125,20 @@ def read_tagged(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_symbol_dir(
-    spark: SparkSession, folder: str, requests: DataFrame | None = None
+    spark: SparkSession,
+    folder: str,
+    requests: DataFrame | None = None,
+    folder_of: str | None = None,
 ) -> tuple[DataFrame, DataFrame | None]:
-    """One OHLCV file per symbol, named ``<symbol>.csv``, and the requested symbols without one."""
-    raw = (
-        spark.read.schema("Date string, " + ", ".join(f"{f} string" for f in FIELDS))
-        .option("header", True)
-        .option("pathGlobFilter", "*.csv")
-        .csv(folder)
-    )
+    """OHLCV files of one symbol each, and the requested symbols without one.
+
+    A symbol is named by its file (``<symbol>.csv``) or, with ``folder_of``, by its partition
+    folder.
+    """
+    columns = "Date string, " + ", ".join(f"{f} string" for f in FIELDS)
+    raw, name = _named(spark, columns, folder, folder_of, symbol_of_file)
     bars = raw.select(
-        symbol_of_file(F.col("_metadata.file_name")).alias("symbol"),
+        name.alias("symbol"),
         day(F.col("Date")).alias("date"),
         *[to_number(F.col(f)).alias(f) for f in FIELDS[:-1]],
         to_number(F.col("volume")).cast("bigint").alias("volume"),
