@@ -169,7 +169,8 @@ def filter_window(
 ) -> DataFrame:
     """Rows inside the closed date range requested for their symbol.
 
-    ``requests`` has resolved dates and one row per symbol; others have no rows here.
+    ``requests`` has resolved dates and one row per symbol; others have no rows here. As a stored
+    table its size is known, and a small one is broadcast by Spark.
     """
     ranges = requests.select(
         F.col("symbol").alias(key), F.col("start").alias("__start"), F.col("end").alias("__end")

@@ -244,7 +244,7 @@ def allocated_equity(
 
     Needs every weighted symbol on every date (``outer_align`` with a fill gives that). Inside a
     period the basket is worth the weighted growth since the close before the period; periods
-    multiply. Weights are joined on the symbol; only (symbol, period) and date totals travel.
+    multiply. One window per symbol finds the bases, then only sums per date travel.
     """
     if frequency not in PERIODS:
         raise ValueError(f"frequency {frequency!r} is not one of {sorted(PERIODS)}")
@@ -252,17 +252,16 @@ def allocated_equity(
     weighted = (
         bars.select("symbol", "date", "close")
         .join(weights.select("symbol", "weight"), "symbol")
-        .withColumn("period", period)
+        .withColumn("period", F.unix_date(period))
     )
-    closes = weighted.groupBy("symbol", "period").agg(
-        F.min_by("close", "date").alias("__first"), F.max_by("close", "date").alias("__last")
-    )
-    along = Window.partitionBy("symbol").orderBy("period")
-    bases = closes.select(
-        "symbol", "period", F.coalesce(F.lag("__last").over(along), F.col("__first")).alias("base")
+    by_period = Window.partitionBy("symbol").orderBy("period")
+    earlier = by_period.rangeBetween(Window.unboundedPreceding, -1)
+    so_far = by_period.rangeBetween(Window.unboundedPreceding, 0)
+    base = F.coalesce(
+        F.max_by("close", "date").over(earlier), F.min_by("close", "date").over(so_far)
     )
     growth = (
-        weighted.join(bases, ["symbol", "period"])
+        weighted.withColumn("base", base)
         .groupBy("period", "date")
         .agg(F.sum(F.col("weight") * F.col("close") / F.col("base")).alias("growth"))
     )

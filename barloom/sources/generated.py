@@ -21,15 +21,14 @@ def bars_from_ticks(
     struct, which costs a sort-based aggregate instead of a hash-based one.
     """
     at = F.col(ts) if tiebreak is None else F.struct(ts, tiebreak)
-    return ticks.groupBy(
-        F.col(symbol).cast("string").alias("symbol"), F.to_date(ts).alias("date")
-    ).agg(
+    days = ticks.groupBy(F.col(symbol).alias("symbol"), F.to_date(ts).alias("date")).agg(
         F.min_by(value, at).alias("open"),
         F.max(value).alias("high"),
         F.min(value).alias("low"),
         F.max_by(value, at).alias("close"),
         F.count(F.lit(1)).alias("volume"),
     )
+    return days.withColumn("symbol", F.col("symbol").cast("string"))
 
 
 def synthesize(spec: DataFrame, calendar: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -20,6 +20,7 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 _CELL = "__cell"
 _FIRST = "__cell_first"
@@ -71,16 +72,19 @@ def even_cells(df: DataFrame, column: str, name: str = "cell", rounds: int = 1)
     """Add a cell number that splits any amount of rows, for use as ``Track.segment``.
 
     With n rows the aim is about sqrt(n) cells of sqrt(n) rows, so that neither the window inside
-    a cell nor the one along the cells of a series grows with the table itself. The time range is
-    cut into equal spans; then, in each of ``rounds``, spans holding more than twice their share
+    a cell nor the one along the cells of a series grows with the table itself. The range of
+    ``column`` is cut into equal spans; then, in each of ``rounds``, spans holding more than twice their share
     are cut again, in proportion to their rows. There are at most sqrt(n) / 2 such spans, which
     bounds the tables broadcast here. Only a burst far shorter than the last cut stays together.
+    ``column`` is a date, a timestamp or a whole number, such as a stored position.
     """
-    micros = F.unix_micros(F.col(column).cast("timestamp"))
+    number = isinstance(df.schema[column].dataType, IntegralType)
+    at = F.col(column)
+    place = at.cast("long") if number else F.unix_micros(at.cast("timestamp"))
     facts = df.agg(
         F.struct(
-            F.min(micros).alias("lo"),
-            F.max(micros).alias("hi"),
+            F.min(place).alias("lo"),
+            F.max(place).alias("hi"),
             F.greatest(F.lit(1), F.floor(F.sqrt(F.count(column)))).alias("share"),
         ).alias("facts")
     ).scalar()
@@ -93,7 +97,7 @@ def even_cells(df: DataFrame, column: str, name: str = "cell", rounds: int = 1)
     cells = cut(
         df.withColumns(
             {
-                "__offset": micros - facts["lo"],
+                "__offset": place - facts["lo"],
                 "__start": F.lit(0).cast("long"),
                 "__width": F.floor((facts["hi"] - facts["lo"]) / spans) + 1,
             }

@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from barloom.operators import quality
-from barloom.track import Track
+from barloom.track import Track, even_cells
 from checks import adapters as a
 from checks.adapters import using
-from checks.filling import LINE_KEY
 from checks.registry import query
 
 
@@ -44,19 +43,19 @@ def agg_duplicate_keys(spark, sf):
 
 @query("""SELECT 'ohlcv' AS "check", 'open' AS subject, 'column is missing' AS detail
 UNION ALL SELECT 'ohlcv', 'volume', 'type is not integer'
-UNION ALL SELECT 'ohlcv', CAST(l_orderkey AS VARCHAR),
-    'date falls to ' || CAST(CAST(l_shipdate AS DATE) AS VARCHAR)
-FROM (SELECT *, lag(l_shipdate) OVER (PARTITION BY l_orderkey
-          ORDER BY l_linenumber, l_partkey, l_suppkey) AS p
-      FROM lineitem) WHERE CAST(p AS DATE) > CAST(l_shipdate AS DATE)""")
+UNION ALL SELECT 'ohlcv', CAST(o_custkey AS VARCHAR),
+    'date falls to ' || CAST(CAST(o_orderdate AS DATE) AS VARCHAR)
+FROM (SELECT *, lag(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS p
+      FROM orders) WHERE p > o_orderdate""")
 def val_ohlcv(spark, sf):
-    """Lines of an order as bars that lack a column, have a wrong type, and are out of order."""
-    price = F.col("l_extendedprice")
-    lines = a.table(spark, sf, "lineitem").select(
-        *LINE_KEY, F.to_date("l_shipdate").alias("date"), price.alias("high"),
-        price.alias("low"), price.alias("close"), F.col("l_quantity").alias("volume"),
+    """Orders as bars that lack a column, have a wrong type, and are out of order."""
+    price = F.col("o_totalprice")
+    orders = a.table(spark, sf, "orders").select(
+        "o_custkey", "o_orderkey", F.to_date("o_orderdate").alias("date"), price.alias("high"),
+        price.alias("low"), price.alias("close"), price.alias("volume"),
     )
-    return quality.check_ohlcv(lines, Track(LINE_KEY[:1], LINE_KEY[1:]))
+    stored = Track(("o_custkey",), ("o_orderkey",), F.col("cell"))
+    return quality.check_ohlcv(even_cells(orders, "o_orderkey"), stored)
 
 
 @query("""SELECT 'lines' AS dataset, count(*) AS n_rows FROM lineitem
@@ -89,7 +88,8 @@ def val_generated(spark, sf):
         F.col("o_custkey").cast("string").alias("symbol"), "o_orderkey",
         F.to_date("o_orderdate").alias("date"),
     )
-    return quality.check_generated(asked, stored, Track(("symbol",), ("o_orderkey",)))
+    track = Track(("symbol",), ("o_orderkey",), F.col("cell"))
+    return quality.check_generated(asked, even_cells(stored, "o_orderkey"), track)
 
 
 _TEXT = """SELECT o_orderkey,

@@ -15,6 +15,8 @@ from barloom.functions import (
 )
 from barloom.operators import clean
 from barloom.schemas import FIELDS
+from barloom.shared import land, new_path
+from barloom.sources import bars_from_ticks
 from checks import adapters as a
 from checks.adapters import using
 from checks.registry import query
@@ -53,8 +55,6 @@ def prj_to_wide(spark, sf):
 
 
 def _type_bars(spark, sf):
-    from barloom.sources import bars_from_ticks
-
     return bars_from_ticks(a.table(spark, sf, "events"), "event_type", "ts", "value")
 
 
@@ -195,7 +195,8 @@ def flt_window(spark, sf):
         F.lit("1996-03-01").alias("start"),
         F.date_format(F.date_sub(F.max("date"), 400), "yyyy-MM-dd").alias("end"),
     )
-    return clean.filter_window(a.tagged(spark, sf), clean.resolve_requests(requests), "ticker")
+    stored = land(clean.resolve_requests(requests), new_path(spark, "requests"))
+    return clean.filter_window(a.tagged(spark, sf), stored, "ticker")
 
 
 @query("""SELECT c_custkey, CASE WHEN c_nationkey = 1 THEN DATE '2020-01-01'

@@ -11,7 +11,6 @@ from checks.adapters import rounded, s6, using
 from checks.registry import query
 
 SERIES = Track(("series_id",))
-LINE_KEY = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 _BACK = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
 _AHEAD = "ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING"
@@ -94,17 +93,17 @@ def momentum(spark, sf):
     return fill.momentum_signals(a.bars(spark, sf).select("symbol", "date", "close"))
 
 
-@query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
-    CAST(l_shipdate AS DATE) AS date, previous_date
-FROM (SELECT *, CAST(lag(l_shipdate) OVER (PARTITION BY l_orderkey
-        ORDER BY l_linenumber, l_partkey, l_suppkey) AS DATE) AS previous_date FROM lineitem)
-WHERE previous_date > CAST(l_shipdate AS DATE)""")
+@query("""SELECT o_custkey, o_orderkey, CAST(o_orderdate AS DATE) AS date, previous_date
+FROM (SELECT *, CAST(lag(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS DATE)
+      AS previous_date FROM orders) WHERE previous_date > CAST(o_orderdate AS DATE)""")
 def monotonic(spark, sf):
-    """Lines shipped before the line stored ahead of them."""
-    lines = a.table(spark, sf, "lineitem").select(
-        *LINE_KEY, F.to_date("l_shipdate").alias("date")
+    """Orders dated before the customer's order stored ahead of them."""
+    orders = a.table(spark, sf, "orders").select(
+        "o_custkey", "o_orderkey", F.to_date("o_orderdate").alias("date")
     )
-    return fill.monotonic_check(lines, "date", Track(LINE_KEY[:1], LINE_KEY[1:]))
+    stored = Track(("o_custkey",), ("o_orderkey",), F.col("cell"))
+    falling = fill.monotonic_check(even_cells(orders, "o_orderkey"), "date", stored)
+    return falling.drop("cell")
 
 
 def ticks_in_cells(spark, sf):
@@ -152,15 +151,3 @@ def momentum_ticks(spark, sf):
     events = even_cells(a.table(spark, sf, "events"), "ts")
     signals = fill.momentum_signals(events, "value", tick_track())
     return signals.select("event_type", "event_id", "value", "entry", "exit")
-
-
-@query("""SELECT o_orderpriority, o_orderkey, CAST(o_orderdate AS DATE) AS date, previous_date
-FROM (SELECT *, CAST(lag(o_orderdate) OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey)
-      AS DATE) AS previous_date FROM orders) WHERE previous_date > CAST(o_orderdate AS DATE)""")
-def monotonic_long(spark, sf):
-    """Orders dated before the order stored ahead of them: five long series, cut by key range."""
-    orders = a.table(spark, sf, "orders").select(
-        "o_orderpriority", "o_orderkey", F.to_date("o_orderdate").alias("date")
-    )
-    stored = Track(("o_orderpriority",), ("o_orderkey",), F.floor(F.col("o_orderkey") / 100000))
-    return fill.monotonic_check(orders, "date", stored).drop("__cell")
