@@ -2,11 +2,16 @@ import os
 import sys
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
+from barloom.sources import fetching  # noqa: E402
+
+cloudpickle.register_pickle_by_value(fetching)
+
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
