@@ -1,84 +1,76 @@
 """Putting series on a common timeline.
 
-A timeline is a table (date, seq) with one row per day, so its size is bounded by the calendar
-and it may be broadcast. Grids are never made by crossing symbols with days: every observation
-knows how many timeline days follow it before the next observation of its series, and emits
-exactly those rows. That takes one shuffle by series and no join against the grid.
+A timeline is the sorted list of its days. Days are dates, so the list is bounded by the calendar
+(a century of them is 150 kB) and is handed to the tasks as one value. Grids are never made by
+crossing symbols with days: every observation knows how many timeline days follow it before the
+next observation of its series, and emits exactly those rows. That takes one shuffle by series
+and no join against the grid.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barloom.schemas import FIELDS
 from barloom.track import quoted
 
 
-def timeline(dates: DataFrame, date: str = "date") -> DataFrame:
-    """Distinct days numbered from 0.
+def timeline(dates: DataFrame, date: str = "date") -> Column:
+    """The distinct days of a column, sorted, as one array value.
 
-    The numbering needs all days in one place; they are made distinct before that, so it handles
-    at most one row per calendar day.
+    Days are made distinct before they come together, so that takes one row per calendar day.
     """
     days = dates.select(F.col(date).alias("date")).where("date IS NOT NULL").distinct()
-    return days.select(
-        "date", (F.row_number().over(Window.orderBy("date")) - 1).alias("seq")
-    )
+    return days.agg(F.sort_array(F.collect_list("date"))).scalar()
+
+
+def numbered(spark: SparkSession, days: Column) -> DataFrame:
+    """The days of a timeline as rows (seq, date), numbered from 0."""
+    return spark.range(1).select(F.posexplode(days).alias("seq", "date"))
 
 
 def _spread(
     df: DataFrame,
-    days: DataFrame,
+    days: Column,
     key: str,
     date: str,
     values: Sequence[str],
     fill: str | None,
 ) -> DataFrame:
     """One row per series and timeline day, with ``present`` telling the observed days."""
-    numbered = days.select(F.col("date").alias(date), "seq")
+    if fill not in (None, "ffill", "ffill_bfill"):
+        raise ValueError(f"fill {fill!r} is not one of ffill, ffill_bfill")
+    on = F.col("__on")
     placed = (
-        df.select(quoted(key), quoted(date), *map(quoted, values))
-        .join(F.broadcast(numbered), date, "left")
+        df.select(quoted(key), F.col(quoted(date)).alias("__on"), *map(quoted, values))
+        .join(F.broadcast(numbered(df.sparkSession, days).withColumnRenamed("date", "__on")),
+              "__on", "left")
         .withColumn("seq", F.coalesce("seq", F.lit(-1)))
     )
     w = Window.partitionBy(key).orderBy("seq")
-    ahead = w.rowsBetween(Window.unboundedPreceding, 0)
-    behind = w.rowsBetween(0, Window.unboundedFollowing)
-    on_line = {c: F.when(F.col("seq") >= 0, F.col(quoted(c))) for c in values}
-    if fill is None:
-        shown = {c: F.when(F.col("day_no") == F.col("seq"), F.col(quoted(c))) for c in values}
-        carried = {}
-    else:
-        carried = {c: F.last(on_line[c], True).over(ahead) for c in values}
-        if fill == "ffill_bfill":
-            carried = {
-                c: F.coalesce(carried[c], F.first(on_line[c], True).over(behind)) for c in values
-            }
-            shown = {}
-        elif fill == "ffill":
-            shown = {
-                c: F.when(F.col("day_no") >= F.col("seq"), F.col(quoted(c))) for c in values
-            }
-        else:
-            raise ValueError(f"fill {fill!r} is not one of ffill, ffill_bfill")
-    day_count = days.agg(F.count(F.lit(1)).cast("int")).scalar()
+    past = w.rowsBetween(Window.unboundedPreceding, 0)
+    future = w.rowsBetween(0, Window.unboundedFollowing)
     opens = F.when(F.lag("seq").over(w).isNull(), F.lit(0)).otherwise(F.col("seq"))
-    closes = F.coalesce(F.lead("seq").over(w), day_count) - 1
-    spans = placed.withColumns({"__opens": opens, "__closes": closes, **carried})
-    rows = spans.where("__closes >= __opens AND __closes >= 0").withColumn(
-        "day_no", F.explode(F.sequence(F.greatest("__opens", F.lit(0)), F.col("__closes")))
-    )
-    named = days.select(F.col("seq").alias("day_no"), F.col("date").alias("__day"))
-    return (
-        rows.withColumn("present", F.col("day_no") == F.col("seq"))
-        .withColumns(shown)
-        .join(F.broadcast(named), "day_no")
-        .select(
-            quoted(key), F.col("__day").alias(date), *map(quoted, values), "present"
-        )
+    closes = F.coalesce(F.lead("seq").over(w), F.size(days))
+    columns = {"__opens": F.greatest(opens, F.lit(0)), "__closes": closes}
+    for c in values:
+        seen = F.when(F.col("seq") >= 0, F.col(quoted(c)))
+        before, after = F.last(seen, True).over(past), F.first(seen, True).over(future)
+        columns[c] = {None: seen, "ffill": before}.get(fill, F.coalesce(before, after))
+    own_days = F.slice(
+        days, F.col("__opens") + 1, F.greatest(F.col("__closes") - F.col("__opens"), F.lit(0))
+    )
+    rows = placed.withColumns(columns).withColumn("__day", F.explode(own_days))
+    day = F.col("__day")
+    shown = {None: day == on, "ffill": day >= on}.get(fill, F.lit(True))
+    return rows.select(
+        quoted(key),
+        day.alias(date),
+        *[F.when(shown, F.col(quoted(c))).alias(c) for c in values],
+        ((day == on) & (F.col("seq") >= 0)).alias("present"),
     )
 
 
@@ -166,17 +158,15 @@ def _days(calendar: DataFrame, date: str) -> DataFrame:
     return calendar.select(F.col("date").alias(date)).distinct()
 
 
-def roll_map(calendar: DataFrame) -> DataFrame:
-    """For each day of the calendar's span the first session from it on and the last up to it."""
-    span = calendar.agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
-    days = span.where("lo IS NOT NULL").select(
-        F.explode(F.sequence("lo", "hi", F.expr("interval 1 day"))).alias("date")
-    )
-    sessions = calendar.select("date", F.col("date").alias("session"), "seq")
+def roll_map(spark: SparkSession, sessions: Column) -> DataFrame:
+    """For each day of the sessions' span the first session from it on and the last up to it."""
+    span = F.sequence(F.array_min(sessions), F.array_max(sessions), F.expr("interval 1 day"))
+    days = spark.range(1).select(F.explode(span).alias("date"))
+    marks = numbered(spark, sessions).withColumn("session", F.col("date"))
     w = Window.orderBy("date")
     forward = w.rowsBetween(0, Window.unboundedFollowing)
     back = w.rowsBetween(Window.unboundedPreceding, 0)
-    return days.join(F.broadcast(sessions), "date", "left").select(
+    return days.join(F.broadcast(marks), "date", "left").select(
         "date",
         F.first("session", True).over(forward).alias("next_session"),
         F.first("seq", True).over(forward).alias("next_seq"),
@@ -192,7 +182,7 @@ def roll_to_session(
 
     ``calendar`` must cover the ranges' sessions; days outside its span roll to its ends.
     """
-    rolled = _roll(ranges, calendar, start, end)
+    rolled = roll(ranges, timeline(calendar), start, end)
     empty = F.col("__first").isNull() | F.col("__last").isNull()
     finding = F.when(
         empty | (F.col("__first") > F.col("__last")), F.lit("no session in range")
@@ -205,10 +195,9 @@ def roll_to_session(
     )
 
 
-def _roll(ranges: DataFrame, calendar: DataFrame, start: str, end: str) -> DataFrame:
+def roll(ranges: DataFrame, sessions: Column, start: str, end: str) -> DataFrame:
     """Adds the first and last session of each range and their numbers, by two equi-joins."""
-    rolls = roll_map(calendar)
-    lo, hi = calendar.agg(F.min("date")).scalar(), calendar.agg(F.max("date")).scalar()
+    rolls = roll_map(ranges.sparkSession, sessions)
     starts = rolls.select(
         F.col("date").alias("__from"),
         F.col("next_session").alias("__first"),
@@ -219,9 +208,11 @@ def _roll(ranges: DataFrame, calendar: DataFrame, start: str, end: str) -> DataF
         F.col("last_session").alias("__last"),
         F.col("last_seq").alias("__last_seq"),
     )
+    from_day = F.greatest(F.col(start), F.array_min(sessions))
+    to_day = F.least(F.col(end), F.array_max(sessions))
     return (
-        ranges.withColumn("__from", F.when(F.col(start).isNotNull(), F.greatest(start, lo)))
-        .withColumn("__to", F.when(F.col(end).isNotNull(), F.least(end, hi)))
+        ranges.withColumn("__from", F.when(F.col(start).isNotNull(), from_day))
+        .withColumn("__to", F.when(F.col(end).isNotNull(), to_day))
         .join(F.broadcast(starts), "__from", "left")
         .join(F.broadcast(ends), "__to", "left")
     )

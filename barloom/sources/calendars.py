@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from calendar import monthcalendar
+from datetime import date, timedelta
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Days since 2000 on which the New York exchange stayed shut outside its rules.
@@ -20,63 +23,54 @@ SPECIAL_CLOSINGS = (
 )
 
 
-def _nth_weekday(year: Column, month: int, weekday: str, n: int) -> Column:
-    day_before = F.date_sub(F.make_date(year, F.lit(month), F.lit(1)), 1)
-    return F.date_add(F.next_day(day_before, weekday), 7 * (n - 1))
-
+def _nth_weekday(year: int, month: int, weekday: int, n: int) -> date:
+    """The n-th such weekday (Monday is 0) of a month; the last one for n = -1."""
+    weeks = [w[weekday] for w in monthcalendar(year, month) if w[weekday]]
+    return date(year, month, weeks[n if n < 0 else n - 1])
 
-def _last_monday(year: Column, month: int) -> Column:
-    last = F.last_day(F.make_date(year, F.lit(month), F.lit(1)))
-    return F.date_sub(F.next_day(last, "MON"), 7)
 
-
-def _observed(day: Column) -> Column:
+def _observed(day: date) -> date:
     """A Saturday holiday is kept on Friday, a Sunday one on Monday."""
-    weekday = F.weekday(day)
-    return (
-        F.when(weekday == 5, F.date_sub(day, 1)).when(weekday == 6, F.date_add(day, 1)).otherwise(day)
-    )
+    return day + timedelta(days={5: -1, 6: 1}.get(day.weekday(), 0))
 
 
-def _good_friday(year: Column) -> Column:
+def _good_friday(year: int) -> date:
     """Two days before Easter, by the Gregorian computus."""
-    golden = year % 19
-    century = F.floor(year / 100)
-    in_century = year % 100
-    epact = (
-        golden * 19 + century - F.floor(century / 4)
-        - F.floor((century - F.floor((century + 8) / 25) + 1) / 3) + 15
-    ) % 30
-    weekday = (
-        (century % 4) * 2 + F.floor(in_century / 4) * 2 + 32 - epact - in_century % 4
-    ) % 7
-    late = F.floor((golden + epact * 11 + weekday * 22) / 451)
-    march_offset = (epact + weekday - late * 7).cast("int")
-    return F.date_add(F.make_date(year, F.lit(3), F.lit(22)), march_offset - 2)
+    golden, (century, in_century) = year % 19, divmod(year, 100)
+    moon = (century - (century + 8) // 25 + 1) // 3
+    epact = (19 * golden + century - century // 4 - moon + 15) % 30
+    weekday = (32 + 2 * (century % 4) + 2 * (in_century // 4) - epact - in_century % 4) % 7
+    late = (golden + 11 * epact + 22 * weekday) // 451
+    return date(year, 3, 22) + timedelta(days=epact + weekday - 7 * late - 2)
+
+
+def _closed_days(year: int) -> list[date]:
+    new_year = date(year, 1, 1)
+    days = [
+        _nth_weekday(year, 2, 0, 3),
+        _good_friday(year),
+        _nth_weekday(year, 5, 0, -1),
+        _observed(date(year, 7, 4)),
+        _nth_weekday(year, 9, 0, 1),
+        _nth_weekday(year, 11, 3, 4),
+        _observed(date(year, 12, 25)),
+    ]
+    if new_year.weekday() != 5:
+        days.append(_observed(new_year))
+    if year >= 1998:
+        days.append(_nth_weekday(year, 1, 0, 3))
+    if year >= 2022:
+        days.append(_observed(date(year, 6, 19)))
+    return days
 
 
 def nyse_holidays(spark: SparkSession, first_year: int, last_year: int) -> DataFrame:
     """Weekdays (as ``date``) on which the New York exchange is closed, by its rules."""
-    year = F.col("year")
-    new_year = F.make_date(year, F.lit(1), F.lit(1))
-    rules = [
-        F.when(F.weekday(new_year) != 5, _observed(new_year)),
-        F.when(year >= 1998, _nth_weekday(year, 1, "MON", 3)),
-        _nth_weekday(year, 2, "MON", 3),
-        _good_friday(year),
-        _last_monday(year, 5),
-        F.when(year >= 2022, _observed(F.make_date(year, F.lit(6), F.lit(19)))),
-        _observed(F.make_date(year, F.lit(7), F.lit(4))),
-        _nth_weekday(year, 9, "MON", 1),
-        _nth_weekday(year, 11, "THU", 4),
-        _observed(F.make_date(year, F.lit(12), F.lit(25))),
-    ]
-    years = spark.range(first_year, last_year + 1, 1, 1).select(F.col("id").cast("int").alias("year"))
-    ruled = years.select(F.explode(F.array(*rules)).alias("date"))
-    special = years.limit(1).select(
-        F.explode(F.array(*[F.lit(d).cast("date") for d in SPECIAL_CLOSINGS])).alias("date")
-    ).where(F.year("date").between(first_year, last_year))
-    return ruled.union(special).where("date IS NOT NULL")
+    years = range(first_year, last_year + 1)
+    days = {d.isoformat() for year in years for d in _closed_days(year)}
+    days.update(d for d in SPECIAL_CLOSINGS if int(d[:4]) in years)
+    listed = F.split(F.lit(",".join(sorted(days))), ",").cast("array<date>")
+    return spark.range(1).select(F.explode(listed).alias("date"))
 
 
 def trading_calendar(span: DataFrame, holidays: DataFrame) -> DataFrame:

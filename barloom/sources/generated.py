@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.operators.align import _roll
+from barloom.operators.align import roll, timeline
 
 # Fixed value: volume of every generated bar.
 SYNTHETIC_VOLUME = 10000
@@ -45,7 +45,8 @@ def synthesize(spec: DataFrame, calendar: DataFrame) -> tuple[DataFrame, DataFra
             "growth_rate": F.coalesce("growth_rate", F.lit(0.01)),
         }
     )
-    rolled = _roll(whole, calendar, "start", "end").withColumn(
+    sessions = timeline(calendar)
+    rolled = roll(whole, sessions, "start", "end").withColumn(
         "finding",
         F.when(~F.col("data_type").isin("linear", "cash"), F.lit("unsupported data type")).when(
             F.coalesce(F.col("__first_seq") > F.col("__last_seq"), F.lit(True)),
@@ -53,15 +54,15 @@ def synthesize(spec: DataFrame, calendar: DataFrame) -> tuple[DataFrame, DataFra
         ),
     )
     findings = rolled.where("finding IS NOT NULL").select("symbol", "data_type", "finding")
-    sessions = calendar.select(F.col("seq").alias("__seq"), "date")
-    step = (F.col("__seq") - F.col("__first_seq")).cast("double")
+    count = F.greatest(F.col("__last_seq") - F.col("__first_seq") + 1, F.lit(0))
+    own_sessions = F.slice(sessions, F.col("__first_seq") + 1, count)
     price = F.when(
-        F.col("data_type") == "linear", F.col("start_value") + step * F.col("growth_rate")
+        F.col("data_type") == "linear",
+        F.col("start_value") + F.col("step").cast("double") * F.col("growth_rate"),
     ).otherwise(F.col("start_value"))
     bars = (
         rolled.where("finding IS NULL")
-        .withColumn("__seq", F.explode(F.sequence("__first_seq", "__last_seq")))
-        .join(F.broadcast(sessions), "__seq")
+        .select("*", F.posexplode(own_sessions).alias("step", "date"))
         .select(
             "symbol",
             "date",
