@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barloom.schemas import FIELDS
-from barloom.track import quoted
+from barloom.track import later_present, next_present, quoted
 
 
 def timeline(dates: DataFrame, date: str = "date") -> Column:
@@ -50,16 +50,16 @@ def _spread(
               "__on", "left")
         .withColumn("seq", F.coalesce("seq", F.lit(-1)))
     )
+    placed = placed.withColumns({c: F.when(F.col("seq") >= 0, F.col(quoted(c))) for c in values})
     w = Window.partitionBy(key).orderBy("seq")
     past = w.rowsBetween(Window.unboundedPreceding, 0)
-    future = w.rowsBetween(0, Window.unboundedFollowing)
     opens = F.when(F.lag("seq").over(w).isNull(), F.lit(0)).otherwise(F.col("seq"))
     closes = F.coalesce(F.lead("seq").over(w), F.size(days))
     columns = {"__opens": F.greatest(opens, F.lit(0)), "__closes": closes}
     for c in values:
-        seen = F.when(F.col("seq") >= 0, F.col(quoted(c)))
-        before, after = F.last(seen, True).over(past), F.first(seen, True).over(future)
-        columns[c] = {None: seen, "ffill": before}.get(fill, F.coalesce(before, after))
+        before = F.last(quoted(c), True).over(past)
+        both = F.coalesce(before, later_present(c, w))
+        columns[c] = {None: F.col(quoted(c)), "ffill": before, "ffill_bfill": both}[fill]
     own_days = F.slice(
         days, F.col("__opens") + 1, F.greatest(F.col("__closes") - F.col("__opens"), F.lit(0))
     )
@@ -164,12 +164,11 @@ def roll_map(spark: SparkSession, sessions: Column) -> DataFrame:
     days = spark.range(1).select(F.explode(span).alias("date"))
     marks = numbered(spark, sessions).withColumn("session", F.col("date"))
     w = Window.orderBy("date")
-    forward = w.rowsBetween(0, Window.unboundedFollowing)
     back = w.rowsBetween(Window.unboundedPreceding, 0)
     return days.join(F.broadcast(marks), "date", "left").select(
         "date",
-        F.first("session", True).over(forward).alias("next_session"),
-        F.first("seq", True).over(forward).alias("next_seq"),
+        next_present("session", w).alias("next_session"),
+        next_present("seq", w).alias("next_seq"),
         F.last("session", True).over(back).alias("last_session"),
         F.last("seq", True).over(back).alias("last_seq"),
     )

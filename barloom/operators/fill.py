@@ -11,6 +11,7 @@ from barloom.track import (
     Track,
     column_names,
     last_known,
+    later_present,
     next_known,
     position,
     previous,
@@ -87,7 +88,6 @@ def _neighbours_by_cell(df: DataFrame, names: list[str], track: Track) -> DataFr
 
     def along(cells: DataFrame, chain: Track) -> DataFrame:
         earlier = chain.window().rowsBetween(Window.unboundedPreceding, -1)
-        later = chain.window().rowsBetween(1, Window.unboundedFollowing)
         moved = cells.withColumn(
             "__carry_rows", F.coalesce(F.sum("__rows").over(earlier), F.lit(0))
         )
@@ -97,11 +97,13 @@ def _neighbours_by_cell(df: DataFrame, names: list[str], track: Track) -> DataFr
             found = F.struct(F.col(f"__{end}_v_{i}").alias("v"), place.alias("p"))
             return F.when(place.isNotNull(), found)
 
+        count = range(len(names))
+        firsts = moved.withColumns({f"__first_{i}": point("first", i) for i in count})
         points = {}
-        for i in range(len(names)):
+        for i in count:
             points[f"__carry_before_{i}"] = F.last(point("last", i), True).over(earlier)
-            points[f"__carry_after_{i}"] = F.first(point("first", i), True).over(later)
-        return moved.withColumns(points)
+            points[f"__carry_after_{i}"] = later_present(f"__first_{i}", chain.window())
+        return firsts.withColumns(points)
 
     rows = through_cells(
         df, track, lambda cells, within: _neighbours(cells, names, within), totals, along

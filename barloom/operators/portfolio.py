@@ -228,7 +228,7 @@ def _signal_steps_by_cell(
 def _first_known(value: Column) -> Running:
     """First value that is not null among the rows so far; only for use inside a cell."""
     return replace(
-        last_known(value), inside=lambda t: F.first(value, True).over(t.so_far())
+        last_known(value), inside=lambda v, t: F.first(v, True).over(t.so_far())
     )
 
 

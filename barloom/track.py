@@ -18,7 +18,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
@@ -38,15 +38,12 @@ class Track:
     order: tuple[str, ...] = ("date",)
     segment: Column | None = None
 
-    def window(self):
+    def window(self) -> WindowSpec:
         return Window.partitionBy(*self.key).orderBy(*self.order)
 
-    def so_far(self):
+    def so_far(self) -> WindowSpec:
         return self.window().rowsBetween(Window.unboundedPreceding, 0)
 
-    def from_here(self):
-        return self.window().rowsBetween(0, Window.unboundedFollowing)
-
     def position_key(self) -> Column:
         """One orderable value; a plain column keeps min_by/max_by in a hash aggregate."""
         return F.col(self.order[0]) if len(self.order) == 1 else F.struct(*self.order)
@@ -120,39 +117,51 @@ def even_cells(df: DataFrame, column: str, name: str = "cell", rounds: int = 1)
     return cells.select(*map(quoted, df.columns), start.alias(name))
 
 
+def later_present(name: str, window: WindowSpec) -> Column:
+    """Next value of a column that is not null, after the row.
+
+    ``lead`` walks the partition once; a frame that ends at unbounded following is summed up anew
+    for every row.
+    """
+    return F.expr(f"lead({quoted(name)}) IGNORE NULLS").over(window)
+
+
+def next_present(name: str, window: WindowSpec) -> Column:
+    """First value of a column that is not null, from the row on."""
+    return F.coalesce(F.col(quoted(name)), later_present(name, window))
+
+
 @dataclass(frozen=True)
 class Running:
-    """One running calculation.
+    """One running calculation over ``value``, which its functions get as a column name.
 
     inside   value from the rows of the own cell (the whole series if there is one cell)
     total    what a cell hands on
-    carried  what reaches a cell from the others, as a window expression over cell totals
+    carried  what reaches a cell from the others; gets the column of cell totals
     merged   the two combined; gets (inside, carried)
     """
 
-    inside: Callable[[Track], Column]
-    total: Callable[[Track], Column]
-    carried: Callable[[Column, Track], Column]
+    value: Column
+    inside: Callable[[str, Track], Column]
+    total: Callable[[str, Track], Column]
+    carried: Callable[[str, Track], Column]
     merged: Callable[[Column, Column], Column]
 
 
-def _cells_before(track: Track):
+def _cells_before(track: Track) -> WindowSpec:
     return track.window().rowsBetween(Window.unboundedPreceding, -1)
 
 
-def _cells_after(track: Track):
-    return track.window().rowsBetween(1, Window.unboundedFollowing)
-
-
-def _at(value: Column, track: Track) -> Column:
-    return F.when(value.isNotNull(), track.position_key())
+def _place_if_present(name: str, track: Track) -> Column:
+    return F.when(F.col(name).isNotNull(), track.position_key())
 
 
 def last_known(value: Column) -> Running:
     """Last value that is not null, up to and including the row."""
     return Running(
-        inside=lambda t: F.last(value, True).over(t.so_far()),
-        total=lambda t: F.max_by(value, _at(value, t)),
+        value,
+        inside=lambda v, t: F.last(v, True).over(t.so_far()),
+        total=lambda v, t: F.max_by(v, _place_if_present(v, t)),
         carried=lambda s, t: F.last(s, True).over(_cells_before(t)),
         merged=lambda own, carry: F.coalesce(own, carry),
     )
@@ -161,9 +170,10 @@ def last_known(value: Column) -> Running:
 def next_known(value: Column) -> Running:
     """First value that is not null, from the row onwards."""
     return Running(
-        inside=lambda t: F.first(value, True).over(t.from_here()),
-        total=lambda t: F.min_by(value, _at(value, t)),
-        carried=lambda s, t: F.first(s, True).over(_cells_after(t)),
+        value,
+        inside=lambda v, t: next_present(v, t.window()),
+        total=lambda v, t: F.min_by(v, _place_if_present(v, t)),
+        carried=lambda s, t: later_present(s, t.window()),
         merged=lambda own, carry: F.coalesce(own, carry),
     )
 
@@ -171,8 +181,9 @@ def next_known(value: Column) -> Running:
 def previous(value: Column) -> Running:
     """Value of the row before; null on the first row of the series."""
     return Running(
-        inside=lambda t: F.lag(value).over(t.window()),
-        total=lambda t: F.max_by(value, t.position_key()),
+        value,
+        inside=lambda v, t: F.lag(v).over(t.window()),
+        total=lambda v, t: F.max_by(v, t.position_key()),
         carried=lambda s, t: F.lag(s).over(t.window()),
         merged=lambda own, carry: F.when(F.col(_FIRST), carry).otherwise(own),
     )
@@ -181,9 +192,10 @@ def previous(value: Column) -> Running:
 def opening(value: Column) -> Running:
     """Value of the first row of the series, null or not."""
     return Running(
-        inside=lambda t: F.first(value).over(t.so_far()),
-        total=lambda t: F.min_by(value, t.position_key()),
-        carried=lambda s, t: F.first(F.struct(s.alias("v"))).over(_cells_before(t)),
+        value,
+        inside=lambda v, t: F.first(v).over(t.so_far()),
+        total=lambda v, t: F.min_by(v, t.position_key()),
+        carried=lambda s, t: F.first(F.struct(F.col(s).alias("v"))).over(_cells_before(t)),
         merged=lambda own, carry: F.when(carry.isNull(), own).otherwise(carry["v"]),
     )
 
@@ -191,8 +203,9 @@ def opening(value: Column) -> Running:
 def position() -> Running:
     """Number of the row in its series, from 1."""
     return Running(
-        inside=lambda t: F.row_number().over(t.window()).cast("long"),
-        total=lambda t: F.count(F.lit(1)),
+        F.lit(1),
+        inside=lambda v, t: F.row_number().over(t.window()).cast("long"),
+        total=lambda v, t: F.count(v),
         carried=lambda s, t: F.sum(s).over(_cells_before(t)),
         merged=lambda own, carry: own + F.coalesce(carry, F.lit(0)),
     )
@@ -201,8 +214,9 @@ def position() -> Running:
 def running_sum(value: Column) -> Running:
     """Sum up to and including the row; nulls count as nothing."""
     return Running(
-        inside=lambda t: F.sum(value).over(t.so_far()),
-        total=lambda t: F.sum(value),
+        value,
+        inside=lambda v, t: F.sum(v).over(t.so_far()),
+        total=lambda v, t: F.sum(v),
         carried=lambda s, t: F.sum(s).over(_cells_before(t)),
         merged=lambda own, carry: F.coalesce(own + carry, own, carry),
     )
@@ -211,8 +225,9 @@ def running_sum(value: Column) -> Running:
 def running_max(value: Column) -> Running:
     """Greatest value up to and including the row."""
     return Running(
-        inside=lambda t: F.max(value).over(t.so_far()),
-        total=lambda t: F.max(value),
+        value,
+        inside=lambda v, t: F.max(v).over(t.so_far()),
+        total=lambda v, t: F.max(v),
         carried=lambda s, t: F.max(s).over(_cells_before(t)),
         merged=lambda own, carry: F.greatest(own, carry),
     )
@@ -220,33 +235,36 @@ def running_max(value: Column) -> Running:
 
 def running(df: DataFrame, track: Track, **columns: Running) -> DataFrame:
     """Add (or replace) one column per running calculation."""
+    kept = [quoted(c) for c in df.columns if c not in columns]
+    names = {name: f"__v_{name}" for name in columns}
+    valued = df.withColumns({names[name]: r.value for name, r in columns.items()})
     if track.segment is None:
-        return df.withColumns({name: r.inside(track) for name, r in columns.items()})
+        done = [r.inside(names[name], track).alias(name) for name, r in columns.items()]
+        return valued.select(*kept, *done)
 
-    celled = df.withColumn(_CELL, track.segment)
+    celled = valued.withColumn(_CELL, track.segment)
     cell_key = [*track.key, _CELL]
     within = replace(track, key=tuple(cell_key), segment=None)
     along = replace(track, order=(_CELL,), segment=None)
 
-    own = {f"__own_{name}": r.inside(within) for name, r in columns.items()}
+    own = {f"__own_{name}": r.inside(names[name], within) for name, r in columns.items()}
     own[_FIRST] = F.row_number().over(within.window()) == 1
     totals = celled.groupBy(*cell_key).agg(
-        *[r.total(track).alias(f"__total_{name}") for name, r in columns.items()]
+        *[r.total(names[name], track).alias(f"__total_{name}") for name, r in columns.items()]
     )
     carried = totals.select(
         *cell_key,
         *[
-            r.carried(F.col(f"__total_{name}"), along).alias(f"__carry_{name}")
+            r.carried(f"__total_{name}", along).alias(f"__carry_{name}")
             for name, r in columns.items()
         ],
     )
     joined = celled.withColumns(own).join(carried, cell_key, "left")
-    merged = {
-        name: r.merged(F.col(f"__own_{name}"), F.col(f"__carry_{name}"))
+    merged = [
+        r.merged(F.col(f"__own_{name}"), F.col(f"__carry_{name}")).alias(name)
         for name, r in columns.items()
-    }
-    kept = [quoted(c) for c in df.columns if c not in merged]
-    return joined.select(*kept, *[value.alias(name) for name, value in merged.items()])
+    ]
+    return joined.select(*kept, *merged)
 
 
 def through_cells(
