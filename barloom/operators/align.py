@@ -18,6 +18,15 @@ from barloom.schemas import FIELDS
 from barloom.track import later_present, next_present, quoted
 
 
+# A century of days with this many doubles each is 30 MB.
+FEW_COLUMNS = 100
+
+
+def by_day(wide: DataFrame, columns: int) -> DataFrame:
+    """A table of one row per day, marked for broadcast if it is not too wide for that."""
+    return F.broadcast(wide) if columns <= FEW_COLUMNS else wide
+
+
 def timeline(dates: DataFrame, date: str = "date") -> Column:
     """The distinct days of a column, sorted, as one array value.
 
@@ -29,7 +38,7 @@ def timeline(dates: DataFrame, date: str = "date") -> Column:
 
 def numbered(spark: SparkSession, days: Column) -> DataFrame:
     """The days of a timeline as rows (seq, date), numbered from 0."""
-    return spark.range(1).select(F.posexplode(days).alias("seq", "date"))
+    return spark.range(0, 1, 1, 1).select(F.posexplode(days).alias("seq", "date"))
 
 
 def _spread(
@@ -127,8 +136,8 @@ def attach_series(
 ) -> DataFrame:
     """Bars with one ``Value_<id>`` column per listed series, matched by day and filled.
 
-    The attached side has one row per base day and is broadcast. A listed series without data
-    gives an all-missing column.
+    The attached side has one row per base day; up to ``FEW_COLUMNS`` wide it is broadcast. A
+    listed series without data gives an all-missing column.
     """
     base = bars.select("date") if base_dates is None else base_dates
     wanted = series.where(F.col("series_id").isin(list(ids)))
@@ -139,7 +148,7 @@ def attach_series(
             for i in ids
         ]
     )
-    return bars.join(F.broadcast(wide), "date", "left").select(
+    return bars.join(by_day(wide, len(ids)), "date", "left").select(
         *map(quoted, bars.columns), *[quoted(f"Value_{i}") for i in ids]
     )
 
@@ -161,7 +170,7 @@ def _days(calendar: DataFrame, date: str) -> DataFrame:
 def roll_map(spark: SparkSession, sessions: Column) -> DataFrame:
     """For each day of the sessions' span the first session from it on and the last up to it."""
     span = F.sequence(F.array_min(sessions), F.array_max(sessions), F.expr("interval 1 day"))
-    days = spark.range(1).select(F.explode(span).alias("date"))
+    days = spark.range(0, 1, 1, 1).select(F.explode(span).alias("date"))
     marks = numbered(spark, sessions).withColumn("session", F.col("date"))
     w = Window.orderBy("date")
     back = w.rowsBetween(Window.unboundedPreceding, 0)

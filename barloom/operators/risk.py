@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barloom.operators.align import by_day
 from barloom.operators.portfolio import growth_rate
 from barloom.operators.quality import years_between
 from barloom.track import Track, previous, quoted, running, running_max
@@ -145,7 +146,9 @@ def alpha_beta(
         *[F.max(F.when(F.col(key) == b, F.col(r))).alias(f"__b{i}")
           for i, b in enumerate(benchmarks)]
     )
-    joined = rets.select(quoted(key), "date", quoted(r)).join(F.broadcast(marks), "date")
+    joined = rets.select(quoted(key), "date", quoted(r)).join(
+        by_day(marks, len(benchmarks)), "date"
+    )
     own = F.col(r) - F.lit(float(rf))
     figures = []
     for i, b in enumerate(benchmarks):

@@ -16,7 +16,7 @@ from barloom.operators.quality import (
     reconcile_counts,
 )
 from barloom.schemas import TABLES
-from barloom.shared import land
+from barloom.shared import land, new_path
 from barloom.track import quoted
 
 log = logging.getLogger(__name__)
@@ -67,7 +67,8 @@ def replace_table(
 
     Equally named columns are cut to the first. The four stored tables have a declared layout and
     key, which are enforced: columns are cast and put in order, and a missing or repeated key is
-    an error before anything is written.
+    an error before the table changes. The rows are landed for that, so that those checked are
+    those stored.
     """
     layout = TABLES.get(table.split(".")[-1])
     kept = drop_duplicate_columns(df)
@@ -78,6 +79,7 @@ def replace_table(
         )
         key = declared if key is None else key
     if key is not None:
+        kept = land(kept, new_path(kept.sparkSession, "checked"))
         assert_clean(check_keys(kept, key))
     writer = kept.write.mode("overwrite").format("parquet")
     if path is not None:
