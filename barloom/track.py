@@ -138,7 +138,8 @@ class Running:
     inside   value from the rows of the own cell (the whole series if there is one cell)
     total    what a cell hands on
     carried  what reaches a cell from the others; gets the column of cell totals
-    merged   the two combined; gets (inside, carried)
+    merged   the two combined; gets (inside, carried) and, if it ``uses_first``, may ask whether
+             the row is the first of its cell
     """
 
     value: Column
@@ -146,6 +147,7 @@ class Running:
     total: Callable[[str, Track], Column]
     carried: Callable[[str, Track], Column]
     merged: Callable[[Column, Column], Column]
+    uses_first: bool = False
 
 
 def _cells_before(track: Track) -> WindowSpec:
@@ -186,6 +188,7 @@ def previous(value: Column) -> Running:
         total=lambda v, t: F.max_by(v, t.position_key()),
         carried=lambda s, t: F.lag(s).over(t.window()),
         merged=lambda own, carry: F.when(F.col(_FIRST), carry).otherwise(own),
+        uses_first=True,
     )
 
 
@@ -243,12 +246,13 @@ def running(df: DataFrame, track: Track, **columns: Running) -> DataFrame:
         return valued.select(*kept, *done)
 
     celled = valued.withColumn(_CELL, track.segment)
-    cell_key = [*track.key, _CELL]
+    cell_key = [_CELL, *track.key]  # the number first: most comparisons of a sort end there
     within = replace(track, key=tuple(cell_key), segment=None)
     along = replace(track, order=(_CELL,), segment=None)
 
     own = {f"__own_{name}": r.inside(names[name], within) for name, r in columns.items()}
-    own[_FIRST] = F.row_number().over(within.window()) == 1
+    if any(r.uses_first for r in columns.values()):
+        own[_FIRST] = F.row_number().over(within.window()) == 1
     totals = celled.groupBy(*cell_key).agg(
         *[r.total(names[name], track).alias(f"__total_{name}") for name, r in columns.items()]
     )
@@ -279,7 +283,7 @@ def through_cells(
     For calculations of several dependent steps: however many there are, the table is read twice
     and its rows are shuffled twice, once for the rows and once for the totals.
     """
-    cell_key = [*track.key, _CELL]
+    cell_key = [_CELL, *track.key]
     within = replace(track, key=tuple(cell_key), segment=None)
     rows = inside(df.withColumn(_CELL, track.segment), within)
     chain = replace(track, order=(_CELL,), segment=None)
