@@ -101,7 +101,7 @@ def signal_equity(spark, sf):
 
 
 @query("WITH " + _signal_sql(
-    "events", "event_type", "ts", "1 + value", "event_type, event_id",
+    "events", "event_type", "ts", "1000 + value", "event_type, event_id",
     "value > 90", "value < 2") + f"""
 SELECT event_type, event_id, state = 1 AS long, CAST(trades AS BIGINT) AS trades,
     round(lg, 4) + CAST(0 AS DOUBLE) AS log_equity FROM e""")
@@ -111,7 +111,7 @@ def signal_equity_ticks(spark, sf):
         _tick_values(spark, sf)
         .withColumn("entry", F.col("value") > 90)
         .withColumn("exit", F.col("value") < 2)
-        .withColumn("price", F.col("value") + 1)
+        .withColumn("price", F.col("value") + 1000)
     )
     curve = portfolio.signal_equity(
         signals, init_cash=1.0, value="price", track=tick_track()
