@@ -1,7 +1,7 @@
 """Column expressions used by the operators."""
 
 from barloom.functions.dates import day, day_in_zone, end_or_today, parse_day
-from barloom.functions.numbers import clean_double, to_number, whole_units
+from barloom.functions.numbers import clean_double, ratio, to_number, whole_units
 from barloom.functions.text import (
     flatten_header,
     flatten_name,
@@ -22,6 +22,7 @@ __all__ = [
     "flatten_name",
     "normalize_symbol",
     "parse_day",
+    "ratio",
     "series_id_of_file",
     "strip_header",
     "symbol_of_file",

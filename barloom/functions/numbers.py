@@ -17,6 +17,11 @@ def to_number(c: Column) -> Column:
     return F.when(~c.rlike(r"[0-9.][dDfF]\s*$"), clean_double(c.try_cast("double")))
 
 
+def ratio(top: Column, bottom: Column) -> Column:
+    """Quotient; missing where the divisor is zero."""
+    return F.try_divide(top, bottom)
+
+
 def whole_units(c: Column) -> Column:
-    """Whole part, truncated towards zero."""
-    return c.cast("bigint")
+    """Whole part, truncated towards zero; missing where it is too large."""
+    return c.try_cast("bigint")

@@ -7,7 +7,7 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.functions import whole_units
+from barloom.functions import ratio, whole_units
 from barloom.operators.quality import years_between
 from barloom.track import (
     Running,
@@ -45,7 +45,7 @@ def hold_equity(
     """Equity of holding from the first bar on, in fractional units."""
     return (
         running(bars, track, __first=opening(F.col(value)))
-        .withColumn("equity", F.lit(float(init_cash)) * F.col(value) / F.col("__first"))
+        .withColumn("equity", ratio(F.lit(float(init_cash)) * F.col(value), F.col("__first")))
         .drop("__first")
     )
 
@@ -62,13 +62,13 @@ def profit_and_return(
     return ends.select(
         key,
         (F.col("end_value") - F.col("start_value")).alias("total_profit"),
-        (F.col("end_value") / F.col("start_value") - 1).alias("total_return"),
+        (ratio(F.col("end_value"), F.col("start_value")) - 1).alias("total_return"),
     )
 
 
 def growth_rate(start: Column, end: Column, years: Column) -> Column:
     """Compound growth per year."""
-    return F.pow(end / start, F.lit(1.0) / years) - 1
+    return F.pow(ratio(end, start), F.lit(1.0) / years) - 1
 
 
 def cagr(
@@ -98,9 +98,9 @@ def hold_equity_lots(
     bought. What is left stays cash.
     """
     price = F.col("__first")
-    ordered = whole_units(F.lit(float(cash)) / price)
+    ordered = whole_units(ratio(F.lit(float(cash)), price))
     unit_cost = price + F.lit(slippage / 2 + commission)
-    afforded = whole_units(F.lit(float(cash) * max_leverage) / unit_cost)
+    afforded = whole_units(ratio(F.lit(float(cash) * max_leverage), unit_cost))
     units = F.least(ordered, afforded)
     return (
         running(bars, track, __first=opening(F.col(value)))
@@ -122,7 +122,7 @@ def signal_equity(
     """Equity of being long after an entry and flat after an exit, starting flat.
 
     A signal acts from its bar's close, so a bar earns its change if the bar before it was long.
-    ``trades`` counts the changes of state so far.
+    ``trades`` counts the changes of state so far. Values must be positive.
     """
     signal = F.when(F.col(entry), 1).when(F.col(exit), 0)
     steps = _signal_steps if track.segment is None else _signal_steps_by_cell
@@ -141,7 +141,7 @@ def _signal_steps(bars: DataFrame, signal: Column, value: Column, track: Track)
     held = running(bars, track, __state=last_known(signal), __prev=previous(value))
     held = held.withColumn("__state", F.coalesce("__state", F.lit(0)))
     was = running(held, track, __was=previous(F.col("__state")))
-    gain = F.when(F.col("__was") == 1, F.ln(value / F.col("__prev"))).otherwise(F.lit(0.0))
+    gain = F.when(F.col("__was") == 1, F.ln(ratio(value, F.col("__prev")))).otherwise(F.lit(0.0))
     turned = F.when(F.coalesce("__was", F.lit(0)) != F.col("__state"), 1).otherwise(0)
     return running(was, track, __log=running_sum(gain), __trades=running_sum(turned))
 
@@ -165,7 +165,7 @@ def _signal_steps_by_cell(
             __pos=position(),
         )
         known = running(known, within, __was=previous(F.col("__state")))
-        log = F.ln(value / F.col("__prev"))
+        log = F.ln(ratio(value, F.col("__prev")))
         later = F.col("__pos") > 1
         sure = F.when(F.col("__was") == 1, log).otherwise(F.lit(0.0))
         if_long = F.when(F.col("__was").isNull() & later, log).otherwise(F.lit(0.0))
@@ -192,13 +192,14 @@ def _signal_steps_by_cell(
 
     def along(cells: DataFrame, chain: Track) -> DataFrame:
         earlier = chain.window().rowsBetween(Window.unboundedPreceding, -1)
-        begun = cells.withColumns(
+        before = F.lag("__end_value").over(chain.window())
+        begun = cells.withColumn("__before", before).withColumns(
             {
                 "__carry_state": F.coalesce(
                     F.last("__end_state", True).over(earlier), F.lit(0)
                 ),
                 "__carry_step": F.coalesce(
-                    F.ln(F.col("__start_value") / F.lag("__end_value").over(chain.window())),
+                    F.ln(ratio(F.col("__start_value"), F.col("__before"))),
                     F.lit(0.0),
                 ),
             }
@@ -263,7 +264,7 @@ def allocated_equity(
     growth = (
         weighted.withColumn("base", base)
         .groupBy("period", "date")
-        .agg(F.sum(F.col("weight") * F.col("close") / F.col("base")).alias("growth"))
+        .agg(F.sum(ratio(F.col("weight") * F.col("close"), F.col("base"))).alias("growth"))
     )
     full = growth.groupBy("period").agg(F.max_by("growth", "date").alias("whole"))
     before = Window.orderBy("period").rowsBetween(Window.unboundedPreceding, -1)

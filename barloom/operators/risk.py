@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barloom.functions import ratio
 from barloom.operators.align import by_day
 from barloom.operators.portfolio import growth_rate
 from barloom.operators.quality import years_between
@@ -24,7 +25,7 @@ def returns(
     """Simple return against the row before; null on the first row."""
     return (
         running(bars, track, __prev=previous(F.col(value)))
-        .withColumn(name, F.col(value) / F.col("__prev") - 1)
+        .withColumn(name, ratio(F.col(value), F.col("__prev")) - 1)
         .drop("__prev")
     )
 
@@ -36,17 +37,13 @@ def _volatility(r: Column, year: int) -> Column:
 def _sharpe(r: Column, rf: float, year: int) -> Column:
     excess = r - F.lit(float(rf))
     spread = F.stddev_samp(excess)
-    return F.avg(excess) / F.nullif(spread, F.lit(0.0)) * F.sqrt(F.lit(float(year)))
+    return ratio(F.avg(excess), spread) * F.sqrt(F.lit(float(year)))
 
 
 def _sortino(r: Column, mar: float, year: int) -> Column:
     below = F.when(r.isNotNull(), F.least(r - F.lit(float(mar)), F.lit(0.0)))
     downside = F.sqrt(F.avg(below * below))
-    return (
-        (F.avg(r) - F.lit(float(mar)))
-        / F.nullif(downside, F.lit(0.0))
-        * F.sqrt(F.lit(float(year)))
-    )
+    return ratio(F.avg(r) - F.lit(float(mar)), downside) * F.sqrt(F.lit(float(year)))
 
 
 def volatility(rets: DataFrame, key: str = "symbol", r: str = "ret", year: int = YEAR):
@@ -71,7 +68,7 @@ def drawdown(df: DataFrame, value: str = "close", track: Track = DAILY) -> DataF
     """Distance below the highest value so far, as a (negative) share of it."""
     return (
         running(df, track, __peak=running_max(F.col(value)))
-        .withColumn("drawdown", F.col(value) / F.col("__peak") - 1)
+        .withColumn("drawdown", ratio(F.col(value), F.col("__peak")) - 1)
         .drop("__peak")
     )
 
@@ -98,8 +95,8 @@ def strategy_stats(
     date, v, r = track.order[0], F.col(value), F.col("__ret")
     stepped = (
         running(equity, track, __prev=previous(v), __peak=running_max(v))
-        .withColumn("__ret", v / F.col("__prev") - 1)
-        .withColumn("__down", v / F.col("__peak") - 1)
+        .withColumn("__ret", ratio(v, F.col("__prev")) - 1)
+        .withColumn("__down", ratio(v, F.col("__peak")) - 1)
     )
     figures = stepped.groupBy(*track.key).agg(
         F.min(date).alias("start_date"),
@@ -120,7 +117,7 @@ def strategy_stats(
         "start_value",
         "end_value",
         (last - first).alias("total_profit"),
-        (last / first - 1).alias("total_return"),
+        (ratio(last, first) - 1).alias("total_return"),
         (growth_rate(first, last, F.col("__years")) * 100).alias("cagr_pct"),
         "volatility",
         "sharpe",
@@ -154,7 +151,7 @@ def alpha_beta(
     for i, b in enumerate(benchmarks):
         mark = F.when(F.col(r).isNotNull(), F.col(f"__b{i}") - F.lit(float(rf)))
         mine = F.when(F.col(f"__b{i}").isNotNull(), own)
-        beta = F.covar_samp(mine, mark) / F.nullif(F.var_samp(mark), F.lit(0.0))
+        beta = ratio(F.covar_samp(mine, mark), F.var_samp(mark))
         figures.append(
             F.struct(
                 F.lit(b).alias("benchmark"),

@@ -8,7 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.operators.align import attach_series, outer_align, roll_to_session
-from barloom.operators.clean import configured_only, repaired_series_to_ohlcv, target_series
+from barloom.operators.clean import (
+    configured_only,
+    repaired_series_to_ohlcv,
+    target_series,
+    to_wide,
+)
 from barloom.operators.fill import dedupe_first
 from barloom.operators.portfolio import hold_equity
 from barloom.operators.quality import assert_clean, check_ohlcv, emptiness
@@ -28,15 +33,21 @@ def market_run(
     fetch_bar: Fetch,
     fetch_value: Fetch,
     folder: str,
+    wide_symbols: Sequence[str] | None = None,
 ) -> DataFrame:
     """Ranges rolled to sessions, bars fetched, aligned and filled, series attached, saved.
 
     Bars and series are landed when fetched, so the plan after that starts from written tables.
+    The tables saved are long; with ``wide_symbols`` they have one row per day and a
+    ``Field_TICKER`` column per field of each listed symbol.
     """
     bars, _ = fetch_bars(_rolled(bars_requests, calendar), fetch_bar, f"{folder}/fetched")
     series = read_through(_rolled(series_requests, calendar), fetch_value, f"{folder}/series")
     first = dedupe_first(bars, ["symbol", "date"], ["volume", "close"])
-    whole = write_dual(outer_align(first, fill="ffill_bfill"), folder, "yahoo_data")
+    aligned = outer_align(first, fill="ffill_bfill")
+    if wide_symbols is not None:
+        aligned = to_wide(aligned, wide_symbols)
+    whole = write_dual(aligned, folder, "yahoo_data")
     merged = attach_series(whole, series, series_ids)
     return write_checked(merged, folder, "merged_data")
 

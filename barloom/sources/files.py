@@ -67,7 +67,7 @@ def _bars_of_row(columns: Mapping[str, Mapping[str, str]], date: Column) -> list
         return F.struct(
             F.lit(symbol).alias("symbol"),
             *[number(cells, f).alias(f) for f in FIELDS[:-1]],
-            number(cells, "volume").cast("bigint").alias("volume"),
+            number(cells, "volume").try_cast("bigint").alias("volume"),
         )
 
     bars = F.array(*[bar(symbol, cells) for symbol, cells in columns.items()])
@@ -141,7 +141,7 @@ def read_symbol_dir(
         name.alias("symbol"),
         day(F.col("Date")).alias("date"),
         *[to_number(F.col(f)).alias(f) for f in FIELDS[:-1]],
-        to_number(F.col("volume")).cast("bigint").alias("volume"),
+        to_number(F.col("volume")).try_cast("bigint").alias("volume"),
     )
     if requests is None:
         return bars, None

@@ -221,6 +221,14 @@ def test_market_run(spark, tmp_path):
     late = out.where("symbol = 'TLT'").orderBy("date").collect()
     assert late[0].date == date(2020, 1, 2) and late[0].close == 1.0
     assert os.path.isdir(tmp_path / "run" / "merged_data.csv")
+    wide = market_run(
+        ranges, one, ["OAS"], calendar(spark, "2020-01-01", "2020-01-31"),
+        Provider(tmp_path / "log"), Provider(tmp_path / "log"), str(tmp_path / "wide"),
+        ["SPY", "TLT"],
+    )
+    assert wide.count() == 7
+    assert {"Close_SPY", "Volume_TLT", "Value_OAS"} < set(wide.columns)
+    assert column(wide, "Close_TLT", "date") == [1, 1, 1, 1, 2, 3, 4]
 
 
 def test_generated_run(spark, tmp_path):
