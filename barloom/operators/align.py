@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from barloom.schemas import FIELDS
 from barloom.track import later_present, next_present, quoted
 
-
 # A century of days with this many doubles each is 30 MB.
 FEW_COLUMNS = 100
 
@@ -52,14 +51,14 @@ def _spread(
     """One row per series and timeline day, with ``present`` telling the observed days."""
     if fill not in (None, "ffill", "ffill_bfill"):
         raise ValueError(f"fill {fill!r} is not one of ffill, ffill_bfill")
-    on = F.col("__on")
+    on, on_line = F.col("__on"), F.col("seq").isNotNull()
+    places = numbered(df.sparkSession, days).withColumnRenamed("date", "__on")
     placed = (
         df.select(quoted(key), F.col(quoted(date)).alias("__on"), *map(quoted, values))
-        .join(F.broadcast(numbered(df.sparkSession, days).withColumnRenamed("date", "__on")),
-              "__on", "left")
+        .join(F.broadcast(places), "__on", "left")
+        .withColumns({c: F.when(on_line, F.col(quoted(c))) for c in values})
         .withColumn("seq", F.coalesce("seq", F.lit(-1)))
     )
-    placed = placed.withColumns({c: F.when(F.col("seq") >= 0, F.col(quoted(c))) for c in values})
     w = Window.partitionBy(key).orderBy("seq")
     past = w.rowsBetween(Window.unboundedPreceding, 0)
     opens = F.when(F.lag("seq").over(w).isNull(), F.lit(0)).otherwise(F.col("seq"))

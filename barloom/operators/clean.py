@@ -214,4 +214,5 @@ def preview(df: DataFrame, order: Sequence[str], n: int = 5) -> DataFrame:
 def preview_each(df: DataFrame, key: str, order: Sequence[str], n: int = 5) -> DataFrame:
     """First rows per key; each input partition passes on at most ``n`` rows of a key."""
     w = Window.partitionBy(key).orderBy(*order)
-    return df.withColumn("__rank", F.row_number().over(w)).where(F.col("__rank") <= n).drop("__rank")
+    ranked = df.withColumn("__rank", F.row_number().over(w))
+    return ranked.where(F.col("__rank") <= n).drop("__rank")

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barloom.functions import parse_day
+from barloom.functions import day, parse_day, strip_header
 from barloom.functions.dates import OPEN_END
+from barloom.functions.text import HEADER_JUNK
 from barloom.operators.fill import monotonic_check
 from barloom.schemas import FIELDS
 from barloom.track import Track, quoted
@@ -144,13 +145,28 @@ def check_ohlcv(bars: DataFrame, stored: Track | None = None, date: str = "date"
 def check_duplicate_columns(spark: SparkSession, names: Sequence[str]) -> DataFrame:
     """Names that occur more than once among ``names``.
 
-    For a file pass its header line: Spark renames equal columns when it reads a CSV.
+    Of a CSV pass the header line, or use ``check_header_lines``: Spark renames equal columns.
     """
     repeated = [n for i, n in enumerate(names) if n in names[:i]]
     rows = [("duplicate columns", n, "name occurs again") for n in dict.fromkeys(repeated)]
     return _found(spark, rows)
 
 
+def check_header_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Names that occur more than once in the header line of a CSV file, for all files at once.
+
+    A header line is one that does not begin with a date.
+    """
+    cells = F.split("value", ",")
+    heads = spark.read.text(path).where(day(F.btrim(cells[0], F.lit(HEADER_JUNK))).isNull())
+    return (
+        heads.select(F.col("_metadata.file_path").alias("file"), F.explode(cells).alias("name"))
+        .groupBy("file", strip_header(F.col("name")).alias("column_name"))
+        .agg(F.count(F.lit(1)).alias("n_uses"))
+        .where("n_uses > 1 AND column_name <> ''")
+    )
+
+
 def check_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Columns without a single number."""
     return missing_profile(df, columns).where("all_missing").select("column_name")

@@ -73,7 +73,8 @@ def _fetched(
     requests: DataFrame, fetch: Fetch, schema, path: str, attempts: int, wait: float, tasks: int
 ) -> DataFrame:
     columns = [f.name for f in schema.fields[1:]]
-    out = f"symbol string, start date, end date, {_ddl(schema, (schema.fields[0].name,))}, {_STATUS}"
+    fetched = _ddl(schema, (schema.fields[0].name,))
+    out = f"symbol string, start date, end date, {fetched}, {_STATUS}"
     answers = requests.repartition(tasks, "symbol", "start", "end").mapInPandas(
         _fetch_rows(fetch, columns, attempts, wait), out
     )

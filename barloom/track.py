@@ -31,7 +31,7 @@ class Track:
     """Key columns, order columns and (optionally) the cell of a row.
 
     ``segment`` must not decrease along the order and must give equal first order values the
-    same cell; ``time_cell`` builds one. Key and order columns must not be null.
+    same cell; ``even_cells`` and ``time_cell`` build one. Key and order columns must not be null.
     """
 
     key: tuple[str, ...] = ("symbol",)
@@ -49,10 +49,6 @@ class Track:
         return F.col(self.order[0]) if len(self.order) == 1 else F.struct(*self.order)
 
 
-def daily(key: str = "symbol", date: str = "date") -> Track:
-    return Track((key,), (date,))
-
-
 def time_cell(column: str, seconds: int) -> Column:
     """Cell number of a date or timestamp: whole spans of ``seconds`` since 1970.
 
@@ -70,10 +66,10 @@ def even_cells(df: DataFrame, column: str, name: str = "cell", rounds: int = 1)
 
     With n rows the aim is about sqrt(n) cells of sqrt(n) rows, so that neither the window inside
     a cell nor the one along the cells of a series grows with the table itself. The range of
-    ``column`` is cut into equal spans; then, in each of ``rounds``, spans holding more than twice their share
-    are cut again, in proportion to their rows. There are at most sqrt(n) / 2 such spans, which
-    bounds the tables broadcast here. Only a burst far shorter than the last cut stays together.
-    ``column`` is a date, a timestamp or a whole number, such as a stored position.
+    ``column`` is cut into equal spans; then, in each of ``rounds``, spans holding more than twice
+    their share are cut again, in proportion to their rows. There are at most sqrt(n) / 2 such
+    spans, which bounds the tables broadcast here. Only a burst far shorter than the last cut
+    stays together. ``column`` is a date, a timestamp or a whole number, such as a stored position.
     """
     number = isinstance(df.schema[column].dataType, IntegralType)
     at = F.col(column)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from barloom.operators import quality
+from barloom.shared import new_path
 from barloom.track import Track, even_cells
 from checks import adapters as a
 from checks.adapters import using
@@ -58,6 +59,24 @@ def val_ohlcv(spark, sf):
     return quality.check_ohlcv(even_cells(orders, "o_orderkey"), stored)
 
 
+@query("""SELECT event_type AS symbol, 'Close' AS column_name, 2::BIGINT AS n_uses
+FROM events GROUP BY 1""")
+def val_header_lines(spark, sf):
+    """One file per symbol, each with a header that names a column twice."""
+    path = new_path(spark, "headers")
+    events = a.table(spark, sf, "events")
+    body = events.select(
+        "event_type",
+        F.concat_ws(",", F.to_date("ts"), "value", "event_id", "value").alias("value"),
+    )
+    heads = events.select("event_type").distinct().withColumn(
+        "value", F.lit("Date,Close,Volume,Close")
+    )
+    body.union(heads).write.partitionBy("event_type").text(path)
+    symbol = F.regexp_extract("file", "event_type=([^/]+)/", 1).alias("symbol")
+    return quality.check_header_lines(spark, path).select(symbol, "column_name", "n_uses")
+
+
 @query("""SELECT 'lines' AS dataset, count(*) AS n_rows FROM lineitem
 UNION ALL SELECT 'orders', count(*) FROM orders""")
 def val_reconcile_counts(spark, sf):

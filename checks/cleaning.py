@@ -201,7 +201,8 @@ def flt_window(spark, sf):
 
 @query("""SELECT c_custkey, CASE WHEN c_nationkey = 1 THEN DATE '2020-01-01'
     ELSE DATE '1999-02-03' END AS "start",
-    CASE WHEN c_nationkey < 5 THEN current_date ELSE DATE '2001-05-06' END AS "end" FROM customer""")
+    CASE WHEN c_nationkey < 5 THEN current_date ELSE DATE '2001-05-06' END AS "end"
+FROM customer""")
 def flt_resolve_requests(spark, sf):
     """Absent start and open end of a request."""
     nation = F.col("c_nationkey")

@@ -47,7 +47,8 @@ def bfill(spark, sf):
     return fill.bfill(a.gapped_series(spark, sf), "value", SERIES)
 
 
-@query(using("gapped_series", f"SELECT series_id, date, coalesce({_B}, {_A}) AS value FROM gapped_series"))
+@query(using("gapped_series", f"""SELECT series_id, date, coalesce({_B}, {_A}) AS value
+FROM gapped_series"""))
 def ffill_bfill(spark, sf):
     return fill.ffill_bfill(a.gapped_series(spark, sf), "value", SERIES)
 
@@ -127,7 +128,8 @@ def bfill_ticks(spark, sf):
     return fill.bfill(ticks_in_cells(spark, sf), "value", tick_track()).drop("cell")
 
 
-@query(using("ticks", f"SELECT event_type, ts, event_id, coalesce({_TB}, {_TA}) AS value FROM ticks"))
+@query(using("ticks", f"""SELECT event_type, ts, event_id, coalesce({_TB}, {_TA}) AS value
+FROM ticks"""))
 def ffill_bfill_ticks(spark, sf):
     return fill.ffill_bfill(ticks_in_cells(spark, sf), "value", tick_track()).drop("cell")
 

@@ -123,7 +123,8 @@ def _weights(spark):
     return spark.createDataFrame([(s, 0.2) for s in a.EVENT_TYPES], "symbol string, weight double")
 
 
-@query(using("panel", f""", w AS (SELECT *, CAST(date_trunc('week', date) AS DATE) AS period FROM panel),
+@query(using("panel", f""", w AS (SELECT *, CAST(date_trunc('week', date) AS DATE) AS period
+    FROM panel),
 c AS (SELECT symbol, period, arg_min("close", date) AS f, arg_max("close", date) AS l
     FROM w GROUP BY 1, 2),
 b AS (SELECT symbol, period,
@@ -166,7 +167,8 @@ def sortino(spark, sf):
     return rounded(risk.sortino(risk.returns(_panel(spark, sf))), "sortino")
 
 
-@query(using("bars", f""", d AS (SELECT symbol, "close" / max("close") OVER ({_W}) - 1 AS dd FROM bars)
+@query(using("bars", f""", d AS (SELECT symbol, "close" / max("close") OVER ({_W}) - 1 AS dd
+    FROM bars)
 SELECT symbol, {s6("min(dd)")} AS max_drawdown FROM d GROUP BY 1"""))
 def max_drawdown(spark, sf):
     return rounded(risk.max_drawdown(a.bars(spark, sf)), "max_drawdown")

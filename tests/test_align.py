@@ -8,7 +8,8 @@ from barloom.operators import align
 
 def test_same_day_match(spark):
     base = days(spark, "2020-01-01", "2020-01-02", "2020-01-03")
-    s = series(spark, ("2020-01-01", 1.5), ("2020-01-02", 1.6), ("2020-01-03", 1.7), series_id="OAS")
+    points = [("2020-01-01", 1.5), ("2020-01-02", 1.6), ("2020-01-03", 1.7)]
+    s = series(spark, *points, series_id="OAS")
     merged = align.attach_series(base, s, ["OAS"])
     assert column(merged, "Value_OAS", "date") == [1.5, 1.6, 1.7]
     report = align.alignment_report(base, s).first()
