@@ -133,3 +133,9 @@ def test_key_check(spark):
     assert sorted(r.finding for r in found.collect()) == [
         "missing key", "missing key", "repeated key"
     ]
+
+
+def test_missing_has_one_form(spark):
+    df = spark.createDataFrame([(float("nan"), " a "), (1.0, "b")], "v double, symbol string")
+    got = clean.normalized(clean.nan_to_null(df, ["v"])).collect()
+    assert [tuple(r) for r in got] == [(None, "A"), (1.0, "B")]
