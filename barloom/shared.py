@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_own: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder named by ``spark.checkpoint.dir``.
 
@@ -19,9 +22,10 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    folder = tempfile.mkdtemp(prefix="barloom-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    run = spark.sparkContext.applicationId
+    if run not in _own:
+        _own[run] = tempfile.mkdtemp(prefix="barloom-")
+    return _own[run]
 
 
 def new_path(spark: SparkSession, name: str) -> str:

@@ -181,6 +181,27 @@ def drawdown_ticks(spark, sf):
     return rounded(fallen, "drawdown").select("event_type", "event_id", "drawdown")
 
 
+_TICK_YEARS = """greatest(date_diff('day', CAST(min(ts) AS DATE), CAST(max(ts) AS DATE))
+    / 365.25::DOUBLE, 1::DOUBLE)"""
+
+
+@query(f"""WITH t AS (SELECT event_type, ts, value + 100 AS v FROM events),
+d AS (SELECT *, v / lag(v) OVER w - 1 AS ret, v / max(v) OVER w - 1 AS dd
+    FROM t WINDOW w AS (PARTITION BY event_type ORDER BY ts))
+SELECT event_type, min(ts) AS start_date, max(ts) AS end_date,
+    {s6("arg_min(v, ts)")} AS start_value, {s6("arg_max(v, ts)")} AS end_value,
+    {s6("arg_max(v, ts) - arg_min(v, ts)")} AS total_profit,
+    {s6("arg_max(v, ts) / arg_min(v, ts) - 1")} AS total_return,
+    {s6(f"(pow(arg_max(v, ts) / arg_min(v, ts), 1 / {_TICK_YEARS}) - 1) * 100")} AS cagr_pct,
+    {s6(_VOL)} AS volatility, {s6(_SHARPE0)} AS sharpe, {s6(_SORTINO)} AS sortino,
+    {s6("min(dd)")} AS max_drawdown FROM d GROUP BY 1""")
+def strategy_stats_ticks(spark, sf):
+    """Figures of five whole tick series, each spread over cells."""
+    values = _tick_values(spark, sf).withColumn("value", F.col("value") + 100)
+    figures = risk.strategy_stats(values, "value", track=tick_track())
+    return rounded(figures, "start_value", "end_value", *_FIGURES)
+
+
 _PAIRS = """p AS (SELECT x.symbol, b.symbol AS benchmark, x.ret, b.ret AS mark
     FROM rets x JOIN rets b ON b.date = x.date
     WHERE b.symbol IN ('view', 'click') AND x.ret IS NOT NULL AND b.ret IS NOT NULL)"""

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-import os
+import re
 
 import pandas as pd
+import pyarrow.parquet as pq
+from pyarrow.fs import FileSystem, FileType, LocalFileSystem
 from pyspark.sql import functions as F
 
 from barloom.operators import clean
@@ -119,10 +121,12 @@ class FolderProvider:
         self.path, self.key = path, key
 
     def __call__(self, symbol, start, end):
-        folder = f"{self.path}/{self.key}={symbol}"
-        if not os.path.isdir(folder):
+        path = re.sub(r"^file:/+", "/", self.path)
+        found = FileSystem.from_uri(path) if "://" in path else (LocalFileSystem(), path)
+        files, folder = found[0], f"{found[1]}/{self.key}={symbol}"
+        if files.get_file_info(folder).type == FileType.NotFound:
             return pd.DataFrame()
-        rows = pd.read_parquet(folder)
+        rows = pq.read_table(folder, filesystem=files).to_pandas()
         days = pd.to_datetime(rows["date"]).dt.date
         return rows[(days >= start) & (days <= end)]
 
@@ -133,7 +137,7 @@ def _provide(df, key):
     return FolderProvider(path, key)
 
 
-def _bar_requests(spark, sf, extra=()):
+def _bar_requests(spark, sf):
     """All event types, untidily spelled, over the span of the events."""
     asked = a.table(spark, sf, "events").groupBy("event_type").agg(
         F.to_date(F.min("ts")).alias("start"), F.to_date(F.max("ts")).alias("end")
