@@ -20,7 +20,7 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegralType
+from pyspark.sql.types import IntegralType, TimestampType
 
 _CELL = "__cell"
 _FIRST = "__cell_first"
@@ -31,7 +31,7 @@ class Track:
     """Key columns, order columns and (optionally) the cell of a row.
 
     ``segment`` must not decrease along the order and must give equal first order values the
-    same cell; ``even_cells`` and ``time_cell`` build one. Key and order columns must not be null.
+    same cell; ``even_cells`` builds one. Key and order columns must not be null.
     """
 
     key: tuple[str, ...] = ("symbol",)
@@ -49,12 +49,16 @@ class Track:
         return F.col(self.order[0]) if len(self.order) == 1 else F.struct(*self.order)
 
 
-def time_cell(column: str, seconds: int) -> Column:
-    """Cell number of a date or timestamp: whole spans of ``seconds`` since 1970.
-
-    Zone-less timestamps are read in the session zone, which must be UTC (no clock changes).
-    """
-    return F.floor(F.unix_seconds(F.col(column).cast("timestamp")) / F.lit(seconds)).cast("long")
+def _whole_number(df: DataFrame, column: str) -> Column:
+    """An order column as a whole number: microseconds of a time, days as microseconds."""
+    kind, at = df.schema[column].dataType, F.col(column)
+    if isinstance(kind, IntegralType):
+        return at.cast("long")
+    if isinstance(kind, TimestampType):
+        return F.unix_micros(at)
+    # Zone-less: no session zone may come in, its clock changes would upset the order.
+    passed = at.cast("timestamp_ntz") - F.lit("1970-01-01").cast("timestamp_ntz")
+    return (passed.cast("interval second").cast("decimal(18,6)") * 1000000).cast("long")
 
 
 # Fixed value: most equal parts that ``even_cells`` cuts a time span into.
@@ -71,9 +75,7 @@ def even_cells(df: DataFrame, column: str, name: str = "cell", rounds: int = 1)
     spans, which bounds the tables broadcast here. Only a burst far shorter than the last cut
     stays together. ``column`` is a date, a timestamp or a whole number, such as a stored position.
     """
-    number = isinstance(df.schema[column].dataType, IntegralType)
-    at = F.col(column)
-    place = at.cast("long") if number else F.unix_micros(at.cast("timestamp"))
+    place = _whole_number(df, column)
     facts = df.agg(
         F.struct(
             F.min(place).alias("lo"),

@@ -17,7 +17,6 @@ from barloom.track import (
     running,
     running_max,
     running_sum,
-    time_cell,
 )
 
 
@@ -42,14 +41,18 @@ def ticks(spark):
     return df.withColumn("ts", F.col("ts").cast("timestamp_ntz")), pdf
 
 
+def hours():
+    return F.unix_date(F.to_date("ts")) * 24 + F.hour("ts")
+
+
 NAMES = ["one cell", "hours", "two orders", "even"]
 
 
 def tracks():
     return {
         "one cell": Track(("k",), ("ts",)),
-        "hours": Track(("k",), ("ts",), time_cell("ts", 3600)),
-        "two orders": Track(("k",), ("ts", "n"), time_cell("ts", 7200)),
+        "hours": Track(("k",), ("ts",), hours()),
+        "two orders": Track(("k",), ("ts", "n"), F.floor(hours() / 5)),
         "even": Track(("k",), ("ts",), F.col("cell")),
     }
 
@@ -148,3 +151,23 @@ def test_drawdown_and_returns_equal_pandas(ticks, name):
     pd.testing.assert_series_equal(got, want, check_names=False)
     got = rows(risk.returns(full, "v", track), "ret")["ret"]
     pd.testing.assert_series_equal(got, g.pct_change(fill_method=None), check_names=False)
+
+
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp", "date", "long"])
+def test_cells_keep_the_order_across_a_clock_change(spark, kind):
+    """In March New York skips an hour of the clock; zone-less times there are still in order."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        minutes = spark.range(3000).select(
+            "id",
+            (F.lit("2024-03-09").cast("timestamp_ntz") + F.make_dt_interval(mins=F.col("id")))
+            .alias("at"),
+        )
+        at = F.col("id") if kind == "long" else F.col("at").cast(kind)
+        got = even_cells(minutes.select("id", at.alias("at")), "at").orderBy("at").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    cells = [r.cell for r in got]
+    assert cells == sorted(cells)
+    assert len(set(cells)) >= (3 if kind == "date" else 40)
