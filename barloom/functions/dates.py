@@ -26,8 +26,8 @@ def day(c: Column) -> Column:
 
 
 def day_in_zone(instant: Column, zone: str) -> Column:
-    """Calendar day on the wall clock of ``zone`` at an instant given in UTC."""
-    return F.to_date(F.from_utc_timestamp(instant, zone))
+    """Calendar day on the wall clock of ``zone`` at an instant."""
+    return F.to_date(F.convert_timezone(None, F.lit(zone), instant.cast("timestamp_ntz")))
 
 
 def end_or_today(text: Column) -> Column:

@@ -2,7 +2,7 @@ import pytest
 from helpers import closes, column, d, series
 from pyspark.sql import functions as F
 
-from barloom.functions import day, flatten_header, normalize_symbol, strip_header, to_number
+from barloom.functions import day, day_in_zone, flatten_header, normalize_symbol, strip_header, to_number
 from barloom.operators import clean, quality
 from barloom.track import Track
 
@@ -139,3 +139,19 @@ def test_missing_has_one_form(spark):
     df = spark.createDataFrame([(float("nan"), " a "), (1.0, "b")], "v double, symbol string")
     got = clean.normalized(clean.nan_to_null(df, ["v"])).collect()
     assert [tuple(r) for r in got] == [(None, "A"), (1.0, "B")]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Tokyo"])
+def test_day_on_another_clock(spark, zone):
+    """Midnight in New York is the same instant whatever zone the session shows."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        at = F.timestamp_seconds(F.lit(1577941199))  # 2020-01-02 04:59:59 in UTC
+        got = spark.range(1).select(
+            day_in_zone(at, "America/New_York").alias("a"),
+            day_in_zone(at + F.make_dt_interval(secs=F.lit(1)), "America/New_York").alias("b"),
+        ).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert (got.a, got.b) == (d("2020-01-01"), d("2020-01-02"))
