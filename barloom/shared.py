@@ -2,30 +2,34 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_ready: set[str] = set()
 
-_own: dict[str, str] = {}
+
+def hadoop_path(spark: SparkSession, path: str):
+    """File system and path object of a path, as Spark itself opens it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``.
+    """This application's folder below the one named by ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a folder of its own, since there every task
-    runs on the same machine.
+    A session without that setting uses the warehouse, which all executors reach as well. The
+    folder and all that is left in it go when the application ends.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    run = spark.sparkContext.applicationId
-    if run not in _own:
-        _own[run] = tempfile.mkdtemp(prefix="barloom-")
-    return _own[run]
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = root or f"{spark.conf.get('spark.sql.warehouse.dir')}/barloom_work"
+    folder = f"{root.rstrip('/')}/{spark.sparkContext.applicationId}"
+    if folder not in _ready:
+        files, place = hadoop_path(spark, folder)
+        files.mkdirs(place)
+        files.deleteOnExit(place)
+        _ready.add(folder)
+    return folder
 
 
 def new_path(spark: SparkSession, name: str) -> str:
@@ -37,3 +41,9 @@ def land(df: DataFrame, path: str) -> DataFrame:
     """Write once, continue from the written copy: no recomputation, no lineage."""
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop(spark: SparkSession, path: str) -> None:
+    """Remove a written copy that nothing reads any more."""
+    files, place = hadoop_path(spark, path)
+    files.delete(place, True)

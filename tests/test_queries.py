@@ -5,10 +5,11 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from checks import QUERIES, SQL
 from checks.compare import differences, duck
 
 SF = "/root/testdata/sf0.001"
-NAMES = sorted(entry.queries())
+NAMES = sorted(QUERIES)
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables are not here")
 
@@ -20,8 +21,8 @@ def con():
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query(spark, con, name):
-    df = entry.queries()[name](spark, SF)
-    problems = [p for p in differences(df, con, entry.oracle_sql()[name]) if "note" not in p]
+    df = QUERIES[name](spark, SF)
+    problems = [p for p in differences(df, con, SQL[name]) if "note" not in p]
     assert not problems
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan
@@ -38,4 +39,6 @@ def test_entry(spark):
 
 
 def test_all_have_sql():
-    assert set(entry.oracle_sql()) == set(NAMES)
+    assert set(SQL) == set(NAMES)
+    assert set(NAMES) <= set(entry.queries())
+    assert set(SQL) <= set(entry.oracle_sql())
