@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import chat, common, mixing, packing
+from barloom.llm import chat, common, langid, mixing, ngram_join, packing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -125,3 +125,19 @@ def op5_chat_formatting(spark: SparkSession, sf: str) -> DataFrame:
 def op8_mixing(spark: SparkSession, sf: str) -> DataFrame:
     mix = mixing.mix(table(spark, sf, "documents"), table(spark, sf, "labels"))
     return mix.documents.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query()
+def op6_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    told = langid.identify(table(spark, sf, "documents"))
+    return told.select(
+        "doc_id",
+        langid.held_out(F.col("doc_id")).alias("held_out"),
+        F.col("__lang").alias("lang_pred"),
+        F.col("__score").alias("score"),
+    )
+
+
+@query()
+def op1_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
+    return ngram_join.groups(table(spark, sf, "documents"))
