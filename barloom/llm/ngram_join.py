@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barloom.llm.batches import Batches, batch_of, cells
 from barloom.llm.common import landed
 from barloom.llm.divideskip import Forest, Index
 from barloom.llm.graph import components
@@ -31,8 +32,6 @@ COUNTER_BITS, SLICE = 20, 1024
 #: A block of a cell holds about so many texts and so many shingles; larger cells are cut.
 BLOCK_TEXTS, BLOCK_SHINGLES = 4096, 1 << 21
 
-Batches = Iterator[pa.RecordBatch]
-
 
 def _slot(found: np.ndarray) -> np.ndarray:
     return (found >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)
@@ -125,35 +124,14 @@ def _setting(words: int) -> Callable[[Batches], Batches]:
     return sets
 
 
-def _cells(batches: Batches, keys: int) -> Iterator[tuple[tuple, list[tuple]]]:
-    """Rows of a sorted stream by their first columns; the last column is an array of numbers."""
-    key, rows = None, []
-    for batch in batches:
-        scalars = zip(*[c.to_pylist() for c in batch.columns[:-1]], strict=True)
-        sets = batch.columns[-1]
-        ends = sets.offsets.to_numpy()
-        values = sets.values.to_numpy()
-        for i, row in enumerate(scalars):
-            if row[:keys] != key:
-                if rows:
-                    yield key, rows
-                key, rows = row[:keys], []
-            rows.append((*row[keys:], values[ends[i] : ends[i + 1]].copy()))
-    if rows:
-        yield key, rows
-
-
 EDGE, LEFT = 0, 1
+LINK = {"kind": pa.int8(), "u": pa.int64(), "v": pa.int64()}
 
 
 def _links(rows: Iterator[list[tuple[int, int, int]]]) -> Batches:
     for found in rows:
         if found:
-            kind, u, v = zip(*found, strict=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(kind, pa.int8()), pa.array(u, pa.int64()), pa.array(v, pa.int64())],
-                names=["kind", "u", "v"],
-            )
+            yield batch_of(LINK, found)
 
 
 def search_block(
@@ -179,7 +157,7 @@ def _within(percent: int) -> Callable[[Batches], Batches]:
     """Blocks of a cell: its centre first, then the texts that are not linked to the centre."""
 
     def rows(batches: Batches) -> Iterator[list[tuple[int, int, int]]]:
-        for (centre, _), texts in _cells(batches, 2):
+        for (centre, _), texts in cells(batches, 2):
             ids, blocks, sets = zip(*texts, strict=True)
             if centre not in ids:
                 continue
@@ -199,7 +177,7 @@ def _across(percent: int) -> Callable[[Batches], Batches]:
     """Texts left over in other blocks of a cell against one block."""
 
     def rows(batches: Batches) -> Iterator[list[tuple[int, int, int]]]:
-        for _, texts in _cells(batches, 3):
+        for _, texts in cells(batches, 3):
             # role 0: linked to the centre, 1: in the block, 2: left over elsewhere
             ids, roles, sets = zip(*texts, strict=True)
             forest = Forest(len(ids))

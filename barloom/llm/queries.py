@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import chat, common, langid, mixing, ngram_join, packing
+from barloom.llm import chat, common, langid, mixing, ngram_join, packing, vector_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -141,3 +141,8 @@ def op6_language_id(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def op1_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
     return ngram_join.groups(table(spark, sf, "documents"))
+
+
+@query()
+def op10_vector_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return vector_dedup.groups(table(spark, sf, "embeddings"))
