@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import chat, common, langid, mixing, ngram_join, packing, topk, vector_dedup
+from barloom.llm import (
+    chat,
+    common,
+    langid,
+    mixing,
+    ngram_join,
+    packing,
+    topk,
+    vector_dedup,
+    warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -166,3 +176,22 @@ def op10_vector_dedup(spark: SparkSession, sf: str) -> DataFrame:
 """)
 def op7_exact_topk(spark: SparkSession, sf: str) -> DataFrame:
     return topk.top_k(table(spark, sf, "embeddings"))
+
+
+@query("""
+    WITH facts AS (
+        SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+            sha256(coalesce(html, '')) AS payload_digest
+        FROM pages
+    ), firsts AS (
+        SELECT payload_digest, min(page_id) AS first FROM facts
+        WHERE payload_bytes >= 100 GROUP BY payload_digest
+    )
+    SELECT page_id, payload_bytes, payload_digest,
+        CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+        CASE WHEN page_id <> first THEN first END AS refers_to
+    FROM facts LEFT JOIN firsts USING (payload_digest)
+""")
+def op3_warc(spark: SparkSession, sf: str) -> DataFrame:
+    records = warc.write_and_read(table(spark, sf, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
