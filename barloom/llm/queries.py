@@ -11,9 +11,11 @@ from barloom.llm import (
     chat,
     common,
     langid,
+    licences,
     mixing,
     ngram_join,
     packing,
+    sharding,
     topk,
     vector_dedup,
     warc,
@@ -195,3 +197,14 @@ def op7_exact_topk(spark: SparkSession, sf: str) -> DataFrame:
 def op3_warc(spark: SparkSession, sf: str) -> DataFrame:
     records = warc.write_and_read(table(spark, sf, "pages"))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query()
+def op4_hilbert_sharding(spark: SparkSession, sf: str) -> DataFrame:
+    cut = sharding.assign(table(spark, sf, "documents"))
+    return cut.withColumns({"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")})
+
+
+@query()
+def op9_licence_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return licences.scan(table(spark, sf, "documents"))
