@@ -14,6 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from barloom.llm.common import in_order, landed
 from barloom.shared import land as landed_at
@@ -51,7 +52,7 @@ def hilbert_index(cells: np.ndarray, bits: int = BITS) -> np.ndarray:
     return place
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(LongType())
 def _curve(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
     for columns in batches:
         yield pd.Series(hilbert_index(np.stack([c.to_numpy() for c in columns], axis=1)))
@@ -126,7 +127,7 @@ def write_shards(
     docs: DataFrame, folder: str, shards: int = SHARDS,
     dimensions: Sequence[str] = ("source", "lang", "__size"),
 ) -> DataFrame:
-    """Write the shards as Parquet, one folder each, and return what a reader prunes by.
+    """Write the shards as Parquet, one folder ``curve_shard`` each, and return what a reader prunes by.
 
     That table, also in ``folder``/ranges, has a row per shard: rows, bytes, and the least and
     greatest value of every dimension.
@@ -134,10 +135,10 @@ def write_shards(
     spark = docs.sparkSession
     rows = _cut(landed(_described(docs), "described"), dimensions, shards)
     dealt = rows.repartition(shards, "__shard").sortWithinPartitions("__shard", "__place")
-    kept = dealt.withColumn("shard", F.col("__shard")).select(*docs.columns, "shard", "__size")
-    kept.write.mode("overwrite").partitionBy("shard").parquet(f"{folder}/shards")
+    kept = dealt.select(*docs.columns, "__size", F.col("__shard").alias("curve_shard"))
+    kept.write.mode("overwrite").partitionBy("curve_shard").parquet(f"{folder}/shards")
     edges = [f(d).alias(f"{n}_{d.lstrip('_')}") for d in dimensions for n, f in (("min", F.min), ("max", F.max))]
-    ranges = spark.read.parquet(f"{folder}/shards").groupBy("shard").agg(
+    ranges = spark.read.parquet(f"{folder}/shards").groupBy("curve_shard").agg(
         F.count(F.lit(1)).alias("rows"), F.sum("__size").alias("bytes"), *edges
     )
     return landed_at(ranges, f"{folder}/ranges")
