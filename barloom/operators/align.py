@@ -13,24 +13,20 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 from barloom.schemas import FIELDS
 from barloom.track import later_present, next_present, quoted
 
-# A century of days with this many doubles each is 30 MB.
-FEW_COLUMNS = 100
-
-
-def by_day(wide: DataFrame, columns: int) -> DataFrame:
-    """A table of one row per day, marked for broadcast if it is not too wide for that."""
-    return F.broadcast(wide) if columns <= FEW_COLUMNS else wide
-
 
 def timeline(dates: DataFrame, date: str = "date") -> Column:
-    """The distinct days of a column, sorted, as one array value.
+    """The distinct days of a date column, sorted, as one array value.
 
     Days are made distinct before they come together, so that takes one row per calendar day.
+    A column of another type is refused: its values would not be bounded by the calendar.
     """
+    if not isinstance(dates.schema[date].dataType, DateType):
+        raise TypeError(f"column {date!r} is no date; cast it to one")
     days = dates.select(F.col(date).alias("date")).where("date IS NOT NULL").distinct()
     return days.agg(F.sort_array(F.collect_list("date"))).scalar()
 
@@ -47,19 +43,29 @@ def _spread(
     date: str,
     values: Sequence[str],
     fill: str | None,
+    arrival: Sequence[str],
 ) -> DataFrame:
-    """One row per series and timeline day, with ``present`` telling the observed days."""
+    """One row per series and timeline day, with ``present`` telling the observed days.
+
+    Of rows that repeat a series and day the first by ``arrival``, then by value, counts.
+    """
     if fill not in (None, "ffill", "ffill_bfill"):
         raise ValueError(f"fill {fill!r} is not one of ffill, ffill_bfill")
     on, on_line = F.col("__on"), F.col("seq").isNotNull()
     places = numbered(df.sparkSession, days).withColumnRenamed("date", "__on")
     placed = (
-        df.select(quoted(key), F.col(quoted(date)).alias("__on"), *map(quoted, values))
+        df.select(
+            quoted(key), F.col(quoted(date)).alias("__on"), *map(quoted, values),
+            *[F.col(quoted(c)).alias(f"__came_{i}") for i, c in enumerate(arrival)],
+        )
         .join(F.broadcast(places), "__on", "left")
         .withColumns({c: F.when(on_line, F.col(quoted(c))) for c in values})
         .withColumn("seq", F.coalesce("seq", F.lit(-1)))
     )
-    w = Window.partitionBy(key).orderBy("seq")
+    came = [f"__came_{i}" for i in range(len(arrival))] + [quoted(c) for c in values]
+    w = Window.partitionBy(key).orderBy("seq", *[F.asc_nulls_last(c) for c in came])
+    again = (F.col("seq") >= 0) & (F.lag("seq").over(w) == F.col("seq"))
+    placed = placed.withColumn("__again", F.coalesce(again, F.lit(False))).where("NOT __again")
     past = w.rowsBetween(Window.unboundedPreceding, 0)
     opens = F.when(F.lag("seq").over(w).isNull(), F.lit(0)).otherwise(F.col("seq"))
     closes = F.coalesce(F.lead("seq").over(w), F.size(days))
@@ -88,14 +94,17 @@ def outer_align(
     values: Sequence[str] = FIELDS,
     fill: str | None = None,
     key: str = "symbol",
+    arrival: Sequence[str] = (),
 ) -> DataFrame:
-    """Every symbol gets every date any symbol has; (symbol, date) must be unique.
+    """Every symbol gets every date any symbol has.
+
+    A repeated (symbol, date) counts once, with its first row by the ``arrival`` columns.
 
     ``dates`` is the set of those dates where it is cheaper to read than from ``bars``. With
     ``fill`` (``ffill`` or ``ffill_bfill``) gaps are repaired in the same pass.
     """
     days = timeline(bars if dates is None else dates)
-    return _spread(bars, days, key, "date", values, fill).drop("present")
+    return _spread(bars, days, key, "date", values, fill, arrival).drop("present")
 
 
 def align_to_base(
@@ -104,14 +113,17 @@ def align_to_base(
     fill: str | None = None,
     key: str = "series_id",
     values: Sequence[str] = ("value",),
+    arrival: Sequence[str] = (),
 ) -> DataFrame:
-    """Each series on exactly the base days; (series, date) must be unique.
+    """Each series on exactly the base days.
+
+    A repeated (series, date) counts once, with its first row by the ``arrival`` columns.
 
     Only the same day matches. An observation on a day outside the base is dropped and does not
     carry into the next base day. ``present`` is true where the day was observed, even if the
     observed value is missing. With ``fill`` gaps are repaired in the same pass.
     """
-    return _spread(series, timeline(base_dates), key, "date", values, fill)
+    return _spread(series, timeline(base_dates), key, "date", values, fill, arrival)
 
 
 def alignment_report(base_dates: DataFrame, series: DataFrame) -> DataFrame:
@@ -135,8 +147,7 @@ def attach_series(
 ) -> DataFrame:
     """Bars with one ``Value_<id>`` column per listed series, matched by day and filled.
 
-    The attached side has one row per base day; up to ``FEW_COLUMNS`` wide it is broadcast. A
-    listed series without data gives an all-missing column.
+    The attached side has one row per base day. A listed series without data gives an all-missing column.
     """
     base = bars.select("date") if base_dates is None else base_dates
     wanted = series.where(F.col("series_id").isin(list(ids)))
@@ -147,7 +158,7 @@ def attach_series(
             for i in ids
         ]
     )
-    return bars.join(by_day(wide, len(ids)), "date", "left").select(
+    return bars.join(wide, "date", "left").select(
         *map(quoted, bars.columns), *[quoted(f"Value_{i}") for i in ids]
     )
 

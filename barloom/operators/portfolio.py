@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.functions import ratio, whole_units
+from barloom.operators.align import outer_align
 from barloom.operators.quality import years_between
 from barloom.track import (
     Running,
@@ -122,7 +123,9 @@ def signal_equity(
     """Equity of being long after an entry and flat after an exit, starting flat.
 
     A signal acts from its bar's close, so a bar earns its change if the bar before it was long.
-    ``trades`` counts the changes of state so far. Values must be positive.
+    A missing price earns nothing; the next present one earns the change since the last present
+    price, if the bar before it was long. ``trades`` counts the changes of state so far. Values
+    must be positive.
     """
     signal = F.when(F.col(entry), 1).when(F.col(exit), 0)
     steps = _signal_steps if track.segment is None else _signal_steps_by_cell
@@ -138,9 +141,11 @@ def signal_equity(
 
 def _signal_steps(bars: DataFrame, signal: Column, value: Column, track: Track) -> DataFrame:
     """Adds the state, the log growth and the number of trades up to each row."""
-    held = running(bars, track, __state=last_known(signal), __prev=previous(value))
+    held = running(bars, track, __state=last_known(signal), __last=last_known(value))
     held = held.withColumn("__state", F.coalesce("__state", F.lit(0)))
-    was = running(held, track, __was=previous(F.col("__state")))
+    was = running(
+        held, track, __was=previous(F.col("__state")), __prev=previous(F.col("__last"))
+    )
     gain = F.when(F.col("__was") == 1, F.ln(ratio(value, F.col("__prev")))).otherwise(F.lit(0.0))
     turned = F.when(F.coalesce("__was", F.lit(0)) != F.col("__state"), 1).otherwise(0)
     return running(was, track, __log=running_sum(gain), __trades=running_sum(turned))
@@ -153,7 +158,9 @@ def _signal_steps_by_cell(
 
     Until the first signal of a cell the state is the one it starts in, which only the cells
     before know. So growth is summed in two parts: earned for certain, and earned if the cell
-    starts long. The same holds for the trade made by the first signal.
+    starts long. The same holds for the trade made by the first signal. The step from the last
+    price before the cell falls on the cell's first present price; ``__entered`` is the state in
+    which the cell gets there, -1 if it is the one the cell starts in.
     """
 
     def inside(rows: DataFrame, within: Track) -> DataFrame:
@@ -161,10 +168,13 @@ def _signal_steps_by_cell(
             rows.withColumn("__signal", signal),
             within,
             __state=last_known(F.col("__signal")),
-            __prev=previous(value),
+            __last=last_known(value),
             __pos=position(),
         )
-        known = running(known, within, __was=previous(F.col("__state")))
+        known = running(
+            known, within, __was=previous(F.col("__state")), __prev=previous(F.col("__last"))
+        )
+        arrived = F.when(value.isNotNull(), F.coalesce("__was", F.lit(-1)))
         log = F.ln(ratio(value, F.col("__prev")))
         later = F.col("__pos") > 1
         sure = F.when(F.col("__was") == 1, log).otherwise(F.lit(0.0))
@@ -177,6 +187,7 @@ def _signal_steps_by_cell(
             __if_long=running_sum(if_long),
             __turned=running_sum(turned),
             __opener=_first_known(F.col("__signal")),
+            __entered=_first_known(arrived),
         )
 
     last = F.col("__pos")
@@ -186,13 +197,14 @@ def _signal_steps_by_cell(
         F.max_by("__sure", last).alias("__end_sure"),
         F.max_by("__if_long", last).alias("__end_if_long"),
         F.max_by("__turned", last).alias("__end_turned"),
-        F.max_by(value, last).alias("__end_value"),
-        F.min_by(value, last).alias("__start_value"),
+        F.max_by("__last", last).alias("__end_value"),
+        F.min_by(value, F.when(value.isNotNull(), last)).alias("__start_value"),
+        F.max_by("__entered", last).alias("__end_entered"),
     ]
 
     def along(cells: DataFrame, chain: Track) -> DataFrame:
         earlier = chain.window().rowsBetween(Window.unboundedPreceding, -1)
-        before = F.lag("__end_value").over(chain.window())
+        before = F.last("__end_value", True).over(earlier)
         begun = cells.withColumn("__before", before).withColumns(
             {
                 "__carry_state": F.coalesce(
@@ -204,8 +216,10 @@ def _signal_steps_by_cell(
                 ),
             }
         )
-        growth = F.col("__end_sure") + F.col("__carry_state") * (
-            F.col("__carry_step") + F.col("__end_if_long")
+        growth = (
+            F.col("__end_sure")
+            + F.col("__carry_state") * F.col("__end_if_long")
+            + _step_earned("__end_entered")
         )
         trades = F.col("__end_turned") + _opening_trade("__end_opener")
         return begun.withColumns({"__growth": growth, "__made": trades}).withColumns(
@@ -216,7 +230,7 @@ def _signal_steps_by_cell(
         )
 
     rows = through_cells(bars, track, inside, totals, along)
-    earned = F.col("__carry_state") * (F.col("__carry_step") + F.col("__if_long"))
+    earned = F.col("__carry_state") * F.col("__if_long") + _step_earned("__entered")
     return rows.withColumns(
         {
             "__state": F.coalesce("__state", "__carry_state"),
@@ -226,6 +240,14 @@ def _signal_steps_by_cell(
     )
 
 
+def _step_earned(entered: str) -> Column:
+    """What the step into the cell has earned once its first present price is reached."""
+    state = F.when(F.col(entered) >= 0, F.col(entered)).when(
+        F.col(entered) == -1, F.col("__carry_state")
+    )
+    return F.coalesce(state, F.lit(0)) * F.col("__carry_step")
+
+
 def _first_known(value: Column) -> Running:
     """First value that is not null among the rows so far; only for use inside a cell."""
     return replace(
@@ -243,34 +265,45 @@ def allocated_equity(
 ) -> DataFrame:
     """Equity of a weighted basket that is re-weighted at each period's last close.
 
-    Needs every weighted symbol on every date (``outer_align`` with a fill gives that). Inside a
-    period the basket is worth the weighted growth since the close before the period; periods
-    multiply. One window per symbol finds the bases, then only sums per date travel.
+    Symbols are put on every date any of them has; a missing close counts as the last one, and
+    before its first close a symbol's weight is held in cash. A weighted symbol without any close
+    is an error. Inside a period the basket is worth the weighted growth since the close before
+    the period; periods multiply. The closes of (symbol, period) give the bases and the chain, and
+    only sums per date travel.
     """
     if frequency not in PERIODS:
         raise ValueError(f"frequency {frequency!r} is not one of {sorted(PERIODS)}")
     period = F.date_trunc(PERIODS[frequency], F.col("date").cast("timestamp_ntz")).cast("date")
+    own = bars.select("symbol", "date", "close").join(weights, "symbol", "left_semi")
+    without = weights.select("symbol").join(own.where("close IS NOT NULL"), "symbol", "left_anti")
+    lacking = sorted(str(r.symbol) for r in without.take(5))
+    if lacking:
+        raise ValueError(f"no close for weighted symbols such as {lacking}")
     weighted = (
-        bars.select("symbol", "date", "close")
+        outer_align(own, values=["close"], fill="ffill")
         .join(weights.select("symbol", "weight"), "symbol")
         .withColumn("period", F.unix_date(period))
     )
-    by_period = Window.partitionBy("symbol").orderBy("period")
-    earlier = by_period.rangeBetween(Window.unboundedPreceding, -1)
-    so_far = by_period.rangeBetween(Window.unboundedPreceding, 0)
-    base = F.coalesce(
-        F.max_by("close", "date").over(earlier), F.min_by("close", "date").over(so_far)
+    closes = weighted.groupBy("symbol", "period").agg(
+        F.first("weight").alias("weight"),
+        F.max_by("close", "date").alias("last"),
+        F.min_by("close", F.when(F.col("close").isNotNull(), F.col("date"))).alias("first"),
     )
-    growth = (
-        weighted.withColumn("base", base)
-        .groupBy("period", "date")
-        .agg(F.sum(ratio(F.col("weight") * F.col("close"), F.col("base"))).alias("growth"))
-    )
-    full = growth.groupBy("period").agg(F.max_by("growth", "date").alias("whole"))
+    along = Window.partitionBy("symbol").orderBy("period")
+    bases = closes.withColumn("base", F.coalesce(F.lag("last").over(along), "first"))
+    worth = F.coalesce(ratio(F.col("last"), F.col("base")), F.lit(1.0))
+    full = bases.groupBy("period").agg(F.sum(F.col("weight") * worth).alias("whole"))
     before = Window.orderBy("period").rowsBetween(Window.unboundedPreceding, -1)
     chained = full.select(
         "period", F.coalesce(F.exp(F.sum(F.ln("whole")).over(before)), F.lit(1.0)).alias("chain")
     )
-    return growth.join(F.broadcast(chained), "period").select(
+    value = F.coalesce(ratio(F.col("close"), F.col("base")), F.lit(1.0))
+    growth = (
+        weighted.drop("weight")
+        .join(bases.select("symbol", "period", "weight", "base"), ["symbol", "period"])
+        .groupBy("period", "date")
+        .agg(F.sum(F.col("weight") * value).alias("growth"))
+    )
+    return growth.join(chained, "period").select(
         "date", (F.lit(float(init_cash)) * F.col("chain") * F.col("growth")).alias("equity")
     )

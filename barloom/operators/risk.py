@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom.functions import ratio
-from barloom.operators.align import by_day
 from barloom.operators.portfolio import growth_rate
 from barloom.operators.quality import years_between
 from barloom.track import Track, previous, quoted, running, running_max
@@ -79,39 +78,34 @@ def max_drawdown(df: DataFrame, value: str = "close", track: Track = DAILY) -> D
     )
 
 
-def strategy_stats(
-    equity: DataFrame,
-    value: str = "equity",
-    rf: float = 0.0,
-    mar: float = 0.0,
-    year: int = YEAR,
-    track: Track = DAILY,
-) -> DataFrame:
-    """One row of figures per curve.
-
-    The row before and the peak so far come from one window, and the figures from one aggregate
-    on the same partitioning: one shuffle in all.
-    """
-    date, v, r = track.order[0], F.col(value), F.col("__ret")
-    stepped = (
-        running(equity, track, __prev=previous(v), __peak=running_max(v))
+def _stepped(df: DataFrame, value: str, track: Track) -> DataFrame:
+    """Adds return and distance below the peak of every row: one window."""
+    v = F.col(quoted(value))
+    return (
+        running(df, track, __prev=previous(v), __peak=running_max(v))
         .withColumn("__ret", ratio(v, F.col("__prev")) - 1)
         .withColumn("__down", ratio(v, F.col("__peak")) - 1)
     )
-    figures = stepped.groupBy(*track.key).agg(
+
+
+def _figures(value: str, date: str, place: str, rf: float, mar: float, year: int) -> list[Column]:
+    r = F.col("__ret")
+    return [
         F.min(date).alias("start_date"),
         F.max(date).alias("end_date"),
-        F.min_by(value, date).alias("start_value"),
-        F.max_by(value, date).alias("end_value"),
+        F.min_by(value, place).alias("start_value"),
+        F.max_by(value, place).alias("end_value"),
         years_between(date).alias("__years"),
         _volatility(r, year).alias("volatility"),
         _sharpe(r, rf, year).alias("sharpe"),
         _sortino(r, mar, year).alias("sortino"),
         F.min("__down").alias("max_drawdown"),
-    )
+    ]
+
+
+def _shown() -> list[Column | str]:
     first, last = F.col("start_value"), F.col("end_value")
-    return figures.select(
-        *track.key,
+    return [
         "start_date",
         "end_date",
         "start_value",
@@ -123,45 +117,79 @@ def strategy_stats(
         "sharpe",
         "sortino",
         "max_drawdown",
-    )
+    ]
 
 
-def alpha_beta(
-    rets: DataFrame,
-    benchmarks: Sequence[str],
+def strategy_stats(
+    equity: DataFrame,
+    value: str = "equity",
     rf: float = 0.0,
-    key: str = "symbol",
-    r: str = "ret",
+    mar: float = 0.0,
     year: int = YEAR,
+    track: Track = DAILY,
+    date: str | None = None,
 ) -> DataFrame:
-    """Alpha and beta of every symbol against each listed benchmark, on dates both have.
+    """One row of figures per curve; ``date`` is the first order column unless named.
 
-    The benchmarks become columns of one small table with a row per day, so returns are joined
-    once by date and never multiplied by the number of benchmarks.
+    The row before and the peak so far come from one window, and the figures from one aggregate
+    on the same partitioning: one shuffle in all.
     """
-    marks = rets.where(F.col(key).isin(list(benchmarks))).groupBy("date").agg(
-        *[F.max(F.when(F.col(key) == b, F.col(r))).alias(f"__b{i}")
-          for i, b in enumerate(benchmarks)]
+    place = track.order[0]
+    found = _figures(value, date or place, place, rf, mar, year)
+    return _stepped(equity, value, track).groupBy(*track.key).agg(*found).select(
+        *track.key, *_shown()
     )
-    joined = rets.select(quoted(key), "date", quoted(r)).join(
-        by_day(marks, len(benchmarks)), "date"
+
+
+def _marks(rets: DataFrame, benchmarks: Sequence[str], key: str, r: str) -> DataFrame:
+    """Returns of the benchmarks as columns of one row per day."""
+    return rets.where(F.col(key).isin(list(benchmarks))).groupBy("date").agg(
+        *[
+            F.max(F.when(F.col(key) == b, F.col(r))).alias(f"__b{i}")
+            for i, b in enumerate(benchmarks)
+        ]
     )
-    own = F.col(r) - F.lit(float(rf))
+
+
+def _against(benchmarks: Sequence[str], r: str, rf: float, year: int) -> Column:
+    """Alpha and beta against each benchmark, over the days both have; an array per curve."""
     figures = []
     for i, b in enumerate(benchmarks):
         mark = F.when(F.col(r).isNotNull(), F.col(f"__b{i}") - F.lit(float(rf)))
-        mine = F.when(F.col(f"__b{i}").isNotNull(), own)
+        mine = F.when(F.col(f"__b{i}").isNotNull(), F.col(r) - F.lit(float(rf)))
         beta = ratio(F.covar_samp(mine, mark), F.var_samp(mark))
         figures.append(
             F.struct(
                 F.lit(b).alias("benchmark"),
-                beta.alias("beta"),
                 ((F.avg(mine) - beta * F.avg(mark)) * F.lit(float(year))).alias("alpha"),
-            ).alias(f"__f{i}")
+                beta.alias("beta"),
+            )
         )
-    summed = joined.groupBy(key).agg(*figures)
-    each = F.explode(F.array(*[F.col(f"__f{i}") for i in range(len(benchmarks))]))
-    return summed.select(key, each.alias("f")).select(key, "f.benchmark", "f.alpha", "f.beta")
+    return F.array(*figures)
+
+
+def alpha_beta(
+    rets: DataFrame,
+    benchmarks: Sequence[str],
+    rf: float = 0.0,
+    key: str = "symbol",
+    r: str = "ret",
+    year: int = YEAR,
+) -> DataFrame:
+    """Alpha and beta of every symbol against each listed benchmark, on dates both have.
+
+    The benchmarks become columns of one table with a row per day, so returns are joined once by
+    date and never multiplied by the number of benchmarks. A symbol that shares no day with a
+    benchmark has missing figures; without benchmarks there are no rows.
+    """
+    if not benchmarks:
+        return rets.select(key).limit(0).selectExpr(
+            quoted(key), "'' AS benchmark", "0D AS alpha", "0D AS beta"
+        )
+    marks = _marks(rets, benchmarks, key, r)
+    joined = rets.select(quoted(key), "date", quoted(r)).join(marks, "date", "left")
+    summed = joined.groupBy(key).agg(_against(benchmarks, r, rf, year).alias("__against"))
+    return summed.select(key, F.inline("__against"))
 
 
 def metrics_report(
@@ -173,7 +201,12 @@ def metrics_report(
     rf: float = 0.0,
     mar: float = 0.0,
 ) -> DataFrame:
-    """Figures of each ticker joined with its alpha and beta against each benchmark."""
+    """Figures of each ticker with its alpha and beta against each benchmark.
+
+    One window and one aggregate over the bars; the benchmarks' returns are joined by day. Every
+    ticker has a row per benchmark, with missing alpha and beta where they share no days, and one
+    row with a missing benchmark if none is listed.
+    """
     in_range = bars
     if start:
         in_range = in_range.where(F.col("date") >= F.lit(start).cast("date"))
@@ -181,7 +214,15 @@ def metrics_report(
         in_range = in_range.where(F.col("date") <= F.lit(end).cast("date"))
     if tickers is not None:
         in_range = in_range.where(F.col("symbol").isin([*tickers, *benchmarks]))
-    stats = strategy_stats(in_range, "close", rf, mar)
-    compared = alpha_beta(returns(in_range), benchmarks, rf)
-    report = stats.join(compared, "symbol")
+    stepped = _stepped(in_range, "close", DAILY)
+    found = _figures("close", "date", "date", rf, mar, YEAR)
+    if benchmarks:
+        own = returns(in_range.where(F.col("symbol").isin(list(benchmarks))), name="__ret")
+        stepped = stepped.join(_marks(own, benchmarks, "symbol", "__ret"), "date", "left")
+        against = _against(benchmarks, "__ret", rf, YEAR)
+    else:
+        none = "array(struct(string(null) AS benchmark, double(null) AS alpha, double(null) AS beta))"
+        against = F.expr(f"any_value({none})")
+    report = stepped.groupBy("symbol").agg(*found, against.alias("__against"))
+    report = report.select("symbol", *_shown(), F.inline("__against"))
     return report if tickers is None else report.where(F.col("symbol").isin(list(tickers)))

@@ -17,10 +17,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
+from math import isqrt
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegralType, TimestampType
+
+from barloom.shared import land, new_path
 
 _CELL = "__cell"
 _FIRST = "__cell_first"
@@ -30,8 +32,9 @@ _FIRST = "__cell_first"
 class Track:
     """Key columns, order columns and (optionally) the cell of a row.
 
-    ``segment`` must not decrease along the order and must give equal first order values the
-    same cell; ``even_cells`` builds one. Key and order columns must not be null.
+    ``segment`` must not decrease along the order, which must tell the rows of a key apart if
+    equal ones may lie in two cells; ``even_cells`` builds one. Key and order columns must not be
+    null.
     """
 
     key: tuple[str, ...] = ("symbol",)
@@ -49,70 +52,26 @@ class Track:
         return F.col(self.order[0]) if len(self.order) == 1 else F.struct(*self.order)
 
 
-def _whole_number(df: DataFrame, column: str) -> Column:
-    """An order column as a whole number: microseconds of a time, days as microseconds."""
-    kind, at = df.schema[column].dataType, F.col(column)
-    if isinstance(kind, IntegralType):
-        return at.cast("long")
-    if isinstance(kind, TimestampType):
-        return F.unix_micros(at)
-    # Zone-less: no session zone may come in, its clock changes would upset the order.
-    passed = at.cast("timestamp_ntz") - F.lit("1970-01-01").cast("timestamp_ntz")
-    return (passed.cast("interval second").cast("decimal(18,6)") * 1000000).cast("long")
-
-
-# Fixed value: most equal parts that ``even_cells`` cuts a time span into.
-_MOST_PARTS = 65536
-
-
-def even_cells(df: DataFrame, column: str, name: str = "cell", rounds: int = 1) -> DataFrame:
+def even_cells(
+    df: DataFrame, *order: str, name: str = "cell", place: str | None = None
+) -> DataFrame:
     """Add a cell number that splits any amount of rows, for use as ``Track.segment``.
 
-    With n rows the aim is about sqrt(n) cells of sqrt(n) rows, so that neither the window inside
-    a cell nor the one along the cells of a series grows with the table itself. The range of
-    ``column`` is cut into equal spans; then, in each of ``rounds``, spans holding more than twice
-    their share are cut again, in proportion to their rows. There are at most sqrt(n) / 2 such
-    spans, which bounds the tables broadcast here. Only a burst far shorter than the last cut
-    stays together. ``column`` is a date, a timestamp or a whole number, such as a stored position.
+    The rows are sorted by ``order`` and landed; with n rows, a cell is a run of at most sqrt(n)
+    of them, so neither the window inside a cell nor the one along the cells of a series grows
+    with the table itself, however many rows fall on one moment. ``order`` should tell rows apart;
+    where it does not, the landed copy fixes an order, which ``place`` names as a column. One
+    column of whole numbers that is in order lets a ``Track`` over it use hash aggregates.
+
+    The table is read twice, to sample it and to sort it.
     """
-    place = _whole_number(df, column)
-    facts = df.agg(
-        F.struct(
-            F.min(place).alias("lo"),
-            F.max(place).alias("hi"),
-            F.greatest(F.lit(1), F.floor(F.sqrt(F.count(column)))).alias("share"),
-        ).alias("facts")
-    ).scalar()
-    spans = F.least(facts["share"], F.lit(_MOST_PARTS))
-    offset, start, width = F.col("__offset"), F.col("__start"), F.col("__width")
-
-    def cut(rows: DataFrame) -> DataFrame:
-        return rows.withColumn("__start", start + F.floor((offset - start) / width) * width)
-
-    cells = cut(
-        df.withColumns(
-            {
-                "__offset": place - facts["lo"],
-                "__start": F.lit(0).cast("long"),
-                "__width": F.floor((facts["hi"] - facts["lo"]) / spans) + 1,
-            }
-        )
-    )
-    for _ in range(rounds):
-        parts = F.least(F.ceil(F.col("__n") * 4 / facts["share"]), F.lit(_MOST_PARTS))
-        crowded = (
-            cells.groupBy("__start")
-            .agg(F.count(F.lit(1)).alias("__n"))
-            .where(F.col("__n") > facts["share"] * 2)
-            .select("__start", parts.alias("__parts"))
-        )
-        finer = F.when(F.col("__parts").isNull(), width).otherwise(
-            F.ceil(width / F.col("__parts"))
-        )
-        cells = cut(
-            cells.join(F.broadcast(crowded), "__start", "left").withColumn("__width", finer)
-        ).drop("__parts")
-    return cells.select(*map(quoted, df.columns), start.alias(name))
+    ranges = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    numbered = ranges.withColumn("__row", F.monotonically_increasing_id())
+    rows = land(numbered, new_path(df.sparkSession, "cells"))
+    share = max(1, isqrt(rows.count()))
+    inside = F.col("__row").bitwiseAND((1 << 33) - 1)  # place in its sorted range
+    cells = rows.withColumn(name, F.col("__row") - inside % share)
+    return cells.drop("__row") if place is None else cells.withColumnRenamed("__row", place)
 
 
 def later_present(name: str, window: WindowSpec) -> Column:

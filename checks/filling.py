@@ -108,48 +108,48 @@ def monotonic(spark, sf):
 
 
 def ticks_in_cells(spark, sf):
-    return even_cells(a.ticks(spark, sf), "ts")
+    return even_cells(a.ticks(spark, sf), "ts", "event_id", place="place")
 
 
 def tick_track():
-    return Track(("event_type",), ("ts",), F.col("cell"))
+    return Track(("event_type",), ("place",), F.col("cell"))
 
 
-_TB, _TA, _ = _sql("event_type", "ts")
+_TB, _TA, _ = _sql("event_type", "ts, event_id")
 
 
 @query(using("ticks", f"SELECT event_type, ts, event_id, {_TB} AS value FROM ticks"))
 def ffill_ticks(spark, sf):
-    return fill.ffill(ticks_in_cells(spark, sf), "value", tick_track()).drop("cell")
+    return fill.ffill(ticks_in_cells(spark, sf), "value", tick_track()).drop("cell", "place")
 
 
 @query(using("ticks", f"SELECT event_type, ts, event_id, {_TA} AS value FROM ticks"))
 def bfill_ticks(spark, sf):
-    return fill.bfill(ticks_in_cells(spark, sf), "value", tick_track()).drop("cell")
+    return fill.bfill(ticks_in_cells(spark, sf), "value", tick_track()).drop("cell", "place")
 
 
 @query(using("ticks", f"""SELECT event_type, ts, event_id, coalesce({_TB}, {_TA}) AS value
 FROM ticks"""))
 def ffill_bfill_ticks(spark, sf):
-    return fill.ffill_bfill(ticks_in_cells(spark, sf), "value", tick_track()).drop("cell")
+    return fill.ffill_bfill(ticks_in_cells(spark, sf), "value", tick_track()).drop("cell", "place")
 
 
-@query(_line("ticks", "event_type", "ts", "event_type, ts, event_id"))
+@query(_line("ticks", "event_type", "ts, event_id", "event_type, ts, event_id"))
 def interpolate_ticks(spark, sf):
     filled = fill.interpolate(ticks_in_cells(spark, sf), "value", tick_track())
-    return rounded(filled, "value").drop("cell")
+    return rounded(filled, "value").drop("cell", "place")
 
 
-@query("""SELECT event_type, event_id, row_number() OVER (PARTITION BY event_type ORDER BY ts) - 1
-    AS session FROM events""")
+@query("""SELECT event_type, event_id, row_number() OVER (PARTITION BY event_type
+    ORDER BY ts, event_id) - 1    AS session FROM events""")
 def session_number_ticks(spark, sf):
     numbered = fill.session_number(ticks_in_cells(spark, sf), tick_track())
     return numbered.select("event_type", "event_id", "session")
 
 
 @query(f"""SELECT event_type, event_id, value, {_MOVES.format(v="value")}
-FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts)""")
+FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id)""")
 def momentum_ticks(spark, sf):
-    events = even_cells(a.table(spark, sf, "events"), "ts")
+    events = even_cells(a.table(spark, sf, "events"), "ts", "event_id", place="place")
     signals = fill.momentum_signals(events, "value", tick_track())
     return signals.select("event_type", "event_id", "value", "entry", "exit")

@@ -27,7 +27,7 @@ def hold_equity(spark, sf):
 
 
 @query(f"""SELECT event_type, event_id,
-    {s6('value / first_value(value) OVER (PARTITION BY event_type ORDER BY ts)')} AS equity
+    {s6('value / first_value(value) OVER (PARTITION BY event_type ORDER BY ts, event_id)')} AS equity
 FROM events""")
 def hold_equity_ticks(spark, sf):
     held = portfolio.hold_equity(_tick_values(spark, sf), 1.0, "value", tick_track())
@@ -36,7 +36,7 @@ def hold_equity_ticks(spark, sf):
 
 def _tick_values(spark, sf):
     events = a.table(spark, sf, "events").select("event_type", "event_id", "ts", "value")
-    return even_cells(events, "ts")
+    return even_cells(events, "ts", "event_id", place="place")
 
 
 @query(using("panel", f"""SELECT symbol,
@@ -75,7 +75,7 @@ def hold_equity_lots(spark, sf):
 
 def _signal_sql(source, key, order, value, keep, entry, leave):
     w = f"PARTITION BY {key} ORDER BY {order}"
-    return f"""s AS (SELECT {keep}, {key} AS k, {order} AS o, {value} AS v,
+    return f"""s AS (SELECT {keep}, {key} AS k, ({order}) AS o, {value} AS v,
     {entry} AS entry, {leave} AS leave FROM {source} WINDOW w AS ({w})),
 st AS (SELECT *, coalesce(last_value(CASE WHEN entry THEN 1 WHEN leave THEN 0 END IGNORE NULLS)
     OVER (PARTITION BY k ORDER BY o ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) AS state
@@ -101,7 +101,7 @@ def signal_equity(spark, sf):
 
 
 @query("WITH " + _signal_sql(
-    "events", "event_type", "ts", "1000 + value", "event_type, event_id",
+    "events", "event_type", "ts, event_id", "1000 + value", "event_type, event_id",
     "value > 90", "value < 2") + f"""
 SELECT event_type, event_id, state = 1 AS long, CAST(trades AS BIGINT) AS trades,
     round(lg, 4) + CAST(0 AS DOUBLE) AS log_equity FROM e""")
@@ -175,7 +175,7 @@ def max_drawdown(spark, sf):
 
 
 @query(f"""SELECT event_type, event_id, {s6('''value / nullif(max(value) OVER
-    (PARTITION BY event_type ORDER BY ts), 0) - 1''')} AS drawdown FROM events""")
+    (PARTITION BY event_type ORDER BY ts, event_id), 0) - 1''')} AS drawdown FROM events""")
 def drawdown_ticks(spark, sf):
     fallen = risk.drawdown(_tick_values(spark, sf), "value", tick_track())
     return rounded(fallen, "drawdown").select("event_type", "event_id", "drawdown")
@@ -185,20 +185,20 @@ _TICK_YEARS = """greatest(date_diff('day', CAST(min(ts) AS DATE), CAST(max(ts) A
     / 365.25::DOUBLE, 1::DOUBLE)"""
 
 
-@query(f"""WITH t AS (SELECT event_type, ts, value + 100 AS v FROM events),
+@query(f"""WITH t AS (SELECT event_type, ts, event_id, value + 100 AS v FROM events),
 d AS (SELECT *, v / lag(v) OVER w - 1 AS ret, v / max(v) OVER w - 1 AS dd
-    FROM t WINDOW w AS (PARTITION BY event_type ORDER BY ts))
+    FROM t WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id))
 SELECT event_type, min(ts) AS start_date, max(ts) AS end_date,
-    {s6("arg_min(v, ts)")} AS start_value, {s6("arg_max(v, ts)")} AS end_value,
-    {s6("arg_max(v, ts) - arg_min(v, ts)")} AS total_profit,
-    {s6("arg_max(v, ts) / arg_min(v, ts) - 1")} AS total_return,
-    {s6(f"(pow(arg_max(v, ts) / arg_min(v, ts), 1 / {_TICK_YEARS}) - 1) * 100")} AS cagr_pct,
+    {s6("arg_min(v, (ts, event_id))")} AS start_value, {s6("arg_max(v, (ts, event_id))")} AS end_value,
+    {s6("arg_max(v, (ts, event_id)) - arg_min(v, (ts, event_id))")} AS total_profit,
+    {s6("arg_max(v, (ts, event_id)) / arg_min(v, (ts, event_id)) - 1")} AS total_return,
+    {s6(f"(pow(arg_max(v, (ts, event_id)) / arg_min(v, (ts, event_id)), 1 / {_TICK_YEARS}) - 1) * 100")} AS cagr_pct,
     {s6(_VOL)} AS volatility, {s6(_SHARPE0)} AS sharpe, {s6(_SORTINO)} AS sortino,
     {s6("min(dd)")} AS max_drawdown FROM d GROUP BY 1""")
 def strategy_stats_ticks(spark, sf):
     """Figures of five whole tick series, each spread over cells."""
     values = _tick_values(spark, sf).withColumn("value", F.col("value") + 100)
-    figures = risk.strategy_stats(values, "value", track=tick_track())
+    figures = risk.strategy_stats(values, "value", track=tick_track(), date="ts")
     return rounded(figures, "start_value", "end_value", *_FIGURES)
 
 

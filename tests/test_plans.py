@@ -58,13 +58,6 @@ def test_rows_are_shuffled_once_by_cell(spark, bars):
     assert "partial_max_by" in text
 
 
-def test_wide_day_tables_are_not_forced(spark, bars):
-    few = align.by_day(bars, align.FEW_COLUMNS)
-    many = align.by_day(bars, align.FEW_COLUMNS + 1)
-    assert "ResolvedHint" in few._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" not in many._jdf.queryExecution().analyzed().toString()
-
-
 def test_top_n_is_cut_before_the_shuffle(bars):
     assert plan(clean.preview_each(bars, "symbol", ["date"], 2)).count("WindowGroupLimit") == 2
     assert "TakeOrderedAndProject" in plan(clean.preview(bars, ["date"]))

@@ -104,18 +104,21 @@ def test_fills_equal_pandas(ticks, name):
         pd.testing.assert_series_equal(got, want, check_names=False)
 
 
-def test_even_cells_split_a_burst(spark):
-    """Half of the rows fall in 35 of three million seconds; no cell may hold them all."""
-    calm = spark.range(5000).select((F.col("id") * 600).cast("timestamp").alias("ts"))
-    burst = spark.range(5000).select(
-        F.timestamp_micros(F.lit(1_500_000_000_000) + F.col("id") * 7000).alias("ts")
+@pytest.mark.parametrize("micros", [60_000_000, 1_000_000, 0])
+def test_even_cells_split_a_burst(spark, micros):
+    """A third of a year's rows fall in one minute, one second, one moment."""
+    calm = spark.range(6000).select("id", F.timestamp_seconds(F.col("id") * 5256).alias("ts"))
+    burst = spark.range(6000, 9000).select(
+        "id",
+        F.timestamp_micros(F.lit(10**13) + F.col("id") % 100 * F.lit(micros // 100)).alias("ts"),
     )
-    cells = even_cells(calm.union(burst), "ts", rounds=2)
-    assert cells.count() == 10000
+    cells = even_cells(calm.union(burst), "ts", "id", place="place")
+    assert cells.count() == 9000
     top = cells.groupBy("cell").count().agg(F.max("count")).first()[0]
-    assert top <= 1000
-    falling = cells.select("ts", "cell").orderBy("ts").toPandas()["cell"]
-    assert falling.is_monotonic_increasing
+    assert top <= 94  # the root of the number of rows
+    ordered = cells.orderBy("ts", "id").select("cell", "place").toPandas()
+    assert ordered["cell"].is_monotonic_increasing
+    assert ordered["place"].is_monotonic_increasing and ordered["place"].is_unique
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -139,6 +142,24 @@ def test_signal_equity_equals_loop(ticks, name):
             before = r.v
 
 
+@pytest.mark.parametrize("name", NAMES)
+def test_signal_equity_over_missing_prices(ticks, name):
+    df, _ = ticks
+    track, cells = tracks()[name], even_cells(df, "ts")
+    signals = cells.withColumn("entry", F.col("n") % 7 == 1).withColumn("exit", F.col("n") % 7 == 5)
+    got = portfolio.signal_equity(signals, init_cash=1.0, value="v", track=track).toPandas()
+    for _, one in got.sort_values(["k", "ts"]).groupby("k"):
+        equity, long, last = 1.0, False, None
+        for r in one.itertuples():
+            if r.v == r.v and r.v is not None:
+                if last is not None and long:
+                    equity *= r.v / last
+                last = r.v
+            long = True if r.entry else False if r.exit else long
+            assert r.equity == pytest.approx(equity)
+            assert r.long == long
+
+
 @pytest.mark.parametrize("name", NAMES)
 def test_drawdown_and_returns_equal_pandas(ticks, name):
     df, pdf = ticks
@@ -165,7 +186,7 @@ def test_cells_keep_the_order_across_a_clock_change(spark, kind):
             .alias("at"),
         )
         at = F.col("id") if kind == "long" else F.col("at").cast(kind)
-        got = even_cells(minutes.select("id", at.alias("at")), "at").orderBy("at").collect()
+        got = even_cells(minutes.select("id", at.alias("at")), "at").orderBy("at", "cell").collect()
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
     cells = [r.cell for r in got]
