@@ -75,6 +75,12 @@ def emptiness(requests: DataFrame, data: DataFrame, key: str = "symbol") -> Data
     return requests.select(key).distinct().join(data.select(key).distinct(), key, "left_anti")
 
 
+def missing_series(df: DataFrame, key: str = "series_id", value: str = "value") -> DataFrame:
+    """Series without a single present value, which no repair can fill."""
+    counted = df.groupBy(F.col(key).alias("symbol")).agg(F.count(value).alias("n"))
+    return counted.where("n = 0").select("symbol", F.lit("no values").alias("finding"))
+
+
 def first_last(df: DataFrame, key: str, value: str, date: str = "date") -> DataFrame:
     """First and last value of each series in time order."""
     return df.groupBy(key).agg(

@@ -16,7 +16,7 @@ from barloom.operators.clean import (
 )
 from barloom.operators.fill import dedupe_first
 from barloom.operators.portfolio import hold_equity
-from barloom.operators.quality import assert_clean, check_ohlcv, emptiness
+from barloom.operators.quality import assert_clean, check_ohlcv, emptiness, missing_series
 from barloom.operators.risk import strategy_stats
 from barloom.sinks import write_by_alias, write_checked, write_dual
 from barloom.sources.fetching import Fetch, fetch_bars, read_through
@@ -41,10 +41,11 @@ def market_run(
     The tables saved are long; with ``wide_symbols`` they have one row per day and a
     ``Field_TICKER`` column per field of each listed symbol.
     """
-    bars, _ = fetch_bars(_rolled(bars_requests, calendar), fetch_bar, f"{folder}/fetched")
+    bars, _ = fetch_bars(
+        _rolled(bars_requests, calendar), fetch_bar, f"{folder}/fetched", arrival=True
+    )
     series = read_through(_rolled(series_requests, calendar), fetch_value, f"{folder}/series")
-    first = dedupe_first(bars, ["symbol", "date"], ["volume", "close"])
-    aligned = outer_align(first, fill="ffill_bfill")
+    aligned = outer_align(bars, fill="ffill_bfill", arrival=["arrival"])
     if wide_symbols is not None:
         aligned = to_wide(aligned, wide_symbols)
     whole = write_dual(aligned, folder, "yahoo_data")
@@ -93,12 +94,15 @@ def generated_run(
     """Bars of configured generated symbols and of repaired series, one output per alias.
 
     Gives the bars read back from the output, deduplicated and checked, and the requested
-    symbols that were skipped, with the reason.
+    symbols that were skipped, with the reason. A symbol and day that is both generated and in the
+    series is the generated one; a series without any value is skipped and reported.
     """
     known, unknown = configured_only(requested, spec)
     made, findings = synthesize(spec.join(known.select("symbol"), "symbol", "left_semi"), calendar)
     repaired = repaired_series_to_ohlcv(series, strategy, Track(("series_id",)))
-    bars = made.unionByName(repaired)
+    empty_series = missing_series(series, "series_id", "value")
+    both = made.withColumn("__from", F.lit(0)).unionByName(repaired.withColumn("__from", F.lit(1)))
+    bars = dedupe_first(both, ["symbol", "date"], ["__from", "date"]).drop("__from")
     write_by_alias(bars.withColumnRenamed("symbol", "alias"), folder)
     spark = bars.sparkSession
     written = spark.read.schema(
@@ -109,14 +113,13 @@ def generated_run(
         F.col("alias").alias("symbol"), F.col("Date").alias("date"),
         "open", "high", "low", "close", "volume",
     )
-    first = dedupe_first(back, ["symbol", "date"], ["volume", "close"])
-    assert_clean(check_ohlcv(first))
+    assert_clean(check_ohlcv(back))
     empty = emptiness(known, made).withColumn("finding", F.lit("no rows"))
     skipped = (
         unknown.select("symbol", F.lit("no settings").alias("finding"))
         .unionByName(findings.select("symbol", "finding"))
         .unionByName(empty.join(findings, "symbol", "left_anti"))
     )
-    return first, skipped
+    return back, skipped.unionByName(empty_series)
 
 

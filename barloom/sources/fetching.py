@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from barloom.functions import clean_double, normalize_symbol
 from barloom.schemas import BARS, FIELDS, SERIES
-from barloom.shared import land
+from barloom.shared import drop, land, new_path
 
 Fetch = Callable[[str, date, date], pd.DataFrame]
 
@@ -31,12 +31,17 @@ def _ddl(schema, skip=()) -> str:
     )
 
 
-def _attempt(fetch: Fetch, row, attempts: int, wait: float) -> tuple[pd.DataFrame | None, str]:
-    """The fetched frame, or what went wrong in the last of ``attempts`` tries."""
+def _attempt(
+    fetch: Fetch, row, columns: list[str], attempts: int, wait: float
+) -> tuple[pd.DataFrame | None, str]:
+    """The fetched and typed frame, or what went wrong in the last of ``attempts`` tries.
+
+    An answer that cannot be typed is a failure like any other.
+    """
     message = ""
     for turn in range(attempts):
         try:
-            return fetch(row.symbol, row.start, row.end), ""
+            return _typed(fetch(row.symbol, row.start, row.end), columns), ""
         except Exception as problem:  # the provider's errors are data here: a status row
             message = f"{type(problem).__name__}: {problem}"
             if turn + 1 < attempts:
@@ -44,37 +49,48 @@ def _attempt(fetch: Fetch, row, attempts: int, wait: float) -> tuple[pd.DataFram
     return None, message
 
 
-def _typed(got: pd.DataFrame) -> pd.DataFrame:
+def _typed(answer: pd.DataFrame, columns: list[str]) -> pd.DataFrame:
+    got = answer.reindex(columns=columns)
     got["date"] = pd.to_datetime(got["date"]).dt.date
-    if "volume" in got:
-        got["volume"] = got["volume"].astype("Int64")
-    return got
+    for c in columns[1:]:
+        got[c] = got[c].astype("Int64" if c == "volume" else "float64")
+    return got.assign(arrival=range(len(got)))
 
 
 def _fetch_rows(fetch: Fetch, columns: list[str], attempts: int, wait: float):
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples(index=False):
-                got, message = _attempt(fetch, row, attempts, wait)
+                got, message = _attempt(fetch, row, columns, attempts, wait)
                 base = {"symbol": row.symbol, "start": row.start, "end": row.end}
                 if got is None or got.empty:
                     status = "failed" if got is None else "empty"
-                    blank = dict.fromkeys(columns)
+                    blank = dict.fromkeys([*columns, "arrival"])
                     yield pd.DataFrame([{**base, **blank, "status": status, "message": message}])
                 else:
-                    yield _typed(got.reindex(columns=columns)).assign(
-                        **base, status="ok", message=""
-                    )
+                    yield got.assign(**base, status="ok", message="")
 
     return rows
 
 
 def _fetched(
-    requests: DataFrame, fetch: Fetch, schema, path: str, attempts: int, wait: float, tasks: int
+    requests: DataFrame,
+    fetch: Fetch,
+    schema,
+    path: str,
+    attempts: int,
+    wait: float,
+    tasks: int | None,
 ) -> DataFrame:
+    """Answers with their place in the answer, and a row for every request without one.
+
+    ``tasks`` limits how many requests run at once, for providers that need it; the default is
+    what the session runs in parallel. The answer to one request is held by one task.
+    """
+    tasks = tasks or requests.sparkSession.sparkContext.defaultParallelism
     columns = [f.name for f in schema.fields[1:]]
     fetched = _ddl(schema, (schema.fields[0].name,))
-    out = f"symbol string, start date, end date, {fetched}, {_STATUS}"
+    out = f"symbol string, start date, end date, {fetched}, arrival bigint, {_STATUS}"
     answers = requests.repartition(tasks, "symbol", "start", "end").mapInPandas(
         _fetch_rows(fetch, columns, attempts, wait), out
     )
@@ -87,13 +103,16 @@ def fetch_bars(
     path: str,
     attempts: int = 1,
     wait: float = 2.0,
-    tasks: int = 32,
+    tasks: int | None = None,
+    arrival: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Bars of the requested (symbol, start, end), and one status row per request.
 
-    Symbols are trimmed and upper-cased. A request that fails or brings nothing is reported and
-    skipped; only if no request succeeds is that an error. ``fetch`` returns a pandas frame with
-    ``date`` and the OHLCV fields.
+    Symbols are trimmed and upper-cased. A request that fails, brings nothing or brings what
+    cannot be typed is reported and skipped; only if no request succeeds is that an error.
+    ``fetch`` returns a pandas frame with ``date`` and the OHLCV fields. With ``arrival`` the bars
+    have a column of that name that orders them as they came: by request, then by place in the
+    answer.
     """
     wanted = requests.select(
         normalize_symbol(F.col("symbol")).alias("symbol"), "start", "end"
@@ -106,42 +125,54 @@ def fetch_bars(
     )
     if answers.where("status = 'ok'").isEmpty():
         raise RuntimeError("no request brought any data")
+    came = [F.struct("start", "end", "arrival").alias("arrival")] if arrival else []
     bars = answers.where("status = 'ok'").select(
-        "symbol", "date", *[clean_double(F.col(f)).alias(f) for f in FIELDS[:-1]], "volume"
+        "symbol", "date", *[clean_double(F.col(f)).alias(f) for f in FIELDS[:-1]], "volume", *came
     )
     return bars, status
 
 
 def read_through(
     requests: DataFrame, fetch: Fetch, landed: str, attempts: int = 3, wait: float = 2.0,
-    tasks: int = 32,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Series of the requested (symbol, start, end), fetched only where not landed before.
 
-    Landed rows carry their request, so the request key is the cache key. An empty or failed
-    request leaves nothing behind and is tried again next time.
+    ``landed``/rows holds the rows by symbol, each with its request; ``landed``/manifest lists the
+    requests that are there, so what is known is found without reading rows. An empty or failed
+    request leaves nothing behind and is tried again next time. A day that several requests cover
+    comes once, from the request that starts first.
     """
     spark = requests.sparkSession
     key = ["symbol", "start", "end"]
     wanted = requests.select(*key).distinct()
-    store = f"{landed}/rows"
+    store, manifest = f"{landed}/rows", f"{landed}/manifest"
     try:
-        known = spark.read.parquet(store).select(*key).distinct()
+        known = spark.read.parquet(manifest).select(*key).distinct()
         to_fetch = wanted.join(known, key, "left_anti")
-    except AnalysisException:  # nothing has been landed yet
-        to_fetch = wanted
-    answers = _fetched(
-        to_fetch, fetch, SERIES, f"{landed}/last_fetch", attempts, wait, tasks
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        to_fetch = wanted  # nothing has been landed yet
+    fetched = new_path(spark, "fetched")
+    answers = _fetched(to_fetch, fetch, SERIES, fetched, attempts, wait, tasks)
+    brought = answers.where("status = 'ok'")
+    brought.select(
+        *key, "date", "arrival", clean_double(F.col("value")).alias("value")
+    ).repartition("symbol").sortWithinPartitions("symbol", "date").write.mode(
+        "append"
+    ).partitionBy("symbol").parquet(store)
+    brought.groupBy(*key).agg(F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(
+        manifest
     )
-    answers.where("status = 'ok'").select(
-        *key, "date", clean_double(F.col("value")).alias("value")
-    ).sortWithinPartitions("symbol", "date").write.mode("append").parquet(store)
     failed = answers.where("status = 'failed'").select(*key, "message").take(1)
     if failed:
         raise RuntimeError(f"request {failed[0].symbol} failed: {failed[0].message}")
+    drop(spark, fetched)
     rows = spark.read.schema(
-        "symbol string, start date, end date, date date, value double"
+        "symbol string, start date, end date, date date, arrival bigint, value double"
     ).parquet(store)
-    return rows.join(wanted, key, "left_semi").select(
-        F.col("symbol").alias("series_id"), "date", "value"
-    )
+    came = F.struct("start", "end", "arrival")
+    return rows.join(wanted, key, "left_semi").groupBy(
+        F.col("symbol").alias("series_id"), "date"
+    ).agg(F.min_by("value", came).alias("value"))

@@ -23,9 +23,9 @@ def agg_row_counts(spark, sf):
 @query(using("gapped_bars", " UNION ALL ".join(
     f"""SELECT '{c}' AS column_name, count(*) AS n_rows, count("{c}") AS n_present,
     count("{c}") = 0 AS all_missing, count("{c}") > 0 AS any_present FROM gapped_bars"""
-    for c in ("symbol", "close", "volume"))))
+    for c in ("symbol", "date", "open", "high", "low", "close", "volume"))))
 def agg_missing_profile(spark, sf):
-    return quality.missing_profile(a.gapped_bars(spark, sf), ["symbol", "close", "volume"])
+    return quality.missing_profile(a.gapped_bars(spark, sf))
 
 
 @query("""SELECT CAST(c_custkey AS VARCHAR) AS symbol FROM customer

@@ -119,6 +119,33 @@ def signal_equity_ticks(spark, sf):
     return curve.select("event_type", "event_id", "long", "trades", "log_equity")
 
 
+_GAPPED = """s AS (SELECT symbol, date, "close" AS v, dayofmonth(date) % 7 = 1 AS entry,
+    dayofmonth(date) % 7 = 5 AS leave FROM gapped_bars),
+l AS (SELECT *, last_value(v IGNORE NULLS) OVER (w ROWS UNBOUNDED PRECEDING) AS known,
+    coalesce(last_value(CASE WHEN entry THEN 1 WHEN leave THEN 0 END IGNORE NULLS)
+        OVER (w ROWS UNBOUNDED PRECEDING), 0) AS state
+    FROM s WINDOW w AS (PARTITION BY symbol ORDER BY date)),
+p AS (SELECT *, lag(known) OVER w AS pv, coalesce(lag(state) OVER w, 0) AS was
+    FROM l WINDOW w AS (PARTITION BY symbol ORDER BY date)),
+e AS (SELECT *, sum(CASE WHEN was = 1 AND v IS NOT NULL AND pv IS NOT NULL THEN ln(v / pv)
+        ELSE 0 END) OVER w AS lg,
+    sum(CASE WHEN was <> state THEN 1 ELSE 0 END) OVER w AS trades
+    FROM p WINDOW w AS (PARTITION BY symbol ORDER BY date))"""
+
+
+@query(using("gapped_bars", ", " + _GAPPED + """
+SELECT symbol, date, state = 1 AS long, CAST(trades AS BIGINT) AS trades,
+    round(lg, 4) + CAST(0 AS DOUBLE) AS log_equity FROM e"""))
+def signal_equity_gaps(spark, sf):
+    """Growth across missing prices counts; signals come on fixed days of the month."""
+    bars = a.gapped_bars(spark, sf).select("symbol", "date", "close")
+    day = F.dayofmonth("date") % 7
+    signals = bars.withColumn("entry", day == 1).withColumn("exit", day == 5)
+    curve = portfolio.signal_equity(signals, init_cash=1.0)
+    logged = curve.withColumn("log_equity", F.round(F.ln("equity"), 4) + F.lit(0.0))
+    return logged.select("symbol", "date", "long", "trades", "log_equity")
+
+
 def _weights(spark):
     return spark.createDataFrame([(s, 0.2) for s in a.EVENT_TYPES], "symbol string, weight double")
 
@@ -140,6 +167,29 @@ def allocated_equity(spark, sf):
     return rounded(curve, "equity")
 
 
+@query(using("gapped_bars", f""", w AS (SELECT symbol, date,
+    CAST(date_trunc('week', date) AS DATE) AS period, last_value("close" IGNORE NULLS)
+        OVER (PARTITION BY symbol ORDER BY date ROWS UNBOUNDED PRECEDING) AS v FROM gapped_bars),
+c AS (SELECT symbol, period, min_by(v, date) FILTER (v IS NOT NULL) AS f, max_by(v, date) AS l
+    FROM w GROUP BY 1, 2),
+b AS (SELECT symbol, period, coalesce(lag(l) OVER (PARTITION BY symbol ORDER BY period), f) AS base,
+    l FROM c),
+n AS (SELECT 1 / CAST(count(DISTINCT symbol) AS DOUBLE) AS weight FROM w),
+t AS (SELECT period, sum(weight * coalesce(l / base, 1)) AS whole FROM b, n GROUP BY 1),
+h AS (SELECT period, coalesce(exp(sum(ln(whole)) OVER (ORDER BY period
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)), 1) AS chain FROM t),
+g AS (SELECT period, date, sum(weight * coalesce(v / base, 1)) AS growth
+    FROM w JOIN b USING (symbol, period), n GROUP BY 1, 2)
+SELECT date, {s6("chain * growth")} AS equity FROM g JOIN h USING (period)"""))
+def allocated_equity_gaps(spark, sf):
+    """A basket of all users' bars, which lack most days."""
+    bars = a.bars(spark, sf).select("symbol", "date", "close").where("close > 0")
+    count = a.bars(spark, sf).select("symbol").distinct()
+    share = count.agg((F.lit(1.0) / F.count("symbol")).alias("weight"))
+    weights = count.withColumn("weight", share.scalar())
+    return rounded(portfolio.allocated_equity(bars, weights, "weekly"), "equity")
+
+
 @query(using("rets", f'SELECT symbol, date, "close", {s6("ret")} AS ret FROM rets'))
 def returns(spark, sf):
     return rounded(risk.returns(_panel(spark, sf)), "ret")
@@ -248,6 +298,26 @@ def metrics_report(spark, sf):
     return _report(spark, sf)
 
 
+def _apart(marks):
+    """Figures of all users' bars; most users share no day with the two benchmarks."""
+    own = f"""WITH bars AS (SELECT CAST(user_id AS VARCHAR) AS symbol, CAST(ts AS DATE) AS date,
+    arg_max(value, ts) + 100 AS "close" FROM events GROUP BY 1, 2),
+rets AS (SELECT symbol, date, "close",
+    "close" / lag("close") OVER ({_W}) - 1 AS ret FROM bars), {_STATS}"""
+    pairs = _PAIRS.replace("'view', 'click'", ", ".join(f"'{m}'" for m in marks))
+    return f"""{own}, {pairs}, ab AS (SELECT symbol, benchmark, {s6(_ALPHA)} AS alpha,
+    {s6(_BETA)} AS beta FROM p GROUP BY 1, 2)
+SELECT st.*, m.benchmark, alpha, beta FROM st
+CROSS JOIN (SELECT unnest([{", ".join(f"'{m}'" for m in marks)}]) AS benchmark) m
+LEFT JOIN ab ON ab.symbol = st.symbol AND ab.benchmark = m.benchmark"""
+
+
+@query(_apart(["1", "2"]))
+def metrics_report_apart(spark, sf):
+    bars = a.bars(spark, sf).select("symbol", "date", (F.col("close") + 100).alias("close"))
+    return rounded(risk.metrics_report(bars, None, ["1", "2"]), *_FIGURES, "alpha", "beta")
+
+
 @query(using("rets", f""", {_STATS}, {_AB}
 SELECT st.*, count(*) AS n_benchmarks, max(beta) FILTER (benchmark = 'view') AS beta_view,
     max(alpha) FILTER (benchmark = 'click') AS alpha_click

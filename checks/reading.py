@@ -131,9 +131,11 @@ class FolderProvider:
         return rows[(days >= start) & (days <= end)]
 
 
-def _provide(df, key):
+def _provide(df, key, *order):
+    """A provider of the rows, each symbol's in the given order."""
     path = new_path(df.sparkSession, "provider")
-    df.write.partitionBy(key).parquet(path)
+    dealt = df.repartition(key).sortWithinPartitions(key, *order) if order else df
+    dealt.drop(*order[1:]).write.partitionBy(key).parquet(path)
     return FolderProvider(path, key)
 
 
@@ -171,22 +173,20 @@ def source_fetch_status(spark, sf):
     return fetch_bars(asked, provider, new_path(spark, "fetched"))[1]
 
 
-@registered(using("series", """SELECT * FROM series WHERE date <= DATE '2001-12-31'"""))
+@registered(using("series", "SELECT * FROM series"))
 def source_read_through(spark, sf):
-    """Early years are fetched first; asking for all years then fetches only the later ones."""
+    """Three years are fetched first, then the last of them again with all years after it."""
     provider = _provide(a.series(spark, sf), "series_id")
-    ids = a.table(spark, sf, "orders").select(F.col("o_orderpriority").alias("symbol")).distinct()
-
-    def years(first, last):
-        return ids.select(
-            "symbol",
-            F.lit(f"{first}-01-01").cast("date").alias("start"),
-            F.lit(f"{last}-12-31").cast("date").alias("end"),
-        )
-
+    spans = a.table(spark, sf, "orders").groupBy(F.col("o_orderpriority").alias("symbol")).agg(
+        F.to_date(F.min("o_orderdate")).alias("first"), F.to_date(F.max("o_orderdate")).alias("end")
+    )
+    early = spans.select(
+        "symbol", F.col("first").alias("start"), F.add_months("first", 36).alias("end")
+    )
+    late = spans.select("symbol", F.add_months("first", 24).alias("start"), "end")
     landed = new_path(spark, "landed")
-    read_through(years(1995, 1997), provider, landed)
-    return read_through(years(1995, 1997).union(years(1998, 2001)), provider, landed)
+    read_through(early, provider, landed)
+    return read_through(early.union(late), provider, landed)
 
 
 @registered(_TYPE_BARS)

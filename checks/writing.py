@@ -95,29 +95,45 @@ def sink_metrics_json(spark, sf):
     )
 
 
-@query(f"""WITH tb AS ({_TYPE_BARS}), span AS (SELECT min(date) lo, max(date) hi FROM tb
+def _filled(column):
+    w = "PARTITION BY s.symbol ORDER BY d.date ROWS BETWEEN"
+    return f"""coalesce(last_value(b.{column} IGNORE NULLS) OVER ({w} UNBOUNDED PRECEDING
+    AND CURRENT ROW), first_value(b.{column} IGNORE NULLS) OVER ({w} CURRENT ROW
+    AND UNBOUNDED FOLLOWING)) AS {column}"""
+
+
+@query(f"""WITH span AS (SELECT min(date) lo, max(date) hi
+    FROM (SELECT CAST(ts AS DATE) AS date FROM events)
     WHERE dayofweek(date) BETWEEN 1 AND 5
     AND date NOT IN (DATE '2024-01-01', DATE '2024-01-15')),
+b AS (SELECT t.* FROM ({_TYPE_BARS}) t, span
+    WHERE date BETWEEN lo AND hi AND (dayofmonth(date) + length(symbol)) % 3 <> 0),
 v AS (SELECT event_type AS series_id, CAST(ts AS DATE) AS date, round(sum(value), 2) AS value
     FROM events GROUP BY 1, 2),
-b AS (SELECT * FROM tb, span WHERE date BETWEEN lo AND hi)
-SELECT upper(b.symbol) AS symbol, b.date, b."open", b.high, b.low, b."close", b.volume,
-    x.value AS "Value_click", y.value AS "Value_view"
-FROM b LEFT JOIN v x ON x.series_id = 'click' AND x.date = b.date
-LEFT JOIN v y ON y.series_id = 'view' AND y.date = b.date""")
+f AS (SELECT s.symbol, d.date, {", ".join(map(_filled, ('"open"', "high", "low", '"close"', "volume")))}
+    FROM (SELECT DISTINCT symbol FROM b) s CROSS JOIN (SELECT DISTINCT date FROM b) d
+    LEFT JOIN b ON b.symbol = s.symbol AND b.date = d.date)
+SELECT upper(f.symbol) AS symbol, f.* EXCLUDE (symbol), x.value AS "Value_click",
+    y.value AS "Value_view"
+FROM f LEFT JOIN v x ON x.series_id = 'click' AND x.date = f.date
+LEFT JOIN v y ON y.series_id = 'view' AND y.date = f.date""")
 def run_market(spark, sf):
-    """Ranges rolled, bars fetched and aligned, two series attached, all saved."""
+    """Ranges rolled, bars fetched, gaps filled, repeated days cut to their first row, two series
+    attached, all saved. The provider lacks days and gives every bar twice, first the right one."""
     span = a.table(spark, sf, "events").agg(
         F.to_date(F.min("ts")).alias("start"), F.to_date(F.max("ts")).alias("end")
     )
     sessions = trading_calendar(span, nyse_holidays(spark, 2020, 2030))
     asked = _bar_requests(spark, sf)
+    gapped = _upper_bars(spark, sf).where((F.dayofmonth("date") + F.length("symbol")) % 3 != 0)
+    wrong = gapped.withColumns({"close": F.lit(0.0), "volume": F.lit(None).cast("bigint")})
+    twice = gapped.withColumn("turn", F.lit(0)).union(wrong.withColumn("turn", F.lit(1)))
     return market_run(
         asked,
         asked.withColumn("symbol", F.trim("symbol")),
         ["click", "view"],
         sessions,
-        _provide(_upper_bars(spark, sf), "symbol"),
+        _provide(twice, "symbol", "date", "turn"),
         _provide(a.daily_totals(spark, sf), "series_id"),
         new_path(spark, "run"),
     )

@@ -146,6 +146,27 @@ def test_fetch(spark, tmp_path):
         fetch_bars(requests(spark, "BAD", "VOID"), Provider(log), str(tmp_path / "none"))
 
 
+class Untyped(Provider):
+    """Answers for ODD with a volume and a date that cannot be typed."""
+
+    def __call__(self, symbol, start, end):
+        got = super().__call__(symbol, start, end)
+        if symbol == "ODD":
+            return got.assign(date="no day", volume=1.5)
+        return got.assign(volume=7, extra="x")
+
+
+def test_answers_that_cannot_be_typed_are_reported(spark, tmp_path):
+    bars, status = fetch_bars(
+        requests(spark, "SPY", "ODD"), Untyped(tmp_path / "log"), str(tmp_path / "got"),
+        arrival=True,
+    )
+    assert {r.symbol: (r.status, r.rows) for r in status.collect()} == {
+        "SPY": ("ok", 5), "ODD": ("failed", 0)
+    }
+    assert [r.arrival.arrival for r in bars.orderBy("arrival").collect()] == [0, 1, 2, 3, 4]
+
+
 def test_fetch_tries_again(spark, tmp_path):
     log = tmp_path / "log"
     bars, _ = fetch_bars(
@@ -162,7 +183,8 @@ def test_read_through(spark, tmp_path):
         requests(spark, "OAS", "VOID").union(requests(spark, "OAS", end="2020-01-07")),
         Provider(log), landed,
     )
-    assert both.count() == 7
+    assert column(both, "value", "date")[:5] == [1, 2, 3, 4, 5]
+    assert both.count() == both.select("date").distinct().count()  # shared days come once
     assert calls(log) == ["OAS", "OAS", "VOID", "VOID"]
     with pytest.raises(RuntimeError, match="BAD"):
         read_through(requests(spark, "BAD", "NEW"), Provider(log), landed, wait=0.01)
