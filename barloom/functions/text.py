@@ -36,12 +36,17 @@ def wide_name(field: str, symbol: str) -> str:
     return f"{field.capitalize()}_{symbol}"
 
 
+def _plain(file_name: Column) -> Column:
+    """A file name without the escapes that Spark gives it."""
+    return F.url_decode(F.replace(file_name, F.lit("+"), F.lit("%2B")))
+
+
 def series_id_of_file(file_name: Column) -> Column:
     """``ID_start_end.csv`` or ``ID.csv`` -> ``ID``."""
     return F.regexp_extract(
-        file_name, r"^(.*?)(_\d{4}-\d{2}-\d{2}_\d{4}-\d{2}-\d{2})?\.[A-Za-z]+(\.gz)?$", 1
+        _plain(file_name), r"^(.*?)(_\d{4}-\d{2}-\d{2}_\d{4}-\d{2}-\d{2})?\.[A-Za-z]+(\.gz)?$", 1
     )
 
 
 def symbol_of_file(file_name: Column) -> Column:
-    return F.regexp_extract(file_name, r"^(.*?)\.[A-Za-z]+(\.gz)?$", 1)
+    return F.regexp_extract(_plain(file_name), r"^(.*?)\.[A-Za-z]+(\.gz)?$", 1)

@@ -20,7 +20,7 @@ from barloom.operators.quality import assert_clean, check_ohlcv, emptiness, miss
 from barloom.operators.risk import strategy_stats
 from barloom.sinks import write_by_alias, write_checked, write_dual
 from barloom.sources.fetching import Fetch, fetch_bars, read_through
-from barloom.sources.files import read_two_header
+from barloom.sources.files import read_symbol_dir, read_two_header
 from barloom.sources.generated import synthesize
 from barloom.track import Track
 
@@ -104,16 +104,10 @@ def generated_run(
     both = made.withColumn("__from", F.lit(0)).unionByName(repaired.withColumn("__from", F.lit(1)))
     bars = dedupe_first(both, ["symbol", "date"], ["__from", "date"]).drop("__from")
     write_by_alias(bars.withColumnRenamed("symbol", "alias"), folder)
-    spark = bars.sparkSession
-    written = spark.read.schema(
-        "Date date, open double, high double, low double, close double, volume bigint, "
-        "alias string"
-    ).option("header", True).csv(folder)
-    back = written.select(
-        F.col("alias").alias("symbol"), F.col("Date").alias("date"),
-        "open", "high", "low", "close", "volume",
-    )
-    assert_clean(check_ohlcv(back))
+    written, _ = read_symbol_dir(bars.sparkSession, folder, folder_of="alias", stored=True)
+    place = Track(("symbol", "stored_file"), ("stored_block", "stored_row"))
+    assert_clean(check_ohlcv(written, place))
+    back = written.drop("stored_file", "stored_block", "stored_row")
     empty = emptiness(known, made).withColumn("finding", F.lit("no rows"))
     skipped = (
         unknown.select("symbol", F.lit("no settings").alias("finding"))

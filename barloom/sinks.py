@@ -47,11 +47,13 @@ def write_checked(df: DataFrame, folder: str, name: str = "validated_data") -> D
 def write_by_alias(df: DataFrame, folder: str, date: str = "date") -> None:
     """One output folder per alias, with the day labelled ``Date``.
 
-    The rebalance hint groups an alias's rows into few files and splits an alias that is large.
+    The rebalance hint groups an alias's rows into few files and splits an alias that is large;
+    the rows of a file are in order of the day.
     """
     named = df.withColumnRenamed(date, "Date")
     (
         named.hint("rebalance", "alias")
+        .sortWithinPartitions("alias", "Date")
         .write.mode("overwrite")
         .partitionBy("alias")
         .option("header", True)

@@ -9,6 +9,7 @@ from barloom.sources.files import (
     read_tagged,
     read_two_header,
     read_wide,
+    source_findings,
 )
 from barloom.sources.generated import bars_from_ticks, synthesize
 
@@ -23,6 +24,7 @@ __all__ = [
     "read_through",
     "read_two_header",
     "read_wide",
+    "source_findings",
     "synthesize",
     "trading_calendar",
 ]

@@ -129,11 +129,13 @@ def read_symbol_dir(
     folder: str,
     requests: DataFrame | None = None,
     folder_of: str | None = None,
+    stored: bool = False,
 ) -> tuple[DataFrame, DataFrame | None]:
     """OHLCV files of one symbol each, and the requested symbols without one.
 
     A symbol is named by its file (``<symbol>.csv``) or, with ``folder_of``, by its partition
-    folder.
+    folder. With ``stored`` the columns stored_file, stored_block and stored_row tell where a row
+    lies: rows of a file are ordered by the last two.
     """
     columns = "Date string, " + ", ".join(f"{f} string" for f in FIELDS)
     raw, name = _named(spark, columns, folder, folder_of, symbol_of_file)
@@ -142,6 +144,7 @@ def read_symbol_dir(
         day(F.col("Date")).alias("date"),
         *[to_number(F.col(f)).alias(f) for f in FIELDS[:-1]],
         to_number(F.col("volume")).try_cast("bigint").alias("volume"),
+        *_stored_place(stored),
     )
     if requests is None:
         return bars, None
@@ -152,18 +155,45 @@ def read_symbol_dir(
     return wanted, missing
 
 
-def load_sources(spark: SparkSession, sources: Sequence[Mapping]) -> DataFrame:
-    """Several typed sources as one long table with a ``source`` column.
+def _stored_place(stored: bool) -> list[Column]:
+    if not stored:
+        return []
+    return [
+        F.col("_metadata.file_path").alias("stored_file"),
+        F.col("_metadata.file_block_start").alias("stored_block"),
+        F.monotonically_increasing_id().alias("stored_row"),
+    ]
 
-    Each entry has ``type`` (``yahoo``: wide bars, ``fred``: tagged series), ``file_path``, and
-    ``tickers`` or ``ticker``. A source that cannot be opened is logged and skipped.
-    """
-    frames = []
+
+def _open(
+    spark: SparkSession, sources: Sequence[Mapping]
+) -> tuple[list[DataFrame], list[tuple[str, str, str]]]:
+    frames, skipped = [], []
     for entry in sources:
         try:
             frames.append(_load(spark, entry))
         except (AnalysisException, ValueError, KeyError) as problem:
             log.error("source %s skipped: %s", entry.get("file_path"), problem)
+            named = entry.get("ticker") or ",".join(entry.get("tickers") or [])
+            skipped.append((str(entry.get("type")), named, type(problem).__name__))
+    return frames, skipped
+
+
+def source_findings(spark: SparkSession, sources: Sequence[Mapping]) -> DataFrame:
+    """The sources that ``load_sources`` skips: type, symbols and kind of error."""
+    return spark.createDataFrame(
+        _open(spark, sources)[1], "type string, symbols string, finding string"
+    )
+
+
+def load_sources(spark: SparkSession, sources: Sequence[Mapping]) -> DataFrame:
+    """Several typed sources as one long table with a ``source`` column.
+
+    Each entry has ``type`` (``yahoo``: wide bars, ``fred``: tagged series), ``file_path``, and
+    ``tickers`` or ``ticker``. A source that cannot be opened is logged and skipped;
+    ``source_findings`` lists those.
+    """
+    frames, _ = _open(spark, sources)
     if not frames:
         raise RuntimeError("none of the sources could be opened")
     whole = frames[0]

@@ -69,6 +69,12 @@ def handle_missing(spark, sf):
     return fill.handle_missing(a.gapped_series(spark, sf), "value", "forward_fill", SERIES)
 
 
+@query(_line("gapped_series", "series_id", "date", "series_id, date"))
+def handle_missing_default(spark, sf):
+    """The default repair, a straight line."""
+    return rounded(fill.handle_missing(a.gapped_series(spark, sf), "value", track=SERIES), "value")
+
+
 @query("""SELECT * FROM (SELECT event_type, CAST(ts AS DATE) AS date, event_id, value FROM events)
 QUALIFY row_number() OVER (PARTITION BY event_type, date ORDER BY event_id) = 1""")
 def dedupe_first(spark, sf):

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from barloom.operators import clean
 from barloom.schemas import FIELDS
-from barloom.shared import new_path
+from barloom.shared import drop, hadoop_path, new_path
 from barloom.sinks import write_by_alias
 from barloom.sources import (
     bars_from_ticks,
@@ -23,6 +23,7 @@ from barloom.sources import (
     read_through,
     read_two_header,
     read_wide,
+    source_findings,
 )
 from checks import adapters as a
 from checks.adapters import using
@@ -66,6 +67,10 @@ def source_tagged(spark, sf):
 
 @registered(_TYPE_BARS)
 def source_two_header(spark, sf):
+    return read_two_header(spark, two_header_csv(spark, sf)).where("volume IS NOT NULL")
+
+
+def two_header_csv(spark, sf):
     path = new_path(spark, "two-header")
     wide = clean.to_wide(type_bars(spark, sf), a.EVENT_TYPES)
     cells = [(s, f) for s in a.EVENT_TYPES for f in FIELDS]
@@ -76,7 +81,7 @@ def source_two_header(spark, sf):
     spark.createDataFrame([(h,) for h in heads], "value string").coalesce(1).write.text(path)
     line = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in wide.columns])
     wide.select(line.alias("value")).write.mode("append").text(path)
-    return read_two_header(spark, path).where("volume IS NOT NULL")
+    return path
 
 
 @registered(_TYPE_BARS)
@@ -103,15 +108,41 @@ UNION ALL SELECT ticker, date, NULL, NULL, NULL, NULL, NULL, 'fred', value, data
 FROM tagged WHERE ticker = '2-HIGH'"""))
 def source_list(spark, sf):
     """Typed sources as one table; the one that does not exist is skipped."""
+    loaded = load_sources(spark, _sources(spark, sf))
+    return loaded.where("volume IS NOT NULL OR source = 'fred'")
+
+
+def _sources(spark, sf):
     wide = clean.to_wide(type_bars(spark, sf), a.EVENT_TYPES)
-    return load_sources(
-        spark,
-        [
-            {"type": "yahoo", "tickers": ["view", "click"], "file_path": _csv(wide, "wide")},
-            {"type": "fred", "ticker": "2-HIGH", "file_path": _csv(a.tagged(spark, sf), "tag")},
-            {"type": "fred", "ticker": "1-URGENT", "file_path": new_path(spark, "absent")},
-        ],
-    ).where("volume IS NOT NULL OR source = 'fred'")
+    return [
+        {"type": "yahoo", "tickers": ["view", "click"], "file_path": _csv(wide, "wide")},
+        {"type": "fred", "ticker": "2-HIGH", "file_path": _csv(a.tagged(spark, sf), "tag")},
+        {"type": "fred", "ticker": "1-URGENT", "file_path": new_path(spark, "absent")},
+    ]
+
+
+@registered("""SELECT DISTINCT 'fred' AS type, o_orderpriority AS symbols,
+    'AnalysisException' AS finding FROM orders WHERE o_orderpriority = '1-URGENT'""")
+def source_list_skipped(spark, sf):
+    """The source that could not be opened."""
+    return source_findings(spark, _sources(spark, sf))
+
+
+@registered(using("series", "SELECT * FROM series"))
+def source_series_files(spark, sf):
+    """One file per series, which names it; the way of ``ID_start_end.csv``."""
+    path = new_path(spark, "series-files")
+    series = a.series(spark, sf).select(
+        F.col("date").alias("Date"), F.col("value").alias("Value"), "series_id"
+    )
+    for name in a.PRIORITIES:
+        one = series.where(F.col("series_id") == name).drop("series_id").coalesce(1)
+        one.write.option("header", True).csv(f"{path}/{name}")
+        files, folder = hadoop_path(spark, f"{path}/{name}")
+        (part,) = [f.getPath() for f in files.listStatus(folder) if f.getPath().getName()[:4] == "part"]
+        files.rename(part, hadoop_path(spark, f"{path}/{name}_1990-01-01_2030-12-31.csv")[1])
+        drop(spark, f"{path}/{name}")
+    return read_series(spark, f"{path}/*.csv")
 
 
 class FolderProvider:

@@ -5,14 +5,21 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from barloom import sinks
-from barloom.operators import risk
+from barloom.operators import quality, risk
 from barloom.plans import generated_run, holding_run, market_run
 from barloom.shared import new_path
 from barloom.sources import nyse_holidays, trading_calendar
 from checks import adapters as a
 from checks.adapters import rounded, s6, using
 from checks.portfolios import _AB, _FIGURES, _STATS, _panel
-from checks.reading import _TYPE_BARS, _bar_requests, _provide, _upper_bars, type_bars
+from checks.reading import (
+    _TYPE_BARS,
+    _bar_requests,
+    _provide,
+    _upper_bars,
+    two_header_csv,
+    type_bars,
+)
 from checks.registry import query
 
 _BAR_TYPES = (
@@ -34,6 +41,20 @@ def sink_checked(spark, sf):
     return sinks.write_checked(a.series(spark, sf), new_path(spark, "checked"))
 
 
+@query("""SELECT n_name AS name, 'name occurs again' AS detail FROM nation WHERE n_nationkey = 0""")
+def sink_checked_refused(spark, sf):
+    """A frame with the same column twice is refused and nothing is written."""
+    name = a.table(spark, sf, "nation").where("n_nationkey = 0").first().n_name
+    series = a.series(spark, sf).withColumnRenamed("series_id", name)
+    twice = series.select("*", F.lit(0).alias(name))
+    found = quality.check_duplicate_columns(spark, twice.columns)
+    try:
+        sinks.write_checked(twice, new_path(spark, "refused"))
+    except quality.FindingsError:
+        return found.select(F.col("subject").alias("name"), "detail")
+    raise AssertionError("a repeated column was written")
+
+
 @query("""SELECT n.n_name AS alias, CAST(o_orderdate AS DATE) AS "Date", o_orderkey, o_totalprice
 FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation n ON n_nationkey = c_nationkey""")
 def sink_by_alias(spark, sf):
@@ -139,17 +160,27 @@ def run_market(spark, sf):
     )
 
 
-@query(f"""WITH rets AS (SELECT symbol, date, "close",
+_HOLDING = f"""WITH rets AS (SELECT symbol, date, "close",
     "close" / lag("close") OVER (PARTITION BY symbol ORDER BY date) - 1 AS ret
     FROM (SELECT symbol, date, 100 * high / first_value(high) OVER (ORDER BY date) AS "close"
           FROM ({_TYPE_BARS}) WHERE symbol = 'view')), {_STATS}
-SELECT * REPLACE ({s6("start_value")} AS start_value, {s6("end_value")} AS end_value) FROM st""")
+SELECT * REPLACE ({s6("start_value")} AS start_value, {s6("end_value")} AS end_value) FROM st"""
+
+
+@query(_HOLDING)
 def run_holding(spark, sf):
     """Buy and hold of one (symbol, field) target."""
     figures = holding_run(type_bars(spark, sf), ["VIEW", "high"])
     return rounded(figures, "start_value", "end_value", *_FIGURES)
 
 
+@query(_HOLDING)
+def run_holding_csv(spark, sf):
+    """The same from a CSV with two header lines."""
+    figures = holding_run(two_header_csv(spark, sf), ["VIEW", "high"], spark=spark)
+    return rounded(figures, "start_value", "end_value", *_FIGURES)
+
+
 _NATIONS = """spec AS (SELECT n_name AS symbol, CAST(min(o_orderdate) AS DATE) AS "start",
     CAST(max(o_orderdate) AS DATE) AS "end", max(o_totalprice) AS start_value,
     CASE WHEN n_regionkey = 1 THEN 'cash' ELSE 'linear' END AS data_type
