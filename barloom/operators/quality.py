@@ -161,9 +161,9 @@ def check_duplicate_columns(spark: SparkSession, names: Sequence[str]) -> DataFr
 def check_header_lines(spark: SparkSession, path: str) -> DataFrame:
     """Names that occur more than once in the header line of a CSV file, for all files at once.
 
-    A header line is one that does not begin with a date.
+    A header line is one that does not begin with a date. Commas inside quotes part no cells.
     """
-    cells = F.split("value", ",")
+    cells = F.split("value", r',(?=(?:[^"]*"[^"]*")*[^"]*$)')
     heads = spark.read.text(path).where(day(F.btrim(cells[0], F.lit(HEADER_JUNK))).isNull())
     return (
         heads.select(F.col("_metadata.file_path").alias("file"), F.explode(cells).alias("name"))

@@ -16,7 +16,7 @@ from barloom.operators.quality import (
     reconcile_counts,
 )
 from barloom.schemas import TABLES
-from barloom.shared import land, new_path
+from barloom.shared import drop, land, new_path
 from barloom.track import quoted
 
 log = logging.getLogger(__name__)
@@ -80,13 +80,17 @@ def replace_table(
             *[F.col(quoted(f.name)).cast(f.dataType).alias(f.name) for f in schema.fields]
         )
         key = declared if key is None else key
+    spark, checked = kept.sparkSession, None
     if key is not None:
-        kept = land(kept, new_path(kept.sparkSession, "checked"))
+        checked = new_path(spark, "checked")
+        kept = land(kept, checked)
         assert_clean(check_keys(kept, key))
     writer = kept.write.mode("overwrite").format("parquet")
     if path is not None:
         writer = writer.option("path", path)
     writer.saveAsTable(table)
+    if checked is not None:
+        drop(spark, checked)
 
 
 def write_and_reconcile(
@@ -94,15 +98,17 @@ def write_and_reconcile(
 ) -> DataFrame:
     """Write a table and a CSV of it, and give the counts back if they differ.
 
-    A difference is a warning; errors of the writes are raised.
+    A difference is a warning; errors of the writes are raised. The frame is computed once.
     """
-    spark = df.sparkSession
-    replace_table(df, table, path)
+    spark, copy = df.sparkSession, new_path(df.sparkSession, "frame")
+    frame = land(drop_duplicate_columns(df), copy)
+    replace_table(frame, table, path)
     written = spark.table(table)
     _csv(written, csv_path)
-    findings = reconcile_counts(
-        frame=df, table=written, file=spark.read.option("header", True).csv(csv_path)
-    )
+    file = spark.read.option("header", True).csv(csv_path)
+    counts = reconcile_counts(frame=frame, table=written, file=file)
+    findings = spark.createDataFrame(counts.collect(), counts.schema)  # three counts at most
+    drop(spark, copy)
     if not findings.isEmpty():
         log.warning("row counts of table %s and %s differ", table, csv_path)
     return findings

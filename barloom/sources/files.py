@@ -81,8 +81,11 @@ def _long(raw: DataFrame, columns: Mapping[str, Mapping[str, str]], date: Column
 
 
 def read_wide(spark: SparkSession, path: str) -> DataFrame:
-    """First column the day, the others ``Field_TICKER``; ``Value_<id>`` columns are left out."""
-    raw = spark.read.option("header", True).csv(path)
+    """First column the day, the others ``Field_TICKER``; ``Value_<id>`` columns are left out.
+
+    All files of a folder must have the same header; another one is an error when rows are read.
+    """
+    raw = spark.read.option("header", True).option("enforceSchema", False).csv(path)
     time, *names = raw.columns
     columns: dict[str, dict[str, str]] = {}
     for name in names:

@@ -288,3 +288,11 @@ def test_metrics_json(spark, tmp_path):
 
 def test_shared_folder_is_the_sessions(spark):
     assert shared_folder(spark).startswith(spark.conf.get("spark.checkpoint.dir") + "/")
+
+
+def test_wide_files_with_other_headers_are_an_error(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Date,Open_A,Close_A\n2020-01-02,1,2\n")
+    (tmp_path / "b.csv").write_text("Date,Close_A,Open_A\n2020-01-03,3,4\n")
+    assert read_wide(spark, str(tmp_path / "a.csv")).count() == 1
+    with pytest.raises(Exception, match="header"):
+        read_wide(spark, str(tmp_path)).collect()
