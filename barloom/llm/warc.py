@@ -1,7 +1,9 @@
 """Web archives: a deterministic sharded writer, and a reader.
 
 Records are compressed one by one, sorted into one global order and cut into files by their
-compressed size. A task writes a file under a temporary name and renames it when it is whole; the
+compressed size. Their sizes are taken first, which fixes the first page of every file; then they
+are compressed again and go straight to the task that writes their file, so no record is kept or
+moved twice. A task writes a file under a temporary name and renames it when it is whole; the
 manifest, committed by Spark, says which files belong to the archive. The same pages always give
 the same bytes, so a task that runs twice writes the same file twice.
 """
@@ -11,6 +13,7 @@ from __future__ import annotations
 import hashlib
 import uuid
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -23,7 +26,7 @@ from barloom.llm.common import in_order, landed
 from barloom.shared import hadoop_path, new_path
 
 #: Files are closed when their records reach this many compressed bytes.
-ROLL_BYTES = 32 << 20
+ROLL_BYTES = 64 << 20
 #: Equal payloads are written once if they have at least so many bytes.
 REVISIT_BYTES = 100
 #: Stamped on every record, so that an archive depends on its pages alone.
@@ -98,25 +101,72 @@ def revisit(page_id, url, size: int, digest: str, first_id, first_url) -> bytes:
     return _record(headers, _http(size))
 
 
-def _compressed(batches: Batches) -> Batches:
+def _measured(batches: Batches) -> Batches:
+    """Payload size and digest, and the compressed size that the response record would have."""
     schema = {
         "page_id": pa.int64(), "url": pa.string(), "bytes": pa.int64(), "digest": pa.string(),
-        "member": pa.binary(),
+        "size": pa.int64(),
     }
     for batch in batches:
         rows = []
         for page, url, html in zip(*[c.to_pylist() for c in batch.columns], strict=True):
             payload = html or b""
             digest = _sha(payload)
-            rows.append((page, url, len(payload), digest, response(page, url, payload, digest)))
+            size = len(response(page, url, payload, digest))
+            rows.append((page, url, len(payload), digest, size))
         yield batch_of(schema, rows)
 
 
 def _revisits(batches: Batches) -> Batches:
-    schema = {"again": pa.int64(), "short": pa.binary()}
+    schema = {
+        "again": pa.int64(), "page_id": pa.int64(), "url": pa.string(), "digest": pa.string(),
+        "short": pa.binary(),
+    }
     for batch in batches:
         rows = zip(*[c.to_pylist() for c in batch.columns], strict=True)
-        yield batch_of(schema, [(row[0], revisit(*row[1:])) for row in rows])
+        yield batch_of(schema, [(*row[:3], row[4], revisit(*row[1:])) for row in rows])
+
+
+def _key(page_id: int | None, url: str | None, digest: str) -> tuple:
+    """Sorts like the columns do in Spark, null first."""
+    return page_id is not None, page_id or 0, url is not None, (url or "").encode(), digest
+
+
+SHORT, FULL = 0, 1
+MEMBERS = {
+    "file_no": pa.int64(), "page_id": pa.int64(), "url": pa.string(), "digest": pa.string(),
+    "kind": pa.int8(), "member": pa.binary(),
+}
+MEMBER_ROWS = "file_no long, page_id long, url string, digest string, kind byte, member binary"
+
+
+def _dealing(edges):
+    """Records with the number of their file, given the first key of every file."""
+
+    def full(batches: Batches) -> Batches:
+        for batch in batches:
+            rows, held = [], 0
+            for page, url, html in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                payload = html or b""
+                digest = _sha(payload)
+                number = bisect_right(edges.value, _key(page, url, digest)) - 1
+                member = response(page, url, payload, digest)
+                rows.append((number, page, url, digest, FULL, member))
+                held += len(member)
+                if held > 8 * CHUNK:
+                    yield batch_of(MEMBERS, rows)
+                    rows, held = [], 0
+            yield batch_of(MEMBERS, rows)
+
+    def short(batches: Batches) -> Batches:
+        for batch in batches:
+            rows = zip(*[c.to_pylist() for c in batch.columns], strict=True)
+            yield batch_of(MEMBERS, [
+                (bisect_right(edges.value, _key(page, url, digest)) - 1, page, url, digest, SHORT, member)
+                for page, url, digest, member in rows
+            ])
+
+    return full, short
 
 
 def _store(folder: str) -> tuple[pafs.FileSystem, str]:
@@ -126,7 +176,11 @@ def _store(folder: str) -> tuple[pafs.FileSystem, str]:
 
 
 def _writing(folder: str):
-    """Files of a sorted stream of (file_no, place, member); a manifest row for each."""
+    """Files of a sorted stream of records; a manifest row for each.
+
+    Of the rows of one page all revisits come first; each of them stands for one of the full
+    records after them, which is left out.
+    """
 
     def written(batches: Batches) -> Batches:
         files, base = _store(folder)
@@ -162,15 +216,23 @@ def _writing(folder: str):
                     files.delete_file(self.temporary)
                 return self.number, self.name, self.records, self.size, self.sha.hexdigest()
 
-        now = None
+        now, page, instead = None, None, 0
         for batch in batches:
-            numbers, members = batch.column(0).to_pylist(), batch.column(2)
-            for number, member in zip(numbers, members, strict=True):
+            members = batch.column(5)
+            scalars = zip(*[c.to_pylist() for c in batch.columns[:5]], strict=True)
+            for i, (number, *key, kind) in enumerate(scalars):
                 if now is None or now.number != number:
                     if now is not None:
                         yield batch_of(MANIFEST, [now.close()])
-                    now = Open(number)
-                now.add(member.as_py())
+                    now, page = Open(number), None
+                if key != page:
+                    page, instead = key, 0
+                if kind == SHORT:
+                    instead += 1
+                elif instead:
+                    instead -= 1
+                    continue
+                now.add(members[i].as_py())
         if now is not None:
             yield batch_of(MANIFEST, [now.close()])
 
@@ -192,11 +254,10 @@ def write(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES) -> DataFr
     files.mkdirs(place)
 
     raw = pages.select(F.col("page_id").cast("long"), "url", F.col("html").cast("binary"))
-    packed = raw.mapInArrow(
-        _compressed, "page_id long, url string, bytes long, digest string, member binary"
+    facts = raw.mapInArrow(
+        _measured, "page_id long, url string, bytes long, digest string, size long"
     )
-    packed = landed(packed.withColumn("row", F.monotonically_increasing_id()), "members")
-    facts = packed.select("row", "page_id", "url", "bytes", "digest", F.length("member").alias("size"))
+    facts = landed(facts.withColumn("row", F.monotonically_increasing_id()), "facts")
 
     one = F.struct(F.col("page_id").isNull(), "page_id", "url", "row")
     first = facts.where(F.col("bytes") >= REVISIT_BYTES).groupBy("digest").agg(
@@ -208,22 +269,31 @@ def write(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES) -> DataFr
         "row", "page_id", "url", "bytes", "digest", F.col("first.page_id").alias("first_id"),
         F.col("first.url").alias("first_url"),
     )
-    short = landed(again.mapInArrow(_revisits, "again long, short binary"), "revisits")
+    short = landed(
+        again.mapInArrow(
+            _revisits, "again long, page_id long, url string, digest string, short binary"
+        ),
+        "revisits",
+    )
 
-    sized = facts.join(short, F.col("row") == F.col("again"), "left").select(
-        "row", "page_id", "url", "digest", F.coalesce(F.length("short"), "size").alias("size")
+    lengths = short.select("again", F.length("short").alias("short"))
+    sized = facts.join(lengths, F.col("row") == F.col("again"), "left").select(
+        "row", "page_id", "url", "digest", F.coalesce("short", "size").alias("size")
     )
     order = [F.col(c) for c in ("page_id", "url", "digest", "row")]
     placed = in_order(landed(sized, "sized"), order, {"before": "size"})
-    cut = placed.select(
-        F.col("row").alias("at"), F.col("__place").alias("place"),
-        F.floor(F.col("before") / F.lit(roll_bytes)).alias("file_no"),
+    number = F.floor(F.col("before") / F.lit(roll_bytes)).alias("file_no")
+    starts = placed.groupBy(number).agg(F.min(F.struct("page_id", "url", "digest")).alias("key"))
+    # One key per file, so by the archive's size a small table; where equal pages lie on both
+    # sides of a cut, they all go to the later file.
+    keys = sorted({_key(*r["key"]) for r in starts.select("key").collect()})
+    full_of, short_of = _dealing(spark.sparkContext.broadcast(keys))
+    members = raw.mapInArrow(full_of, MEMBER_ROWS).union(
+        short.drop("again").mapInArrow(short_of, MEMBER_ROWS)
     )
-    members = packed.select("row", "member").join(cut, F.col("row") == F.col("at"))
-    members = members.join(short, F.col("row") == F.col("again"), "left").select(
-        "file_no", "place", F.coalesce("short", "member").alias("member")
+    dealt = members.repartition("file_no").sortWithinPartitions(
+        "file_no", "page_id", "url", "digest", "kind"
     )
-    dealt = members.repartition("file_no").sortWithinPartitions("file_no", "place")
     manifest = dealt.mapInArrow(_writing(folder), MANIFEST_ROWS)
     manifest.write.mode("overwrite").parquet(f"{folder}/manifest")
     return manifest_of(spark, folder)
