@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import heapq
-from bisect import bisect_left
-from collections.abc import Iterator
 from itertools import groupby
 from math import ceil, log2
 
@@ -12,11 +10,8 @@ import numpy as np
 
 #: Weight of the logarithm in the choice of how many lists are long (DivideSkip's mu).
 MU = 0.02
-
-
-def least_overlap(a: int, b: int, percent: int) -> int:
-    """Least intersection of sets of a and b members with 100 * both >= percent * either."""
-    return -(-percent * (a + b) // (100 + percent))
+#: Entries that are merged through a heap; a counter per set takes more of them.
+HEAP_ENTRIES = 1024
 
 
 class Index:
@@ -32,62 +27,55 @@ class Index:
         self.tokens, self.starts = np.unique(tokens[order], return_index=True)
         self.ends = np.append(self.starts[1:], len(tokens))
 
-    def search(self, wanted: np.ndarray, skip: np.ndarray | None = None) -> Iterator[int]:
+    def search(self, wanted: np.ndarray, skip: np.ndarray) -> np.ndarray:
         """Numbers of the sets that reach the overlap with ``wanted``, except where ``skip``.
 
-        DivideSkip: the shortest lists are merged through a heap, the longest ones are only
-        probed, by binary search, for sets that the short ones brought up often enough.
-        ``skip`` may change while results are taken.
+        DivideSkip: the shortest lists are merged, the longest ones are only probed, by binary
+        search, for the sets that the short ones brought up often enough.
         """
         size = len(wanted)
         least = -(-self.percent * size // 100)  # any partner shares so many
+        none = np.zeros(0, dtype=np.int64)
         if not len(self.tokens) or not size:
-            return
+            return none
         at = np.searchsorted(self.tokens, wanted)
         at = at[at < len(self.tokens)]
         at = at[np.isin(self.tokens[at], wanted)]
         if len(at) < least:
-            return
-        lists = sorted(
-            (self.numbers[self.starts[i] : self.ends[i]] for i in at), key=len
-        )
+            return none
+        at = at[np.argsort(self.ends[at] - self.starts[at], kind="stable")]
+        lists = [self.numbers[self.starts[i] : self.ends[i]] for i in at]
         many = min(least - 1, ceil(least / (MU * log2(len(lists[-1]) + 1) + 1)))
-        short, long = lists[: len(lists) - many], lists[len(lists) - many :]
-        long = [found.tolist() for found in long]
-        merged = heapq.merge(*[found.tolist() for found in short])
-        for number, hits in groupby(merged):
-            count = sum(1 for _ in hits)
-            if count + len(long) < least or (skip is not None and skip[number]):
-                continue
-            other = int(self.sizes[number])
-            if 100 * min(size, other) < self.percent * max(size, other):
-                continue
-            need = least_overlap(size, other, self.percent)
-            left = len(long)
-            for found in reversed(long):
-                if count >= need or count + left < need:
-                    break
-                left -= 1
-                place = bisect_left(found, number)
-                count += place < len(found) and found[place] == number
-            if count >= need:
-                yield number
-
-
-class Forest:
-    """Which sets of a block are known to be connected."""
-
-    def __init__(self, size: int):
-        self.parent = list(range(size))
-
-    def root(self, x: int) -> int:
-        while self.parent[x] != x:
-            self.parent[x] = self.parent[self.parent[x]]
-            x = self.parent[x]
-        return x
-
-    def join(self, x: int, y: int) -> bool:
-        """True if this connects two parts."""
-        x, y = self.root(x), self.root(y)
-        self.parent[max(x, y)] = min(x, y)
-        return x != y
+        numbers, counts = merged(lists[: len(lists) - many], len(self.sizes))
+        others = self.sizes[numbers]
+        small, large = np.minimum(size, others), np.maximum(size, others)
+        sound = (counts + many >= least) & ~skip[numbers] & (100 * small >= self.percent * large)
+        numbers, counts = numbers[sound], counts[sound]
+        need = -(-self.percent * (size + self.sizes[numbers]) // (100 + self.percent))
+        left = many
+        for found in reversed(lists[len(lists) - many :]):
+            if not len(numbers):
+                return none
+            left -= 1
+            place = np.minimum(np.searchsorted(found, numbers), len(found) - 1)
+            counts = counts + (found[place] == numbers)
+            alive = counts + left >= need
+            if not alive.all():
+                numbers, counts, need = numbers[alive], counts[alive], need[alive]
+        return numbers
+
+
+def merged(lists: list[np.ndarray], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers on ascending lists, ascending, and on how many lists each is.
+
+    A heap of the lists' heads yields equal numbers one after the other. Many long lists are
+    cheaper to count in an array with a place per number.
+    """
+    if sum(map(len, lists)) > HEAP_ENTRIES:
+        counts = np.bincount(np.concatenate(lists), minlength=size)
+        numbers = np.nonzero(counts)[0]
+        return numbers, counts[numbers]
+    heads = heapq.merge(*[found.tolist() for found in lists])
+    pairs = [(number, sum(1 for _ in hits)) for number, hits in groupby(heads)]
+    out = np.array(pairs, dtype=np.int64).reshape(-1, 2)
+    return out[:, 0], out[:, 1]

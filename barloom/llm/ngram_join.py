@@ -1,14 +1,17 @@
 """N-gram Jaccard join: which texts share enough of their word shingles, without missing any.
 
 An inverted list of a shingle is the list of texts that hold it. A text can only reach the
-required overlap with texts found on its shortest lists; as many as the overlap allows to miss,
-plus one. List lengths come from counters over all texts, so the lists to look at are short, and
-lists of widespread passages are left to be probed. All texts on one short list meet in the cell
-of the least id on it. Inside a cell DivideSkip runs the T-occurrence search: short lists are
-merged through a heap, long ones are probed by binary search, and texts that reach the overlap
+required overlap with texts found on its shortest lists: as many lists as the overlap allows to
+miss, plus one. A fixed share of all shingles, told by their hash, is posted, which is enough to
+take the shortest lists from; lists of one text need no further step, and lists of passages that
+many texts share are too long to be among the shortest. All texts on one short list meet in the
+cell of the least text on it. Inside a cell DivideSkip runs the T-occurrence search: short lists
+are merged through a heap, long ones are probed by binary search, and texts that reach the overlap
 are linked. Links join groups; a text already in the group of another is not compared with it
 again, so a large group of copies costs about one comparison per copy and is never written as
 pairs.
+
+Shingles and sets are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -17,109 +20,154 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.llm.batches import Batches, batch_of, cells
 from barloom.llm.common import landed
-from barloom.llm.divideskip import Forest, Index
+from barloom.llm.divideskip import Index
 from barloom.llm.graph import components
 from barloom.llm.shingles import fingerprint, shingle_sets
 
-#: Counters of list lengths: 2 ** COUNTER_BITS in all, whatever the number of texts. A coarser
-#: count only makes lists longer; any order of lists gives all links.
-COUNTER_BITS, SLICE = 20, 1024
 #: A block of a cell holds about so many texts and so many shingles; larger cells are cut.
 BLOCK_TEXTS, BLOCK_SHINGLES = 4096, 1 << 21
+#: Posted shingles and written sets per Arrow batch.
+ROWS = 1 << 16
+#: Bits of the filter that says which texts the cells need: so many per text, up to a bound. A
+#: full filter lets more sets through than needed, which are joined away after it.
+FILTER_BITS, MOST_BITS, SLICE = 16, 1 << 28, 1 << 10  # a slice in bytes
+
+
+def short_lists(size, percent: int):
+    """How many lists a text of so many shingles has to look at (a number or a column)."""
+    if isinstance(size, Column):
+        return F.when(size > 0, size - F.ceil(size * percent / 100.0) + 1).otherwise(0)
+    return size - -(-percent * size // 100) + 1 if size else 0
 
 
-def _slot(found: np.ndarray) -> np.ndarray:
-    return (found >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)
+def _posted(found: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
+    """The shingles of a set that are posted, and how many of them lie in the common share.
+
+    The share is the same part of the hash range for all texts, twice what a text may miss. A
+    small text with fewer there posts the next ones by hash, so that it posts enough.
+    """
+    edge = np.uint64((100 - percent) * 2 * 2**64 // 100 - 1)
+    inside = int(np.searchsorted(found, edge, side="right"))
+    return found[: max(inside, short_lists(len(found), percent))], inside
 
 
-def _counting(words: int) -> Callable[[Batches], Batches]:
-    def count(batches: Batches) -> Batches:
-        total = np.zeros(1 << COUNTER_BITS, dtype=np.uint64)
+FACTS = {"doc_id": pa.int64(), "n": pa.int64(), "a": pa.int64(), "inside": pa.int64()}
+FACT_ROWS = "doc_id long, n long, a long, inside long"
+
+
+def _describing(words: int, percent: int) -> Callable[[Batches], Batches]:
+    def describe(batches: Batches) -> Batches:
+        for batch in batches:
+            rows = []
+            sets = shingle_sets(batch.column(1).to_pylist(), words)
+            for doc, found in zip(batch.column(0).to_pylist(), sets, strict=True):
+                a = fingerprint(found) if len(found) else None
+                rows.append((doc, len(found), a, _posted(found, percent)[1]))
+            yield batch_of(FACTS, rows)
+
+    return describe
+
+
+def _posting(words: int, percent: int) -> Callable[[Batches], Batches]:
+    """(token, a) of posted shingles; a set met again by the same task is not posted again."""
+
+    def flushed(tokens: list[np.ndarray], ids: list[int]) -> pa.RecordBatch:
+        sizes = [len(t) for t in tokens]
+        flat = np.concatenate(tokens).view(np.int64)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(flat), pa.array(np.repeat(np.array(ids, dtype=np.int64), sizes))],
+            names=["token", "a"],
+        )
+
+    def post(batches: Batches) -> Batches:
+        seen, tokens, ids, held = set(), [], [], 0
         for batch in batches:
             for found in shingle_sets(batch.column(0).to_pylist(), words):
-                np.add.at(total, _slot(found), np.uint64(1))
-        yield from _slices(dict(enumerate(total.reshape(-1, SLICE))))
+                a = fingerprint(found) if len(found) else None
+                if a is None or a in seen:
+                    continue
+                seen.add(a)
+                tokens.append(_posted(found, percent)[0])
+                ids.append(a)
+                held += len(tokens[-1])
+                if held > ROWS:
+                    yield flushed(tokens, ids)
+                    tokens, ids, held = [], [], 0
+        if tokens:
+            yield flushed(tokens, ids)
 
-    return count
+    return post
 
 
-def _slices(held: dict[int, np.ndarray]) -> Batches:
-    filled = {k: v for k, v in held.items() if v.any()}
-    yield pa.RecordBatch.from_pydict(
-        {
-            "slice": pa.array(list(filled), pa.int32()),
-            "counts": pa.array([v.tobytes() for v in filled.values()], pa.binary()),
-        }
-    )
+def _slot(x: np.ndarray, slots: int) -> np.ndarray:
+    mixed_ids = x.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return (mixed_ids >> np.uint64(20)).astype(np.int64) % slots
 
 
-def _adding(batches: Batches) -> Batches:
-    held: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for key, data in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-            counts = np.frombuffer(data, dtype=np.uint64)
-            held[key] = held[key] + counts if key in held else counts
-    yield from _slices(held)
+def marked(bits: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Whether the filter has the numbers; it may have others too."""
+    slot = _slot(ids, len(bits) * 8)
+    return (bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
 
 
-def list_lengths(docs: DataFrame, words: int) -> np.ndarray:
-    """How many texts hold the shingles of each counter; a table of fixed size."""
-    shape = "slice int, counts binary"
-    parts = docs.select(F.col("text").cast("binary")).mapInArrow(_counting(words), shape)
-    summed = parts.repartition("slice").mapInArrow(_adding, shape)
-    total = np.zeros((1 << COUNTER_BITS) // SLICE * SLICE, dtype=np.uint32).reshape(-1, SLICE)
-    for row in summed.collect():
-        counts = np.frombuffer(row["counts"], dtype=np.uint64)
-        total[row["slice"]] = np.minimum(counts, np.uint64(0xFFFFFFFF)).astype(np.uint32)
-    return total.reshape(-1)
+def _slices(held: dict[int, np.ndarray]) -> pa.RecordBatch:
+    filled = {k: v.tobytes() for k, v in held.items() if v.any()}
+    return batch_of({"slice": pa.int32(), "bits": pa.binary()}, list(filled.items()))
 
 
-def _describing(words: int, percent: int, lengths) -> Callable[[Batches], Batches]:
-    def describe(batches: Batches) -> Batches:
-        counts = lengths.value
+def id_filter(ids: DataFrame) -> np.ndarray:
+    """A bit per slot of the given numbers: parts of it per task, put together slice by slice."""
+    slices = max(1, min(MOST_BITS, ids.count() * FILTER_BITS) // (8 * SLICE))
+
+    def marking(batches: Batches) -> Batches:
+        own = np.zeros(slices * SLICE, dtype=np.uint8)
         for batch in batches:
-            sizes, ones, twos, prefixes = [], [], [], []
-            for found in shingle_sets(batch.column(1).to_pylist(), words):
-                size = len(found)
-                one, two = fingerprint(found) if size else (None, None)
-                short = size - -(-percent * size // 100) + 1 if size else 0
-                order = np.lexsort((found, counts[_slot(found)]))[:short]
-                sizes.append(size)
-                ones.append(one)
-                twos.append(two)
-                prefixes.append(found[order].view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array(sizes, pa.int64()),
-                    pa.array(ones, pa.int64()),
-                    pa.array(twos, pa.int64()),
-                    pa.array(prefixes, pa.list_(pa.int64())),
-                ],
-                names=["doc_id", "n", "a", "b", "short"],
-            )
+            slot = _slot(batch.column(0).to_numpy(zero_copy_only=False), len(own) * 8)
+            np.bitwise_or.at(own, slot >> 3, np.left_shift(1, slot & 7).astype(np.uint8))
+        yield _slices(dict(enumerate(own.reshape(-1, SLICE))))
+
+    def uniting(batches: Batches) -> Batches:
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for key, data in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                part = np.frombuffer(data, dtype=np.uint8)
+                held[key] = held[key] | part if key in held else part
+        yield _slices(held)
+
+    shape = "slice int, bits binary"
+    parts = ids.mapInArrow(marking, shape).repartition("slice").mapInArrow(uniting, shape)
+    out = np.zeros((slices, SLICE), dtype=np.uint8)
+    for row in parts.collect():  # MOST_BITS at most
+        out[row["slice"]] = np.frombuffer(row["bits"], dtype=np.uint8)
+    return out.reshape(-1)
 
-    return describe
 
+SETS = {"x": pa.int64(), "a": pa.int64(), "set": pa.list_(pa.int64())}
+
+
+def _setting(words: int, wanted) -> Callable[[Batches], Batches]:
+    """Whole sets of the texts that the filter lets through."""
 
-def _setting(words: int) -> Callable[[Batches], Batches]:
     def sets(batches: Batches) -> Batches:
+        bits = wanted.value
         for batch in batches:
-            ids, ones, twos, texts = (c.to_pylist() for c in batch.columns)
-            rows = [], []
-            for doc, one, two, found in zip(ids, ones, twos, shingle_sets(texts, words), strict=True):
-                if fingerprint(found) == (one, two):  # else another text of a repeated doc_id
-                    rows[0].append(doc)
-                    rows[1].append(np.sort(found.view(np.int64)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.list_(pa.int64()))],
-                names=["x", "set"],
-            )
+            ids = batch.column(0).to_pylist()
+            there = marked(bits, np.array([i or 0 for i in ids], dtype=np.int64))
+            rows = [i for i in np.nonzero(there)[0] if ids[i] is not None]
+            texts, out, held = batch.column(1), [], 0
+            for i, found in zip(rows, shingle_sets((texts[int(i)].as_py() for i in rows), words), strict=True):
+                if len(found):
+                    out.append((ids[i], fingerprint(found), np.sort(found.view(np.int64))))
+                    held += len(found)
+                if held > 8 * ROWS:
+                    yield batch_of(SETS, out)
+                    out, held = [], 0
+            yield batch_of(SETS, out)
 
     return sets
 
@@ -135,39 +183,40 @@ def _links(rows: Iterator[list[tuple[int, int, int]]]) -> Batches:
 
 
 def search_block(
-    ids: list[int], sets: list[np.ndarray], percent: int, queries: list[int], forest: Forest
+    index: Index, ids: list[int], sets: list[np.ndarray], queries: list[int], roots: np.ndarray
 ) -> list[tuple[int, int]]:
-    """Links that connect the queries with what they reach, one for each two parts joined."""
-    index, found = Index(sets, percent), []
-    roots = np.array([forest.root(i) for i in range(len(ids))])
+    """Links that connect the queries with what they reach, one for each two parts joined.
+
+    ``roots`` tells the parts, by any member each, and is kept up to date.
+    """
+    links = []
     for q in queries:
-        skip = roots == roots[q]
-        for number in index.search(sets[q], skip):
-            if skip[number]:
-                continue
-            found.append((ids[q], ids[number]))
-            joined = roots == roots[number]
-            forest.join(q, number)
-            roots[joined | skip] = forest.root(q)
-            skip |= joined
-    return found
+        found = index.search(sets[q], roots == roots[q])
+        parts, first = np.unique(roots[found], return_index=True)
+        links += [(ids[q], ids[i]) for i in found[first]]
+        roots[np.isin(roots, parts)] = roots[q]
+    return links
 
 
 def _within(percent: int) -> Callable[[Batches], Batches]:
-    """Blocks of a cell: its centre first, then the texts that are not linked to the centre."""
+    """Blocks of a cell: its centre first, then the texts that are not linked to the centre.
+
+    Texts in the centre's part are connected, so only texts outside it have anything to find.
+    """
 
     def rows(batches: Batches) -> Iterator[list[tuple[int, int, int]]]:
         for (centre, _), texts in cells(batches, 2):
             ids, blocks, sets = zip(*texts, strict=True)
             if centre not in ids:
                 continue
-            at, forest = ids.index(centre), Forest(len(ids))
-            order = [at, *[i for i in range(len(ids)) if i != at]]
-            found = search_block(ids, sets, percent, order, forest)
+            at, index, roots = ids.index(centre), Index(list(sets), percent), np.arange(len(ids))
+            found = search_block(index, ids, sets, [at], roots)
+            for i in range(len(ids)):
+                if roots[i] != roots[at]:
+                    found += search_block(index, ids, sets, [i], roots)
             out = [(EDGE, *link) for link in found]
             if blocks[0] > 1:
-                own = forest.root(at)
-                out += [(LEFT, centre, x) for i, x in enumerate(ids) if forest.root(i) != own]
+                out += [(LEFT, centre, ids[i]) for i in np.nonzero(roots != roots[at])[0]]
             yield out
 
     return lambda batches: _links(rows(batches))
@@ -180,12 +229,11 @@ def _across(percent: int) -> Callable[[Batches], Batches]:
         for _, texts in cells(batches, 3):
             # role 0: linked to the centre, 1: in the block, 2: left over elsewhere
             ids, roles, sets = zip(*texts, strict=True)
-            forest = Forest(len(ids))
-            linked = [i for i, role in enumerate(roles) if role == 0]
-            for i in linked[1:]:
-                forest.join(linked[0], i)
-            queries = [i for i, role in enumerate(roles) if role == 2]
-            yield [(EDGE, *link) for link in search_block(ids, sets, percent, queries, forest)]
+            index, roots, role = Index(list(sets), percent), np.arange(len(ids)), np.array(roles)
+            if (role == 0).any():
+                roots[role == 0] = np.nonzero(role == 0)[0][0]
+            queries = np.nonzero(role == 2)[0].tolist()
+            yield [(EDGE, *link) for link in search_block(index, ids, sets, queries, roots)]
 
     return lambda batches: _links(rows(batches))
 
@@ -239,52 +287,68 @@ def _link_cells(members: DataFrame, sizes: DataFrame, sets: DataFrame, percent:
     return links.union(landed(more, "links").select("u", "v"))
 
 
+def _met(texts: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFrame:
+    """(c, x): texts on a short list, with the least text of the list; sets stand for texts."""
+    postings = texts.select("text").mapInArrow(_posting(words, percent), "token long, a long")
+    held = Window.partitionBy("token")
+    lists = postings.select(
+        "token", "a", F.count(F.lit(1)).over(held).alias("long"),
+        F.min("a").over(held).alias("least"), F.max("a").over(held).alias("most"),
+    )
+    # Sets in one partition from here on: the own lists, their rank, the ones to look at.
+    shared = lists.where(F.col("least") != F.col("most")).select("token", "a", "long")
+    shared = shared.repartition("a").dropDuplicates(["a", "token"])
+    own = Window.partitionBy("a")
+    ranked = shared.join(nodes.select("a", "n", "inside"), "a").select(
+        "a", "token", "n", "inside", F.count(F.lit(1)).over(own).alias("shared"),
+        F.row_number().over(own.orderBy("long", "token")).alias("rank"),
+    )
+    need = short_lists(F.col("n"), percent)
+    alone = F.col("inside") - F.col("shared")  # lists of one text come first
+    short = (F.col("inside") < need) | (F.col("rank") <= need - alone)
+    short = landed(ranked.where(short).select("token", F.col("a").alias("x")), "short")
+    least = short.groupBy("token").agg(F.min("x").alias("c"))
+    met = short.join(least, "token").where(F.col("x") != F.col("c"))
+    return landed(met.select("c", "x").distinct(), "members")
+
+
 def groups(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id.
 
     Two texts are linked when 100 * (shingles of both) >= percent * (shingles of either);
     ``component_id`` is the least doc_id that links reach. Texts with equal sets are one class,
     searched once. Null, empty and word-less texts have no shingles and are linked with nothing.
-    Rows with the same doc_id belong to one component; if their texts differ, links come from one
-    of them. A row without doc_id gets the component of the texts with its set, else null. An
-    empty table gives no rows.
+    Rows that repeat a doc_id are texts of their own, which may lie in different components. A
+    row without doc_id belongs to the class of its set; a class of such rows alone is linked with
+    nothing and has no component. An empty table gives no rows.
     """
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary"))
-    lengths = spark.sparkContext.broadcast(list_lengths(docs, words))
-    shape = "doc_id long, n long, a long, b long, short array<long>"
-    facts = landed(texts.mapInArrow(_describing(words, percent, lengths), shape), "facts")
-
-    classes = facts.where(F.col("n") > 0).groupBy("a", "b").agg(
-        F.min("doc_id").alias("x"), F.max("n").alias("n")
+    facts = landed(texts.mapInArrow(_describing(words, percent), FACT_ROWS), "facts")
+    nodes = facts.where(F.col("n") > 0).groupBy("a").agg(
+        F.min("doc_id").alias("doc"), F.max("n").alias("n"), F.max("inside").alias("inside")
     )
-    classes = landed(classes.where(F.col("x").isNotNull()), "classes")
-    one = classes.groupBy("x").agg(F.min(F.struct("a", "b", "n")).alias("one"))
-    nodes = one.select("x", "one.a", "one.b", "one.n")
-
-    same = ["x", "a", "b"]
-    short = facts.withColumnRenamed("doc_id", "x").join(nodes.select(*same), same)
-    postings = short.select("x", F.explode("short").alias("token"))
-    lists = postings.groupBy("token").agg(F.min("x").alias("c"), F.max("x").alias("z"))
-    lists = lists.where(F.col("c") != F.col("z")).select("token", "c")
-    met = postings.join(lists, "token").where(F.col("x") != F.col("c"))
-    members = landed(met.select("c", "x").distinct(), "members")
+    nodes = landed(nodes, "nodes")
+    members = _met(texts, nodes, words, percent)
 
     wanted = members.select("x").union(members.select(F.col("c").alias("x"))).distinct()
-    wanted = nodes.join(wanted, "x")
-    named = texts.withColumnRenamed("doc_id", "x").join(wanted, "x")
-    named = named.dropDuplicates(["x", "text"]).select("x", "a", "b", "text")
-    sets = landed(named.mapInArrow(_setting(words), "x long, set array<long>"), "sets")
-
-    links = _link_cells(members, nodes.select("x", "n"), sets, percent)
-    tied = components(links).select(F.col("node").alias("x"), "component")
-    known = classes.select("a", "b", "x").join(tied, "x", "left").select(
-        "a", "b", F.coalesce("component", "x").alias("component")
+    wanted = landed(nodes.join(wanted, F.col("a") == F.col("x")).select("doc", "a"), "wanted")
+    bits = spark.sparkContext.broadcast(id_filter(wanted.where("doc IS NOT NULL").select("doc")))
+    sets = texts.mapInArrow(_setting(words, bits), "x long, a long, set array<long>")
+    sets = sets.withColumnRenamed("x", "doc").join(wanted, ["doc", "a"])
+    sets = landed(sets.dropDuplicates(["doc", "a"]).select(F.col("a").alias("x"), "set"), "sets")
+
+    sizes = nodes.select(F.col("a").alias("x"), "n")
+    tied = components(_link_cells(members, sizes, sets, percent)).withColumnRenamed("node", "a")
+    known = nodes.select("a", "doc").join(tied, "a", "left").select(
+        "a", "doc", F.coalesce("component", "a").alias("component")
     )
-    return facts.select("doc_id", "n", "a", "b").join(known, ["a", "b"], "left").select(
+    least = known.groupBy("component").agg(F.min("doc").alias("least"))
+    named = known.join(least, "component").select("a", "least")
+    return facts.select("doc_id", "n", "a").join(named, "a", "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
-        F.coalesce("component", "doc_id").alias("component_id"),
+        F.coalesce("least", "doc_id").alias("component_id"),
     )
 
 

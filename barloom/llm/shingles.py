@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -62,7 +62,7 @@ def _shingles(hashes: np.ndarray, words: int) -> np.ndarray:
     return np.unique(mixed(found))
 
 
-def shingle_sets(texts: list[bytes | None], words: int) -> Iterator[np.ndarray]:
+def shingle_sets(texts: Iterable[bytes | None], words: int) -> Iterator[np.ndarray]:
     """Per UTF-8 text the sorted distinct shingles of ``words`` words.
 
     A-Z count as lower case; words are runs of anything but space, tab and the line and page
@@ -95,8 +95,7 @@ def shingle_sets(texts: list[bytes | None], words: int) -> Iterator[np.ndarray]:
     yield from flush()
 
 
-def fingerprint(found: np.ndarray) -> tuple[int, int]:
-    """Two 64-bit numbers of a set, the same in any order."""
-    one = mixed(found + np.uint64(0x9E3779B97F4A7C15)).sum(dtype=np.uint64)
-    two = mixed(found ^ np.uint64(0xD6E8FEB86659FD93)).sum(dtype=np.uint64)
-    return int(one.astype(np.int64)), int(two.astype(np.int64))
+def fingerprint(found: np.ndarray) -> int:
+    """A 64-bit number of a set, the same in any order."""
+    total = mixed(found + np.uint64(0x9E3779B97F4A7C15)).sum(dtype=np.uint64)
+    return int(mixed(total[None] + np.uint64(len(found)))[0].astype(np.int64))

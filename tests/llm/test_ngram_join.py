@@ -87,7 +87,9 @@ def test_one_of_each_keeps_columns_and_clean_documents(spark):
     assert sorted(r.doc_id for r in left.collect()) == sorted({*want.values(), 500, 501, 502})
 
 
-def test_index_against_brute_force():
+@pytest.mark.parametrize("heap", [0, 10**9])
+def test_index_against_brute_force(monkeypatch, heap):
+    monkeypatch.setattr(divideskip, "HEAP_ENTRIES", heap)
     rng = np.random.default_rng(1)
     base = np.unique(rng.integers(0, 400, 60))
     sets = [np.unique(np.append(base[rng.random(len(base)) < p], rng.integers(0, 400, 3)))
@@ -98,7 +100,7 @@ def test_index_against_brute_force():
             both = [len(np.intersect1d(query, s)) for s in sets]
             want = [i for i, (s, b) in enumerate(zip(sets, both, strict=True))
                     if 100 * b >= percent * (len(s) + len(query) - b)]
-            assert sorted(index.search(query)) == want
+            assert index.search(query, np.zeros(len(sets), dtype=bool)).tolist() == want
 
 
 def test_shingles_of_blocks_are_those_of_the_whole(monkeypatch):
