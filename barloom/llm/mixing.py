@@ -22,6 +22,8 @@ TURN = (5, 2, 1)
 MOST_EPOCHS = 3
 #: How much likelier a document of quality 1, of quality 0, without a label is drawn.
 QUALITY_WEIGHT = {1: 2.0, 0: 0.5, None: 1.0}
+#: Characters that prose has few of.
+SYMBOLS = "#$%&*+/<=>@[\\]^_`{|}~0123456789"
 
 
 @dataclass(frozen=True)
@@ -47,16 +49,27 @@ def quality_weight(quality: Column) -> Column:
     )
 
 
-def with_key(docs: DataFrame, labels: DataFrame, seed: str) -> DataFrame:
-    """Documents with ``__size`` in words and their ``__key``.
-
-    ``labels`` may repeat a doc_id: its best quality counts.
-    """
+def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Documents with the best ``__quality`` that labels give their doc_id, or null."""
     best = labels.groupBy(F.col("doc_id").alias("__id")).agg(F.max("quality").alias("__quality"))
-    sized = docs.withColumn("__size", word_count(F.col("text")))
-    joined = sized.join(best, F.col("doc_id") == F.col("__id"), "left")
-    key = exponential_key(F.col("doc_id"), quality_weight(F.col("__quality")), seed)
-    return joined.withColumn("__key", key).drop("__id", "__quality")
+    return docs.join(best, F.col("doc_id") == F.col("__id"), "left").drop("__id")
+
+
+def text_weight(text: Column) -> Column:
+    """A quality weight from the text itself: 1 for prose, down to 0.1 where symbols abound."""
+    size = F.char_length(text)
+    odd = size - F.char_length(F.translate(text, SYMBOLS, ""))
+    return F.when(size > 0, F.greatest(F.lit(0.1), 1 - 2 * odd / size)).otherwise(1.0)
+
+
+def with_key(docs: DataFrame, weight: Column, seed: str) -> DataFrame:
+    """Documents with ``__size`` in words and their ``__key``."""
+    return docs.withColumns(
+        {
+            "__size": word_count(F.col("text")),
+            "__key": exponential_key(F.col("doc_id"), weight, seed),
+        }
+    )
 
 
 def level(sources: DataFrame, turn: str = "weight") -> float:
@@ -100,17 +113,18 @@ def targets(sizes: DataFrame, turn: Sequence[int] = TURN) -> DataFrame:
     )
 
 
-def mix(docs: DataFrame, labels: DataFrame, seed: str = "mix") -> Mix:
+def mix(docs: DataFrame, weight: Column, seed: str = "mix") -> Mix:
     """Choose the documents of the mix.
 
-    ``docs`` needs doc_id, text, source. A null text has size 0, a null source is a source of its
+    ``docs`` needs doc_id, text, source; ``weight``, a positive quality weight, is computed from
+    their columns. A null text has size 0, a null source is a source of its
     own, sorted last. Documents without words are never short of budget: they are taken as often
     as the epochs say. A source takes the documents whose middle lies within what its epochs leave
     of the target, so it misses the target by at most half a document. Rows that repeat a doc_id
     are documents of their own with equal keys. An empty table gives an empty mix.
     """
-    narrow = with_key(docs.select("doc_id", "source", "text"), labels, seed)
-    facts = landed(narrow.select("doc_id", "source", "__size", "__key"), "facts")
+    narrow = with_key(docs, weight, seed).select("doc_id", "source", "__size", "__key")
+    facts = landed(narrow, "facts")
     sizes = facts.groupBy("source").agg(F.sum("__size").alias("source_size"))
     sources = landed(targets(sizes), "sources")
 
@@ -138,16 +152,17 @@ def mix(docs: DataFrame, labels: DataFrame, seed: str = "mix") -> Mix:
     )
 
 
-def mixed(docs: DataFrame, labels: DataFrame, seed: str = "mix") -> DataFrame:
+def mixed(docs: DataFrame, weight: Column, seed: str = "mix") -> DataFrame:
     """The documents of the mix, each as often as it is taken, with all their columns.
 
-    The texts are matched with the labels once more; the sample itself comes down to one small row
-    per source, the last key that is drawn.
+    The sample comes down to one small row per source, the last key that is drawn. With it every
+    document tells from its own row how often it is taken, so texts are not shuffled.
     """
-    sources = mix(docs, labels, seed).sources
-    limits = sources.select(F.col("source").alias("__of"), F.col("epochs").alias("__epochs"), "last")
-    limits = limits.withColumnRenamed("last", "__last")
-    rows = with_key(docs, labels, seed).join(limits, F.col("source").eqNullSafe(F.col("__of")))
+    sources = mix(docs, weight, seed).sources.select(
+        F.col("source").alias("__of"), F.col("epochs").alias("__epochs"), F.col("last").alias("__last")
+    )
+    limits = landed(sources, "limits")
+    rows = with_key(docs, weight, seed).join(limits, F.col("source").eqNullSafe(F.col("__of")))
     own = F.struct("__key", "doc_id", "__size")
     drawn = (F.col("__size") > 0) & F.col("__last").isNotNull() & (own <= F.col("__last"))
     taken = rows.withColumn("__copies", F.col("__epochs") + drawn.cast("long"))

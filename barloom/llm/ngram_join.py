@@ -19,6 +19,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -360,8 +361,20 @@ def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
     """
     found = landed(groups(docs, words, percent), "groups")
     same = F.col("doc_id") == F.col("component_id")
-    gone = found.where(~same).select(F.col("doc_id").alias("__gone")).distinct()
-    left = docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    gone = landed(found.where(~same).select(F.col("doc_id").alias("__gone")).distinct(), "gone")
+    # Only documents that the filter takes for gone are shuffled and looked up.
+    bits = docs.sparkSession.sparkContext.broadcast(id_filter(gone))
+
+    @F.pandas_udf("boolean")
+    def maybe(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for ids in batches:
+            yield pd.Series(marked(bits.value, ids.to_numpy()))
+
+    flagged = docs.withColumn("__maybe", maybe(F.coalesce(F.col("doc_id").cast("long"), F.lit(0))))
+    sure = flagged.where(~F.col("__maybe")).select(*docs.columns)
+    unsure = flagged.where(F.col("__maybe")).select(*docs.columns)
+    is_gone = F.col("doc_id") == F.col("__gone")
+    left = sure.union(unsure.join(gone, is_gone, "left_anti"))
     repeated = found.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL")
     if repeated.isEmpty():
         return left

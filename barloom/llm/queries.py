@@ -135,7 +135,8 @@ def op5_chat_formatting(spark: SparkSession, sf: str) -> DataFrame:
     FROM ordered
 """)
 def op8_mixing(spark: SparkSession, sf: str) -> DataFrame:
-    mix = mixing.mix(table(spark, sf, "documents"), table(spark, sf, "labels"))
+    docs = mixing.labelled(table(spark, sf, "documents"), table(spark, sf, "labels"))
+    mix = mixing.mix(docs, mixing.quality_weight(F.col("__quality")))
     return mix.documents.select("doc_id", "size", "source_size", "target", "taken")
 
 
@@ -150,12 +151,53 @@ def op6_language_id(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query()
+@query("""
+    WITH RECURSIVE words AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\\x20\\x09-\\x0D]+') AS w
+        FROM documents
+    ), shingles AS (
+        SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) BETWEEN 1 AND 3 THEN [array_to_string(w, ' ')]
+            ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END
+        ) AS s
+        FROM words
+    ), sizes AS (
+        SELECT doc_id, count(s) AS n FROM words LEFT JOIN shingles USING (doc_id) GROUP BY 1
+    ), links AS (
+        SELECT a.doc_id AS u, b.doc_id AS v
+        FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+        JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+        GROUP BY 1, 2 HAVING 100 * count(*) >= 85 * (any_value(x.n) + any_value(y.n) - count(*))
+    ), reach(u, r) AS (
+        SELECT doc_id, doc_id FROM documents
+        UNION SELECT reach.u, links.v FROM reach JOIN links ON links.u = reach.r
+    )
+    SELECT doc_id, n AS n_shingles, component
+        AS component_id FROM sizes
+    JOIN (SELECT u AS doc_id, min(r) AS component FROM reach GROUP BY 1) USING (doc_id)
+""")
 def op1_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
     return ngram_join.groups(table(spark, sf, "documents"))
 
 
-@query()
+@query("""
+    WITH RECURSIVE sound AS (
+        SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding,
+            lambda x: x IS NULL OR NOT isfinite(x))) = 0
+            AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    ), links AS (
+        SELECT a.vec_id AS u, b.vec_id AS v FROM sound a JOIN sound b ON a.vec_id <> b.vec_id
+        WHERE list_cosine_similarity(a.e, b.e) >= 0.9
+    ), reach(u, r) AS (
+        SELECT vec_id, vec_id FROM embeddings
+        UNION SELECT reach.u, links.v FROM reach JOIN links ON links.u = reach.r
+    ), parts AS (SELECT u AS vec_id, min(r) AS component_id FROM reach GROUP BY 1)
+    SELECT vec_id, (SELECT count(*) FROM links WHERE u = vec_id) AS n_links, component_id,
+        vec_id = component_id AS kept
+    FROM parts
+""")
 def op10_vector_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return vector_dedup.groups(table(spark, sf, "embeddings"))
 

@@ -26,7 +26,7 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources at their target weights, documents repeated up to three times."""
-    return mixing.mixed(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return mixing.mixed(docs, mixing.text_weight(docs["text"]))
 
 
 def batches(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -36,7 +36,6 @@ def test_whole_results(spark, name):
 
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    labels = spark.read.parquet(f"{SF}/labels.parquet")
     told = corpus_pipeline.known_language(spark, docs, SF)
     assert told.columns == docs.columns
     texts = {r.doc_id: r.text for r in told.collect()}
@@ -50,7 +49,7 @@ def test_pipeline(spark):
     assert ngram_join.one_of_each(told).count() == len(set(want.values()))
 
     mixed = corpus_pipeline.mixture(spark, one, SF)
-    copies = {r.doc_id: r.copies for r in mixing.mix(one, labels).documents.collect() if r.copies}
+    copies = {r.doc_id: r.copies for r in mixing.mix(one, mixing.text_weight(one.text)).documents.collect() if r.copies}
     assert {r.doc_id: r["count"] for r in mixed.groupBy("doc_id").count().collect()} == copies
 
     packed = corpus_pipeline.run(spark, SF).collect()

@@ -48,7 +48,12 @@ def brute(rows, labels):
 
 def tables(spark, rows, labels):
     docs = spark.createDataFrame([(*r, 1, 2) for r in rows], "doc_id long, text string, source string, size int, epochs int")
-    return docs, spark.createDataFrame([(*r, 0) for r in labels], "doc_id long, quality int, toxic int")
+    marks = spark.createDataFrame([(*r, 0) for r in labels], "doc_id long, quality int, toxic int")
+    return mixing.labelled(docs, marks), marks
+
+
+def weight():
+    return mixing.quality_weight(F.col("__quality"))
 
 
 def corpus(seed, n=400, sources=5):
@@ -64,7 +69,7 @@ def test_like_brute_force(spark, seed):
     rows += [(900, None, "empty"), (901, "", "empty"), (902, "a b", None), (903, "x " * 5000, "s1"), (None, "y", "s2"),
              (904, "rare", "é"), (904, "rare", "é"), (905, "t", "Z")]
     docs, marks = tables(spark, rows, labels)
-    mix = mixing.mix(docs, marks)
+    mix = mixing.mix(docs, weight())
     got = [(str(r.doc_id), r.size, r.source_size, r.target, r.taken) for r in mix.documents.collect()]
     want = brute(rows, labels)
     assert len(got) == len(want)
@@ -79,21 +84,21 @@ def test_like_brute_force(spark, seed):
 def test_the_mix_repeats_documents(spark):
     rows, labels = corpus(3)
     docs, marks = tables(spark, [*rows, (904, "rare", "z"), (904, "rare", "z"), (None, "q", None)], labels)
-    out = mixing.mixed(docs, marks)
+    out = mixing.mixed(docs, weight())
     assert out.columns == docs.columns
     want = {}
-    for r in mixing.mix(docs, marks).documents.collect():
+    for r in mixing.mix(docs, weight()).documents.collect():
         want[r.doc_id] = want.get(r.doc_id, 0) + r.copies
     got = {r.doc_id: r["count"] for r in out.groupBy("doc_id").count().collect()}
     assert got == {i: n for i, n in want.items() if n}
-    again = mixing.mixed(docs.repartition(5), marks)
+    again = mixing.mixed(docs.repartition(5), weight())
     assert sorted(map(str, again.collect())) == sorted(map(str, out.collect()))
 
 
 def test_weights_favour_quality(spark):
     rows = [(i, "a b c", "s0" if i < 2000 else "s1") for i in range(3000)]
     docs, marks = tables(spark, rows, [(i, i % 2) for i in range(3000)])
-    taken = mixing.mix(docs, marks).documents.where("copies > 0").join(marks, "doc_id")
+    taken = mixing.mix(docs, weight()).documents.where("copies > 0").join(marks, "doc_id")
     some = taken.groupBy("source", "quality").count().collect()
     count = {(r.source, r.quality): r["count"] for r in some}
     part = [s for s in ("s0", "s1") if count[s, 0] != count[s, 1]]
@@ -102,10 +107,16 @@ def test_weights_favour_quality(spark):
 
 def test_empty_and_native(spark):
     docs, marks = tables(spark, [], [])
-    assert mixing.mix(docs, marks).documents.count() == 0
-    assert mixing.mixed(docs, marks).count() == 0
+    assert mixing.mix(docs, weight()).documents.count() == 0
+    assert mixing.mixed(docs, weight()).count() == 0
     rows, labels = corpus(1, 20)
     docs, marks = tables(spark, rows, labels)
-    plan = mixing.mixed(docs, marks)._jdf.queryExecution().toString()
+    plan = mixing.mixed(docs, weight())._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
-    assert mixing.exponential_key(F.col("x"), F.lit(1.0), "s") is not None
+
+
+def test_weight_of_a_text(spark):
+    texts = [("plain prose",), ("ab%%% cd$$$",), (None,), ("",)]
+    rows = spark.createDataFrame(texts, "t string").select(mixing.text_weight(F.col("t")).alias("w")).collect()
+    assert rows[0].w == 1.0 and rows[2].w == rows[3].w == 1.0
+    assert 0.1 <= rows[1].w < 0.2
