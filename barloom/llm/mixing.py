@@ -62,11 +62,11 @@ def text_weight(text: Column) -> Column:
     return F.when(size > 0, F.greatest(F.lit(0.1), 1 - 2 * odd / size)).otherwise(1.0)
 
 
-def with_key(docs: DataFrame, weight: Column, seed: str) -> DataFrame:
-    """Documents with ``__size`` in words and their ``__key``."""
+def with_key(docs: DataFrame, weight: Column, size: Column | None, seed: str) -> DataFrame:
+    """Documents with ``__size``, by default in words, and their ``__key``."""
     return docs.withColumns(
         {
-            "__size": word_count(F.col("text")),
+            "__size": word_count(F.col("text")) if size is None else size,
             "__key": exponential_key(F.col("doc_id"), weight, seed),
         }
     )
@@ -113,17 +113,19 @@ def targets(sizes: DataFrame, turn: Sequence[int] = TURN) -> DataFrame:
     )
 
 
-def mix(docs: DataFrame, weight: Column, seed: str = "mix") -> Mix:
+def mix(
+    docs: DataFrame, weight: Column, size: Column | None = None, seed: str = "mix"
+) -> Mix:
     """Choose the documents of the mix.
 
-    ``docs`` needs doc_id, text, source; ``weight``, a positive quality weight, is computed from
-    their columns. A null text has size 0, a null source is a source of its
+    ``docs`` needs doc_id, source, and text unless ``size`` gives the words; ``weight``, a
+    positive quality weight, is computed from their columns. A null text has size 0, a null source is a source of its
     own, sorted last. Documents without words are never short of budget: they are taken as often
     as the epochs say. A source takes the documents whose middle lies within what its epochs leave
     of the target, so it misses the target by at most half a document. Rows that repeat a doc_id
     are documents of their own with equal keys. An empty table gives an empty mix.
     """
-    narrow = with_key(docs, weight, seed).select("doc_id", "source", "__size", "__key")
+    narrow = with_key(docs, weight, size, seed).select("doc_id", "source", "__size", "__key")
     facts = landed(narrow, "facts")
     sizes = facts.groupBy("source").agg(F.sum("__size").alias("source_size"))
     sources = landed(targets(sizes), "sources")
@@ -158,11 +160,11 @@ def mixed(docs: DataFrame, weight: Column, seed: str = "mix") -> DataFrame:
     The sample comes down to one small row per source, the last key that is drawn. With it every
     document tells from its own row how often it is taken, so texts are not shuffled.
     """
-    sources = mix(docs, weight, seed).sources.select(
+    sources = mix(docs, weight, seed=seed).sources.select(
         F.col("source").alias("__of"), F.col("epochs").alias("__epochs"), F.col("last").alias("__last")
     )
     limits = landed(sources, "limits")
-    rows = with_key(docs, weight, seed).join(limits, F.col("source").eqNullSafe(F.col("__of")))
+    rows = with_key(docs, weight, None, seed).join(limits, F.col("source").eqNullSafe(F.col("__of")))
     own = F.struct("__key", "doc_id", "__size")
     drawn = (F.col("__size") > 0) & F.col("__last").isNotNull() & (own <= F.col("__last"))
     taken = rows.withColumn("__copies", F.col("__epochs") + drawn.cast("long"))

@@ -135,8 +135,11 @@ def op5_chat_formatting(spark: SparkSession, sf: str) -> DataFrame:
     FROM ordered
 """)
 def op8_mixing(spark: SparkSession, sf: str) -> DataFrame:
-    docs = mixing.labelled(table(spark, sf, "documents"), table(spark, sf, "labels"))
-    mix = mixing.mix(docs, mixing.quality_weight(F.col("__quality")))
+    sized = table(spark, sf, "documents").select(
+        "doc_id", "source", common.word_count(F.col("text")).alias("words")
+    )
+    docs = mixing.labelled(sized, table(spark, sf, "labels"))
+    mix = mixing.mix(docs, mixing.quality_weight(F.col("__quality")), F.col("words"))
     return mix.documents.select("doc_id", "size", "source_size", "target", "taken")
 
 
