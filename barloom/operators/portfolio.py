@@ -266,8 +266,7 @@ def allocated_equity(
     """Equity of a weighted basket that is re-weighted at each period's last close.
 
     Symbols are put on every date any of them has; a missing close counts as the last one, and
-    before its first close a symbol's weight is held in cash. A weighted symbol without any close
-    is an error. Inside a period the basket is worth the weighted growth since the close before
+    before its first close, or without any, a symbol's weight is held in cash. Inside a period the basket is worth the weighted growth since the close before
     the period; periods multiply. The closes of (symbol, period) give the bases and the chain, and
     only sums per date travel.
     """
@@ -275,10 +274,7 @@ def allocated_equity(
         raise ValueError(f"frequency {frequency!r} is not one of {sorted(PERIODS)}")
     period = F.date_trunc(PERIODS[frequency], F.col("date").cast("timestamp_ntz")).cast("date")
     own = bars.select("symbol", "date", "close").join(weights, "symbol", "left_semi")
-    without = weights.select("symbol").join(own.where("close IS NOT NULL"), "symbol", "left_anti")
-    lacking = sorted(str(r.symbol) for r in without.take(5))
-    if lacking:
-        raise ValueError(f"no close for weighted symbols such as {lacking}")
+    invested = weights.agg(F.sum("weight")).scalar()
     weighted = (
         outer_align(own, values=["close"], fill="ffill")
         .join(weights.select("symbol", "weight"), "symbol")
@@ -292,7 +288,9 @@ def allocated_equity(
     along = Window.partitionBy("symbol").orderBy("period")
     bases = closes.withColumn("base", F.coalesce(F.lag("last").over(along), "first"))
     worth = F.coalesce(ratio(F.col("last"), F.col("base")), F.lit(1.0))
-    full = bases.groupBy("period").agg(F.sum(F.col("weight") * worth).alias("whole"))
+    full = bases.groupBy("period").agg(
+        (invested + F.sum(F.col("weight") * (worth - 1))).alias("whole")
+    )
     before = Window.orderBy("period").rowsBetween(Window.unboundedPreceding, -1)
     chained = full.select(
         "period", F.coalesce(F.exp(F.sum(F.ln("whole")).over(before)), F.lit(1.0)).alias("chain")
@@ -302,7 +300,7 @@ def allocated_equity(
         weighted.drop("weight")
         .join(bases.select("symbol", "period", "weight", "base"), ["symbol", "period"])
         .groupBy("period", "date")
-        .agg(F.sum(F.col("weight") * value).alias("growth"))
+        .agg((invested + F.sum(F.col("weight") * (value - 1))).alias("growth"))
     )
     return growth.join(chained, "period").select(
         "date", (F.lit(float(init_cash)) * F.col("chain") * F.col("growth")).alias("equity")
