@@ -326,7 +326,9 @@ def groups(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary"))
     facts = landed(texts.mapInArrow(_describing(words, percent), FACT_ROWS), "facts")
-    nodes = facts.where(F.col("n") > 0).groupBy("a").agg(
+    # Only classes with an id are searched: the centre of a cell has to be one whose set is written.
+    texts = texts.where("doc_id IS NOT NULL")
+    nodes = facts.where("n > 0 AND doc_id IS NOT NULL").groupBy("a").agg(
         F.min("doc_id").alias("doc"), F.max("n").alias("n"), F.max("inside").alias("inside")
     )
     nodes = landed(nodes, "nodes")
@@ -334,7 +336,7 @@ def groups(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
 
     wanted = members.select("x").union(members.select(F.col("c").alias("x"))).distinct()
     wanted = landed(nodes.join(wanted, F.col("a") == F.col("x")).select("doc", "a"), "wanted")
-    bits = spark.sparkContext.broadcast(id_filter(wanted.where("doc IS NOT NULL").select("doc")))
+    bits = spark.sparkContext.broadcast(id_filter(wanted.select("doc")))
     sets = texts.mapInArrow(_setting(words, bits), "x long, a long, set array<long>")
     sets = sets.withColumnRenamed("x", "doc").join(wanted, ["doc", "a"])
     sets = landed(sets.dropDuplicates(["doc", "a"]).select(F.col("a").alias("x"), "set"), "sets")

@@ -70,6 +70,19 @@ def test_repeated_and_missing_ids(spark):
     ]
 
 
+def test_near_copies_without_id_lose_no_links(spark):
+    rng = random.Random(11)
+    rows = []
+    for base in range(40):
+        words = [f"g{base}w{rng.randrange(10**6)}" for _ in range(80)]
+        rows += [(None if i == 2 else base * 10 + i, " ".join([*words, f"end{i}"])) for i in range(4)]
+    found = ngram_join.groups(documents(spark, rows)).collect()
+    assert {r.doc_id: r.component_id for r in found if r.doc_id is not None} == {
+        base * 10 + i: base * 10 for base in range(40) for i in (0, 1, 3)
+    }
+    assert [r.component_id for r in found if r.doc_id is None] == [None] * 40
+
+
 def test_empty_table(spark):
     found = ngram_join.groups(documents(spark, []))
     assert found.columns == ["doc_id", "n_shingles", "component_id"]
