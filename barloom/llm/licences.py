@@ -10,6 +10,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Callable, Iterable
+from importlib import resources
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -45,12 +46,14 @@ NAMES = {
     "Apache-2.0": ("Apache", "Apache Software"),
     "GPL-2.0": ("GNU General Public", "GNU GPL", "GPL"),
     "GPL-3.0": ("GNU General Public", "GNU GPL", "GPL"),
+    "LGPL-2.1": ("GNU Lesser General Public", "GNU LGPL", "LGPL"),
     "LGPL-3.0": ("GNU Lesser General Public", "GNU LGPL", "LGPL"),
     "AGPL-3.0": ("GNU Affero General Public", "GNU AGPL", "AGPL"),
     "MPL-2.0": ("Mozilla Public", "MPL"),
     "BSD-2-Clause": ("BSD 2-Clause", "Simplified BSD", "FreeBSD"),
     "BSD-3-Clause": ("BSD 3-Clause", "New BSD", "Modified BSD"),
     "ISC": ("ISC",),
+    "Zlib": ("zlib",),
     "CC-BY-4.0": ("CC BY", "Creative Commons Attribution"),
     "CC-BY-SA-4.0": ("CC BY-SA", "Creative Commons Attribution-ShareAlike"),
     "CC-BY-NC-4.0": ("CC BY-NC", "Creative Commons Attribution-NonCommercial"),
@@ -103,6 +106,61 @@ TEXTS = {
 }
 
 
+#: Where the instructions for using a licence begin; copies come with and without them.
+APPENDIX = {
+    "Apache-2.0": "APPENDIX: How to apply",
+    "GPL-2.0": "How to Apply These Terms to Your New Programs",
+    "GPL-3.0": "How to Apply These Terms to Your New Programs",
+    "LGPL-2.1": "How to Apply These Terms to Your New Libraries",
+}
+#: Texts from so many characters on have their title in the text.
+TITLED = 4000
+#: Numbers and stars of lists, which some copies leave out.
+_LIST_NUMBER = re.compile(r"(?m)^\s*(\d\.|\*)\s+")
+
+
+def _resource(name: str) -> str:
+    return (resources.files("barloom.llm") / "licence_texts" / name).read_text(encoding="utf-8")
+
+
+def spdx_ids() -> list[str]:
+    """All ids of the SPDX list, old ones included."""
+    return _resource("spdx_ids.txt").split()
+
+
+def whole_texts() -> Iterable[tuple[str, str]]:
+    """(SPDX id, text) of whole licences: those in TEXTS and in the files beside this one."""
+    yield from TEXTS.items()
+    yield "ISC", TEXTS["ISC"].replace("and/or", "and")
+    names = (f.name for f in (resources.files("barloom.llm") / "licence_texts").iterdir())
+    for file in sorted(n for n in names if n.endswith(".txt") and n != "spdx_ids.txt"):
+        spdx, text = file.removesuffix(".txt").partition("_")[0], _resource(file)
+        yield spdx, text
+        if spdx in APPENDIX:
+            yield spdx, text[: text.index(APPENDIX[spdx])]
+        if spdx.startswith("BSD"):
+            yield spdx, _LIST_NUMBER.sub("", text)
+
+
+def headings(spdx: str) -> list[str]:
+    """Lines that a copy of a licence may begin with, by its names."""
+    last = spdx.rpartition("-")[2]
+    out = [spdx]
+    for name in NAMES[spdx]:
+        for own in {name, *([f"{name} {last}"] if last[0].isdigit() else [])}:
+            out += [own, f"{own} License", f"The {own} License", f"The {own} License ({spdx})"]
+            out += [f"{own} License ({spdx})", f"The {own}"]
+    return out
+
+
+def headed_texts() -> Iterable[tuple[str, str]]:
+    """(SPDX id, text) of whole licences; short ones, which bring no title, also with a heading."""
+    for spdx, text in whole_texts():
+        yield spdx, text
+        for heading in headings(spdx) if len(text) < TITLED else ():
+            yield spdx, f"{heading}\n{text}"
+
+
 def notices() -> Iterable[tuple[str, str]]:
     """(SPDX id, notice) for every name of a licence and every way to put its version."""
     for spdx, names in NAMES.items():
@@ -112,12 +170,13 @@ def notices() -> Iterable[tuple[str, str]]:
             for kind in (f"{name} License", f"{name} Public License", name):
                 for version in versions:
                     yield spdx, f"Licensed under the {kind} {version}"
+    for spdx in {*NAMES, *spdx_ids()}:
         yield spdx, f"SPDX-License-Identifier: {spdx}"
 
 
 def known_licences(spark: SparkSession) -> DataFrame:
     """(licence, text): whole texts and short notices, a bounded table."""
-    rows = sorted({*TEXTS.items(), *notices()})
+    rows = sorted({*headed_texts(), *notices()})
     return spark.createDataFrame(rows, "licence string, text string")
 
 

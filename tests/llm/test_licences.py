@@ -47,6 +47,30 @@ def test_against_a_plain_lookup(spark):
         assert r.digest == hashlib.sha256(" ".join(whole).encode()).hexdigest()
 
 
+def found_in(spark, texts):
+    rows = licences.scan(frame(spark, list(enumerate(texts)))).collect()
+    return [r.licence for r in sorted(rows, key=lambda r: r.doc_id)]
+
+
+def test_whole_texts_with_their_headings(spark):
+    who = "Copyright (c) 2019 Somebody"
+    files = dict(licences.whole_texts())
+    bsd = licences._resource("BSD-3-Clause.txt")
+    apache = licences._resource("Apache-2.0.txt")
+    texts = [
+        f"MIT License\n\n{who}\n{MIT}", f"The MIT License (MIT)\n\n{who}\n{MIT}",
+        f"ISC License\n\n{who}\n{licences.TEXTS['ISC']}", f"BSD 3-Clause License\n{who}\n{bsd}",
+        f"{who}. All rights reserved.\n{bsd}", apache, apache[: apache.index("APPENDIX")],
+        files["GPL-3.0"], files["MPL-2.0"], files["CC0-1.0"], files["CC-BY-SA-4.0"],
+        "SPDX-License-Identifier: GPL-3.0-only", "SPDX-License-Identifier: EUPL-1.2",
+        f"Some License\n{who}\n{MIT}",
+    ]
+    assert found_in(spark, texts) == [
+        "MIT", "MIT", "ISC", "BSD-3-Clause", "BSD-3-Clause", "Apache-2.0", "Apache-2.0",
+        "GPL-3.0", "MPL-2.0", "CC0-1.0", "CC-BY-SA-4.0", "GPL-3.0-only", "EUPL-1.2", None,
+    ]
+
+
 def test_empty_tables(spark):
     nothing = spark.createDataFrame([], "licence string, text string")
     assert licences.scan(frame(spark, [])).count() == 0
