@@ -7,6 +7,7 @@ each of its lines as a text of its own.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import re
 from collections.abc import Callable, Iterable
@@ -180,18 +181,78 @@ def known_licences(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "licence string, text string")
 
 
-#: Lines that say who holds the copyright, or that all rights are reserved.
-_COPYRIGHT = re.compile(r"\W*(copyright\b.*(\d{4}|\bholders?\b|\bby\b)|\(c\)\s*\d{4}|\u00a9|all rights reserved\W*$)")
+#: A clause about the copyright: its mark, years, and what else a holder is named by.
+_MARK = re.compile(r"(?:\(c\)|\u00a9|\bcopyright\b)(?:\s*(?:\(c\)|\u00a9|\bcopyright\b))*")
+_SINCE = re.compile(r"\W*(?:\d{4}\b|yyyy\b|year\b)")
+_BY = re.compile(r"\W*by\b")
+_RESERVED = re.compile(r"\ball rights reserved\b")
+#: The end of a sentence, but for initials and "inc." and the like.
+_STOP = re.compile(r"(?<!\b[a-z])(?<!\binc)(?<!\bltd)(?<!\bco)(?<!\bcorp)(?<!\bllc)(?<!\bst)(?<!\bdr)(?<!\bjr)[.;!?]\s+(?=\w)")
+#: Words of terms, which no holder is named by, and the most words of a holder.
+_TERMS = frozenset(
+    "any are be can cannot commercial copies forbidden freely granted hereby holders is license "
+    "licensed may must no not notice notices only owners permission permitted prohibited provided "
+    "redistribute redistribution sell shall subject that this under use used warranty will without "
+    "you your".split()
+)
+_LONGEST_HOLDER = 24
+#: How the text of a licence or a notice goes on after the clause, on the same line.
+_OPENING = re.compile(
+    r"\b(?:permission\W+is\W+hereby\W+granted|permission\W+is\W+granted|permission\W+to\W+use"
+    r"|redistribution\W+and\W+use|this\W+software\W+is\W+provided"
+    r"|(?:this\W+\w+\W+is\W+)?(?:" + "|".join(VERBS) + r")\W+under)\b"
+)
 _WORD = re.compile(r"[^\W_]+")
 _VERSION = re.compile(r"v\d+$")
 
 
+def _says_holder(mark: str, rest: str) -> bool:
+    """Whether what follows a mark is years and a holder's name, and nothing else."""
+    signed = "\u00a9" in mark or ("copyright" in mark and "(c)" in mark)
+    if not (signed or _SINCE.match(rest) or ("copyright" in mark and _BY.match(rest))):
+        return False
+    for part in _MARK.split(_RESERVED.sub(" ", rest)):
+        name = re.sub(r"^[\W\d]+", "", part)
+        words = _WORD.findall(name)
+        if len(words) > _LONGEST_HOLDER or _STOP.search(name) or not _TERMS.isdisjoint(words):
+            return False
+    return True
+
+
+@functools.cache
+def _heading_words() -> frozenset[tuple[str, ...]]:
+    return frozenset(tuple(_canonical(h.lower())) for spdx in NAMES for h in headings(spdx))
+
+
+def without_holder(line: str) -> str:
+    """A line in lower case without the clause that says who holds the copyright.
+
+    The clause opens the line, or follows a heading, and ends with the line or where a licence
+    begins. A line with other words in these places is left as it is.
+    """
+    if not _WORD.search(_RESERVED.sub(" ", line)):
+        return ""
+    mark = _MARK.search(line)
+    if mark is None:
+        return line
+    before, rest = line[: mark.start()], line[mark.end() :]
+    if len(before) > 100 or (_WORD.search(before) and tuple(_canonical(before)) not in _heading_words()):
+        return line
+    opening = _OPENING.search(rest)
+    end = opening.start() if opening else len(rest)
+    return f"{before} {rest[end:]}" if _says_holder(mark.group(), rest[:end]) else line
+
+
 def words_of(line: str) -> list[str]:
-    """Canonical words of a line: lower case, no punctuation, one spelling; none if it only says
-    who holds the copyright."""
+    """Canonical words of a line: lower case, no punctuation, one spelling, without the clause
+    that says who holds the copyright."""
     line = line.lower()
-    if _COPYRIGHT.match(line):
-        return []
+    if "copyright" in line or "(c)" in line or "\u00a9" in line or "rights reserved" in line:
+        line = without_holder(line)
+    return _canonical(line)
+
+
+def _canonical(line: str) -> list[str]:
     out: list[str] = []
     for word in _WORD.findall(line):
         word = SPELLINGS.get(word, word)

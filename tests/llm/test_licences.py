@@ -61,16 +61,34 @@ def test_whole_texts_with_their_headings(spark):
         f"MIT License\n\n{who}\n{MIT}", f"The MIT License (MIT)\n\n{who}\n{MIT}",
         f"ISC License\n\n{who}\n{licences.TEXTS['ISC']}", f"BSD 3-Clause License\n{who}\n{bsd}",
         f"{who}. All rights reserved.\n{bsd}", apache, apache[: apache.index("APPENDIX")],
+        apache.replace("[yyyy] [name of copyright owner]", "2020 Somebody"),
         files["GPL-3.0"], files["MPL-2.0"], files["CC0-1.0"], files["CC-BY-SA-4.0"],
         "SPDX-License-Identifier: GPL-3.0-only", "SPDX-License-Identifier: EUPL-1.2",
         f"Some License\n{who}\n{MIT}",
     ]
     assert found_in(spark, texts) == [
-        "MIT", "MIT", "ISC", "BSD-3-Clause", "BSD-3-Clause", "Apache-2.0", "Apache-2.0",
+        "MIT", "MIT", "ISC", "BSD-3-Clause", "BSD-3-Clause", "Apache-2.0", "Apache-2.0", "Apache-2.0",
         "GPL-3.0", "MPL-2.0", "CC0-1.0", "CC-BY-SA-4.0", "GPL-3.0-only", "EUPL-1.2", None,
     ]
 
 
+def test_only_the_copyright_clause_goes(spark):
+    one_line = " ".join(MIT.split())
+    words, at = one_line.split(), one_line.split().index("COPYRIGHT")
+    texts = [
+        f"Copyright (c) 2020 X {one_line}",
+        f"MIT License Copyright (c) 2020, 2021 X, Inc. All rights reserved. {one_line}",
+        " ".join(words[:at]) + "\n" + " ".join(words[at:]),
+        f"{MIT}\nCopyright holders may not sell copies of it by 2020.",
+        f"Copyright (c) 2020 X. You may not sell this software.\n{MIT}",
+        f"(c) 2019-2021 X\n\u00a9 Y and others <y@y.org>\nCopyright by Z\n{MIT}",
+    ]
+    assert found_in(spark, texts) == ["MIT", "MIT", "MIT", None, None, "MIT"]
+    assert licences.words_of("Copyright holders may not sell it") == "copyright holders may not sell it".split()
+    assert licences.words_of("(c) You must retain all 2020 notices")[0] == "c"
+    assert licences.words_of("Copyright [yyyy] [name of copyright owner]") == []
+
+
 def test_empty_tables(spark):
     nothing = spark.createDataFrame([], "licence string, text string")
     assert licences.scan(frame(spark, [])).count() == 0
