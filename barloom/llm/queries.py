@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from barloom.llm import (
     chat,
     common,
+    exact_dedup,
     langid,
     licences,
     mixing,
@@ -253,3 +254,13 @@ def op4_hilbert_sharding(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def op9_licence_scan(spark: SparkSession, sf: str) -> DataFrame:
     return licences.scan(table(spark, sf, "documents"))
+
+
+@query("""
+    WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+    found AS (SELECT text, max(doc_id) AS keep_id, count(*) AS group_size FROM texts GROUP BY text)
+    SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(text) AS text_sha256
+    FROM texts JOIN found USING (text)
+""")
+def op13_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return exact_dedup.deduplicate(table(spark, sf, "documents")).documents
