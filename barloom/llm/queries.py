@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from barloom.llm import (
     chat,
     common,
+    divergence,
     exact_dedup,
     langid,
     licences,
@@ -264,3 +265,49 @@ def op9_licence_scan(spark: SparkSession, sf: str) -> DataFrame:
 """)
 def op13_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.deduplicate(table(spark, sf, "documents")).documents
+
+
+@query("""
+    WITH docs AS (
+        SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+                AS text
+        FROM documents
+    ), words AS (
+        SELECT row, lang, source,
+            unnest(regexp_extract_all(text, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+        FROM docs
+    ), counts AS (SELECT lang, source, term, count(*) AS n FROM words GROUP BY ALL),
+    kept AS (
+        SELECT lang, term, count(*) AS lang_n FROM words GROUP BY ALL HAVING count(DISTINCT row) >= 10
+    ), langs AS (SELECT lang, count(*) AS v, sum(lang_n) AS lang_total FROM kept GROUP BY lang),
+    groups AS (SELECT DISTINCT lang, source FROM docs),
+    grid AS (
+        SELECT lang, source, term, coalesce(n, 0) AS n, lang_n, v, lang_total,
+            sum(coalesce(n, 0)) OVER (PARTITION BY lang, source) AS total
+        FROM groups JOIN kept USING (lang) JOIN langs USING (lang)
+        LEFT JOIN counts USING (lang, source, term)
+    ), shares AS (
+        SELECT *, 1 + (1000000000::HUGEINT * (n + 2)) // (total + 2 * v) AS p,
+            1 + (1000000000::HUGEINT * (lang_n + 2)) // (lang_total + 2 * v) AS q
+        FROM grid
+    ), sums AS (
+        SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+        FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+        GROUP BY ALL
+    ), items AS (
+        SELECT g.lang, g.source, 'pair' AS part, o.source AS item, coalesce(value, 0) AS value
+        FROM groups g JOIN groups o ON g.lang = o.lang AND g.source <> o.source
+        LEFT JOIN sums s ON s.lang = g.lang AND s.source = g.source AND s.item = o.source
+        UNION ALL
+        SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM shares
+        WHERE n > 0 AND p > q
+    ), ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS place
+        FROM items
+    )
+    SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(place AS INTEGER) AS rank
+    FROM ranked WHERE part = 'pair' OR place <= 10
+""")
+def op12_source_divergence(spark: SparkSession, sf: str) -> DataFrame:
+    return divergence.audit(table(spark, sf, "documents"))
