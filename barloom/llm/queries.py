@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.llm import (
+    alignment,
     chat,
     common,
     divergence,
@@ -311,3 +312,8 @@ def op13_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
 """)
 def op12_source_divergence(spark: SparkSession, sf: str) -> DataFrame:
     return divergence.audit(table(spark, sf, "documents"))
+
+
+@query()
+def op11_tokenizer_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    return alignment.totals(alignment.align(table(spark, sf, "documents")))
