@@ -7,12 +7,14 @@ the keys, puts the texts of a key in a chain and compares their bytes: the key d
 text is looked up, the bytes decide what it equals.
 
 Everything lies in tables in the shared folder: the combined texts, the directory, and the index of
-all different texts, which a later run can go on from.
+all different texts, which a later run can go on from. The index names the place of a text; texts
+are written once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import islice
 from math import ceil, log2
 from typing import NamedTuple
 
@@ -48,13 +50,14 @@ READ_ROWS = (
 OWN = {
     "kind": pa.int32(), "ref": pa.int64(), "keep_row": pa.int64(), "keep_id": pa.int64(),
     "n": pa.int64(), "sha256": pa.string(), "depth": pa.int32(), "prefix": pa.int64(),
-    "key": pa.int64(), "link": pa.int32(), "text": pa.binary(),
+    "key": pa.int64(), "link": pa.int32(),
 }
 OWN_ROWS = (
     "kind int, ref long, keep_row long, keep_id long, n long, sha256 string, depth int, "
-    "prefix long, key long, link int, text binary"
+    "prefix long, key long, link int"
 )
-INDEX_ROWS = "depth int, prefix long, key long, link int, keep_id long, n long, sha256 string, text binary"
+#: Rows that an owner writes at a time.
+ROWS = 10_000
 
 
 class Copies(NamedTuple):
@@ -64,17 +67,17 @@ class Copies(NamedTuple):
     index: DataFrame
 
 
-def _batches_of(schema: dict[str, pa.DataType], rows: Iterator[tuple], text: int) -> Batches:
-    """Rows in batches of a bounded number of bytes of the column ``text``."""
+def _text_batches(rows: Iterator[tuple]) -> Batches:
+    """Rows that end with a text, in batches of a bounded number of bytes."""
     waiting, held = [], 0
     for row in rows:
         waiting.append(row)
-        held += len(row[text] or b"") + 64
+        held += len(row[-1]) + 64
         if held > BATCH:
-            yield batch_of(schema, waiting)
+            yield batch_of(READ, waiting)
             waiting, held = [], 0
     if waiting:
-        yield batch_of(schema, waiting)
+        yield batch_of(READ, waiting)
 
 
 def _rank(doc_id: int | None, row: int) -> tuple:
@@ -118,11 +121,11 @@ def _combining(batches: Batches) -> Batches:
             documents.append((DOCUMENT, entry[0], row, doc_id, None, None, None, None, None))
             if held > HELD:
                 yield batch_of(READ, documents)
-                yield from _batches_of(READ, combined(), 8)
+                yield from _text_batches(combined())
                 documents, held = [], 0
                 chains.clear()
         yield batch_of(READ, documents)
-    yield from _batches_of(READ, combined(), 8)
+    yield from _text_batches(combined())
 
 
 def prefix(key: Column, depth: int) -> Column:
@@ -167,7 +170,7 @@ class _Chain:
     def __init__(self) -> None:
         self.links: list[list] = []  # text, sha256, n, keep_row, keep_id, refs
 
-    def add(self, ref: int | None, row: int, doc_id: int | None, n: int, sha256: str, text: bytes) -> None:
+    def add(self, ref: int, row: int, doc_id: int | None, n: int, sha256: str, text: bytes) -> None:
         for link in self.links:
             if link[0] == text:
                 link[2] += n
@@ -177,19 +180,21 @@ class _Chain:
         else:
             link = [text, sha256, n, row, doc_id, []]
             self.links.append(link)
-        if ref is not None:
-            link[5].append(ref)
+        link[5].append(ref)
 
     def rows(self, key: int, depth: int, start: int) -> Iterator[tuple]:
-        for place, (text, sha256, n, row, doc_id, refs) in enumerate(self.links):
+        for place, (_, sha256, n, row, doc_id, refs) in enumerate(self.links):
             for ref in refs:
-                yield (MEMBER, ref, row, doc_id, n, sha256, None, None, None, None, None)
-            yield (INDEXED, None, None, doc_id, n, sha256, depth, start, key, place, text)
+                if ref >= 0:
+                    yield (MEMBER, ref, row, doc_id, n, sha256, None, None, None, None)
+            yield (INDEXED, refs[0], None, doc_id, n, sha256, depth, start, key, place)
 
 
 def _owning(batches: Batches) -> Batches:
     """One owner's range of the directory, then its entries by key: chains, compared by bytes."""
-    yield from _batches_of(OWN, _chained(batches), 10)
+    rows = _chained(batches)
+    while some := list(islice(rows, ROWS)):
+        yield batch_of(OWN, some)
 
 
 def _chained(batches: Batches) -> Iterator[tuple]:
@@ -259,7 +264,7 @@ def deduplicate(
     )
     if index is not None:
         older = index.select(
-            F.lit(None).cast("long").alias("ref"), F.lit(-1).cast("long").alias("row"),
+            (F.lit(-1).cast("long") - F.col("link")).alias("ref"), F.lit(-1).cast("long").alias("row"),
             F.col("keep_id").alias("doc_id"), "key", "n", "sha256", "text",
             F.length("text").cast("long").alias("bytes"),
         )
@@ -293,7 +298,6 @@ def deduplicate(
         "doc_id", "keep_id", F.col("n").alias("group_size"),
         (F.col("row") == F.col("keep_row")).alias("kept"), F.col("sha256").alias("text_sha256"),
     )
-    found = chained.where(F.col("kind") == INDEXED).select(
-        "depth", "prefix", "key", "link", "keep_id", "n", "sha256", "text"
-    )
-    return Copies(documents, found)
+    links = chained.where(F.col("kind") == INDEXED).drop("kind", "keep_row")
+    found = links.join(entries.select("key", "ref", "text"), ["key", "ref"])
+    return Copies(documents, found.select("depth", "prefix", "key", "link", "keep_id", "n", "sha256", "text"))
