@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barloom.functions import day, parse_day, strip_header
+from barloom.functions import parse_day, strip_header
 from barloom.functions.dates import OPEN_END
-from barloom.functions.text import HEADER_JUNK
+from barloom.lines import csv_cells, header_lines, read_lines
 from barloom.operators.fill import monotonic_check
 from barloom.schemas import FIELDS
 from barloom.track import Track, quoted
@@ -93,8 +93,12 @@ def span_years(df: DataFrame, key: str, date: str = "date") -> DataFrame:
     return df.groupBy(key).agg(years_between(date).alias("years"))
 
 
-def years_between(date: str):
-    days = F.datediff(F.max(date), F.min(date))
+def years_between(date: str, value: str | None = None) -> Column:
+    """Years from the first to the last day, of those with a value if one is named; at least one."""
+    day = F.col(quoted(date))
+    if value is not None:
+        day = F.when(F.col(quoted(value)).isNotNull(), day)
+    days = F.datediff(F.max(day), F.min(day))
     return F.greatest(days / F.lit(365.25), F.lit(1.0))
 
 
@@ -161,12 +165,13 @@ def check_duplicate_columns(spark: SparkSession, names: Sequence[str]) -> DataFr
 def check_header_lines(spark: SparkSession, path: str) -> DataFrame:
     """Names that occur more than once in the header line of a CSV file, for all files at once.
 
-    A header line is one that does not begin with a date. Commas inside quotes part no cells.
+    The header is the first line of a file, unless that begins with a date; no other line is
+    looked at. Commas inside quotes part no cells.
     """
-    cells = F.split("value", r',(?=(?:[^"]*"[^"]*")*[^"]*$)')
-    heads = spark.read.text(path).where(day(F.btrim(cells[0], F.lit(HEADER_JUNK))).isNull())
+    heads = header_lines(read_lines(spark, path))
+    cells = csv_cells(F.col("heads")[0])
     return (
-        heads.select(F.col("_metadata.file_path").alias("file"), F.explode(cells).alias("name"))
+        heads.select("file", F.explode(cells).alias("name"))
         .groupBy("file", strip_header(F.col("name")).alias("column_name"))
         .agg(F.count(F.lit(1)).alias("n_uses"))
         .where("n_uses > 1 AND column_name <> ''")

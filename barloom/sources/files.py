@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import csv
 import logging
 from collections.abc import Mapping, Sequence
 
@@ -13,13 +12,14 @@ from pyspark.sql import functions as F
 from barloom.functions import (
     day,
     series_id_of_file,
+    strip_header,
     symbol_of_file,
+    text_before_underscore,
     to_number,
 )
-from barloom.functions.text import HEADER_JUNK
+from barloom.lines import csv_cells, first_day, header_lines, read_lines
 from barloom.operators.clean import filter_ticker
 from barloom.schemas import FIELDS, TAGGED
-from barloom.track import quoted
 
 log = logging.getLogger(__name__)
 
@@ -48,68 +48,85 @@ def read_series(
     )
 
 
-def _header_rows(spark: SparkSession, path: str, rows: int) -> list[list[str]]:
-    """Cells of the first lines that do not begin with a date."""
-    lines = spark.read.text(path)
-    first_cell = F.btrim(F.substring_index("value", ",", 1), F.lit(HEADER_JUNK))
-    heads = lines.where(day(first_cell).isNull()).limit(rows).collect()
-    return list(csv.reader(line.value for line in heads))
+#: Where a file has the fields of a symbol: the number of each cell.
+_PLACES = "array<struct<symbol: string, " + ", ".join(f"{f}: int" for f in FIELDS) + ">>"
 
 
-def _bars_of_row(columns: Mapping[str, Mapping[str, str]], date: Column) -> list[Column]:
-    """Columns that turn one wide row into one long row per symbol, without a shuffle."""
-    def number(cells: Mapping[str, str], field: str) -> Column:
-        if field not in cells:
-            return F.lit(None).cast("double")
-        return to_number(F.col(quoted(cells[field])))
+def _places(heads: DataFrame, rows: int, symbol: Column, field: Column) -> DataFrame:
+    """(file, heads, places): the header lines of each file, and the cells of each symbol.
+
+    ``symbol`` and ``field`` are told from the column ``name``, the cells of ``rows`` header lines
+    above one another.
+    Of a field that a file names twice for a symbol the first cell counts.
+    """
+    cells = F.arrays_zip(*[csv_cells(F.col("heads")[i]).alias(f"h{i}") for i in range(rows)])
+    named = heads.select("file", F.posexplode(cells).alias("place", "name")).where("place > 0")
+    named = named.select("file", "place", symbol.alias("symbol"), field.alias("field"))
+    known = named.where(F.col("field").isin(list(FIELDS)) & (F.col("symbol") != ""))
+    of_symbol = known.groupBy("file", "symbol").agg(
+        *[F.min(F.when(F.col("field") == f, F.col("place"))).alias(f) for f in FIELDS]
+    )
+    of_file = of_symbol.groupBy("file").agg(
+        F.sort_array(F.collect_list(F.struct("symbol", *FIELDS))).alias("places")
+    )
+    return heads.join(of_file, "file", "left").withColumn(
+        "places", F.coalesce("places", F.array().cast(_PLACES))
+    )
 
-    def bar(symbol: str, cells: Mapping[str, str]) -> Column:
-        return F.struct(
-            F.lit(symbol).alias("symbol"),
-            *[number(cells, f).alias(f) for f in FIELDS[:-1]],
-            number(cells, "volume").try_cast("bigint").alias("volume"),
-        )
 
-    bars = F.array(*[bar(symbol, cells) for symbol, cells in columns.items()])
-    return [date.alias("date"), F.explode(bars).alias("bar")]
+def _bars_of_lines(lines: DataFrame, placed: DataFrame) -> DataFrame:
+    """Long bars of the lines of many files, each read by the header of its own file.
+
+    A file without a header is read by the one that all others have; if theirs differ, or there
+    is none, that is an error when rows are read.
+    """
+    shared = placed.agg(
+        F.when(F.count_distinct("places") == 1, F.any_value("places"))
+    ).scalar()
+    none = F.raise_error(F.concat(F.lit("no header for "), "file")).cast(_PLACES)
+    rows = lines.join(placed, "file", "left").where(
+        ~F.coalesce(F.array_contains("heads", F.col("value")), F.lit(False))
+    )
+    cells = F.col("cells")
+    bars = rows.select(
+        first_day(F.col("value")).alias("date"),
+        csv_cells(F.col("value")).alias("cells"),
+        F.explode(F.coalesce("places", shared, none)).alias("bar"),
+    )
 
+    def number(field: str) -> Column:
+        return to_number(F.btrim(F.get(cells, F.col(f"bar.{field}")), F.lit(' "')))
 
-def _long(raw: DataFrame, columns: Mapping[str, Mapping[str, str]], date: Column) -> DataFrame:
-    return raw.select(*_bars_of_row(columns, date)).select(
-        "bar.symbol", "date", *[f"bar.{f}" for f in FIELDS]
+    return bars.select(
+        "bar.symbol", "date", *[number(f).alias(f) for f in FIELDS[:-1]],
+        number("volume").try_cast("bigint").alias("volume"),
     )
 
 
 def read_wide(spark: SparkSession, path: str) -> DataFrame:
     """First column the day, the others ``Field_TICKER``; ``Value_<id>`` columns are left out.
 
-    All files of a folder must have the same header; another one is an error when rows are read.
+    Files of a folder may have different columns, or the same ones in another order: each is read
+    by its own first line. Lines that repeat it are left out.
     """
-    raw = spark.read.option("header", True).option("enforceSchema", False).csv(path)
-    time, *names = raw.columns
-    columns: dict[str, dict[str, str]] = {}
-    for name in names:
-        field, _, symbol = name.partition("_")
-        if field.lower() in FIELDS and symbol:
-            columns.setdefault(symbol, {})[field.lower()] = name
-    return _long(raw, columns, day(F.col(quoted(time))))
+    lines = read_lines(spark, path)
+    heads = header_lines(lines, 1)
+    name = F.btrim(F.col("name.h0"), F.lit(' "'))
+    symbol = F.regexp_extract(name, "^[^_]*_(.*)$", 1)
+    return _bars_of_lines(lines, _places(heads, 1, symbol, F.lower(text_before_underscore(name))))
 
 
 def read_two_header(spark: SparkSession, path: str) -> DataFrame:
     """Two header rows, symbol above field; the first column is the day.
 
-    Header cells are stripped of quotes, brackets and blanks. Lines whose first cell is no date
-    (the header itself) are dropped.
+    Header cells are stripped of quotes, brackets and blanks. Files of a folder may have different
+    columns: each is read by its own two first lines. Lines without a day are left out.
     """
-    above, below = _header_rows(spark, path, 2)
-    names = [f"c{i}" for i in range(len(above))]
-    raw = spark.read.schema(", ".join(f"{n} string" for n in names)).csv(path)
-    columns: dict[str, dict[str, str]] = {}
-    for name, symbol, field in list(zip(names, above, below, strict=False))[1:]:
-        symbol, field = symbol.strip(HEADER_JUNK), field.strip(HEADER_JUNK).lower()
-        if symbol and field in FIELDS:
-            columns.setdefault(symbol, {})[field] = name
-    return _long(raw, columns, day(F.col(names[0]))).where("date IS NOT NULL")
+    lines = read_lines(spark, path)
+    heads = header_lines(lines, 2)
+    symbol, field = (strip_header(F.col(f"name.h{i}")) for i in range(2))
+    dated = lines.where(first_day(F.col("value")).isNotNull())
+    return _bars_of_lines(dated, _places(heads, 2, symbol, F.lower(field)))
 
 
 def read_tagged(spark: SparkSession, path: str) -> DataFrame:

@@ -84,6 +84,35 @@ def two_header_csv(spark, sf):
     return path
 
 
+@registered(_TYPE_BARS)
+def source_two_header_folder(spark, sf):
+    """A file a quarter, each with its columns in another order."""
+    path = new_path(spark, "two-header")
+    _permuted(spark, sf, path, lambda s, f: (f"(' {s}", f"{f.capitalize()}')"))
+    return read_two_header(spark, path).where("volume IS NOT NULL")
+
+
+@registered(_TYPE_BARS)
+def source_wide_folder(spark, sf):
+    """The same with one header line."""
+    path = new_path(spark, "wide")
+    _permuted(spark, sf, path, lambda s, f: (f"{f.capitalize()}_{s}",))
+    return read_wide(spark, path).where("volume IS NOT NULL")
+
+
+def _permuted(spark, sf, path, names):
+    wide = clean.to_wide(type_bars(spark, sf), a.EVENT_TYPES)
+    for quarter in range(1, 5):
+        cells = [(s, f) for s in a.EVENT_TYPES[quarter:] + a.EVENT_TYPES[:quarter] for f in FIELDS]
+        cells = cells[::-1] if quarter % 2 else cells
+        heads = [",".join(["Date", *row]) for row in zip(*[names(s, f) for s, f in cells], strict=True)]
+        values = [F.col(f"{f.capitalize()}_{s}").cast("string") for s, f in cells]
+        line = F.concat_ws(",", F.col("date").cast("string"), *[F.coalesce(v, F.lit("")) for v in values])
+        body = wide.where(F.quarter("date") == quarter).select(F.lit(len(heads)).alias("n"), line.alias("value"))
+        lines = spark.createDataFrame(list(enumerate(heads)), "n int, value string").union(body)
+        lines.coalesce(1).sortWithinPartitions("n").select("value").write.mode("append").text(path)
+
+
 @registered(_TYPE_BARS)
 def source_symbol_dir(spark, sf):
     path = new_path(spark, "symbols")
@@ -122,10 +151,12 @@ def _sources(spark, sf):
 
 
 @registered("""SELECT DISTINCT 'fred' AS type, o_orderpriority AS symbols,
-    'AnalysisException' AS finding FROM orders WHERE o_orderpriority = '1-URGENT'""")
+    'AnalysisException' AS finding FROM orders""")
 def source_list_skipped(spark, sf):
-    """The source that could not be opened."""
-    return source_findings(spark, _sources(spark, sf))
+    """A source for every order priority, none of which can be opened, next to those that can."""
+    names = [r.o_orderpriority for r in a.table(spark, sf, "orders").select("o_orderpriority").distinct().collect()]
+    absent = [{"type": "fred", "ticker": n, "file_path": new_path(spark, "absent")} for n in names]
+    return source_findings(spark, [*_sources(spark, sf)[:2], *absent])
 
 
 @registered(using("series", "SELECT * FROM series"))

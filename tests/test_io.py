@@ -290,9 +290,40 @@ def test_shared_folder_is_the_sessions(spark):
     assert shared_folder(spark).startswith(spark.conf.get("spark.checkpoint.dir") + "/")
 
 
-def test_wide_files_with_other_headers_are_an_error(spark, tmp_path):
-    (tmp_path / "a.csv").write_text("Date,Open_A,Close_A\n2020-01-02,1,2\n")
-    (tmp_path / "b.csv").write_text("Date,Close_A,Open_A\n2020-01-03,3,4\n")
-    assert read_wide(spark, str(tmp_path / "a.csv")).count() == 1
-    with pytest.raises(Exception, match="header"):
-        read_wide(spark, str(tmp_path)).collect()
+def test_wide_files_are_read_by_their_own_headers(spark, tmp_path):
+    put(tmp_path, "a.csv", 'Date,Open_A,"Close_A",Close_B\n2020-01-02,1,"2",9\nDate,Open_A,"Close_A",Close_B\n')
+    put(tmp_path, "b.csv", "Date,Close_A,Open_A\n2020-01-03,3,4\nnever,5,6\n")
+    got = read_wide(spark, str(tmp_path)).collect()
+    assert {(r.symbol, r.date, r.open, r.close) for r in got} == {
+        ("A", d("2020-01-02"), 1, 2), ("B", d("2020-01-02"), None, 9), ("A", d("2020-01-03"), 4, 3),
+        ("A", None, 6, 5),
+    }
+
+
+def test_two_header_files_are_read_by_their_own_headers(spark, tmp_path):
+    put(tmp_path, "a.csv", "Ticker,AAA,BBB\nPrice,Close,Close\n2020-01-02,1,2\n,3,3\n")
+    put(tmp_path, "b.csv", "Ticker,BBB,AAA,AAA\nPrice,Close,Close,Open\n2020-01-03,3,4,5\n")
+    got = read_two_header(spark, str(tmp_path)).collect()
+    assert {(r.symbol, r.date, r.open, r.close) for r in got} == {
+        ("AAA", d("2020-01-02"), None, 1), ("BBB", d("2020-01-02"), None, 2),
+        ("AAA", d("2020-01-03"), 5, 4), ("BBB", d("2020-01-03"), None, 3),
+    }
+
+
+def test_files_without_a_header_take_the_one_that_all_others_have(spark, tmp_path):
+    put(tmp_path, "head.csv", "Ticker,AAA,BBB\nPrice,Close,Close\n")
+    put(tmp_path, "body.csv", "2020-01-02,1,2\n2020-01-03,3,4\n")
+    assert read_two_header(spark, str(tmp_path)).count() == 4
+    put(tmp_path, "other.csv", "Ticker,BBB,AAA\nPrice,Close,Close\n2020-01-04,5,6\n")
+    with pytest.raises(Exception, match="no header for .*body.csv"):
+        read_two_header(spark, str(tmp_path)).collect()
+
+
+def test_only_header_lines_are_looked_at(spark, tmp_path):
+    from barloom.operators.quality import check_header_lines
+
+    put(tmp_path, "a.csv", "Date,X,Y,X\n2020-01-01,1,2,3\n,3,3\n,4,4\n")
+    put(tmp_path, "b.csv", "2020-01-01,1,1\n,7,7\n")
+    put(tmp_path, "c.csv", '\nDate,"A,B","A,B"\n,5,5\n')
+    found = {(r.file[-5:], r.column_name, r.n_uses) for r in check_header_lines(spark, str(tmp_path)).collect()}
+    assert found == {("a.csv", "X", 2), ("c.csv", "A,B", 2)}
