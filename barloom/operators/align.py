@@ -36,6 +36,27 @@ def numbered(spark: SparkSession, days: Column) -> DataFrame:
     return spark.range(0, 1, 1, 1).select(F.posexplode(days).alias("seq", "date"))
 
 
+def first_of_day(
+    df: DataFrame, key: str, date: str, values: Sequence[str], arrival: Sequence[str] = ()
+) -> DataFrame:
+    """One row per series and day: the first by ``arrival``, then by value, missing ones last.
+
+    The first is found per task before the shuffle, so a day that repeats any number of times
+    costs a row per task. A single value column without arrival takes a hash aggregate.
+    """
+    days = df.groupBy(F.col(quoted(key)), F.col(quoted(date)))
+    if len(values) == 1 and not arrival:
+        return days.agg(F.min(quoted(values[0])).alias(values[0]))
+    order = [
+        part.alias(f"{kind}_{i}")
+        for i, c in enumerate([*arrival, *values])
+        for kind, part in (("absent", F.col(quoted(c)).isNull()), ("c", F.col(quoted(c))))
+    ]
+    found = days.agg(F.min(F.struct(*order)).alias("__first"))
+    shown = [F.col(f"__first.c_{len(arrival) + i}").alias(c) for i, c in enumerate(values)]
+    return found.select(F.col(quoted(key)), F.col(quoted(date)), *shown)
+
+
 def _spread(
     df: DataFrame,
     days: Column,
@@ -44,28 +65,22 @@ def _spread(
     values: Sequence[str],
     fill: str | None,
     arrival: Sequence[str],
+    unique: bool,
 ) -> DataFrame:
-    """One row per series and timeline day, with ``present`` telling the observed days.
-
-    Of rows that repeat a series and day the first by ``arrival``, then by value, counts.
-    """
+    """One row per series and timeline day, with ``present`` telling the observed days."""
     if fill not in (None, "ffill", "ffill_bfill"):
         raise ValueError(f"fill {fill!r} is not one of ffill, ffill_bfill")
+    if not unique:
+        df = first_of_day(df, key, date, values, arrival)
     on, on_line = F.col("__on"), F.col("seq").isNotNull()
     places = numbered(df.sparkSession, days).withColumnRenamed("date", "__on")
     placed = (
-        df.select(
-            quoted(key), F.col(quoted(date)).alias("__on"), *map(quoted, values),
-            *[F.col(quoted(c)).alias(f"__came_{i}") for i, c in enumerate(arrival)],
-        )
+        df.select(quoted(key), F.col(quoted(date)).alias("__on"), *map(quoted, values))
         .join(F.broadcast(places), "__on", "left")
         .withColumns({c: F.when(on_line, F.col(quoted(c))) for c in values})
         .withColumn("seq", F.coalesce("seq", F.lit(-1)))
     )
-    came = [f"__came_{i}" for i in range(len(arrival))] + [quoted(c) for c in values]
-    w = Window.partitionBy(key).orderBy("seq", *[F.asc_nulls_last(c) for c in came])
-    again = (F.col("seq") >= 0) & (F.lag("seq").over(w) == F.col("seq"))
-    placed = placed.withColumn("__again", F.coalesce(again, F.lit(False))).where("NOT __again")
+    w = Window.partitionBy(quoted(key)).orderBy("seq")
     past = w.rowsBetween(Window.unboundedPreceding, 0)
     opens = F.when(F.lag("seq").over(w).isNull(), F.lit(0)).otherwise(F.col("seq"))
     closes = F.coalesce(F.lead("seq").over(w), F.size(days))
@@ -95,16 +110,18 @@ def outer_align(
     fill: str | None = None,
     key: str = "symbol",
     arrival: Sequence[str] = (),
+    unique: bool = False,
 ) -> DataFrame:
     """Every symbol gets every date any symbol has.
 
-    A repeated (symbol, date) counts once, with its first row by the ``arrival`` columns.
+    A repeated (symbol, date) counts once, with its first row by the ``arrival`` columns, then by
+    value. ``unique`` says that none repeats, which spares an aggregate.
 
     ``dates`` is the set of those dates where it is cheaper to read than from ``bars``. With
     ``fill`` (``ffill`` or ``ffill_bfill``) gaps are repaired in the same pass.
     """
     days = timeline(bars if dates is None else dates)
-    return _spread(bars, days, key, "date", values, fill, arrival).drop("present")
+    return _spread(bars, days, key, "date", values, fill, arrival, unique).drop("present")
 
 
 def align_to_base(
@@ -114,27 +131,36 @@ def align_to_base(
     key: str = "series_id",
     values: Sequence[str] = ("value",),
     arrival: Sequence[str] = (),
+    unique: bool = False,
 ) -> DataFrame:
     """Each series on exactly the base days.
 
-    A repeated (series, date) counts once, with its first row by the ``arrival`` columns.
+    A repeated (series, date) counts once, with its first row by the ``arrival`` columns, then by
+    value. ``unique`` says that none repeats, which spares an aggregate.
 
     Only the same day matches. An observation on a day outside the base is dropped and does not
     carry into the next base day. ``present`` is true where the day was observed, even if the
     observed value is missing. With ``fill`` gaps are repaired in the same pass.
     """
-    return _spread(series, timeline(base_dates), key, "date", values, fill, arrival)
+    return _spread(series, timeline(base_dates), key, "date", values, fill, arrival, unique)
 
 
 def alignment_report(base_dates: DataFrame, series: DataFrame) -> DataFrame:
-    """Per series how many base days it has and how many it lacks, without building the grid."""
-    days = base_dates.select("date").distinct()
-    day_count = days.agg(F.count(F.lit(1))).scalar()
-    marked = series.select("series_id", "date").join(
-        F.broadcast(days.withColumn("on_base", F.lit(True))), "date", "left"
+    """Per series how many base days it has and how many it lacks, without building the grid.
+
+    A day counts once however often it was observed. Each task marks the days of a series in
+    bitmaps over the timeline (4 kB for 32768 days), and only bitmaps are shuffled and merged.
+    """
+    days = timeline(base_dates)
+    places = numbered(series.sparkSession, days)
+    number = (F.col("seq") + 1).cast("long")  # null off the base, which marks nothing
+    marked = series.select("series_id", "date").join(F.broadcast(places), "date", "left")
+    marks = marked.groupBy("series_id", F.bitmap_bucket_number(number).alias("part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("marks")
     )
-    return marked.groupBy("series_id").agg(F.count("on_base").alias("matches")).withColumn(
-        "misses", day_count - F.col("matches")
+    matches = F.sum(F.bitmap_count("marks")).alias("matches")
+    return marks.groupBy("series_id").agg(matches).withColumn(
+        "misses", F.size(days) - F.col("matches")
     )
 
 
@@ -144,14 +170,16 @@ def attach_series(
     ids: Sequence[str],
     base_dates: DataFrame | None = None,
     fill: str | None = "ffill_bfill",
+    unique: bool = False,
 ) -> DataFrame:
     """Bars with one ``Value_<id>`` column per listed series, matched by day and filled.
 
-    The attached side has one row per base day. A listed series without data gives an all-missing column.
+    The attached side has one row per base day. A listed series without data gives an all-missing
+    column. ``unique`` says that no (series, date) repeats.
     """
     base = bars.select("date") if base_dates is None else base_dates
     wanted = series.where(F.col("series_id").isin(list(ids)))
-    aligned = align_to_base(base, wanted, fill)
+    aligned = align_to_base(base, wanted, fill, unique=unique)
     wide = aligned.groupBy("date").agg(
         *[
             F.max(F.when(F.col("series_id") == i, F.col("value"))).alias(f"Value_{i}")

@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.functions import ratio, whole_units
-from barloom.operators.align import outer_align
+from barloom.operators.align import first_of_day
 from barloom.operators.quality import years_between
 from barloom.track import (
-    Running,
     Track,
+    first_known,
+    last_before,
     last_known,
-    opening,
     position,
     previous,
     quoted,
@@ -43,16 +41,24 @@ PERIODS = {
 def hold_equity(
     bars: DataFrame, init_cash: float = 100.0, value: str = "close", track: Track = DAILY
 ) -> DataFrame:
-    """Equity of holding from the first bar on, in fractional units."""
+    """Equity of holding from the first price on, in fractional units.
+
+    There is none before the first price. A missing price earns nothing: the equity stays at the
+    last price's, and the next price earns the whole change.
+    """
+    first, last = F.col("__first"), F.col("__last")
+    prices = {"__first": first_known(F.col(value)), "__last": last_known(F.col(value))}
     return (
-        running(bars, track, __first=opening(F.col(value)))
-        .withColumn("equity", ratio(F.lit(float(init_cash)) * F.col(value), F.col("__first")))
-        .drop("__first")
+        running(bars, track, **prices)
+        .withColumn("equity", ratio(F.lit(float(init_cash)) * last, first))
+        .drop("__first", "__last")
     )
 
 
 def _ends(value: str, date: str) -> dict[str, Column]:
-    return {"start_value": F.min_by(value, date), "end_value": F.max_by(value, date)}
+    """First and last value that is there."""
+    place = F.when(F.col(quoted(value)).isNotNull(), F.col(quoted(date)))
+    return {"start_value": F.min_by(quoted(value), place), "end_value": F.max_by(quoted(value), place)}
 
 
 def profit_and_return(
@@ -75,9 +81,13 @@ def growth_rate(start: Column, end: Column, years: Column) -> Column:
 def cagr(
     equity: DataFrame, key: str = "symbol", value: str = "equity", date: str = "date"
 ) -> DataFrame:
-    """Compound annual growth of each curve; spans below a year count as one."""
+    """Compound annual growth of each curve; spans below a year count as one.
+
+    The span is that of the values that are there.
+    """
     ends = equity.groupBy(key).agg(
-        *[c.alias(n) for n, c in _ends(value, date).items()], years_between(date).alias("years")
+        *[c.alias(n) for n, c in _ends(value, date).items()],
+        years_between(date, value).alias("years"),
     )
     rate = growth_rate(F.col("start_value"), F.col("end_value"), F.col("years"))
     return ends.select(key, rate.alias("cagr"), (rate * 100).alias("cagr_pct"))
@@ -92,23 +102,24 @@ def hold_equity_lots(
     value: str = "close",
     track: Track = DAILY,
 ) -> DataFrame:
-    """Equity of buying whole units once at the first bar.
+    """Equity of buying whole units once at the first price; there is none before it.
 
     The order is for as many units as the cash buys at the quoted price. Units fill at the price
     plus half the spread and each costs commission; what exceeds the allowed spending is not
-    bought. What is left stays cash.
+    bought. What is left stays cash. At a missing price the units count as the last one.
     """
     price = F.col("__first")
     ordered = whole_units(ratio(F.lit(float(cash)), price))
     unit_cost = price + F.lit(slippage / 2 + commission)
     afforded = whole_units(ratio(F.lit(float(cash) * max_leverage), unit_cost))
     units = F.least(ordered, afforded)
+    prices = {"__first": first_known(F.col(value)), "__last": last_known(F.col(value))}
     return (
-        running(bars, track, __first=opening(F.col(value)))
+        running(bars, track, **prices)
         .withColumn("units", units)
         .withColumn("cash_left", F.lit(float(cash)) - F.col("units") * unit_cost)
-        .withColumn("equity", F.col("units") * F.col(value) + F.col("cash_left"))
-        .drop("__first")
+        .withColumn("equity", F.col("units") * F.col("__last") + F.col("cash_left"))
+        .drop("__first", "__last")
     )
 
 
@@ -122,10 +133,11 @@ def signal_equity(
 ) -> DataFrame:
     """Equity of being long after an entry and flat after an exit, starting flat.
 
-    A signal acts from its bar's close, so a bar earns its change if the bar before it was long.
-    A missing price earns nothing; the next present one earns the change since the last present
-    price, if the bar before it was long. ``trades`` counts the changes of state so far. Values
-    must be positive.
+    A signal is filled at its bar's price, so a bar earns its change if the bar before it was
+    long. On a bar without a price nothing can be filled: the last signal since the last price is
+    filled at the next one. So a missing price earns nothing, and the next present one earns the
+    change since the last, if the holding at the last was long. ``long`` is the holding and
+    ``trades`` counts its changes so far. Values must be positive.
     """
     signal = F.when(F.col(entry), 1).when(F.col(exit), 0)
     steps = _signal_steps if track.segment is None else _signal_steps_by_cell
@@ -134,21 +146,30 @@ def signal_equity(
     return stepped.select(
         *map(quoted, bars.columns),
         F.col("__trades").alias("trades"),
-        (F.col("__state") == 1).alias("long"),
+        (F.col("__holding") == 1).alias("long"),
         equity.alias("equity"),
     )
 
 
 def _signal_steps(bars: DataFrame, signal: Column, value: Column, track: Track) -> DataFrame:
-    """Adds the state, the log growth and the number of trades up to each row."""
-    held = running(bars, track, __state=last_known(signal), __last=last_known(value))
-    held = held.withColumn("__state", F.coalesce("__state", F.lit(0)))
-    was = running(
-        held, track, __was=previous(F.col("__state")), __prev=previous(F.col("__last"))
+    """Adds the holding, the log growth and the number of trades up to each row."""
+    asked = running(bars, track, __asked=last_known(signal))
+    filled = F.when(value.isNotNull(), F.coalesce("__asked", F.lit(0)))
+    held = running(
+        asked.withColumn("__filled", filled),
+        track,
+        __holding=last_known(F.col("__filled")),
+        __was=last_before(F.col("__filled")),
+        __prev=last_before(value),
     )
+    held = held.withColumn("__holding", F.coalesce("__holding", F.lit(0)))
     gain = F.when(F.col("__was") == 1, F.ln(ratio(value, F.col("__prev")))).otherwise(F.lit(0.0))
-    turned = F.when(F.coalesce("__was", F.lit(0)) != F.col("__state"), 1).otherwise(0)
-    return running(was, track, __log=running_sum(gain), __trades=running_sum(turned))
+    turned = F.when(F.coalesce("__was", F.lit(0)) != F.col("__filled"), 1).otherwise(0)
+    return running(held, track, __log=running_sum(gain), __trades=running_sum(turned))
+
+
+#: What a row with a price holds, if that is what its cell starts with having been asked for.
+_CARRIED = -1
 
 
 def _signal_steps_by_cell(
@@ -156,73 +177,76 @@ def _signal_steps_by_cell(
 ) -> DataFrame:
     """The same by cells.
 
-    Until the first signal of a cell the state is the one it starts in, which only the cells
-    before know. So growth is summed in two parts: earned for certain, and earned if the cell
-    starts long. The same holds for the trade made by the first signal. The step from the last
-    price before the cell falls on the cell's first present price; ``__entered`` is the state in
-    which the cell gets there, -1 if it is the one the cell starts in.
+    What a cell's rows hold before its first signal is what was asked for before the cell, which
+    only the cells before know. So growth is summed in two parts: earned for certain, and earned
+    if the cell starts with long asked for. The step from the last price before the cell falls on
+    the cell's first price and is earned if the holding before the cell is long. Trades are
+    counted alike: those inside, the one made by the cell's first signal, and the one made at its
+    first price by signals since the last price before it.
     """
 
     def inside(rows: DataFrame, within: Track) -> DataFrame:
         known = running(
             rows.withColumn("__signal", signal),
             within,
-            __state=last_known(F.col("__signal")),
-            __last=last_known(value),
+            __asked=last_known(F.col("__signal")),
             __pos=position(),
         )
+        held = F.when(value.isNotNull(), F.coalesce("__asked", F.lit(_CARRIED)))
         known = running(
-            known, within, __was=previous(F.col("__state")), __prev=previous(F.col("__last"))
+            known.withColumn("__held", held),
+            within,
+            __was=last_before(F.col("__held")),
+            __prev=last_before(value),
+            __last_held=last_known(F.col("__held")),
         )
-        arrived = F.when(value.isNotNull(), F.coalesce("__was", F.lit(-1)))
         log = F.ln(ratio(value, F.col("__prev")))
-        later = F.col("__pos") > 1
-        sure = F.when(F.col("__was") == 1, log).otherwise(F.lit(0.0))
-        if_long = F.when(F.col("__was").isNull() & later, log).otherwise(F.lit(0.0))
-        turned = F.when(F.col("__was") != F.col("__state"), 1).otherwise(0)
+        now, was = F.col("__held"), F.col("__was")
+        sure = F.when(was == 1, log).otherwise(F.lit(0.0))
+        if_long = F.when(was == _CARRIED, log).otherwise(F.lit(0.0))
+        turned = F.when((was != _CARRIED) & (was != now), 1).otherwise(0)
+        first_fill = F.when((was == _CARRIED) & (now != _CARRIED), now)
         return running(
             known,
             within,
             __sure=running_sum(sure),
             __if_long=running_sum(if_long),
             __turned=running_sum(turned),
-            __opener=_first_known(F.col("__signal")),
-            __entered=_first_known(arrived),
+            __first_fill=first_known(first_fill),
+            __entered=first_known(now),
         )
 
     last = F.col("__pos")
     totals = [
-        F.max_by("__state", last).alias("__end_state"),
-        F.max_by("__opener", last).alias("__end_opener"),
-        F.max_by("__sure", last).alias("__end_sure"),
-        F.max_by("__if_long", last).alias("__end_if_long"),
-        F.max_by("__turned", last).alias("__end_turned"),
-        F.max_by("__last", last).alias("__end_value"),
+        *[
+            F.max_by(f"__{c}", last).alias(f"__end_{c}")
+            for c in ("asked", "sure", "if_long", "turned", "first_fill", "entered", "last_held")
+        ],
+        F.max_by(value, F.when(value.isNotNull(), last)).alias("__end_value"),
         F.min_by(value, F.when(value.isNotNull(), last)).alias("__start_value"),
-        F.max_by("__entered", last).alias("__end_entered"),
     ]
 
     def along(cells: DataFrame, chain: Track) -> DataFrame:
         earlier = chain.window().rowsBetween(Window.unboundedPreceding, -1)
-        before = F.last("__end_value", True).over(earlier)
-        begun = cells.withColumn("__before", before).withColumns(
+        begun = cells.withColumns(
             {
-                "__carry_state": F.coalesce(
-                    F.last("__end_state", True).over(earlier), F.lit(0)
-                ),
+                "__before": F.last("__end_value", True).over(earlier),
+                "__carry_asked": F.coalesce(F.last("__end_asked", True).over(earlier), F.lit(0)),
+            }
+        )
+        begun = begun.withColumns(
+            {
+                "__left_with": _resolved("__end_last_held"),
                 "__carry_step": F.coalesce(
-                    F.ln(ratio(F.col("__start_value"), F.col("__before"))),
-                    F.lit(0.0),
+                    F.ln(ratio(F.col("__start_value"), F.col("__before"))), F.lit(0.0)
                 ),
             }
         )
-        growth = (
-            F.col("__end_sure")
-            + F.col("__carry_state") * F.col("__end_if_long")
-            + _step_earned("__end_entered")
+        begun = begun.withColumn(
+            "__carry_holding", F.coalesce(F.last("__left_with", True).over(earlier), F.lit(0))
         )
-        trades = F.col("__end_turned") + _opening_trade("__end_opener")
-        return begun.withColumns({"__growth": growth, "__made": trades}).withColumns(
+        summed = {"__growth": _grown("__end_"), "__made": _made("__end_")}
+        return begun.withColumns(summed).withColumns(
             {
                 "__carry_log": F.coalesce(F.sum("__growth").over(earlier), F.lit(0.0)),
                 "__carry_trades": F.coalesce(F.sum("__made").over(earlier), F.lit(0)),
@@ -230,78 +254,90 @@ def _signal_steps_by_cell(
         )
 
     rows = through_cells(bars, track, inside, totals, along)
-    earned = F.col("__carry_state") * F.col("__if_long") + _step_earned("__entered")
     return rows.withColumns(
         {
-            "__state": F.coalesce("__state", "__carry_state"),
-            "__log": F.col("__carry_log") + F.col("__sure") + earned,
-            "__trades": F.col("__carry_trades") + F.col("__turned") + _opening_trade("__opener"),
+            "__holding": F.coalesce(_resolved("__last_held"), F.col("__carry_holding")),
+            "__log": F.col("__carry_log") + _grown("__"),
+            "__trades": F.col("__carry_trades") + _made("__"),
         }
     )
 
 
-def _step_earned(entered: str) -> Column:
-    """What the step into the cell has earned once its first present price is reached."""
-    state = F.when(F.col(entered) >= 0, F.col(entered)).when(
-        F.col(entered) == -1, F.col("__carry_state")
-    )
-    return F.coalesce(state, F.lit(0)) * F.col("__carry_step")
+def _resolved(held: str) -> Column:
+    """A holding as 1 or 0, null without one, where the cell's beginning is known."""
+    return F.when(F.col(held) == _CARRIED, F.col("__carry_asked")).otherwise(F.col(held))
 
 
-def _first_known(value: Column) -> Running:
-    """First value that is not null among the rows so far; only for use inside a cell."""
-    return replace(
-        last_known(value), inside=lambda v, t: F.first(v, True).over(t.so_far())
+def _grown(prefix: str) -> Column:
+    """Log growth inside a cell up to a row, or in all of it."""
+    step = F.when(F.col(f"{prefix}entered").isNotNull(), F.col("__carry_step")).otherwise(F.lit(0.0))
+    return (
+        F.col(f"{prefix}sure")
+        + F.col("__carry_asked") * F.col(f"{prefix}if_long")
+        + F.col("__carry_holding") * step
     )
 
 
-def _opening_trade(opener: str) -> Column:
-    """1 if the cell's first signal turns the state it started in."""
-    return F.when(F.col(opener) != F.col("__carry_state"), 1).otherwise(0)
+def _made(prefix: str) -> Column:
+    """Trades inside a cell up to a row, or in all of it."""
+    first_fill = F.when(F.col(f"{prefix}first_fill") != F.col("__carry_asked"), 1).otherwise(0)
+    at_first_price = F.when(_resolved(f"{prefix}entered") != F.col("__carry_holding"), 1).otherwise(0)
+    return F.col(f"{prefix}turned") + first_fill + at_first_price
 
 
 def allocated_equity(
-    bars: DataFrame, weights: DataFrame, frequency: str = "annually", init_cash: float = 1.0
+    bars: DataFrame,
+    weights: DataFrame,
+    frequency: str = "annually",
+    init_cash: float = 1.0,
+    unique: bool = False,
 ) -> DataFrame:
     """Equity of a weighted basket that is re-weighted at each period's last close.
 
-    Symbols are put on every date any of them has; a missing close counts as the last one, and
-    before its first close, or without any, a symbol's weight is held in cash. Inside a period the basket is worth the weighted growth since the close before
-    the period; periods multiply. The closes of (symbol, period) give the bases and the chain, and
-    only sums per date travel.
+    A missing close counts as the last one; before its first close, or without any, a symbol's
+    weight is held in cash. The curve has a row for every date any of the symbols has.
+
+    Inside a period the basket is worth the weighted growth since the close before the period, and
+    periods multiply. Only changes are summed: every close adds its weighted change since the one
+    before to its day, and the prefix sum over the days of a period is the growth. So work grows
+    with the closes and not with symbols times days. ``unique`` says that (symbol, date) does not
+    repeat; otherwise the least of repeated closes counts.
     """
     if frequency not in PERIODS:
         raise ValueError(f"frequency {frequency!r} is not one of {sorted(PERIODS)}")
     period = F.date_trunc(PERIODS[frequency], F.col("date").cast("timestamp_ntz")).cast("date")
-    own = bars.select("symbol", "date", "close").join(weights, "symbol", "left_semi")
+    own = bars.select("symbol", "date", "close").where("date IS NOT NULL")
+    if not unique:
+        own = first_of_day(own, "symbol", "date", ["close"])
     invested = weights.agg(F.sum("weight")).scalar()
-    weighted = (
-        outer_align(own, values=["close"], fill="ffill")
-        .join(weights.select("symbol", "weight"), "symbol")
-        .withColumn("period", F.unix_date(period))
+    held = own.join(weights.select("symbol", "weight"), "symbol").withColumn(
+        "period", F.unix_date(period)
+    )
+
+    close, here = F.col("close"), F.when(F.col("close").isNotNull(), F.col("period"))
+    symbol = Window.partitionBy("symbol").orderBy("date")
+    earlier = symbol.rowsBetween(Window.unboundedPreceding, -1)
+    stepped = held.withColumns(
+        {"last": F.last("close", True).over(earlier), "last_period": F.last(here, True).over(earlier)}
     )
-    closes = weighted.groupBy("symbol", "period").agg(
-        F.first("weight").alias("weight"),
-        F.max_by("close", "date").alias("last"),
-        F.min_by("close", F.when(F.col("close").isNotNull(), F.col("date"))).alias("first"),
+    opens = close.isNotNull() & ~F.col("last_period").eqNullSafe(F.col("period"))
+    base = F.last(F.when(opens, F.coalesce("last", "close")), True).over(
+        symbol.rowsBetween(Window.unboundedPreceding, 0)
     )
-    along = Window.partitionBy("symbol").orderBy("period")
-    bases = closes.withColumn("base", F.coalesce(F.lag("last").over(along), "first"))
-    worth = F.coalesce(ratio(F.col("last"), F.col("base")), F.lit(1.0))
-    full = bases.groupBy("period").agg(
-        (invested + F.sum(F.col("weight") * (worth - 1))).alias("whole")
+    change = F.when(close.isNotNull(), ratio(close - F.coalesce("last", "close"), F.col("base")))
+    days = stepped.withColumn("base", base).groupBy("period", "date").agg(
+        F.coalesce(F.sum(F.col("weight") * change), F.lit(0.0)).alias("change")
     )
+
+    # From here on one row per calendar day.
+    inside = Window.partitionBy("period").orderBy("date")
+    so_far = F.sum("change").over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    growth = days.select("period", "date", (invested + so_far).alias("growth"))
+    whole = days.groupBy("period").agg((invested + F.sum("change")).alias("whole"))
     before = Window.orderBy("period").rowsBetween(Window.unboundedPreceding, -1)
-    chained = full.select(
+    chained = whole.select(
         "period", F.coalesce(F.exp(F.sum(F.ln("whole")).over(before)), F.lit(1.0)).alias("chain")
     )
-    value = F.coalesce(ratio(F.col("close"), F.col("base")), F.lit(1.0))
-    growth = (
-        weighted.drop("weight")
-        .join(bases.select("symbol", "period", "weight", "base"), ["symbol", "period"])
-        .groupBy("period", "date")
-        .agg((invested + F.sum(F.col("weight") * (value - 1))).alias("growth"))
-    )
     return growth.join(chained, "period").select(
         "date", (F.lit(float(init_cash)) * F.col("chain") * F.col("growth")).alias("equity")
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from barloom.functions import ratio
 from barloom.operators.portfolio import growth_rate
 from barloom.operators.quality import years_between
-from barloom.track import Track, previous, quoted, running, running_max
+from barloom.track import Track, last_before, quoted, running, running_max
 
 DAILY = Track()
 
@@ -21,9 +21,13 @@ YEAR = 252
 def returns(
     bars: DataFrame, value: str = "close", track: Track = DAILY, name: str = "ret"
 ) -> DataFrame:
-    """Simple return against the row before; null on the first row."""
+    """Simple return against the last price before the row; null at the first price.
+
+    A missing price has no return, and the next one has the whole change since the last, which is
+    what equity curves earn there.
+    """
     return (
-        running(bars, track, __prev=previous(F.col(value)))
+        running(bars, track, __prev=last_before(F.col(value)))
         .withColumn(name, ratio(F.col(value), F.col("__prev")) - 1)
         .drop("__prev")
     )
@@ -82,20 +86,22 @@ def _stepped(df: DataFrame, value: str, track: Track) -> DataFrame:
     """Adds return and distance below the peak of every row: one window."""
     v = F.col(quoted(value))
     return (
-        running(df, track, __prev=previous(v), __peak=running_max(v))
+        running(df, track, __prev=last_before(v), __peak=running_max(v))
         .withColumn("__ret", ratio(v, F.col("__prev")) - 1)
         .withColumn("__down", ratio(v, F.col("__peak")) - 1)
     )
 
 
 def _figures(value: str, date: str, place: str, rf: float, mar: float, year: int) -> list[Column]:
-    r = F.col("__ret")
+    """Figures of the values that are there: a curve that starts late starts at its first one."""
+    r, there = F.col("__ret"), F.col(quoted(value)).isNotNull()
+    day, place = (F.when(there, F.col(quoted(c))) for c in (date, place))
     return [
-        F.min(date).alias("start_date"),
-        F.max(date).alias("end_date"),
-        F.min_by(value, place).alias("start_value"),
-        F.max_by(value, place).alias("end_value"),
-        years_between(date).alias("__years"),
+        F.min(day).alias("start_date"),
+        F.max(day).alias("end_date"),
+        F.min_by(quoted(value), place).alias("start_value"),
+        F.max_by(quoted(value), place).alias("end_value"),
+        years_between(date, value).alias("__years"),
         _volatility(r, year).alias("volatility"),
         _sharpe(r, rf, year).alias("sharpe"),
         _sortino(r, mar, year).alias("sortino"),
@@ -131,7 +137,7 @@ def strategy_stats(
 ) -> DataFrame:
     """One row of figures per curve; ``date`` is the first order column unless named.
 
-    The row before and the peak so far come from one window, and the figures from one aggregate
+    The price before and the peak so far come from one window, and the figures from one aggregate
     on the same partitioning: one shuffle in all.
     """
     place = track.order[0]

@@ -107,7 +107,7 @@ class Running:
     uses_first: bool = False
 
 
-def _cells_before(track: Track) -> WindowSpec:
+def _rows_before(track: Track) -> WindowSpec:
     return track.window().rowsBetween(Window.unboundedPreceding, -1)
 
 
@@ -121,7 +121,7 @@ def last_known(value: Column) -> Running:
         value,
         inside=lambda v, t: F.last(v, True).over(t.so_far()),
         total=lambda v, t: F.max_by(v, _place_if_present(v, t)),
-        carried=lambda s, t: F.last(s, True).over(_cells_before(t)),
+        carried=lambda s, t: F.last(s, True).over(_rows_before(t)),
         merged=lambda own, carry: F.coalesce(own, carry),
     )
 
@@ -149,14 +149,25 @@ def previous(value: Column) -> Running:
     )
 
 
-def opening(value: Column) -> Running:
-    """Value of the first row of the series, null or not."""
+def last_before(value: Column) -> Running:
+    """Last value that is not null, strictly before the row."""
     return Running(
         value,
-        inside=lambda v, t: F.first(v).over(t.so_far()),
-        total=lambda v, t: F.min_by(v, t.position_key()),
-        carried=lambda s, t: F.first(F.struct(F.col(s).alias("v"))).over(_cells_before(t)),
-        merged=lambda own, carry: F.when(carry.isNull(), own).otherwise(carry["v"]),
+        inside=lambda v, t: F.last(v, True).over(_rows_before(t)),
+        total=lambda v, t: F.max_by(v, _place_if_present(v, t)),
+        carried=lambda s, t: F.last(s, True).over(_rows_before(t)),
+        merged=lambda own, carry: F.coalesce(own, carry),
+    )
+
+
+def first_known(value: Column) -> Running:
+    """First value of the series that is not null, null on the rows before it."""
+    return Running(
+        value,
+        inside=lambda v, t: F.first(v, True).over(t.so_far()),
+        total=lambda v, t: F.min_by(v, _place_if_present(v, t)),
+        carried=lambda s, t: F.first(s, True).over(_rows_before(t)),
+        merged=lambda own, carry: F.coalesce(carry, own),
     )
 
 
@@ -166,7 +177,7 @@ def position() -> Running:
         F.lit(1),
         inside=lambda v, t: F.row_number().over(t.window()).cast("long"),
         total=lambda v, t: F.count(v),
-        carried=lambda s, t: F.sum(s).over(_cells_before(t)),
+        carried=lambda s, t: F.sum(s).over(_rows_before(t)),
         merged=lambda own, carry: own + F.coalesce(carry, F.lit(0)),
     )
 
@@ -177,7 +188,7 @@ def running_sum(value: Column) -> Running:
         value,
         inside=lambda v, t: F.sum(v).over(t.so_far()),
         total=lambda v, t: F.sum(v),
-        carried=lambda s, t: F.sum(s).over(_cells_before(t)),
+        carried=lambda s, t: F.sum(s).over(_rows_before(t)),
         merged=lambda own, carry: F.coalesce(own + carry, own, carry),
     )
 
@@ -188,7 +199,7 @@ def running_max(value: Column) -> Running:
         value,
         inside=lambda v, t: F.max(v).over(t.so_far()),
         total=lambda v, t: F.max(v),
-        carried=lambda s, t: F.max(s).over(_cells_before(t)),
+        carried=lambda s, t: F.max(s).over(_rows_before(t)),
         merged=lambda own, carry: F.greatest(own, carry),
     )
 

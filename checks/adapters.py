@@ -113,11 +113,11 @@ def ranges(spark: SparkSession, sf: str) -> DataFrame:
 
 def gapped_bars(spark: SparkSession, sf: str) -> DataFrame:
     """Every symbol on every day, missing where it had no event."""
-    return outer_align(bars(spark, sf), event_days(spark, sf))
+    return outer_align(bars(spark, sf), event_days(spark, sf), unique=True)
 
 
 def gapped_series(spark: SparkSession, sf: str) -> DataFrame:
-    return align_to_base(base_days(spark, sf), series(spark, sf)).drop("present")
+    return align_to_base(base_days(spark, sf), series(spark, sf), unique=True).drop("present")
 
 
 def ticks(spark: SparkSession, sf: str) -> DataFrame:

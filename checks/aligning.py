@@ -21,7 +21,8 @@ FROM gapped_bars"""))
 def aligned_close(spark, sf):
     """Daily close per symbol on every day any symbol has, gaps filled."""
     closes = a.bars(spark, sf).select("symbol", "date", "close")
-    return align.outer_align(closes, a.event_days(spark, sf), ["close"], fill="ffill_bfill")
+    days = a.event_days(spark, sf)
+    return align.outer_align(closes, days, ["close"], fill="ffill_bfill", unique=True)
 
 
 @query(using("gapped_bars", "SELECT * FROM gapped_bars"))
@@ -31,7 +32,7 @@ def outer_align(spark, sf):
 
 @query(using("gapped_series", "SELECT * FROM gapped_series"))
 def align_base(spark, sf):
-    return align.align_to_base(a.base_days(spark, sf), a.series(spark, sf))
+    return align.align_to_base(a.base_days(spark, sf), a.series(spark, sf), unique=True)
 
 
 @query(using("gapped_series", """
@@ -40,7 +41,39 @@ SELECT series_id, date, present, last_value(value IGNORE NULLS) OVER (
 FROM gapped_series"""))
 def align_base_ffill(spark, sf):
     """Alignment and forward fill in one pass."""
-    return align.align_to_base(a.base_days(spark, sf), a.series(spark, sf), fill="ffill")
+    series = a.series(spark, sf)
+    return align.align_to_base(a.base_days(spark, sf), series, fill="ffill", unique=True)
+
+
+_ORDERS = """o AS (SELECT o_orderpriority AS series_id, CAST(o_orderdate AS DATE) AS date,
+    o_totalprice AS value FROM orders)"""
+
+
+@query(using("base_days", f""", {_ORDERS},
+f AS (SELECT series_id, date, min(value) AS value FROM o GROUP BY 1, 2)
+SELECT i.series_id, d.date, f.value, f.date IS NOT NULL AS present
+FROM (SELECT DISTINCT series_id FROM o) i CROSS JOIN base_days d
+LEFT JOIN f ON f.series_id = i.series_id AND f.date = d.date"""))
+def align_base_repeats(spark, sf):
+    """Single orders as observations: days repeat, and the least price of a day counts."""
+    return align.align_to_base(a.base_days(spark, sf), _observations(spark, sf))
+
+
+def _observations(spark, sf):
+    return a.table(spark, sf, "orders").select(
+        F.col("o_orderpriority").alias("series_id"), F.to_date("o_orderdate").alias("date"),
+        F.col("o_totalprice").alias("value"),
+    )
+
+
+@query(f"""WITH {_ORDERS}, e AS (SELECT *, row_number() OVER (PARTITION BY series_id, date
+    ORDER BY -value) AS place FROM o), days AS (SELECT DISTINCT date FROM o)
+SELECT i.series_id, d.date, e.value FROM (SELECT DISTINCT series_id FROM o) i CROSS JOIN days d
+LEFT JOIN e ON e.series_id = i.series_id AND e.date = d.date AND place = 1""")
+def outer_align_arrival(spark, sf):
+    """Days repeat and the dearest order of a day comes first."""
+    came = _observations(spark, sf).withColumn("came", -F.col("value"))
+    return align.outer_align(came, values=["value"], key="series_id", arrival=["came"])
 
 
 @query(using("gapped_series", """
@@ -51,6 +84,15 @@ def alignment_report(spark, sf):
     return align.alignment_report(a.base_days(spark, sf), a.series(spark, sf))
 
 
+@query(using("base_days", f""", {_ORDERS}
+SELECT series_id, count(DISTINCT b.date) AS matches,
+    (SELECT count(*) FROM base_days) - count(DISTINCT b.date) AS misses
+FROM o LEFT JOIN base_days b ON b.date = o.date GROUP BY 1"""))
+def alignment_report_repeats(spark, sf):
+    """Days observed any number of times match once."""
+    return align.alignment_report(a.base_days(spark, sf), _observations(spark, sf))
+
+
 _FILLED = """SELECT series_id, date, coalesce(
     last_value(value IGNORE NULLS) OVER (PARTITION BY series_id ORDER BY date
         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
@@ -74,7 +116,7 @@ def attach_series(spark, sf):
         F.col("l_extendedprice").alias("price"),
     )
     return align.attach_series(
-        lines, a.series(spark, sf), a.PRIORITIES, a.base_days(spark, sf)
+        lines, a.series(spark, sf), a.PRIORITIES, a.base_days(spark, sf), unique=True
     )
 
 

@@ -34,6 +34,48 @@ def hold_equity_ticks(spark, sf):
     return rounded(held, "equity").select("event_type", "event_id", "equity")
 
 
+@query(using("gapped_bars", f"""SELECT symbol, date, {s6(f"""100 * last_value("close" IGNORE NULLS)
+        OVER ({_W} ROWS UNBOUNDED PRECEDING) / first_value("close" IGNORE NULLS)
+        OVER ({_W} ROWS UNBOUNDED PRECEDING)""")} AS equity FROM gapped_bars"""))
+def hold_equity_gaps(spark, sf):
+    """Symbols that start late and lack most days: held from the first price on."""
+    bars = a.gapped_bars(spark, sf).select("symbol", "date", "close")
+    return rounded(portfolio.hold_equity(bars), "equity").drop("close")
+
+
+_GAPPED_RETS = """rets AS (SELECT symbol, date, "close", "close" / last_value("close" IGNORE NULLS)
+    OVER (PARTITION BY symbol ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 1
+    AS ret FROM g)"""
+
+
+def _late_bars(spark, sf):
+    """All users' bars on every day, off zero, missing where there was no event."""
+    bars = a.gapped_bars(spark, sf)
+    return bars.select("symbol", "date", (F.col("close") + 100).alias("close"))
+
+
+_LATE = """g AS (SELECT symbol, date, "close" + 100 AS "close" FROM gapped_bars)"""
+
+
+@query(using("gapped_bars", f""", {_LATE}, {_GAPPED_RETS}
+SELECT symbol, date, {s6("ret")} AS ret FROM rets"""))
+def returns_gaps(spark, sf):
+    """The change across missing closes falls on the next present one."""
+    return rounded(risk.returns(_late_bars(spark, sf)), "ret").drop("close")
+
+
+@query(f"""WITH t AS (SELECT event_type, event_id, ts,
+    CASE WHEN value >= 20 THEN value + 100 END AS v FROM events)
+SELECT event_type, event_id, {s6("v / last_value(v IGNORE NULLS) OVER w - 1")} AS ret FROM t
+WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""")
+def returns_ticks(spark, sf):
+    """Whole tick series by cells, a fifth of the prices missing."""
+    price = F.when(F.col("value") >= 20, F.col("value") + 100)
+    rets = risk.returns(_tick_values(spark, sf).withColumn("value", price), "value", tick_track())
+    return rounded(rets, "ret").select("event_type", "event_id", "ret")
+
+
 def _tick_values(spark, sf):
     events = a.table(spark, sf, "events").select("event_type", "event_id", "ts", "value")
     return even_cells(events, "ts", "event_id", place="place")
@@ -125,19 +167,22 @@ l AS (SELECT *, last_value(v IGNORE NULLS) OVER (w ROWS UNBOUNDED PRECEDING) AS
     coalesce(last_value(CASE WHEN entry THEN 1 WHEN leave THEN 0 END IGNORE NULLS)
         OVER (w ROWS UNBOUNDED PRECEDING), 0) AS state
     FROM s WINDOW w AS (PARTITION BY symbol ORDER BY date)),
-p AS (SELECT *, lag(known) OVER w AS pv, coalesce(lag(state) OVER w, 0) AS was
+h AS (SELECT *, coalesce(last_value(CASE WHEN v IS NOT NULL THEN state END IGNORE NULLS)
+        OVER (w ROWS UNBOUNDED PRECEDING), 0) AS held
     FROM l WINDOW w AS (PARTITION BY symbol ORDER BY date)),
+p AS (SELECT *, lag(known) OVER w AS pv, coalesce(lag(held) OVER w, 0) AS was
+    FROM h WINDOW w AS (PARTITION BY symbol ORDER BY date)),
 e AS (SELECT *, sum(CASE WHEN was = 1 AND v IS NOT NULL AND pv IS NOT NULL THEN ln(v / pv)
         ELSE 0 END) OVER w AS lg,
-    sum(CASE WHEN was <> state THEN 1 ELSE 0 END) OVER w AS trades
+    sum(CASE WHEN was <> held THEN 1 ELSE 0 END) OVER w AS trades
     FROM p WINDOW w AS (PARTITION BY symbol ORDER BY date))"""
 
 
 @query(using("gapped_bars", ", " + _GAPPED + """
-SELECT symbol, date, state = 1 AS long, CAST(trades AS BIGINT) AS trades,
+SELECT symbol, date, held = 1 AS long, CAST(trades AS BIGINT) AS trades,
     round(lg, 4) + CAST(0 AS DOUBLE) AS log_equity FROM e"""))
 def signal_equity_gaps(spark, sf):
-    """Growth across missing prices counts; signals come on fixed days of the month."""
+    """Signals come on fixed days of the month and are filled at the next price."""
     bars = a.gapped_bars(spark, sf).select("symbol", "date", "close")
     day = F.dayofmonth("date") % 7
     signals = bars.withColumn("entry", day == 1).withColumn("exit", day == 5)
@@ -146,6 +191,30 @@ def signal_equity_gaps(spark, sf):
     return logged.select("symbol", "date", "long", "trades", "log_equity")
 
 
+_TICK_GAPS = """s AS (SELECT event_type AS symbol, event_id, ts AS date,
+    CASE WHEN value >= 20 THEN value + 100 END AS v,
+    event_id % 11 = 3 AS entry, event_id % 7 = 5 AS leave FROM events),""" + _GAPPED.partition(
+    "FROM gapped_bars),")[2].replace("ORDER BY date", "ORDER BY date, event_id")
+
+
+@query("WITH " + _TICK_GAPS + """
+SELECT symbol AS event_type, event_id, held = 1 AS long, CAST(trades AS BIGINT) AS trades,
+    round(lg, 4) + CAST(0 AS DOUBLE) AS log_equity FROM e""")
+def signal_equity_tick_gaps(spark, sf):
+    """The same over whole tick series: a fifth of the prices is missing, signals come anywhere."""
+    number = F.col("event_id")
+    signals = (
+        _tick_values(spark, sf)
+        .withColumn("entry", number % 11 == 3)
+        .withColumn("exit", number % 7 == 5)
+        .withColumn("price", F.when(F.col("value") >= 20, F.col("value") + 100))
+    )
+    curve = portfolio.signal_equity(
+        signals, init_cash=1.0, value="price", track=tick_track()
+    ).withColumn("log_equity", F.round(F.ln("equity"), 4) + F.lit(0.0))
+    return curve.select("event_type", "event_id", "long", "trades", "log_equity")
+
+
 def _weights(spark):
     return spark.createDataFrame([(s, 0.2) for s in a.EVENT_TYPES], "symbol string, weight double")
 
@@ -163,7 +232,9 @@ h AS (SELECT period, coalesce(exp(sum(ln(whole)) OVER (ORDER BY period
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)), 1) AS chain FROM t)
 SELECT date, {s6("chain * growth")} AS equity FROM g JOIN h USING (period)"""))
 def allocated_equity(spark, sf):
-    curve = portfolio.allocated_equity(_panel(spark, sf), _weights(spark), "weekly")
+    curve = portfolio.allocated_equity(
+        _panel(spark, sf), _weights(spark), "weekly", unique=True
+    )
     return rounded(curve, "equity")
 
 
@@ -187,7 +258,7 @@ def allocated_equity_gaps(spark, sf):
     count = a.bars(spark, sf).select("symbol").distinct()
     share = count.agg((F.lit(1.0) / F.count("symbol")).alias("weight"))
     weights = count.withColumn("weight", share.scalar())
-    return rounded(portfolio.allocated_equity(bars, weights, "weekly"), "equity")
+    return rounded(portfolio.allocated_equity(bars, weights, "weekly", unique=True), "equity")
 
 
 @query(using("rets", f'SELECT symbol, date, "close", {s6("ret")} AS ret FROM rets'))
@@ -350,6 +421,15 @@ def agg_span_years(spark, sf):
     return rounded(quality.span_years(a.series(spark, sf), "series_id"), "years")
 
 
+_LATE_STATS = _STATS.replace("FROM d GROUP BY 1)", """FROM d WHERE "close" IS NOT NULL GROUP BY 1)""")
+
+
+@query(using("gapped_bars", f", {_LATE}, {_GAPPED_RETS}, {_LATE_STATS} SELECT * FROM st"))
+def strategy_stats_gaps(spark, sf):
+    """Figures of symbols that start late and have gaps: those of the closes that are there."""
+    return rounded(risk.strategy_stats(_late_bars(spark, sf), "close"), *_FIGURES)
+
+
 @query(using("rets", f", {_STATS} SELECT * FROM st WHERE symbol = 'view'"))
 def target_stats(spark, sf):
     """Figures of one target; the filter reaches the scan."""

@@ -105,3 +105,45 @@ def test_grid_needs_no_cross_join(spark):
     bars = closes(spark, "A", ("2020-01-01", 1), ("2020-01-03", 3))
     plan = align.outer_align(bars, values=["close"])._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_repeated_days_match_once(spark):
+    base = days(spark, "2020-01-01", "2020-01-02")
+    s = series(spark, ("2020-01-01", 1.0), ("2020-01-01", 2.0), ("2020-01-01", 3.0), ("2019-01-01", 1.0))
+    report = align.alignment_report(base, s).first()
+    assert (report.matches, report.misses) == (1, 1)
+    off = align.alignment_report(base, series(spark, ("2019-01-01", 1.0))).first()
+    assert (off.matches, off.misses) == (0, 2)
+    assert column(align.align_to_base(base, s), "value", "date") == [1.0, None]
+
+
+def test_long_timelines_take_several_bitmaps(spark):
+    base = spark.range(40000).select(F.date_add(F.lit("1900-01-01").cast("date"), F.col("id").cast("int")).alias("date"))
+    s = base.select(F.lit("S").alias("series_id"), "date", F.lit(1.0).alias("value")).where(
+        "datediff(date, date '1900-01-01') % 3 = 0"
+    )
+    report = align.alignment_report(base, s.union(s)).first()
+    assert (report.matches, report.misses) == (13334, 26666)
+
+
+def test_first_of_repeated_days(spark):
+    rows = [("A", d("2020-01-01"), None, 9.0, 1), ("A", d("2020-01-01"), 2.0, 3.0, 1), ("A", d("2020-01-01"), 1.0, 1.0, 2),
+            ("A", d("2020-01-02"), None, None, 1), ("B", None, 1.0, 1.0, 1)]
+    df = spark.createDataFrame(rows, "symbol string, date date, open double, close double, came int")
+    got = align.first_of_day(df, "symbol", "date", ["open", "close"], ["came"]).collect()
+    assert {(r.symbol, r.date, r.open, r.close) for r in got} == {
+        ("A", d("2020-01-01"), 2.0, 3.0), ("A", d("2020-01-02"), None, None), ("B", None, 1.0, 1.0)
+    }
+    plain = align.first_of_day(df, "symbol", "date", ["open"])
+    assert {(r.symbol, r.date, r.open) for r in plain.collect()} == {
+        ("A", d("2020-01-01"), 1.0), ("A", d("2020-01-02"), None), ("B", None, 1.0)
+    }
+    plan = plain._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_unique_keys_need_no_aggregate(spark):
+    bars = closes(spark, "A", ("2020-01-01", 1), ("2020-01-03", 3))
+    plan = align.outer_align(bars, days(spark, "2020-01-01", "2020-01-03"), ["close"], unique=True)
+    repeats = align.outer_align(bars, days(spark, "2020-01-01", "2020-01-03"), ["close"])
+    assert column(plan, "close", "date") == column(repeats, "close", "date") == [1, 3]

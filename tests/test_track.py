@@ -9,9 +9,10 @@ from barloom.operators import fill, portfolio, risk
 from barloom.track import (
     Track,
     even_cells,
+    first_known,
+    last_before,
     last_known,
     next_known,
-    opening,
     position,
     previous,
     running,
@@ -69,10 +70,10 @@ def test_running_equals_pandas(ticks, name):
     got = rows(
         running(
             even_cells(df, "ts"), tracks()[name], lk=last_known(v), nk=next_known(v),
-            prev=previous(v), first=opening(v), pos=position(), total=running_sum(v),
-            peak=running_max(v),
+            prev=previous(v), first=first_known(v), before=last_before(v),
+            pos=position(), total=running_sum(v), peak=running_max(v),
         ),
-        "lk", "nk", "prev", "first", "pos", "total", "peak",
+        "lk", "nk", "prev", "first", "before", "pos", "total", "peak",
     )
     g = pdf.groupby("k", sort=False)["v"]
     want = pd.DataFrame(
@@ -80,7 +81,8 @@ def test_running_equals_pandas(ticks, name):
             "lk": g.ffill(),
             "nk": g.bfill(),
             "prev": g.shift(1),
-            "first": g.transform(lambda s: s.iloc[0]),
+            "first": g.transform(lambda s: s.bfill().iloc[0]).where(g.ffill().notna()),
+            "before": g.ffill().groupby(pdf["k"], sort=False).shift(1),
             "pos": pdf.groupby("k").cumcount() + 1,
             "total": g.transform(lambda s: s.cumsum().ffill()),
             "peak": g.transform(lambda s: s.cummax().ffill()),
@@ -149,15 +151,16 @@ def test_signal_equity_over_missing_prices(ticks, name):
     signals = cells.withColumn("entry", F.col("n") % 7 == 1).withColumn("exit", F.col("n") % 7 == 5)
     got = portfolio.signal_equity(signals, init_cash=1.0, value="v", track=track).toPandas()
     for _, one in got.sort_values(["k", "ts"]).groupby("k"):
-        equity, long, last = 1.0, False, None
+        equity, asked, holding, trades, last = 1.0, False, False, 0, None
         for r in one.itertuples():
+            asked = True if r.entry else False if r.exit else asked
             if r.v == r.v and r.v is not None:
-                if last is not None and long:
+                if last is not None and holding:
                     equity *= r.v / last
-                last = r.v
-            long = True if r.entry else False if r.exit else long
+                trades += asked != holding  # what was asked for is filled at this price
+                holding, last = asked, r.v
             assert r.equity == pytest.approx(equity)
-            assert r.long == long
+            assert (r.long, r.trades) == (holding, trades)
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -174,6 +177,29 @@ def test_drawdown_and_returns_equal_pandas(ticks, name):
     pd.testing.assert_series_equal(got, g.pct_change(fill_method=None), check_names=False)
 
 
+@pytest.mark.parametrize("name", NAMES)
+def test_returns_and_holdings_over_missing_prices(ticks, name):
+    """A late first price and gaps: the product of the returns is the equity."""
+    df, _ = ticks
+    track, cells = tracks()[name], even_cells(df, "ts")
+    held = portfolio.hold_equity(risk.returns(cells, "v", track), 1.0, "v", track)
+    got = held.toPandas().sort_values(["k", "ts"])
+    for _, one in got.groupby("k"):
+        equity, last = None, None
+        for r in one.itertuples():
+            if r.v == r.v and r.v is not None:
+                if last is not None:
+                    equity *= r.v / last
+                    assert r.ret == pytest.approx(r.v / last - 1)
+                else:
+                    equity = 1.0
+                    assert not r.ret == r.ret
+                last = r.v
+            else:
+                assert not r.ret == r.ret
+            assert r.equity == pytest.approx(equity) if equity is not None else r.equity != r.equity
+
+
 @pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp", "date", "long"])
 def test_cells_keep_the_order_across_a_clock_change(spark, kind):
     """In March New York skips an hour of the clock; zone-less times there are still in order."""
