@@ -105,7 +105,9 @@ def generated_run(
     bars = dedupe_first(both, ["symbol", "date"], ["__from", "date"]).drop("__from")
     write_by_alias(bars.withColumnRenamed("symbol", "alias"), folder)
     written, _ = read_symbol_dir(bars.sparkSession, folder, folder_of="alias", stored=True)
-    place = Track(("symbol", "stored_file"), ("stored_block", "stored_row"))
+    place = Track(
+        ("symbol", "stored_file"), ("stored_block", "stored_row"), F.col("stored_block")
+    )
     assert_clean(check_ohlcv(written, place))
     back = written.drop("stored_file", "stored_block", "stored_row")
     empty = emptiness(known, made).withColumn("finding", F.lit("no rows"))
