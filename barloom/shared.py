@@ -18,11 +18,15 @@ def hadoop_path(spark: SparkSession, path: str):
 def shared_folder(spark: SparkSession) -> str:
     """This application's folder below the one named by ``spark.checkpoint.dir``.
 
-    A session without that setting uses the warehouse, which all executors reach as well. The
-    folder and all that is left in it go when the application ends.
+    A session on one machine may leave the setting out and uses its warehouse; on a cluster there
+    is no folder to guess that all machines share, so that is an error. The folder and all that
+    is left in it go when the application ends.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    root = root or f"{spark.conf.get('spark.sql.warehouse.dir')}/barloom_work"
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines reach")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir')}/barloom_work"
     folder = f"{root.rstrip('/')}/{spark.sparkContext.applicationId}"
     if folder not in _ready:
         files, place = hadoop_path(spark, folder)

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.operators.clean import drop_duplicate_columns, drop_unnamed
@@ -16,7 +17,7 @@ from barloom.operators.quality import (
     reconcile_counts,
 )
 from barloom.schemas import TABLES
-from barloom.shared import drop, land, new_path
+from barloom.shared import drop, hadoop_path, land, new_path
 from barloom.track import quoted
 
 log = logging.getLogger(__name__)
@@ -65,7 +66,12 @@ def write_by_alias(df: DataFrame, folder: str, date: str = "date") -> None:
 def replace_table(
     df: DataFrame, table: str, path: str | None = None, key: Sequence[str] | None = None
 ) -> None:
-    """Replace a catalog table.
+    """Replace a catalog table; the old one stays until the new one is whole.
+
+    The rows are written to a table of their own, which then takes the name of the old one. A job
+    that fails on the way leaves the old table as it was. ``path`` makes the table an external
+    one, whose rows lie in a folder of their own below ``path``; that of the table replaced goes.
+    Frames that were read from the old table have to be read anew.
 
     Equally named columns are cut to the first. The four stored tables have a declared layout and
     key, which are enforced: columns are cast and put in order, and a missing or repeated key is
@@ -85,14 +91,63 @@ def replace_table(
         checked = new_path(spark, "checked")
         kept = land(kept, checked)
         assert_clean(check_keys(kept, key))
-    writer = kept.write.mode("overwrite").format("parquet")
-    if path is not None:
-        writer = writer.option("path", path)
-    writer.saveAsTable(table)
+    _swap(kept, table, path)
     if checked is not None:
         drop(spark, checked)
 
 
+def _swap(df: DataFrame, table: str, path: str | None) -> None:
+    """Write a staged table and give it the name of another."""
+    spark, mark = df.sparkSession, uuid.uuid4().hex
+    staged, before = f"{table}__staged_{mark}", f"{table}__before_{mark}"
+    folder = None if path is None else f"{path.rstrip('/')}/{mark}"
+    writer = df.write.format("parquet")
+    try:
+        (writer if folder is None else writer.option("path", folder)).saveAsTable(staged)
+    except Exception:
+        _discard(spark, staged, folder)
+        raise
+    replaces = spark.catalog.tableExists(table)
+    old_folder = _folder_below(spark, table, path) if replaces else None
+    if replaces:
+        _rename(spark, table, before)
+    try:
+        _rename(spark, staged, table)
+    except Exception:
+        if replaces:
+            _rename(spark, before, table)
+        _discard(spark, staged, folder)
+        raise
+    if replaces:
+        _discard(spark, before, old_folder)
+
+
+def _sql_name(table: str) -> str:
+    return ".".join(quoted(part) for part in table.split("."))
+
+
+def _rename(spark: SparkSession, table: str, name: str) -> None:
+    spark.sql(f"ALTER TABLE {_sql_name(table)} RENAME TO {_sql_name(name)}")
+
+
+def _discard(spark: SparkSession, table: str, folder: str | None) -> None:
+    spark.sql(f"DROP TABLE IF EXISTS {_sql_name(table)}")
+    if folder is not None:
+        drop(spark, folder)
+
+
+def _folder_below(spark: SparkSession, table: str, path: str | None) -> str | None:
+    """Where the rows of a table lie, if that is a folder below ``path``."""
+    if path is None:
+        return None
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {_sql_name(table)}")
+    place = described.where("col_name = 'Location'").first().data_type
+    files, root = hadoop_path(spark, path)
+    root = files.makeQualified(root).toString().rstrip("/")
+    own = hadoop_path(spark, place)[1]
+    return place if files.makeQualified(own.getParent()).toString().rstrip("/") == root else None
+
+
 def write_and_reconcile(
     df: DataFrame, table: str, csv_path: str, path: str | None = None
 ) -> DataFrame:

@@ -8,8 +8,13 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# Days since 2000 on which the New York exchange stayed shut outside its rules.
+#: First year that the rules and special closings below cover.
+FIRST_YEAR = 1981
+
+# Days since then on which the New York exchange stayed shut outside its rules.
 SPECIAL_CLOSINGS = (
+    "1985-09-27",
+    "1994-04-27",
     "2001-09-11",
     "2001-09-12",
     "2001-09-13",
@@ -65,7 +70,12 @@ def _closed_days(year: int) -> list[date]:
 
 
 def nyse_holidays(spark: SparkSession, first_year: int, last_year: int) -> DataFrame:
-    """Weekdays (as ``date``) on which the New York exchange is closed, by its rules."""
+    """Weekdays (as ``date``) on which the New York exchange is closed, by its rules.
+
+    Years before FIRST_YEAR, when other rules held, are refused.
+    """
+    if first_year < FIRST_YEAR:
+        raise ValueError(f"no holidays are known before {FIRST_YEAR}")
     years = range(first_year, last_year + 1)
     days = {d.isoformat() for year in years for d in _closed_days(year)}
     days.update(d for d in SPECIAL_CLOSINGS if int(d[:4]) in years)
@@ -83,7 +93,7 @@ def trading_calendar(span: DataFrame, holidays: DataFrame) -> DataFrame:
         F.explode(F.sequence("start", "end", F.expr("interval 1 day"))).alias("date")
     ).where(F.weekday("date") < 5)
     w = Window.orderBy("date")
-    return days.join(F.broadcast(holidays.select("date")), "date", "left_anti").select(
+    return days.join(holidays.select("date"), "date", "left_anti").select(
         "date",
         (F.row_number().over(w) - 1).alias("seq"),
         F.lag("date").over(w).alias("prev_day"),

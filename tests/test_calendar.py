@@ -20,6 +20,17 @@ def test_holidays(spark):
     for year, friday in EASTERS.items():
         assert d(f"{year}-{friday}") in everything
     assert d("2021-12-31") not in everything and d("2022-01-01") not in everything
+    assert d("1994-04-27") in everything
+    with pytest.raises(ValueError, match="1981"):
+        nyse_holidays(spark, 1950, 1990)
+
+
+def test_repeated_holidays_do_no_harm(spark):
+    from barloom.sources import trading_calendar
+
+    span = spark.createDataFrame([(d("2023-01-01"), d("2023-01-31"))], "start date, end date")
+    holidays = nyse_holidays(spark, 2023, 2023)
+    assert trading_calendar(span, holidays.union(holidays)).count() == 20
 
 
 def test_sessions(spark):

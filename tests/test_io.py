@@ -167,6 +167,58 @@ def test_answers_that_cannot_be_typed_are_reported(spark, tmp_path):
     assert [r.arrival.arrival for r in bars.orderBy("arrival").collect()] == [0, 1, 2, 3, 4]
 
 
+class InParts(Provider):
+    """Answers in frames of two rows; LATE breaks off after the first, as often as it may fail."""
+
+    def __call__(self, symbol, start, end):
+        whole = Provider(self.log)(symbol, start, end)
+        calls_so_far = calls(self.log).count(symbol)
+        for at in range(0, len(whole), 2):
+            if symbol == "LATE" and at and calls_so_far <= self.failures:
+                raise OSError("broke off")
+            yield whole[at : at + 2]
+
+
+@pytest.mark.parametrize("most", [1000, 0])
+def test_answers_in_parts(spark, tmp_path, monkeypatch, most):
+    """Rows of attempts that broke off do not count; partitions and rows give the same."""
+    from barloom.sources import fetching
+
+    monkeypatch.setattr(fetching, "REQUESTS", most)
+    asked = requests(spark, "SPY", "LATE", "VOID").union(requests(spark, None))
+    bars, status = fetch_bars(
+        asked, InParts(tmp_path / "log", 1), str(tmp_path / "got"), attempts=2, wait=0.01, arrival=True
+    )
+    for symbol in ("SPY", "LATE"):
+        assert column(bars.where(F.col("symbol") == symbol), "close", "arrival") == [1, 2, 3, 4, 5]
+    assert {r.symbol: (r.status, r.rows) for r in status.collect()} == {
+        "SPY": ("ok", 5), "LATE": ("ok", 5), "VOID": ("empty", 0)
+    }
+    _, status = fetch_bars(
+        requests(spark, "SPY", "LATE"), InParts(tmp_path / "log2", 9), str(tmp_path / "again")
+    )
+    assert {r.symbol: (r.status, r.rows, r.message) for r in status.collect()} == {
+        "SPY": ("ok", 5, ""), "LATE": ("failed", 0, "OSError: broke off")
+    }
+
+
+def test_fetch_format(spark, tmp_path):
+    from barloom.sources import fetch_option, register
+
+    register(spark)
+    asked = '[["SPY", "2020-01-06", "2020-01-10"], ["BAD", "2020-01-06", "2020-01-10"]]'
+    reader = spark.read.format("barloom_fetch").options(
+        fetch=fetch_option(Provider(tmp_path / "log")), kind="series", requests=asked
+    )
+    df = reader.load()
+    assert df.rdd.getNumPartitions() == 2  # one per request
+    assert reader.option("tasks", 1).load().rdd.getNumPartitions() == 1
+    rows = df.collect()
+    assert sorted(r.value for r in rows if r.status is None) == [1, 2, 3, 4, 5]
+    assert {(r.symbol, r.status, r.rows) for r in rows if r.status} == {("SPY", "ok", 5), ("BAD", "failed", 0)}
+    assert reader.option("requests", "[]").load().count() == 0
+
+
 def test_fetch_tries_again(spark, tmp_path):
     log = tmp_path / "log"
     bars, _ = fetch_bars(
@@ -228,6 +280,56 @@ def test_table(spark, tmp_path):
     assert found.isEmpty() and spark.table("free").columns == ["value", "date", "extra"]
 
 
+@pytest.mark.parametrize("external", [True, False])
+def test_a_failed_replacement_leaves_the_old_table(spark, tmp_path, external):
+    name, path = f"kept_{external}", str(tmp_path / "t") if external else None
+    rows = spark.range(100).withColumn("v", F.col("id") * 2)
+    sinks.replace_table(rows, name, path)
+    broken = rows.repartition(4).withColumn(
+        "v", F.when(F.col("id") == 77, F.raise_error(F.lit("halfway"))).otherwise(F.col("id"))
+    )
+    with pytest.raises(Exception, match="halfway"):
+        sinks.replace_table(broken, name, path)
+    assert spark.table(name).agg(F.sum("v")).first()[0] == 9900
+    # A replacement may be made from the table itself, and have another layout.
+    sinks.replace_table(spark.table(name).where("id < 10").select("id", F.lit("x").alias("w")), name, path)
+    assert spark.table(name).columns == ["id", "w"] and spark.table(name).count() == 10
+    assert not [t.name for t in spark.catalog.listTables() if "__" in t.name and "kept" in t.name]
+    if external:
+        assert len(os.listdir(path)) == 1  # the rows of the tables replaced are gone
+
+
+def test_order_is_checked_across_blocks(spark, tmp_path):
+    """A file read in many blocks: falls inside a block and at the edge of one are named."""
+    from barloom.operators.quality import check_ohlcv
+    from barloom.track import Track
+
+    days = [str(date(2020, 1, 1) + pd.Timedelta(days=i)) for i in range(400)]
+    days[123], days[250] = days[250], "2019-01-01"
+    put(tmp_path, "S.csv", "Date,Open,High,Low,Close,Volume\n" + "".join(f"{x},1,1,1,1,1\n" for x in days))
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for block in ("200b", "333b", size):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+        try:
+            bars, _ = read_symbol_dir(spark, str(tmp_path), stored=True)
+            place = Track(
+                ("symbol", "stored_file"), ("stored_block", "stored_row"), F.col("stored_block")
+            )
+            falls = {r.detail for r in check_ohlcv(bars, place).collect()}
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        assert falls == {"date falls to 2020-05-04", "date falls to 2019-01-01"}
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    conf = SimpleNamespace(get=lambda key, default=None: default)
+    session = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="yarn"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(session)
+
+
 def test_market_run(spark, tmp_path):
     ranges = spark.createDataFrame(
         [("spy", d("2020-01-01"), d("2020-01-12")), ("tlt", d("2020-01-07"), d("2020-01-12"))],
