@@ -1,7 +1,7 @@
 """Where bars, series and calendars come from."""
 
 from barloom.sources.calendars import nyse_holidays, trading_calendar
-from barloom.sources.fetching import fetch_bars, read_through
+from barloom.sources.fetching import FetchSource, fetch_answers, fetch_bars, fetch_option, read_through, register
 from barloom.sources.files import (
     load_sources,
     read_series,
@@ -14,8 +14,11 @@ from barloom.sources.files import (
 from barloom.sources.generated import bars_from_ticks, synthesize
 
 __all__ = [
+    "FetchSource",
     "bars_from_ticks",
+    "fetch_answers",
     "fetch_bars",
+    "fetch_option",
     "load_sources",
     "nyse_holidays",
     "read_series",
@@ -24,6 +27,7 @@ __all__ = [
     "read_through",
     "read_two_header",
     "read_wide",
+    "register",
     "source_findings",
     "synthesize",
     "trading_calendar",

@@ -15,6 +15,7 @@ from barloom.shared import drop, hadoop_path, new_path
 from barloom.sinks import write_by_alias
 from barloom.sources import (
     bars_from_ticks,
+    fetch_answers,
     fetch_bars,
     load_sources,
     read_series,
@@ -235,6 +236,31 @@ def source_fetch_status(spark, sf):
     return fetch_bars(asked, provider, new_path(spark, "fetched"))[1]
 
 
+@registered(using("series", """SELECT series_id AS symbol, date, value, NULL::VARCHAR AS status,
+    NULL::BIGINT AS "rows" FROM series
+UNION ALL SELECT series_id, NULL, NULL, 'ok', count(*) FROM series GROUP BY 1"""))
+def source_fetch_format(spark, sf):
+    """All series through the data source, in pieces, with the row that ends each answer."""
+    provider = _provide(a.series(spark, sf), "series_id")
+    asked = a.table(spark, sf, "orders").groupBy(F.col("o_orderpriority").alias("symbol")).agg(
+        F.to_date(F.min("o_orderdate")).alias("start"), F.to_date(F.max("o_orderdate")).alias("end")
+    )
+    answers = fetch_answers(asked, InPieces(provider), "series")
+    return answers.select("symbol", "date", "value", "status", "rows")
+
+
+class InPieces:
+    """A provider whose answers come in frames of a thousand rows."""
+
+    def __init__(self, provider):
+        self.provider = provider
+
+    def __call__(self, symbol, start, end):
+        whole = self.provider(symbol, start, end)
+        for at in range(0, len(whole), 1000):
+            yield whole[at : at + 1000]
+
+
 @registered(using("series", "SELECT * FROM series"))
 def source_read_through(spark, sf):
     """Three years are fetched first, then the last of them again with all years after it."""
