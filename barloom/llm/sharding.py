@@ -130,15 +130,19 @@ def write_shards(
     """Write the shards as Parquet, one folder ``curve_shard`` each, and return what a reader prunes by.
 
     That table, also in ``folder``/ranges, has a row per shard: rows, bytes, and the least and
-    greatest value of every dimension.
+    greatest value of every dimension. If the documents have a column of that name, the folders
+    get one more underscore in front.
     """
+    name = "curve_shard"
+    while name in docs.columns:
+        name = f"_{name}"
     spark = docs.sparkSession
     rows = _cut(landed(_described(docs), "described"), dimensions, shards)
     dealt = rows.repartition(shards, "__shard").sortWithinPartitions("__shard", "__place")
-    kept = dealt.select(*docs.columns, "__size", F.col("__shard").alias("curve_shard"))
-    kept.write.mode("overwrite").partitionBy("curve_shard").parquet(f"{folder}/shards")
+    kept = dealt.select(*docs.columns, "__size", F.col("__shard").alias(name))
+    kept.write.mode("overwrite").partitionBy(name).parquet(f"{folder}/shards")
     edges = [f(d).alias(f"{n}_{d.lstrip('_')}") for d in dimensions for n, f in (("min", F.min), ("max", F.max))]
-    ranges = spark.read.parquet(f"{folder}/shards").groupBy("curve_shard").agg(
+    ranges = spark.read.parquet(f"{folder}/shards").groupBy(F.col(name).alias("curve_shard")).agg(
         F.count(F.lit(1)).alias("rows"), F.sum("__size").alias("bytes"), *edges
     )
     return landed_at(ranges, f"{folder}/ranges")

@@ -23,6 +23,65 @@ def documents(spark, n):
     return spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, shard int")
 
 
+def plain_index(cell, bits):
+    """Place of one cell on the curve, bit by bit over single numbers."""
+    x, n = list(cell), len(cell)
+    q = 1 << (bits - 1)
+    while q > 1:
+        for i in range(n):
+            if x[i] & q:
+                x[0] ^= q - 1
+            else:
+                t = (x[0] ^ x[i]) & (q - 1)
+                x[0] ^= t
+                x[i] ^= t
+        q >>= 1
+    for i in range(1, n):
+        x[i] ^= x[i - 1]
+    t, q = 0, 1 << (bits - 1)
+    while q > 1:
+        if x[n - 1] & q:
+            t ^= q - 1
+        q >>= 1
+    digits = "".join(str((v ^ t) >> bit & 1) for bit in range(bits - 1, -1, -1) for v in x)
+    return int(digits, 2)
+
+
+def plain_shards(rows, shards, bits=sharding.BITS):
+    """(doc_id, size, crc, shard, slot) of every row by a sort of all rows in one place."""
+    facts = []
+    for r in rows:
+        raw = (r.text or "").encode()
+        facts.append((r.doc_id, len(raw) + 1, zlib.crc32(raw), (r.source, r.lang, len(raw) + 1)))
+    steps = []
+    for d in range(3):
+        values = sorted((f[3][d] for f in facts), key=lambda v: (v is not None, v))
+        first = {}
+        for before, value in enumerate(values):
+            first.setdefault(value, before * (1 << bits) // len(values))
+        steps.append(first)
+    low = -(1 << 70)
+
+    def place(f):
+        cell = [steps[d][f[3][d]] for d in range(3)]
+        return plain_index(cell, bits), f[2], low if f[0] is None else f[0], f[1]
+
+    out, used = [], {}
+    for i, f in enumerate(sorted(facts, key=place)):
+        shard = i * shards // len(facts)
+        out.append((f[0], f[1], f[2], shard, used.setdefault(shard, 0)))
+        used[shard] += 1
+    return sorted(map(str, out))
+
+
+@pytest.mark.parametrize("shards", [1, 7, 16])
+def test_every_row_like_a_plain_index_and_a_sort(spark, shards):
+    docs = documents(spark, 300)
+    got = sharding.assign(docs, shards)
+    found = [(r.doc_id, r["size"], r.text_crc32, r.shard, r.slot) for r in got.collect()]
+    assert sorted(map(str, found)) == plain_shards(docs.collect(), shards)
+
+
 def test_law(spark):
     docs = documents(spark, 500)
     rows = sharding.assign(docs, 7).collect()
@@ -52,3 +111,11 @@ def test_written_shards_can_be_skipped(spark):
     spans = [(r.min_source, r.max_source) for r in ranges]
     assert sum(a <= "s2" <= b for a, b in spans) < len(spans)
     assert sum(r.min_size <= 20 <= r.max_size for r in ranges) < len(spans)
+
+
+def test_written_shards_beside_a_column_of_that_name(spark):
+    docs, folder = documents(spark, 50).withColumnRenamed("shard", "curve_shard"), new_path(spark, "shards")
+    ranges = sharding.write_shards(docs, folder, 4)
+    assert sorted(r.curve_shard for r in ranges.collect()) == [0, 1, 2, 3]
+    written = spark.read.parquet(f"{folder}/shards")
+    assert written.select("curve_shard").distinct().count() == docs.select("curve_shard").distinct().count()
