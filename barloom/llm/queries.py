@@ -210,16 +210,17 @@ def op10_vector_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("""
     WITH whole AS (
-        SELECT vec_id, list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * 1024)) AS v
+        SELECT row_number() OVER () AS row, vec_id,
+            list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * 1024)) AS v
         FROM embeddings
         WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
     ), scored AS (
-        SELECT q.vec_id AS query_id, c.vec_id,
+        SELECT q.row AS query, q.vec_id AS query_id, c.vec_id,
             CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
-        FROM whole q JOIN whole c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0
+        FROM whole q JOIN whole c ON q.row <> c.row WHERE q.vec_id % 100 = 0
     ), ranked AS (
-        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place
+        SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id) AS place
         FROM scored
     )
     SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 10
