@@ -7,18 +7,18 @@ neighbouring fragments compose to one: the left suffix and the right prefix are
 anew. Composition is associative, so fragments of one text may be made in different tasks and put
 together in a tree.
 
-Texts of up to CHUNK bytes are aligned in the task that reads them, from words whose fragments are
-kept. Longer ones are dealt in chunks to all tasks; each tokenizer's share of a chunk starts at the
-first place from a border on where cutting cannot change its tokens, so the shares of the two need
-not agree, and the open ends go through the tree.
+Texts of up to CHUNK bytes are one fragment, made in the task that reads them. Longer ones are dealt
+in chunks to all tasks; each tokenizer's share of a chunk starts at the first place from a border on
+where cutting cannot change its tokens, so the shares of the two need not agree, and the open ends
+go through the tree.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
-from collections.abc import Iterable
 from typing import NamedTuple
 
 import numpy as np
@@ -36,10 +36,8 @@ FIRST, SECOND = "byte_bpe_50k.json", "piece_bpe_32k.model"
 CHUNK = 1 << 16
 #: Fragments that one node of the tree puts together.
 FAN = 16
-#: Words whose fragments a task keeps, and their longest length.
-WORDS, WORD_CHARS = 100_000, 48
-#: Bytes of texts that are looked up in the tokenizers at a time.
-BATCH = 1 << 20
+#: Characters of texts that are handed to the tokenizers at a time.
+BATCH = 1 << 19
 #: Rows of the table of pairs up to which it is broadcast (24 bytes each).
 PAIRS = 1_000_000
 #: A pair of ids is one number: the first id, then so many bits for the second.
@@ -51,7 +49,7 @@ BETWEEN_WORDS = re.compile(rf"(?<=[^\s{SPACE}]) (?!\Z)")
 #: The first one also does at a sign of punctuation after a letter.
 WITHIN_LINES = re.compile(rf"(?<=[^\s{SPACE}]) (?!\Z)|(?<=[A-Za-z])(?=[,.;:!?])")
 
-Tokens = tuple[list[int], list[int], list[int], list[int]]  # first ids and ends, second ids and ends
+Tokens = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]  # first ids and ends, second ids and ends
 
 ALIGNED = {
     "row": pa.int64(), "doc_id": pa.int64(), "n_a": pa.int64(), "n_b": pa.int64(),
@@ -85,7 +83,7 @@ class Part(NamedTuple):
 
     n_groups: int
     groups: str
-    pairs: list[int]
+    pairs: np.ndarray
 
 
 class Fragment(NamedTuple):
@@ -96,11 +94,12 @@ class Fragment(NamedTuple):
     suffix: Tokens
 
 
-NOTHING: Tokens = ([], [], [], [])
+NONE = np.zeros(0, dtype=np.int64)
+NOTHING: Tokens = (NONE, NONE, NONE, NONE)
 
 
 def joined(left: Tokens, right: Tokens) -> Tokens:
-    return tuple(a + b for a, b in zip(left, right, strict=True))
+    return tuple(np.concatenate(both) for both in zip(left, right, strict=True))
 
 
 def _between(tokens: Tokens, after: int, until: int | None) -> Tokens:
@@ -114,29 +113,49 @@ def _between(tokens: Tokens, after: int, until: int | None) -> Tokens:
     return tuple(out)
 
 
-def closed(tokens: Tokens, start: int) -> Part:
-    """Groups of tokens that begin and end with a cut, and the pairs of tokens that overlap."""
+class Written:
+    """Ids as texts with a mark behind them, from tables over all ids."""
+
+    def __init__(self, ids: int):
+        self.tables = {m: np.array([f"{i}{m}" for i in range(ids)], dtype=object) for m in ",|;"}
+
+    def __call__(self, ids: np.ndarray, mark: str) -> np.ndarray:
+        return self.tables[mark][ids]
+
+
+def written(ids: np.ndarray, mark: str) -> np.ndarray:
+    """The same without tables, for a few ids."""
+    return np.array([f"{i}{mark}" for i in ids.tolist()], dtype=object)
+
+
+def closed(tokens: Tokens, start: int, texts_of=written) -> Part:
+    """Groups of tokens that begin and end with a cut, and the pairs of tokens that overlap.
+
+    Between two neighbouring ends of either kind lies one token of each, and no two such spans
+    have the same two tokens: each span is a pair.
+    """
     a_ids, a_ends, b_ids, b_ends = tokens
-    groups, pairs = [], []
-    i = j = first_a = first_b = 0
-    while i < len(a_ids) and j < len(b_ids):
-        pairs.append(a_ids[i] << BITS | b_ids[j])
-        if a_ends[i] == b_ends[j]:
-            i, j = i + 1, j + 1
-            groups.append(f"{','.join(map(str, a_ids[first_a:i]))}|{','.join(map(str, b_ids[first_b:j]))}")
-            first_a, first_b = i, j
-        elif a_ends[i] < b_ends[j]:
-            i += 1
-        else:
-            j += 1
-    if (first_a, first_b) != (len(a_ids), len(b_ids)):
+    if not len(a_ids) and not len(b_ids):
+        return Part(0, "", NONE)
+    if not len(a_ids) or not len(b_ids) or a_ends[-1] != b_ends[-1]:
         raise ValueError(f"tokens from byte {start} on do not end with a cut")
-    return Part(len(groups), ";".join(groups), pairs)
+    spans = np.union1d(a_ends, b_ends)
+    pairs = a_ids[np.searchsorted(a_ends, spans)] << BITS | b_ids[np.searchsorted(b_ends, spans)]
+
+    cuts = np.intersect1d(a_ends, b_ends, assume_unique=True)
+    of_a, of_b = np.searchsorted(cuts, a_ends), np.searchsorted(cuts, b_ends)
+    texts = np.empty(len(a_ids) + len(b_ids), dtype=object)  # first ids of a group, then second ones
+    for ids, ends, own, others, side, mark in (
+        (a_ids, a_ends, of_a, of_b, "left", "|"), (b_ids, b_ends, of_b, of_a, "right", ";")
+    ):
+        places = np.arange(len(ids)) + np.searchsorted(others, own, side)
+        texts[places] = np.where(cuts[own] == ends, texts_of(ids, mark), texts_of(ids, ","))
+    return Part(len(cuts), "".join(texts.tolist())[:-1], pairs)
 
 
 def fragment(tokens: Tokens) -> tuple[Fragment, Tokens]:
     """The open ends of a run of tokens, and the tokens between its first and last cut."""
-    cuts = np.intersect1d(np.array(tokens[1], dtype=np.int64), np.array(tokens[3], dtype=np.int64))
+    cuts = np.intersect1d(tokens[1], tokens[3], assume_unique=True)
     if not len(cuts):
         return Fragment(False, tokens, NOTHING), NOTHING
     first, last = int(cuts[0]), int(cuts[-1])
@@ -165,21 +184,57 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+# Fixed value: how byte-level vocabularies with ``use_regex`` cut texts before they join bytes.
+BYTE_LEVEL_CUTS = (
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+)
+
+
+def byte_ranks(first: str) -> dict[bytes, int] | None:
+    """Entries of a byte-level vocabulary file as bytes with their ids, if the ids are in the order
+    in which entries are joined and nothing else changes a text; None otherwise."""
+    file = json.loads(first)
+    model, before = file["model"], file["pre_tokenizer"] or {}
+    letters = byte_letters()
+    plain = before.get("type") == "ByteLevel" and before.get("use_regex") and not before["add_prefix_space"]
+    if model["type"] != "BPE" or file["normalizer"] or not plain or model.get("ignore_merges"):
+        return None
+    special = {t["content"] for t in file["added_tokens"]}
+    entries = {e: i for e, i in model["vocab"].items() if e not in special}
+    if not all(c in letters for e in entries for c in e):
+        return None
+    merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    made = [entries.get("".join(m)) for m in merges]
+    if None in made or made != sorted(made) or len(merges) + len(letters) != len(entries):
+        return None
+    return {bytes(letters[c] for c in e): i for e, i in entries.items()}
+
+
 class Tokenizers:
-    """Both tokenizers, and the bytes of every id."""
+    """Both tokenizers, and the bytes of every id.
+
+    A byte-level file whose ids are ranks is run by the library for ranks, which takes a quarter
+    of the time and gives the same tokens (a test compares them on every code point).
+    """
 
     def __init__(self, first: str, second: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import tiktoken
         from sentencepiece import SentencePieceProcessor
         from tokenizers import Tokenizer
 
         self.a = Tokenizer.from_str(first)
         self.a.encode_special_tokens = True
         letters = byte_letters()
-        self.a_bytes: dict[int, bytes] = {}
-        for entry, i in self.a.get_vocab(with_added_tokens=True).items():
+        entries = self.a.get_vocab(with_added_tokens=True)
+        self.a_bytes = [b""] * (1 + max(entries.values()))
+        for entry, i in entries.items():
             known = all(c in letters for c in entry)
             self.a_bytes[i] = bytes(letters[c] for c in entry) if known else entry.encode()
+        ranks = byte_ranks(first)
+        self.a_ranks = ranks and tiktoken.Encoding(
+            "first", pat_str=BYTE_LEVEL_CUTS, mergeable_ranks=ranks, special_tokens={}
+        )
         self.b = SentencePieceProcessor(model_proto=second)
         self.b_bytes = []
         for i in range(self.b.get_piece_size()):
@@ -189,56 +244,36 @@ class Tokenizers:
             self.b_bytes.append(
                 bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace(SPACE, " ").encode()
             )
+        self.a_sizes, self.b_sizes = (
+            np.array([len(t) for t in names], dtype=np.int64) for names in (self.a_bytes, self.b_bytes)
+        )
 
     def first(self, texts: list[str]) -> list[list[int]]:
+        if self.a_ranks:
+            return [self.a_ranks.encode_ordinary(text) for text in texts]
         return [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
 
     def second(self, texts: list[str]) -> list[list[int]]:
         """Ids of texts that begin with a space, which the tokenizer puts there itself."""
         return self.b.encode([t[1:] for t in texts], num_threads=1)
 
-    def ends(self, ids: list[int], names, at: int, text: bytes) -> list[int] | None:
-        """Where the tokens of a text end that begins at ``at``; None if their bytes are others."""
-        tokens = [names[i] for i in ids]
-        if b"".join(tokens) != text:
-            return None
-        return (at + np.cumsum([len(t) for t in tokens], dtype=np.int64)).tolist()
-
-    def aligned(self, texts: list[str]) -> list[tuple | None]:
-        """(n_a, n_b, n_groups, groups, pairs) of texts that begin with a space, None where bytes differ."""
+    def tokens(
+        self, a: list[int], a_text: str, a_at: int, b: list[int], b_text: str, b_at: int
+    ) -> Tokens | None:
+        """Ids and ends of two texts that begin at some bytes; None if their tokens have others."""
         out = []
-        for text, a, b in zip(texts, self.first(texts), self.second(texts), strict=True):
-            raw = text.encode()
-            a_ends, b_ends = self.ends(a, self.a_bytes, 0, raw), self.ends(b, self.b_bytes, 0, raw)
-            if a_ends is None or b_ends is None:
-                out.append(None)
-            else:
-                out.append((len(a), len(b), *closed((a, a_ends, b, b_ends), 0)))
-        return out
-
-
-class Words(dict):
-    """Fragments of words; those of short ones are kept from batch to batch."""
-
-    def __init__(self, tokenizers: Tokenizers):
-        super().__init__()
-        self.tokenizers = tokenizers
-
-    def learn(self, words: Iterable[str]) -> None:
-        if len(self) > WORDS:
-            self.clear()
-        new = [w for w in dict.fromkeys(words) if w not in self]
-        if new:
-            self.update(zip(new, self.tokenizers.aligned([" " + w for w in new]), strict=True))
-
-    def forget(self, words: Iterable[str]) -> None:
-        for word in words:
-            if len(word) > WORD_CHARS:
-                self.pop(word, None)
+        for ids, names, sizes, text, at in (
+            (a, self.a_bytes, self.a_sizes, a_text, a_at), (b, self.b_bytes, self.b_sizes, b_text, b_at)
+        ):
+            if b"".join([names[i] for i in ids]) != text.encode():
+                return None
+            found = np.array(ids, dtype=np.int64)
+            out += [found, at + np.cumsum(sizes[found])]
+        return tuple(out)
 
 
-def _counted(pairs: Iterable[int]) -> tuple[list[int], list[int]]:
-    found, times = np.unique(np.fromiter(pairs, dtype=np.int64), return_counts=True)
+def _counted(pairs: np.ndarray) -> tuple[list[int], list[int]]:
+    found, times = np.unique(pairs, return_counts=True)
     return found.tolist(), times.tolist()
 
 
@@ -257,22 +292,26 @@ def _decoded(text: bytes | None) -> str | None:
 def _aligning(files):
     """Whole texts: row, doc_id, text."""
 
-    def document(row: int, doc_id: int | None, words: list[str] | None, known: Words) -> tuple:
-        parts = [known[w] for w in words or ()]
-        if not parts or None in parts:
-            return _no_tokens(row, doc_id)
-        n_a, n_b, n_groups, groups, pairs = zip(*parts, strict=True)
-        flat = [p for some in pairs for p in some]
-        digest = hashlib.sha256(";".join(groups).encode()).hexdigest()
-        return (row, doc_id, sum(n_a), sum(n_b), sum(n_groups), len(flat), digest, *_counted(flat))
-
     def aligned(batches: Batches) -> Batches:
-        known = Words(Tokenizers(*files.value))
+        tokenizers = Tokenizers(*files.value)
+        texts_of = Written(max(len(tokenizers.a_bytes), len(tokenizers.b_bytes)))
 
         def done(waiting: list[tuple]) -> pa.RecordBatch:
-            known.learn(w for _, _, words in waiting for w in words or ())
-            out = [document(row, doc_id, words, known) for row, doc_id, words in waiting]
-            known.forget(w for _, _, words in waiting for w in words or ())
+            texts = [" " + text for _, _, text in waiting if text]
+            looked_up = zip(texts, tokenizers.first(texts), tokenizers.second(texts), strict=True)
+            out = []
+            for row, doc_id, text in waiting:
+                tokens = None
+                if text:
+                    whole, a, b = next(looked_up)
+                    tokens = tokenizers.tokens(a, whole, 0, b, whole, 0)
+                if tokens is None:
+                    out.append(_no_tokens(row, doc_id))
+                    continue
+                part = closed(tokens, 0, texts_of)
+                digest = hashlib.sha256(part.groups.encode()).hexdigest()
+                counts = (len(tokens[0]), len(tokens[2]), part.n_groups, len(part.pairs))
+                out.append((row, doc_id, *counts, digest, *_counted(part.pairs)))
             return batch_of(ALIGNED, out)
 
         for batch in batches:
@@ -281,7 +320,7 @@ def _aligning(files):
             ids = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
             for i, (row, doc_id) in enumerate(ids):
                 text = _decoded(texts[i].as_py())
-                waiting.append((row, doc_id, text and BETWEEN_WORDS.split(text)))
+                waiting.append((row, doc_id, text))
                 held += len(text or "")
                 if held > BATCH:
                     yield done(waiting)
@@ -336,17 +375,18 @@ def _part_row(row: int, doc_id: int | None, start: int, tokens: Tokens, counts:
     part = closed(tokens, start)
     return (
         PART, row, doc_id, start, True, None, *counts, part.n_groups, len(part.pairs), part.groups,
-        part.pairs, *[[]] * 7,
+        part.pairs.tolist(), *[[]] * 7,
     )
 
 
 def _start(tokens: Tokens) -> int:
     """A number by which runs of closed groups of one text are in order: the first token's end."""
-    return tokens[1][0]
+    return int(tokens[1][0])
 
 
 def _fragment_row(row: int, doc_id: int | None, k: int, made: Fragment) -> tuple:
-    return (FRAGMENT, row, doc_id, k, True, made.cut, 0, 0, 0, 0, None, *made.prefix, *made.suffix)
+    lists = [part.tolist() for part in (*made.prefix, *made.suffix)]
+    return (FRAGMENT, row, doc_id, k, True, made.cut, 0, 0, 0, 0, None, *lists)
 
 
 def _fragmenting(files):
@@ -364,16 +404,15 @@ def _fragmenting(files):
                     continue
                 a = tokenizers.first([a_text])[0] if a_text else []
                 b = tokenizers.second([b_text])[0] if b_text else []
-                a_ends = tokenizers.ends(a, tokenizers.a_bytes, a_at, a_text.encode())
-                b_ends = tokenizers.ends(b, tokenizers.b_bytes, b_at, b_text.encode())
-                if a_ends is None or b_ends is None:
+                tokens = tokenizers.tokens(a, a_text, a_at, b, b_text, b_at)
+                if tokens is None:
                     yield batch_of(NODES, [bad])
                     continue
-                open_, middle = fragment((a, a_ends, b, b_ends))
+                open_, middle = fragment(tokens)
                 rows = [_fragment_row(row, doc_id, k, open_)]
                 counts = (PART, row, doc_id, -1, True, None, len(a), len(b), 0, 0, None, *[[]] * 8)
                 rows.append(counts)
-                if middle[0]:
+                if len(middle[0]):
                     rows.append(_part_row(row, doc_id, _start(middle), middle))
                 yield batch_of(NODES, rows)
 
@@ -391,14 +430,15 @@ def _composing(batches: Batches) -> Batches:
         for row, doc_id, parent, _, cut, *lists in zip(
             *[c.to_pylist() for c in batch.columns], strict=True
         ):
-            right = Fragment(cut, tuple(lists[:4]), tuple(lists[4:]))
+            arrays = [np.array(part, dtype=np.int64) for part in lists]
+            right = Fragment(cut, tuple(arrays[:4]), tuple(arrays[4:]))
             if now != (row, doc_id, parent):
                 if now is not None:
                     yield node()
                 now, made = (row, doc_id, parent), right
                 continue
             made, seam = compose(made, right)
-            if seam[0]:
+            if len(seam[0]):
                 yield batch_of(NODES, [_part_row(row, doc_id, _start(seam), seam)])
     if now is not None:
         yield node()
@@ -412,7 +452,8 @@ def _finishing(batches: Batches) -> Batches:
             if not cut or lists[4] or lists[6]:
                 out.append((PART, row, doc_id, -1, False, None, 0, 0, 0, 0, None, *[[]] * 8))
             else:
-                out.append(_part_row(row, doc_id, 0, tuple(lists[:4])))
+                prefix = tuple(np.array(part, dtype=np.int64) for part in lists[:4])
+                out.append(_part_row(row, doc_id, 0, prefix))
         yield batch_of(NODES, out)
 
 

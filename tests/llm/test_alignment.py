@@ -5,10 +5,11 @@ import os
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from barloom.llm import alignment
-from barloom.llm.alignment import Fragment, Tokenizers, align, closed, compose, fragment, joined, totals
+from barloom.llm.alignment import Fragment, Tokenizers, align, closed, compose, fragment, totals
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(alignment.FOLDER), reason="no vocabulary files here")
 SCHEMA = "doc_id long, text string, row string, pairs int, k int"
@@ -101,13 +102,40 @@ def test_like_whole_texts(spark, tokenizers, monkeypatch, chunk, fan):
     """With short chunks every text is cut, also inside groups, and goes through the tree."""
     monkeypatch.setattr(alignment, "CHUNK", chunk)
     monkeypatch.setattr(alignment, "FAN", fan)
-    monkeypatch.setattr(alignment, "WORDS", 20)
     monkeypatch.setattr(alignment, "BATCH", 500)
     rows = list(enumerate(EDGES + texts(chunk, 25)))
     rows += [(None, "no id here"), (3, "again"), (3, "again"), (None, None)]
     assert found(totals(align(frame(spark, rows).repartition(3)))) == brute(rows, tokenizers)
 
 
+@pytest.mark.parametrize("start", range(0, 0x110000, 0x22000))
+def test_both_libraries_give_the_same_tokens(tokenizers, start):
+    """Every code point next to letters, digits, signs, spaces and itself: all classes of the cuts."""
+    assert tokenizers.a_ranks
+    points = [chr(c) for c in range(start, start + 0x22000) if not 0xD800 <= c < 0xE000]
+    cases = [f" a{c}b 1{c}2 .{c}, {c} {c}{c}x\n{c}\n y'{c}s" for c in points]
+    want = [e.ids for e in tokenizers.a.encode_batch_fast(cases, add_special_tokens=False)]
+    assert tokenizers.first(cases) == want
+
+
+def test_libraries_agree_on_texts(tokenizers):
+    cases = [" " + t for t in EDGES if t] + [" " + t for t in texts(77, 200)] + [" " + "q" * 5000, " " * 3000]
+    assert tokenizers.first(cases) == [e.ids for e in tokenizers.a.encode_batch_fast(cases, add_special_tokens=False)]
+
+
+def test_other_files_are_left_to_their_own_library():
+    import json
+
+    with open(f"{alignment.FOLDER}/{alignment.FIRST}", encoding="utf-8") as f:
+        file = json.load(f)
+    assert alignment.byte_ranks(json.dumps(file)) is not None
+    for change in ({"normalizer": {"type": "NFC"}}, {"pre_tokenizer": None}):
+        assert alignment.byte_ranks(json.dumps(file | change)) is None
+    merges = file["model"]["merges"]
+    file["model"]["merges"] = [merges[1], merges[0], *merges[2:]]
+    assert alignment.byte_ranks(json.dumps(file)) is None
+
+
 def test_pairs_are_joined_alike_beyond_the_bound(spark, tokenizers, monkeypatch):
     monkeypatch.setattr(alignment, "PAIRS", 0)
     rows = list(enumerate(texts(5, 30)))
@@ -132,7 +160,7 @@ def test_composition_is_associative():
         n = rng.randrange(2, 40)
         ends = [sorted({*(rng.randrange(1, n) for _ in range(rng.randrange(0, n))), n}) for _ in range(2)]
         ids = [list(range(100 * t, 100 * t + len(e))) for t, e in enumerate(ends)]
-        whole = (ids[0], ends[0], ids[1], ends[1])
+        whole = tuple(np.array(x) for x in (ids[0], ends[0], ids[1], ends[1]))
         marks = [sorted(rng.choices(range(n + 1), k=3)) for _ in range(2)]  # streams are cut apart from each other
 
         def share(i, marks=marks, ids=ids, ends=ends, n=n):
@@ -141,7 +169,7 @@ def test_composition_is_associative():
                 low, high = ([0, *marks[t], n])[i : i + 2]
                 kept = [k for k, e in enumerate(ends[t]) if low < e <= high]
                 out += [[ids[t][k] for k in kept], [ends[t][k] for k in kept]]
-            return tuple(out)
+            return tuple(np.array(x, dtype=np.int64) for x in out)
 
         parts = [fragment(share(i)) for i in range(4)]
 
@@ -167,10 +195,11 @@ def test_composition_is_associative():
 
         want = closed(whole, 0)
         for made, runs in (left(), right(), paired()):
-            assert made.cut and not made.suffix[0] and not made.suffix[2]
-            got = sorted((r for r in [*runs, made.prefix] if r[0]), key=lambda r: r[1][0])
+            assert made.cut and not len(made.suffix[0]) and not len(made.suffix[2])
+            got = sorted((r for r in [*runs, made.prefix] if len(r[0])), key=lambda r: r[1][0])
             some = [closed(r, 0) for r in got]
             assert ";".join(p.groups for p in some) == want.groups
-            assert [p for part in some for p in part.pairs] == want.pairs
-    nothing = Fragment(False, ([], [], [], []), ([], [], [], []))
-    assert joined(nothing.prefix, nothing.prefix) == nothing.prefix
+            assert [p for part in some for p in part.pairs.tolist()] == want.pairs.tolist()
+    nothing = Fragment(False, alignment.NOTHING, alignment.NOTHING)
+    made, seam = compose(nothing, nothing)
+    assert not made.cut and not len(made.prefix[0]) and not len(seam[0])
