@@ -38,9 +38,8 @@ class Index:
         none = np.zeros(0, dtype=np.int64)
         if not len(self.tokens) or not size:
             return none
-        at = np.searchsorted(self.tokens, wanted)
-        at = at[at < len(self.tokens)]
-        at = at[np.isin(self.tokens[at], wanted)]
+        at = np.minimum(np.searchsorted(self.tokens, wanted), len(self.tokens) - 1)
+        at = at[self.tokens[at] == wanted]
         if len(at) < least:
             return none
         at = at[np.argsort(self.ends[at] - self.starts[at], kind="stable")]

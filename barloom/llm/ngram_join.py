@@ -11,7 +11,8 @@ are linked. Links join groups; a text already in the group of another is not com
 again, so a large group of copies costs about one comparison per copy and is never written as
 pairs.
 
-Shingles and sets are told apart by 64-bit hashes.
+Shingles, sets and texts are told apart by 64-bit hashes. Rows are told by their text, so rows
+without doc_id and rows that repeat one are searched like all others.
 """
 
 from __future__ import annotations
@@ -34,8 +35,8 @@ from barloom.llm.shingles import fingerprint, shingle_sets
 BLOCK_TEXTS, BLOCK_SHINGLES = 4096, 1 << 21
 #: Posted shingles and written sets per Arrow batch.
 ROWS = 1 << 16
-#: Bits of the filter that says which texts the cells need: so many per text, up to a bound. A
-#: full filter lets more sets through than needed, which are joined away after it.
+#: Bits of the filter that says which texts are wanted: so many per text, up to a bound. A full
+#: filter lets more through than needed, which is joined away after it.
 FILTER_BITS, MOST_BITS, SLICE = 16, 1 << 28, 1 << 10  # a slice in bytes
 
 
@@ -57,52 +58,39 @@ def _posted(found: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
     return found[: max(inside, short_lists(len(found), percent))], inside
 
 
-FACTS = {"doc_id": pa.int64(), "n": pa.int64(), "a": pa.int64(), "inside": pa.int64()}
-FACT_ROWS = "doc_id long, n long, a long, inside long"
+FACTS = {
+    "doc_id": pa.int64(), "text": pa.int64(), "n": pa.int64(), "a": pa.int64(), "inside": pa.int64(),
+    "posted": pa.list_(pa.int64()),
+}
+FACT_ROWS = "doc_id long, text long, n long, a long, inside long, posted array<long>"
 
 
 def _describing(words: int, percent: int) -> Callable[[Batches], Batches]:
-    def describe(batches: Batches) -> Batches:
-        for batch in batches:
-            rows = []
-            sets = shingle_sets(batch.column(1).to_pylist(), words)
-            for doc, found in zip(batch.column(0).to_pylist(), sets, strict=True):
-                a = fingerprint(found) if len(found) else None
-                rows.append((doc, len(found), a, _posted(found, percent)[1]))
-            yield batch_of(FACTS, rows)
-
-    return describe
-
-
-def _posting(words: int, percent: int) -> Callable[[Batches], Batches]:
-    """(token, a) of posted shingles; a set met again by the same task is not posted again."""
-
-    def flushed(tokens: list[np.ndarray], ids: list[int]) -> pa.RecordBatch:
-        sizes = [len(t) for t in tokens]
-        flat = np.concatenate(tokens).view(np.int64)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(flat), pa.array(np.repeat(np.array(ids, dtype=np.int64), sizes))],
-            names=["token", "a"],
-        )
+    """Size and fingerprint of every text's set, and the posted shingles of sets that are new to
+    the task; from doc_id, the text's hash and the text."""
 
-    def post(batches: Batches) -> Batches:
-        seen, tokens, ids, held = set(), [], [], 0
+    def describe(batches: Batches) -> Batches:
+        seen: set[int] = set()
         for batch in batches:
-            for found in shingle_sets(batch.column(0).to_pylist(), words):
-                a = fingerprint(found) if len(found) else None
-                if a is None or a in seen:
+            rows, held = [], 0
+            ids = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+            texts = batch.column(2)
+            sets = shingle_sets((t.as_py() for t in texts), words)
+            for (doc, text), found in zip(ids, sets, strict=True):
+                if not len(found):
+                    rows.append((doc, text, 0, None, 0, None))
                     continue
+                a, (posted, inside) = fingerprint(found), _posted(found, percent)
+                new = a not in seen
                 seen.add(a)
-                tokens.append(_posted(found, percent)[0])
-                ids.append(a)
-                held += len(tokens[-1])
+                rows.append((doc, text, len(found), a, inside, posted.view(np.int64) if new else None))
+                held += len(posted) if new else 0
                 if held > ROWS:
-                    yield flushed(tokens, ids)
-                    tokens, ids, held = [], [], 0
-        if tokens:
-            yield flushed(tokens, ids)
+                    yield batch_of(FACTS, rows)
+                    rows, held = [], 0
+            yield batch_of(FACTS, rows)
 
-    return post
+    return describe
 
 
 def _slot(x: np.ndarray, slots: int) -> np.ndarray:
@@ -148,20 +136,23 @@ def id_filter(ids: DataFrame) -> np.ndarray:
     return out.reshape(-1)
 
 
-SETS = {"x": pa.int64(), "a": pa.int64(), "set": pa.list_(pa.int64())}
+SETS = {"text": pa.int64(), "a": pa.int64(), "set": pa.list_(pa.int64())}
 
 
 def _setting(words: int, wanted) -> Callable[[Batches], Batches]:
-    """Whole sets of the texts that the filter lets through."""
+    """Whole sets of the texts that the filter lets through, from the texts' hashes and the texts;
+    copies in one task come once."""
 
     def sets(batches: Batches) -> Batches:
+        seen: set[int] = set()
         bits = wanted.value
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            there = marked(bits, np.array([i or 0 for i in ids], dtype=np.int64))
-            rows = [i for i in np.nonzero(there)[0] if ids[i] is not None]
-            texts, out, held = batch.column(1), [], 0
-            for i, found in zip(rows, shingle_sets((texts[int(i)].as_py() for i in rows), words), strict=True):
+            keys, texts = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1)
+            ids = keys.tolist()
+            there = np.nonzero(marked(bits, keys))[0].tolist()
+            rows = [i for i in there if not (ids[i] in seen or seen.add(ids[i]))]
+            out, held = [], 0
+            for i, found in zip(rows, shingle_sets((texts[i].as_py() for i in rows), words), strict=True):
                 if len(found):
                     out.append((ids[i], fingerprint(found), np.sort(found.view(np.int64))))
                     held += len(found)
@@ -288,9 +279,9 @@ def _link_cells(members: DataFrame, sizes: DataFrame, sets: DataFrame, percent:
     return links.union(landed(more, "links").select("u", "v"))
 
 
-def _met(texts: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFrame:
+def _met(facts: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """(c, x): texts on a short list, with the least text of the list; sets stand for texts."""
-    postings = texts.select("text").mapInArrow(_posting(words, percent), "token long, a long")
+    postings = facts.where("posted IS NOT NULL").select(F.explode("posted").alias("token"), "a")
     held = Window.partitionBy("token")
     lists = postings.select(
         "token", "a", F.count(F.lit(1)).over(held).alias("long"),
@@ -313,33 +304,34 @@ def _met(texts: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFr
     return landed(met.select("c", "x").distinct(), "members")
 
 
-def groups(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id.
+def _text_key(docs: DataFrame) -> Column:
+    """Hash of a text, null as empty."""
+    return F.xxhash64(F.coalesce(docs["text"], F.lit("")))
 
-    Two texts are linked when 100 * (shingles of both) >= percent * (shingles of either);
-    ``component_id`` is the least doc_id that links reach. Texts with equal sets are one class,
-    searched once. Null, empty and word-less texts have no shingles and are linked with nothing.
-    Rows that repeat a doc_id are texts of their own, which may lie in different components. A
-    row without doc_id belongs to the class of its set; a class of such rows alone is linked with
-    nothing and has no component. An empty table gives no rows.
-    """
-    spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary"))
+
+def _classed(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Facts of every row, and per set (a, component, least): its component, by any member, and
+    the least doc_id there."""
+    texts = docs.select(
+        F.col("doc_id").cast("long"), _text_key(docs).alias("key"), F.col("text").cast("binary")
+    )
     facts = landed(texts.mapInArrow(_describing(words, percent), FACT_ROWS), "facts")
-    # Only classes with an id are searched: the centre of a cell has to be one whose set is written.
-    texts = texts.where("doc_id IS NOT NULL")
-    nodes = facts.where("n > 0 AND doc_id IS NOT NULL").groupBy("a").agg(
-        F.min("doc_id").alias("doc"), F.max("n").alias("n"), F.max("inside").alias("inside")
+    nodes = facts.where("n > 0").groupBy("a").agg(
+        F.min("doc_id").alias("doc"), F.min("text").alias("text"), F.max("n").alias("n"),
+        F.max("inside").alias("inside"),
     )
     nodes = landed(nodes, "nodes")
-    members = _met(texts, nodes, words, percent)
+    members = _met(facts, nodes, percent)
 
     wanted = members.select("x").union(members.select(F.col("c").alias("x"))).distinct()
-    wanted = landed(nodes.join(wanted, F.col("a") == F.col("x")).select("doc", "a"), "wanted")
-    bits = spark.sparkContext.broadcast(id_filter(wanted.select("doc")))
-    sets = texts.mapInArrow(_setting(words, bits), "x long, a long, set array<long>")
-    sets = sets.withColumnRenamed("x", "doc").join(wanted, ["doc", "a"])
-    sets = landed(sets.dropDuplicates(["doc", "a"]).select(F.col("a").alias("x"), "set"), "sets")
+    wanted = nodes.join(wanted, F.col("a") == F.col("x")).select(F.col("text").alias("key"), "a")
+    wanted = landed(wanted, "wanted")
+    # Texts stay where they are: a filter of their hashes lets those through whose sets are needed.
+    bits = docs.sparkSession.sparkContext.broadcast(id_filter(wanted.select("key")))
+    read = texts.select("key", "text")
+    sets = read.mapInArrow(_setting(words, bits), "key long, a long, set array<long>")
+    sets = sets.join(wanted, ["key", "a"]).dropDuplicates(["a"])
+    sets = landed(sets.select(F.col("a").alias("x"), "set"), "sets")
 
     sizes = nodes.select(F.col("a").alias("x"), "n")
     tied = components(_link_cells(members, sizes, sets, percent)).withColumnRenamed("node", "a")
@@ -347,40 +339,64 @@ def groups(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
         "a", "doc", F.coalesce("component", "a").alias("component")
     )
     least = known.groupBy("component").agg(F.min("doc").alias("least"))
-    named = known.join(least, "component").select("a", "least")
-    return facts.select("doc_id", "n", "a").join(named, "a", "left").select(
+    return facts.drop("posted"), known.join(least, "component").select("a", "component", "least")
+
+
+def groups(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id.
+
+    Two texts are linked when 100 * (shingles of both) >= percent * (shingles of either);
+    ``component_id`` is the least doc_id that links reach. Texts with equal sets are one class,
+    searched once. Null, empty and word-less texts have no shingles and are linked with nothing.
+    Rows that repeat a doc_id are texts of their own, which may lie in different components. Rows
+    without doc_id are linked like others; a component of such rows alone has no id. An empty
+    table gives no rows.
+    """
+    facts, classes = _classed(docs, words, percent)
+    return facts.select("doc_id", "n", "a").join(classes.select("a", "least"), "a", "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
-        F.coalesce("least", "doc_id").alias("component_id"),
+        F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"),
     )
 
 
 def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """Documents with one of each group left, the least doc_id; all without shingles stay.
+    """Documents with one row of each group left; all without shingles stay.
 
-    Of rows that repeat a doc_id one stays, and of rows without doc_id those whose text no
-    document with an id has.
+    The row with the least doc_id stays, one with a doc_id before one without; of several texts
+    with that id the one with the least hash, and of rows equal in both one. What goes is decided
+    per row: another text with the same doc_id is not touched.
     """
-    found = landed(groups(docs, words, percent), "groups")
-    same = F.col("doc_id") == F.col("component_id")
-    gone = landed(found.where(~same).select(F.col("doc_id").alias("__gone")).distinct(), "gone")
-    # Only documents that the filter takes for gone are shuffled and looked up.
-    bits = docs.sparkSession.sparkContext.broadcast(id_filter(gone))
+    facts, classes = _classed(docs, words, percent)
+    rows = landed(facts.where("n > 0").join(classes, "a").select("component", "doc_id", "text"), "rows")
+    place = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "text")
+    kept = rows.groupBy("component").agg(F.min(place).alias("kept")).select(
+        "component", F.col("kept.doc_id").alias("kept_id"), F.col("kept.text").alias("kept_text")
+    )
+    told = rows.join(kept, "component").withColumn(
+        "stays", F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("text") == F.col("kept_text"))
+    )
+    gone = told.where(~F.col("stays")).select(
+        F.col("doc_id").alias("__doc"), F.col("text").alias("__text")
+    ).distinct()
+    gone = landed(gone, "gone")
+    # Only rows that the filter takes for gone are shuffled and looked up.
+    bits = docs.sparkSession.sparkContext.broadcast(id_filter(gone.select("__text")))
 
     @F.pandas_udf("boolean")
     def maybe(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for ids in batches:
-            yield pd.Series(marked(bits.value, ids.to_numpy()))
-
-    flagged = docs.withColumn("__maybe", maybe(F.coalesce(F.col("doc_id").cast("long"), F.lit(0))))
-    sure = flagged.where(~F.col("__maybe")).select(*docs.columns)
-    unsure = flagged.where(F.col("__maybe")).select(*docs.columns)
-    is_gone = F.col("doc_id") == F.col("__gone")
-    left = sure.union(unsure.join(gone, is_gone, "left_anti"))
-    repeated = found.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL")
-    if repeated.isEmpty():
-        return left
-    again = repeated.select(F.col("doc_id").alias("__again"))
-    is_again = F.col("doc_id") == F.col("__again")
-    first = left.join(again, is_again, "left_semi").dropDuplicates(["doc_id"])
-    return left.join(again, is_again, "left_anti").union(first)
+        for keys in batches:
+            yield pd.Series(marked(bits.value, keys.to_numpy()))
+
+    keyed = docs.withColumn("__key", _text_key(docs)).withColumn("__maybe", maybe("__key"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__doc")) & (F.col("__key") == F.col("__text"))
+    sure, unsure = (keyed.where(c).drop("__maybe") for c in (~F.col("__maybe"), F.col("__maybe")))
+    left = sure.union(unsure.join(gone, same, "left_anti"))
+
+    again = told.where("stays").groupBy("kept_id", "kept_text").count().where("count > 1")
+    again = landed(again.select(F.col("kept_id").alias("__doc"), F.col("kept_text").alias("__text")), "again")
+    if again.isEmpty():
+        return left.select(*docs.columns)
+    repeated = left.join(again, same, "left_semi")
+    first = repeated.dropDuplicates(["doc_id", "__key"])
+    return left.join(again, same, "left_anti").union(first).select(*docs.columns)
