@@ -23,30 +23,30 @@ from barloom.llm.common import landed
 #: Longest n-gram.
 LONGEST = 4
 #: The fit uses a bounded sample: so many rows in all, shared equally among the languages, of
-#: texts up to so many characters. Every text is scored, and whole.
+#: texts up to so many characters. Landmarks are some of them, of each so many characters. So a
+#: model has at most LONGEST * LANDMARKS * LANDMARK_CHARS n-grams, of 8 bytes and 4 per language.
+#: Every text is scored, and whole, with all letters of the sample.
 TRAIN_ROWS = 2000
 TRAIN_CHARS = 20000
-LANDMARKS = 256
-#: Letters that n-grams tell apart, the most frequent ones of the sample; others match nothing.
-ALPHABET = 254
+LANDMARKS, LANDMARK_CHARS = 256, 4096
 RIDGE = 1e-3
-#: Texts per presence matrix and characters per step of marking it.
-ROWS, CHARS = 64, 1 << 18
+#: Texts and cells of a presence matrix, and characters per step of marking it.
+ROWS, CELLS, CHARS = 64, 1 << 24, 1 << 18
 #: A text whose best score is lower is claimed by no language: all regressions say "rest" clearly.
 CLAIMED = 0.25
 
 UNKNOWN = "und"
 BREAK, GAP = 0, 1  # symbols: matches nothing; a run of anything but letters
-SYMBOLS = ALPHABET + 2
 
 
 @dataclass(frozen=True)
 class Grams:
-    """The n-grams of the landmarks as tables to walk: from an n-gram and a symbol to the next."""
+    """The n-grams of the landmarks: per length the sorted keys of (n-gram one shorter, symbol)."""
 
     symbol: np.ndarray  # of each code point
-    follow: tuple[np.ndarray, ...]  # [gram * SYMBOLS + symbol] -> gram one longer, 0 if none has it
-    offset: tuple[int, ...]  # of the grams of each length among all
+    span: int  # symbols there are; a key is the number of the shorter n-gram * span + symbol
+    keys: tuple[np.ndarray, ...]  # n-grams of a length are numbered from 1 in the order of keys
+    offset: tuple[int, ...]  # of the n-grams of each length among all
     size: int
 
 
@@ -59,9 +59,8 @@ class Model:
 
 def symbol_table(texts: list[str]) -> np.ndarray:
     """Symbol of every code point; the alphabet is that of the texts."""
-    seen = Counter(c for text in texts for c in text.lower() if c.isalpha())
-    letters = sorted(seen, key=lambda c: (-seen[c], c))[:ALPHABET]
-    table = np.array([BREAK if chr(i).isalpha() else GAP for i in range(0x110000)], dtype=np.uint8)
+    letters = sorted({c for text in texts for c in text.lower() if c.isalpha()})
+    table = np.array([BREAK if chr(i).isalpha() else GAP for i in range(0x110000)], dtype=np.uint32)
     for number, letter in enumerate(letters):
         table[ord(letter)] = GAP + 1 + number
     return table
@@ -78,7 +77,7 @@ def symbols(table: np.ndarray, piece: str, before: np.ndarray) -> np.ndarray:
 
 def pieces(table: np.ndarray, text: str) -> Iterator[np.ndarray]:
     """Symbols of a whole text in pieces that overlap by one less than the longest n-gram."""
-    before = np.zeros(0, dtype=np.uint8)
+    before = np.zeros(0, dtype=np.uint32)
     for at in range(0, len(text), CHARS):
         found = symbols(table, text[at : at + CHARS], before)
         yield found
@@ -87,38 +86,44 @@ def pieces(table: np.ndarray, text: str) -> Iterator[np.ndarray]:
 
 def _joined(parts: list[np.ndarray]) -> np.ndarray:
     """Parts in one array, each with a break after it."""
-    return np.concatenate([x for part in parts for x in (part, np.zeros(1, np.uint8))])
+    return np.concatenate([x for part in parts for x in (part, np.zeros(1, np.uint32))])
 
 
 def learn_grams(table: np.ndarray, texts: list[str]) -> Grams:
     """The n-grams that the texts hold."""
     flat = _joined([p for t in texts for p in pieces(table, t)]).astype(np.int64)
-    ids, follow, offset, total = np.zeros(len(flat), np.int64), [], [], 0
-    width = 1  # grams one shorter, 0 included
-    for n in range(1, LONGEST + 1):
-        ids = ids if n == 1 else ids[:-1]
-        after = flat[n - 1 :]
-        whole = (after != BREAK) & ((ids != 0) | (n == 1))
-        keys = ids * SYMBOLS + after
-        known = np.unique(keys[whole])
-        table_n = np.zeros(width * SYMBOLS, dtype=np.int32)
-        table_n[known] = np.arange(1, len(known) + 1)
-        ids = np.where(whole, table_n[keys], 0).astype(np.int64)
-        follow.append(table_n)
+    span, keys, offset, total = int(table.max()) + 1, [], [], 0
+    at, ids = np.arange(len(flat)), np.zeros(len(flat), np.int64)
+    for n in range(LONGEST):
+        at, ids = at[at + n < len(flat)], ids[at + n < len(flat)]
+        whole = flat[at + n] != BREAK
+        at, ids = at[whole], ids[whole]
+        known, places = np.unique(ids * span + flat[at + n], return_inverse=True)
+        ids = places + 1
+        keys.append(known)
         offset.append(total)
         total += len(known)
-        width = len(known) + 1
-    return Grams(table, tuple(follow), tuple(offset), total)
+    return Grams(table, span, tuple(keys), tuple(offset), total)
 
 
 def mark(grams: Grams, flat: np.ndarray, row: np.ndarray, present: np.ndarray) -> None:
-    """Set the cells (row, n-gram) of the n-grams in ``flat``."""
-    after = flat.astype(np.int32)
-    ids = np.zeros(len(flat), np.int32)
-    for n, (table, offset) in enumerate(zip(grams.follow, grams.offset, strict=True)):
-        ids = table[(ids if n == 0 else ids[:-1]) * SYMBOLS + after[n:]]
-        held = ids > 0
-        present[row[: len(ids)][held], offset + ids[held] - 1] = 1
+    """Set the cells (row, n-gram) of the n-grams in ``flat``.
+
+    An n-gram is known only if the one without its last symbol is, so places fall away early.
+    """
+    after = flat.astype(np.int64)
+    at, ids = np.arange(len(flat)), np.zeros(len(flat), np.int64)
+    for n, (keys, offset) in enumerate(zip(grams.keys, grams.offset, strict=True)):
+        if not len(keys):
+            return
+        if n:
+            inside = at + n < len(flat)
+            at, ids = at[inside], ids[inside]
+        wanted = ids * grams.span + after[at + n]
+        found = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+        held = keys[found] == wanted
+        at, ids = at[held], found[held] + 1
+        present[row[at], offset + ids - 1] = 1
 
 
 def presence(grams: Grams, texts: list[str]) -> np.ndarray:
@@ -145,9 +150,11 @@ def presence(grams: Grams, texts: list[str]) -> np.ndarray:
     return present
 
 
-def in_blocks(texts: list[str]) -> Iterator[list[str]]:
-    for at in range(0, len(texts), ROWS):
-        yield texts[at : at + ROWS]
+def in_blocks(grams: Grams, texts: list[str]) -> Iterator[list[str]]:
+    """Texts whose presence matrix stays within CELLS, ROWS at most."""
+    rows = max(1, min(ROWS, CELLS // max(grams.size, 1)))
+    for at in range(0, len(texts), rows):
+        yield texts[at : at + rows]
 
 
 def fit(texts: list[str], languages: list[str]) -> Model | None:
@@ -161,14 +168,14 @@ def fit(texts: list[str], languages: list[str]) -> Model | None:
     for text, language in zip(texts, languages, strict=True):
         if used[language] < each:
             used[language] += 1
-            chosen.append(text)
+            chosen.append(text[:LANDMARK_CHARS])
     grams = learn_grams(table, chosen)
-    marks = np.concatenate([presence(grams, block) for block in in_blocks(chosen)])
+    marks = np.concatenate([presence(grams, block) for block in in_blocks(grams, chosen)])
     values, vectors = np.linalg.eigh((marks @ marks.T).astype(np.float64))
     sound = values > 1e-6 * max(values.max(), 1e-12)
     root = vectors[:, sound] / np.sqrt(values[sound])  # landmarks x features
     features = np.concatenate(
-        [(presence(grams, block) @ marks.T).astype(np.float64) @ root for block in in_blocks(texts)]
+        [(presence(grams, block) @ marks.T).astype(np.float64) @ root for block in in_blocks(grams, texts)]
     )
     wanted = np.where(np.array(languages)[:, None] == np.array(names)[None, :], 1.0, -1.0)
     normal = features.T @ features + RIDGE * len(texts) * np.eye(features.shape[1])
@@ -181,7 +188,7 @@ def predict(model: Model | None, texts: list[str]) -> tuple[list[str], np.ndarra
     if model is None:
         return [UNKNOWN] * len(texts), np.zeros(len(texts))
     found, scores = [], []
-    for block in in_blocks(texts):
+    for block in in_blocks(model.grams, texts):
         marks = presence(model.grams, block)
         values = (marks @ model.weights).astype(np.float64)
         best = values.argmax(axis=1)
@@ -199,19 +206,25 @@ def held_out(doc_id: Column) -> Column:
 def sample(docs: DataFrame) -> tuple[list[str], list[str]]:
     """A bounded sample of labelled texts, the same number of each language, in hash order.
 
-    Counts come from all labelled rows. A language without a text of at most TRAIN_CHARS
-    characters is not learned.
+    Counts come from all labelled rows. A language is learned from its texts of up to TRAIN_CHARS
+    characters; one without such texts from so much of its longer ones.
     """
     labelled = docs.where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
-    counts = landed(labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("__n")), "langs")
+    size = F.char_length("text")
+    labelled = labelled.where(size > 0)
+    short = size <= TRAIN_CHARS
+    counts = labelled.groupBy("lang").agg(F.count_if(short).alias("__short"), F.count(F.lit(1)).alias("__n"))
+    counts = landed(counts, "langs")
     each = max(1, TRAIN_ROWS // max(counts.count(), 1))
     place = F.xxhash64("doc_id")
     share = F.pmod(place, F.lit(1 << 32)) / float(1 << 32)
-    size = F.char_length("text")
-    near = labelled.where((size > 0) & (size <= TRAIN_CHARS)).select(
-        F.col("lang"), "text", place.alias("__place"), share.alias("__share")
-    )
-    near = near.join(counts, "lang").where(F.col("__share") * F.col("__n") < 4.0 * each)
+    near = labelled.select(
+        F.col("lang"), F.substring("text", 1, TRAIN_CHARS).alias("text"), short.alias("__is_short"),
+        place.alias("__place"), share.alias("__share"),
+    ).join(counts, "lang")
+    eligible = F.when(F.col("__short") > 0, F.col("__short")).otherwise(F.col("__n"))
+    wanted = F.col("__is_short") == (F.col("__short") > 0)
+    near = near.where(wanted & (F.col("__share") * eligible < 4.0 * each))
     first = Window.partitionBy("lang").orderBy("__place", "text")
     rows = near.withColumn("__nth", F.row_number().over(first)).where(F.col("__nth") <= each)
     got = rows.select("lang", "__nth", "text").collect()

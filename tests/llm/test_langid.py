@@ -90,3 +90,63 @@ def test_held_out_accuracy(spark):
     assert {r.doc_id: r["__lang"] for r in again} == {r.doc_id: r["__lang"] for r in rows} | {
         r.doc_id: r["__lang"] for r in again if r.doc_id not in {x.doc_id for x in rows}
     }
+
+
+def test_languages_of_many_letters(spark):
+    """Two made-up languages of 250 letters each, and texts of rare letters of theirs."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for lang, first in (("aa", 0x4E00), ("bb", 0xAC00)):
+        for i in range(150):
+            letters = rng.integers(0, 250, 120) if i % 3 else rng.integers(200, 250, 60)
+            text = "".join(chr(first + int(c)) + (" " if rng.random() < 0.2 else "") for c in letters)
+            rows.append((len(rows), text, lang, 0.0, 1))
+    got = langid.identify(frame(spark, rows)).collect()
+    assert all(r["__lang"] == r.lang and r["__score"] > 0.25 for r in got)
+
+
+def test_a_language_of_long_texts_is_learned(spark, monkeypatch):
+    monkeypatch.setattr(langid, "TRAIN_CHARS", 60)
+    long = [(5000 + i, f"o gato e o cachorro estão na casa velha {i} " * 9, "pt", 0.0, 1) for i in range(40)]
+    got = langid.identify(labelled(spark, long)).collect()
+    assert {r["__lang"] for r in got if r.doc_id >= 5000} == {"pt"}
+    assert all(r["__lang"] == r.lang for r in got if r.doc_id < 5000)
+
+
+def test_blocks_are_bounded_and_change_nothing(monkeypatch):
+    texts = [t for group in SAMPLE.values() for t in group]
+    names = [lang for lang, group in SAMPLE.items() for _ in group]
+    model = langid.fit(texts, names)
+    want = langid.predict(model, texts * 40)
+    monkeypatch.setattr(langid, "CELLS", 3 * model.grams.size)
+    assert [len(b) for b in langid.in_blocks(model.grams, texts)] == [3, 3]
+    got = langid.predict(model, texts * 40)
+    assert got[0] == want[0] and np.allclose(got[1], want[1], atol=1e-6)
+
+
+def test_scores_like_plain_kernel_regression():
+    """Nystroem features and ridge weights against the same written out over a plain kernel."""
+    texts = [t for group in SAMPLE.values() for t in group]
+    names = [lang for lang, group in SAMPLE.items() for _ in group]
+    others = ["der hund und das haus", "they were in the house", "vous êtes dans la maison", "cat"]
+    every = set().union(*map(grams, texts))
+
+    def kernel(a, b):
+        a, b = grams(a) & every, grams(b) & every
+        return len(a & b) / np.sqrt(max(len(a), 1) * max(len(b), 1))
+
+    def table(rows):
+        return np.array([[kernel(r, t) for t in texts] for r in rows])
+
+    values, vectors = np.linalg.eigh(table(texts))
+    sound = values > 1e-6 * values.max()
+    root = vectors[:, sound] / np.sqrt(values[sound])
+    features = table(texts) @ root
+    labels = sorted(set(names))
+    wanted = np.array([[1.0 if n == label else -1.0 for label in labels] for n in names])
+    normal = features.T @ features + langid.RIDGE * len(texts) * np.eye(features.shape[1])
+    weights = np.linalg.solve(normal, features.T @ wanted)
+    told = table(others) @ root @ weights
+    got, scores = langid.predict(langid.fit(texts, names), others)
+    assert got == [labels[i] for i in told.argmax(axis=1)]
+    assert np.allclose(scores, np.clip((told.max(axis=1) + 1) / 2, 0, 1), atol=1e-3)
