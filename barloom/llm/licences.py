@@ -278,7 +278,8 @@ def digest(words: list[str]) -> str:
 
 
 DIGESTS = {
-    "doc_id": pa.int64(), "line": pa.int64(), "whole": pa.string(), "digest": pa.string(),
+    "row": pa.int64(), "doc_id": pa.int64(), "line": pa.int64(), "whole": pa.string(),
+    "digest": pa.string(),
 }
 
 
@@ -289,14 +290,14 @@ def _scanned(counts: frozenset[int] | None) -> Callable[[Batches], Batches]:
     def scan(batches: Batches) -> Batches:
         for batch in batches:
             rows = []
-            for doc, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            for row, doc, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 lines = [words_of(line) for line in (text or "").split("\n")]
                 own = [line for line in lines if line]
                 whole = digest([w for line in own for w in line]) if own else None
-                rows.append((doc, 0, whole, whole))
+                rows.append((row, doc, 0, whole, whole))
                 if counts is not None and len(own) > 1:
                     rows += [
-                        (doc, i + 1, None, digest(line))
+                        (row, doc, i + 1, None, digest(line))
                         for i, line in enumerate(lines) if len(line) in counts
                     ]
             yield batch_of(DIGESTS, rows)
@@ -311,8 +312,9 @@ def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     known licence that the whole text is. ``notices`` counts its lines that are a known licence
     or notice each, or 1 if the whole text is one; ``licences`` lists, sorted and without repeats,
     what was found. A text that several licences share gets the first by name. Null and empty
-    texts find nothing. Rows that repeat a doc_id are taken together: the least digest and licence,
-    all notices. ``known`` has (licence, text); an empty table of either kind is fine.
+    texts find nothing. Rows that repeat a doc_id, or have none, are documents of their own.
+    ``known`` has (licence, text) and may be a user's own table of licences, with as many texts
+    of one licence as there are forms of it; an empty table of either kind is fine.
     """
     spark = docs.sparkSession
     known = known_licences(spark) if known is None else known
@@ -332,14 +334,18 @@ def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     keys = landed(keys.groupBy("key", "words").agg(F.min("licence").alias("licence")), "known")
     # Numbers of words of licences that lines can be: one small number per length there is.
     counts = frozenset(r["words"] for r in keys.select("words").distinct().collect())
-    texts = docs.select(F.col("doc_id").cast("long"), "text")
+    texts = docs.select(
+        F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), "text"
+    )
     found = texts.mapInArrow(
-        _scanned(counts), "doc_id long, line long, whole string, digest string"
+        _scanned(counts), "row long, doc_id long, line long, whole string, digest string"
     )
     met = found.join(keys.select("key", "licence"), F.col("digest") == F.col("key"), "left")
-    return met.groupBy("doc_id").agg(
+    of_row = met.groupBy("row").agg(
+        F.first("doc_id").alias("doc_id"),
         F.min("whole").alias("digest"),
         F.min(F.when(F.col("line") == 0, F.col("licence"))).alias("licence"),
         F.count("licence").alias("notices"),
         F.array_join(F.array_sort(F.collect_set("licence")), ",").alias("licences"),
     )
+    return of_row.drop("row")

@@ -12,7 +12,7 @@ ROWS = [
     (6, "This work is licensed under the GNU General Public Licence, version 3.\nThis software is released under the MIT License"),
     (7, "Licensed under the Apache License, Version 2.0."),
     (8, "SPDX-License-Identifier: BSD-3-Clause"),
-    (9, "All rights reserved."), (10, None), (11, ""), (12, "The licence of a poet."), (12, "Licensed under CC BY-NC 4.0."),
+    (9, "All rights reserved."), (10, None), (11, ""), (12, "Licensed under CC BY-NC 4.0."),
     (13, "word " * 500_000 + "\nLicensed under the MIT License"),
 ]
 
@@ -36,6 +36,22 @@ def test_scan(spark):
     assert found[13].licences == "MIT"
 
 
+def test_rows_without_an_id_or_with_the_same_one_stay_apart(spark):
+    rows = [(None, MIT), (None, "plain words"), (None, "Licensed under the Apache License, Version 2.0."),
+            (4, "The licence of a poet."), (4, "Licensed under CC BY-NC 4.0."), (4, "The licence of a poet.")]
+    found = licences.scan(frame(spark, rows)).collect()
+    assert sorted((str(r.doc_id), str(r.licence), r.notices, r.licences) for r in found) == [
+        ("4", "CC-BY-NC-4.0", 1, "CC-BY-NC-4.0"), ("4", "None", 0, ""), ("4", "None", 0, ""),
+        ("None", "Apache-2.0", 1, "Apache-2.0"), ("None", "MIT", 1, "MIT"), ("None", "None", 0, ""),
+    ]
+
+
+def test_a_table_of_ones_own(spark):
+    own = spark.createDataFrame([("House", "You may read this."), ("House", "Read at will!")], "licence string, text string")
+    found = licences.scan(frame(spark, [(1, "you may READ this"), (2, "a\nread at will"), (3, MIT)]), own).collect()
+    assert {r.doc_id: (r.licence, r.notices) for r in found} == {1: ("House", 1), 2: (None, 1), 3: (None, 0)}
+
+
 def test_against_a_plain_lookup(spark):
     known = {}
     for name, text in sorted(licences.known_licences(spark).collect(), reverse=True):
