@@ -27,6 +27,8 @@ from barloom.shared import hadoop_path, new_path
 
 #: Files are closed when their records reach this many compressed bytes.
 ROLL_BYTES = 64 << 20
+#: Most tasks that write files at once.
+TASKS = 50_000
 #: Equal payloads are written once if they have at least so many bytes.
 REVISIT_BYTES = 100
 #: Stamped on every record, so that an archive depends on its pages alone.
@@ -169,10 +171,25 @@ def _dealing(edges):
     return full, short
 
 
+#: Schemes by which Spark clusters name stores, and what Arrow calls them.
+SCHEMES = {"s3a": "s3", "s3n": "s3"}
+#: Where stores are mounted that are no file system to Arrow.
+MOUNTS = {"file": "", "dbfs": "/dbfs"}
+
+
+def store_uri(folder: str) -> str:
+    """The name of a folder for Arrow: a path on the machine, or a URI of a store that it knows."""
+    scheme, colon, rest = folder.partition(":")
+    if not colon:
+        return folder
+    if scheme in MOUNTS:
+        return f"{MOUNTS[scheme]}/{rest.lstrip('/')}"
+    return f"{SCHEMES.get(scheme, scheme)}:{rest}"
+
+
 def _store(folder: str) -> tuple[pafs.FileSystem, str]:
-    if folder.startswith("file:"):
-        return pafs.LocalFileSystem(), "/" + folder[len("file:") :].lstrip("/")
-    return pafs.FileSystem.from_uri(folder)
+    uri = store_uri(folder)
+    return (pafs.LocalFileSystem(), uri) if uri.startswith("/") else pafs.FileSystem.from_uri(uri)
 
 
 def _writing(folder: str):
@@ -247,6 +264,10 @@ def write(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES) -> DataFr
     record with the smallest page_id is the response and the others revisit it; a missing page_id
     comes last there, and of rows that repeat a page_id one is the response. A record longer than
     ``roll_bytes`` gets a file of its own. No pages give an empty manifest.
+
+    The manifest is the commit: renaming is no single step in object stores, and files of an older
+    archive in the same folder stay beside those that the new manifest names. Temporary files of
+    attempts that failed are removed once it is written.
     """
     spark = pages.sparkSession
     files, place = hadoop_path(spark, folder)
@@ -291,11 +312,14 @@ def write(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES) -> DataFr
     members = raw.mapInArrow(full_of, MEMBER_ROWS).union(
         short.drop("again").mapInArrow(short_of, MEMBER_ROWS)
     )
-    dealt = members.repartition("file_no").sortWithinPartitions(
-        "file_no", "page_id", "url", "digest", "kind"
-    )
+    # A task per file, as far as Spark handles so many tasks; beyond, some files one after another.
+    tasks = min(max(len(keys), 1), TASKS)
+    dealt = members.repartitionById(tasks, (F.col("file_no") % tasks).cast("int"))
+    dealt = dealt.sortWithinPartitions("file_no", "page_id", "url", "digest", "kind")
     manifest = dealt.mapInArrow(_writing(folder), MANIFEST_ROWS)
     manifest.write.mode("overwrite").parquet(f"{folder}/manifest")
+    for left in files.globStatus(hadoop_path(spark, f"{folder}/.part-*.tmp")[1]) or []:
+        files.delete(left.getPath(), False)
     return manifest_of(spark, folder)
 
 

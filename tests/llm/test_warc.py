@@ -73,6 +73,27 @@ def test_damage_is_an_error(spark):
         warc.read(spark, folder).collect()
 
 
+def test_a_task_per_file_and_no_temporary_files(spark, monkeypatch):
+    folder, fewer = new_path(spark, "warc"), new_path(spark, "warc")
+    import os
+
+    os.makedirs(folder.removeprefix("file:"), exist_ok=True)
+    open(f"{folder.removeprefix('file:')}/.part-00000000.warc.gz-dead.tmp", "w").close()
+    warc.write(pages(spark, ROWS), folder, roll_bytes=1500)
+    assert not [p for p in os.listdir(folder.removeprefix("file:")) if p.endswith(".tmp")]
+    monkeypatch.setattr(warc, "TASKS", 2)
+    warc.write(pages(spark, ROWS), fewer, roll_bytes=1500)
+    assert files(folder) == files(fewer) and len(files(folder)) > 2
+
+
+def test_names_of_stores():
+    assert warc.store_uri("file:/tmp/x") == warc.store_uri("file:///tmp/x") == "/tmp/x"
+    assert warc.store_uri("/tmp/x") == "/tmp/x"
+    assert warc.store_uri("s3a://bucket/x") == "s3://bucket/x"
+    assert warc.store_uri("dbfs:/mnt/x") == "/dbfs/mnt/x"
+    assert warc.store_uri("hdfs://host:8020/x") == "hdfs://host:8020/x"
+
+
 def test_nothing(spark):
     folder = new_path(spark, "warc")
     assert warc.write(pages(spark, []), folder).count() == 0
